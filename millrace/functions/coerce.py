@@ -8,7 +8,10 @@ generated stage.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F, types as T
+from collections.abc import Mapping
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..spec import SPARK_TYPES, FieldType, Mode, field_mode, logical_type
 
@@ -27,6 +30,8 @@ _DIGITS = r"[0-9]+(?:_[0-9]+)*"
 _INTEGER = rf"^[+-]?{_DIGITS}$"
 _SHORT_INTEGER = r"^[+-]?[0-9]{1,18}$"
 _DECIMAL = rf"^[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$"
+_WHOLE_DECIMAL = r"^[+-]?[0-9]{1,15}\.0*$"
+_PLAIN_DECIMAL = r"^[+-]?[0-9]+(?:\.[0-9]+)?$"
 _INFINITY = r"^[+-]?inf(?:inity)?$"
 _NAN = r"^[+-]?nan$"
 _EPOCH = r"^(?:-?[0-9]+|[+-]?[0-9]+\.[0-9]+)$"
@@ -48,6 +53,7 @@ def _null(target: T.DataType) -> Column:
 
 
 def trimmed(col: Column) -> Column:
+    """Text without blanks at its ends.  The rules below take text that is trimmed."""
     return F.btrim(col, F.lit(BLANKS))
 
 
@@ -77,9 +83,9 @@ def double_text(col: Column) -> Column:
 
 
 def _clock_text(col: Column, zone: str) -> Column:
-    whole = F.date_format(col, "yyyy-MM-dd HH:mm:ss")
-    fine = F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    return F.concat(F.when(fine.endswith(".000000"), whole).otherwise(fine), F.lit(zone))
+    """``YYYY-MM-DD HH:MM:SS``, and six fraction digits where there is a fraction."""
+    text = col.cast("string")
+    return F.concat(F.when(F.length(text) > 19, F.rpad(text, 26, "0")).otherwise(text), F.lit(zone))
 
 
 def to_text(col: Column, source: T.DataType) -> Column:
@@ -95,7 +101,7 @@ def to_text(col: Column, source: T.DataType) -> Column:
     if isinstance(source, T.TimestampNTZType):
         return _clock_text(col, "")
     if isinstance(source, T.VariantType):
-        return _by_variant_kind(col, FieldType.STRING)
+        return coerced(col, source, FieldType.STRING)
     if _is_nested(source):
         return F.to_json(col)
     return col.cast("string")
@@ -114,7 +120,8 @@ def double_of_text(text: Column) -> Column:
     low = F.lower(text)
     parsed = F.replace(text, F.lit("_"), F.lit("")).try_cast("double")
     infinity = F.when(text.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
-    return (F.when(text.rlike(_DECIMAL), parsed)
+    return (F.when(text.rlike(_PLAIN_DECIMAL), text.try_cast("double"))
+            .when(text.rlike(_DECIMAL), parsed)
             .when(low.rlike(_INFINITY), infinity)
             .when(low.rlike(_NAN), F.lit(float("nan"))))
 
@@ -130,16 +137,16 @@ def _integer(col: Column, source: T.DataType) -> Column:
     if isinstance(source, (T.FloatType, T.DoubleType)):
         return _whole(col.cast("double"))
     if isinstance(source, T.StringType):
-        text = trimmed(col)
-        return (F.when(text.rlike(_SHORT_INTEGER), text.try_cast("bigint"))
-                .when(text.rlike(_INTEGER), F.replace(text, F.lit("_"), F.lit("")).try_cast("bigint"))
-                .otherwise(_whole(double_of_text(text))))
+        return (F.when(col.rlike(_SHORT_INTEGER), col.try_cast("bigint"))
+                .when(col.rlike(_INTEGER), F.replace(col, F.lit("_"), F.lit("")).try_cast("bigint"))
+                .when(col.rlike(_WHOLE_DECIMAL), F.substring_index(col, ".", 1).try_cast("bigint"))
+                .when(col.rlike(_DECIMAL), _whole(F.replace(col, F.lit("_"), F.lit("")).try_cast("double"))))
     return _null(T.LongType())
 
 
 def _float(col: Column, source: T.DataType) -> Column:
     if isinstance(source, T.StringType):
-        return double_of_text(trimmed(col))
+        return double_of_text(col)
     if isinstance(source, T.NumericType):
         return col.cast("double")
     return _null(T.DoubleType())
@@ -151,7 +158,7 @@ def _boolean(col: Column, source: T.DataType) -> Column:
     if isinstance(source, T.IntegralType):
         return F.when(col == 1, F.lit(True)).when(col == 0, F.lit(False))
     if isinstance(source, T.StringType):
-        word = F.lower(trimmed(col))
+        word = F.lower(col)
         return (F.when(word.isin(*TRUE_WORDS), F.lit(True))
                 .when(word.isin(*FALSE_WORDS), F.lit(False)))
     return _null(T.BooleanType())
@@ -196,9 +203,8 @@ def _timestamp(col: Column, source: T.DataType) -> Column:
     if isinstance(source, (T.IntegralType, T.FloatType, T.DoubleType)):
         return timestamp_of_epoch(col)
     if isinstance(source, T.StringType):
-        text = trimmed(col)
-        return (F.when(text.rlike(_EPOCH), timestamp_of_epoch(text.try_cast("double")))
-                .otherwise(timestamp_of_iso(text)))
+        return (F.when(col.rlike(_EPOCH), timestamp_of_epoch(col.try_cast("double")))
+                .otherwise(timestamp_of_iso(col)))
     return _null(T.TimestampType())
 
 
@@ -206,10 +212,9 @@ def _date(col: Column, source: T.DataType) -> Column:
     if isinstance(source, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return col.cast("date")
     if isinstance(source, T.StringType):
-        text = trimmed(col)
-        dashed = F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
-        return (F.when(text.rlike(_DATE), text.try_cast("date"))
-                .when(text.rlike(_COMPACT_DATE), dashed.try_cast("date")))
+        dashed = F.concat_ws("-", F.substring(col, 1, 4), F.substring(col, 5, 2), F.substring(col, 7, 2))
+        return (F.when(col.rlike(_DATE), col.try_cast("date"))
+                .when(col.rlike(_COMPACT_DATE), dashed.try_cast("date")))
     return _null(T.DateType())
 
 
@@ -222,7 +227,7 @@ def to_json_text(col: Column, source: T.DataType) -> Column:
     if isinstance(source, (T.BooleanType, T.IntegralType, T.DecimalType)):
         return col.cast("string")
     if isinstance(source, T.VariantType):
-        return _by_variant_kind(col, FieldType.JSON)
+        return coerced(col, source, FieldType.JSON)
     return to_text(col, source)
 
 
@@ -230,9 +235,8 @@ def _bytes(col: Column, source: T.DataType) -> Column:
     if isinstance(source, T.BinaryType):
         return col
     if isinstance(source, T.StringType):
-        text = trimmed(col)
-        return (F.when((text != "") & text.rlike(_BASE64), F.unbase64(text))
-                .otherwise(F.encode(text, "UTF-8")))
+        return (F.when((col != "") & col.rlike(_BASE64), F.unbase64(col))
+                .otherwise(F.encode(col, "UTF-8")))
     return _null(T.BinaryType())
 
 
@@ -248,42 +252,84 @@ _RULES = {
 }
 
 
-def _by_variant_kind(col: Column, target: FieldType) -> Column:
+VERBATIM = (FieldType.STRING, FieldType.JSON)
+
+
+@dataclass(frozen=True)
+class Parts:
+    """What a rule needs of a cell besides the cell: its trimmed text and, for a
+    variant, its kind.  Several branches of a rule read them, and a CASE does not share
+    what its branches compute, so a batch computes them as columns of their own."""
+
+    text: Column | None = None
+    kind: Column | None = None
+    raw: Column | None = None
+
+    @classmethod
+    def inline(cls, col: Column, source: T.DataType, target: FieldType) -> "Parts":
+        if isinstance(source, T.VariantType):
+            raw = F.try_variant_get(col, "$", "string")
+            return cls(trimmed(raw), F.schema_of_variant(col), raw)
+        return cls(trimmed(col)) if isinstance(source, T.StringType) else cls()
+
+
+def _of_text(raw: Column, text: Column, target: FieldType) -> Column:
+    if target is FieldType.STRING:
+        return raw
+    if target is FieldType.JSON:
+        return F.nullif(raw, F.lit(""))
+    value = _RULES[target](text, T.StringType())
+    # Blank text fits no other rule anyway.
+    return F.when(raw != "", value) if target is FieldType.BYTES else value
+
+
+def _of_variant(col: Column, parts: Parts, target: FieldType) -> Column:
     """A variant cell carries its own type, so the rule is picked per row."""
-    kind = F.schema_of_variant(col)
+    kind = parts.kind
     get = lambda t: F.try_variant_get(col, "$", t)
     rule = _RULES[target]
-    out = F.when(kind == "STRING", _rule_or_blank(get("string"), target))
+    out = F.when(kind == "STRING", _of_text(parts.raw, parts.text, target))
     out = out.when(kind == "BIGINT", rule(get("bigint"), T.LongType()))
     out = out.when((kind == "DOUBLE") | kind.startswith("DECIMAL"), rule(get("double"), T.DoubleType()))
     out = out.when(kind == "BOOLEAN", rule(get("boolean"), T.BooleanType()))
     out = out.when(kind == "TIMESTAMP", rule(get("timestamp"), T.TimestampType()))
     out = out.when(kind == "DATE", rule(get("date"), T.DateType()))
-    if target in (FieldType.STRING, FieldType.JSON):
-        out = out.when(kind != "VOID", F.to_json(col))
-    return out
-
-
-def _rule_or_blank(text: Column, target: FieldType) -> Column:
-    value = _RULES[target](text, T.StringType())
-    if target is FieldType.STRING:
-        return value
-    return F.when(text != "", value)
+    return out.when(kind != "VOID", F.to_json(col)) if target in VERBATIM else out
 
 
-def coerced(col: Column, source: T.DataType, target: FieldType) -> Column:
+def coerced(col: Column, source: T.DataType, target: FieldType, parts: Parts | None = None) -> Column:
     """The cell as ``target``; NULL for NULL, for ``""`` (except text) and for misfits."""
     target = FieldType.of(target)
     if isinstance(source, T.NullType):
         return _null(SPARK_TYPES[target])
+    parts = parts or Parts.inline(col, source, target)
     if isinstance(source, T.VariantType):
-        return _by_variant_kind(col, target)
+        return _of_variant(col, parts, target)
     if isinstance(source, T.StringType):
-        return _rule_or_blank(col, target)
+        return _of_text(col, parts.text, target)
     return _RULES[target](col, source)
 
 
-def is_drift(col: Column, source: T.DataType, value: Column) -> Column:
+def with_parts(df: DataFrame, targets: Mapping[str, FieldType]) -> tuple[DataFrame, dict[str, Parts]]:
+    """``df`` plus the part columns its cells need, and where to find them."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    cell = lambda n: F.col(f"`{n}`")
+    name = lambda what, n: f"__{what}_{n}"
+    variants = [n for n in targets if isinstance(kinds[n], T.VariantType)]
+    texts = [n for n, t in targets.items() if isinstance(kinds[n], T.StringType) and t not in VERBATIM]
+    if variants:
+        df = df.select("*", *[F.schema_of_variant(cell(n)).alias(name("kind", n)) for n in variants])
+        df = df.select("*", *[F.when(F.col(name("kind", n)) == "STRING", F.try_variant_get(cell(n), "$", "string"))
+                              .alias(name("raw", n)) for n in variants])
+    trims = {n: cell(n) for n in texts} | {n: cell(name("raw", n)) for n in variants if targets[n] not in VERBATIM}
+    if trims:
+        df = df.select("*", *[trimmed(c).alias(name("text", n)) for n, c in trims.items()])
+    at = lambda what, n, there: cell(name(what, n)) if there else None
+    return df, {n: Parts(at("text", n, n in trims), at("kind", n, n in variants), at("raw", n, n in variants))
+                for n in targets if n in trims or n in variants}
+
+
+def is_drift(col: Column, source: T.DataType, value: Column, parts: Parts | None = None) -> Column:
     """True where a cell held something and ``value``, its coercion, came out NULL."""
     if isinstance(source, T.NullType):
         return F.lit(False)
@@ -291,19 +337,20 @@ def is_drift(col: Column, source: T.DataType, value: Column) -> Column:
     if isinstance(source, T.StringType):
         held = held & (col != "")
     if isinstance(source, T.VariantType):
-        text = F.when(F.schema_of_variant(col) == "STRING", F.try_variant_get(col, "$", "string"))
-        held = held & ~F.is_variant_null(col) & F.coalesce(text != "", F.lit(True))
-    return held & value.isNull()
+        parts = parts or Parts.inline(col, source, FieldType.STRING)
+        blank = (parts.kind == "STRING") & (parts.raw == "")
+        held = held & (parts.kind != "VOID") & ~F.coalesce(blank, F.lit(False))
+    return value.isNull() & held
 
 
-def coerced_field(col: Column, source: T.DataType, field: T.StructField) -> Column:
+def coerced_field(col: Column, source: T.DataType, field: T.StructField, parts: Parts | None = None) -> Column:
     """``coerced`` for a declared column; a repeated column is coerced element by element."""
     target = logical_type(field)
     if field_mode(field) is Mode.REPEATED:
         if not isinstance(source, T.ArrayType):
             return _null(field.dataType)
         return F.transform(col, lambda x: coerced(x, source.elementType, target))
-    return coerced(col, source, target)
+    return coerced(col, source, target, parts)
 
 
 def cannot_become(column: str, col: Column, source: T.DataType, target: FieldType) -> Column:

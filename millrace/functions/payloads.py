@@ -66,15 +66,15 @@ def extract_records(df: DataFrame, body: str, path: Sequence[str], keep: Sequenc
     parsed = df.select(*keep, F.parse_json(F.col(body)).alias("__v"))
     value = F.col("__v")
 
-    items = as_list(value, head)
+    # The list itself comes first; only when there is none is the reason looked for.
     missing = get(value, head).isNull() if head else F.lit(False)
-    as_items = F.when(items.isNotNull(), items)
-    as_items = as_items.when(missing, _fail(f"record path {shown}: a step of {'.'.join(head)} was not found")
-                             .cast("array<variant>"))
+    why = F.when(missing, _fail(f"record path {shown}: a step of {'.'.join(head)} was not found")
+                 .cast("array<variant>"))
     if split is None:
-        as_items = as_items.when(_is_null(get(value, head)), F.array().cast("array<variant>"))
-    as_items = as_items.otherwise(_fail(f"record path {shown}: no list at {'.'.join(head) or '<root>'}")
-                                  .cast("array<variant>"))
+        why = why.when(_is_null(get(value, head)), F.array().cast("array<variant>"))
+    why = why.otherwise(_fail(f"record path {shown}: no list at {'.'.join(head) or '<root>'}")
+                        .cast("array<variant>"))
+    as_items = F.coalesce(as_list(value, head), why)
     rows = _rows(parsed, as_items, keep)
     element = F.col(RECORD)
     if split is None:
@@ -83,14 +83,14 @@ def extract_records(df: DataFrame, body: str, path: Sequence[str], keep: Sequenc
         return rows.withColumn(RECORD, checked)
 
     tail = path[split + 1:]
-    inner = get(element, tail)
     on_the_way = [_is_null(get(element, tail[:i])) for i in range(len(tail) + 1)]
-    skipped = reduce(or_, on_the_way)
-    checked = (F.when(skipped, F.lit(None).cast("variant"))
-               .when(is_object(inner), inner)
+    rows = rows.withColumn("__inner", get(element, tail))
+    inner = F.col("__inner")
+    checked = (F.when(is_object(inner), inner)
+               .when(reduce(or_, on_the_way), F.lit(None).cast("variant"))
                .otherwise(_fail(f"record path {shown}: an element has no object at "
                                 f"{'.'.join(tail) or 'its root'}").cast("variant")))
-    return rows.withColumn(RECORD, checked).filter(F.col(RECORD).isNotNull())
+    return rows.select(*keep, checked.alias(RECORD)).filter(F.col(RECORD).isNotNull())
 
 
 def extract_records_lenient(df: DataFrame, body: str, path: Sequence[str],
@@ -126,10 +126,9 @@ def unwrap_data(df: DataFrame, body: str, keep: Sequence[str] = ()) -> DataFrame
     value = F.col("__v")
     empty = F.array().cast("array<variant>")
     data = get(value, ["data"])
-    items = (F.when(as_list(value).isNotNull(), as_list(value))
-             .when(as_list(value, ["data"]).isNotNull(), as_list(value, ["data"]))
-             .when(is_object(value) & (data.isNull() | _is_null(data)), empty)
-             .otherwise(_fail("envelope: no list, bare or under 'data'").cast("array<variant>")))
+    other = F.when(is_object(value) & (data.isNull() | _is_null(data)), empty).otherwise(
+        _fail("envelope: no list, bare or under 'data'").cast("array<variant>"))
+    items = F.coalesce(as_list(value, ["data"]), as_list(value), other)
     return _rows(parsed, items, keep)
 
 
@@ -154,12 +153,12 @@ def unwrap_chunks(df: DataFrame, body: str, keep: Sequence[str] = ()) -> DataFra
 
 
 def pick(fields: Mapping[str, Sequence[str] | str], record: str = RECORD) -> list[Column]:
-    """``{column: path}`` to one VARIANT column per entry; an absent or null leaf is NULL."""
+    """``{column: path}`` to one VARIANT column per entry; an absent leaf is NULL, a null one a
+    variant null, and normalize makes NULL of both."""
     out = []
     for name, path in fields.items():
         steps = path.split(".") if isinstance(path, str) else path
-        leaf = get(F.col(record), steps)
-        out.append(F.when(~F.is_variant_null(leaf), leaf).alias(name))
+        out.append(get(F.col(record), steps).alias(name))
     return out
 
 

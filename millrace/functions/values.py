@@ -63,8 +63,7 @@ def cursor_to_utc(text: Column) -> Column:
 
 def first_ten_to_date(value: Column) -> Column:
     """Date from the first ten characters of a value's text."""
-    head = F.substring(value.cast("string"), 1, 10)
-    return C.coerced(head, T.StringType(), "DATE")
+    return C.coerced(F.substring(value.cast("string"), 1, 10), T.StringType(), "DATE")
 
 
 def sql_timestamp_text(text: Column) -> Column:

@@ -12,6 +12,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
+from . import session
 from .operators.normalize import TYPE_MISMATCH, drift_rows, observe_drift
 from .operators.reports import RUN_SCHEMA
 from .operators.schema import check_strict, evolved, inferred_schema, require, stamped
@@ -111,11 +112,6 @@ class EventLog:
         return path
 
 
-def check_session(spark: SparkSession) -> None:
-    if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "GMT"):
-        raise SpecError("set spark.sql.session.timeZone to UTC: text without an offset is UTC here")
-
-
 def load_frame(spark: SparkSession, root: str, spec: StreamSpec, df: DataFrame | None, *, source: str = "",
                run_id: str = "", run_at: datetime | None = None, state: Mapping[str, Any] | None = None,
                observed: Column | None = None, reached: Any = None, keep_cursor: bool = False,
@@ -126,7 +122,7 @@ def load_frame(spark: SparkSession, root: str, spec: StreamSpec, df: DataFrame |
     observation on the same write.  A stage that is re-run after a lost executor can
     raise the observed counts, never the cursor; ``rows_loaded`` comes from the files.  ``None`` leaves the rows alone and commits only the state.
     """
-    check_session(spark)
+    session.check(spark)
     run_at = run_at or datetime.now(timezone.utc)
     table = TargetTable(spark, root, spec.table)
     pointer = table.pointer()

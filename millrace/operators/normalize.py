@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from ..functions import coerce as C
-from ..spec import Drift, logical_type
+from ..spec import Drift, Mode, field_mode, logical_type
 
 TYPE_MISMATCH = "type_mismatch"
 MISSING_COLUMN = "missing_column"
 NEW_COLUMN = "new_column"
 
 _FLAG = "__drift_"
+_VALUE = "__value_"
 
 
 def _cell(df: DataFrame, name: str) -> Column:
@@ -30,18 +31,23 @@ def missing_columns(df: DataFrame, schema: T.StructType) -> list[str]:
     return [f.name for f in schema.fields if f.name not in df.columns]
 
 
-def _values_and_flags(df: DataFrame, schema: T.StructType) -> dict[str, tuple[Column, Column]]:
-    """For each declared column that is there: (coerced value, drift flag)."""
-    out = {}
-    for field in _present(df, schema):
-        source = df.schema[field.name].dataType
-        value = C.coerced_field(_cell(df, field.name), source, field)
-        out[field.name] = (value, C.is_drift(_cell(df, field.name), source, value))
-    return out
+def _coerce_all(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, dict[str, C.Parts], dict]:
+    """``df`` with the parts of its cells and, next to each declared column, its coerced value.
+
+    Parts, values and flags are three projections: each reads the columns of the one
+    before, so nothing is computed twice.
+    """
+    fields = {f.name: f for f in _present(df, schema)}
+    kinds = {n: df.schema[n].dataType for n in fields}
+    targets = {n: logical_type(f) for n, f in fields.items() if field_mode(f) is not Mode.REPEATED}
+    staged, parts = C.with_parts(df, targets)
+    values = [C.coerced_field(_cell(staged, n), kinds[n], f, parts.get(n)).alias(_VALUE + n)
+              for n, f in fields.items()]
+    return staged.select("*", *values), parts, kinds
 
 
 def drift_counts(df: DataFrame, schema: T.StructType) -> list[Column]:
-    """One ``sum`` per column over the flag columns left by ``normalize(..., flags=True)``."""
+    """One count per flag column left by ``normalize(..., flags=True)``."""
     return [F.count_if(F.col(_FLAG + f.name)).alias(_FLAG + f.name) for f in _present(df, schema)]
 
 
@@ -55,22 +61,23 @@ def normalize(df: DataFrame, schema: T.StructType, policy: str | Drift = Drift.W
     ``flags`` leaves one boolean per declared column for ``drift_counts``.
     """
     policy = Drift.of(policy)
-    cells = _values_and_flags(df, schema)
+    staged, parts, kinds = _coerce_all(df, schema)
     columns, marks = [], []
     for field in schema.fields:
-        if field.name not in cells:
-            columns.append(F.lit(None).cast(field.dataType).alias(field.name, metadata=field.metadata))
+        name = field.name
+        if name not in kinds:
+            columns.append(F.lit(None).cast(field.dataType).alias(name, metadata=field.metadata))
             continue
-        value, drifted = cells[field.name]
+        cell, value = _cell(staged, name), F.col(_VALUE + name)
+        drifted = C.is_drift(cell, kinds[name], value, parts.get(name))
         if policy is Drift.FAIL:
-            source = df.schema[field.name].dataType
-            message = C.cannot_become(field.name, _cell(df, field.name), source, logical_type(field))
+            message = C.cannot_become(name, cell, kinds[name], logical_type(field))
             value = F.when(drifted, F.raise_error(message).cast(field.dataType)).otherwise(value)
-        columns.append(value.alias(field.name, metadata=field.metadata))
+        columns.append(value.alias(name, metadata=field.metadata))
         if flags:
-            marks.append(drifted.alias(_FLAG + field.name))
-    extras = [_cell(df, c) for c in new_columns(df, schema)]
-    return df.select(*columns, *extras, *marks)
+            marks.append(drifted.alias(_FLAG + name))
+    extras = [_cell(staged, c) for c in new_columns(df, schema)]
+    return staged.select(*columns, *extras, *marks)
 
 
 def drop_flags(df: DataFrame) -> DataFrame:
@@ -92,8 +99,10 @@ def drift_report(df: DataFrame, schema: T.StructType) -> DataFrame:
     ``cells`` counts misfits; for a missing or a new column it is the row count.
     One aggregate over the data, then an unpivot of that single row.
     """
-    cells = _values_and_flags(df, schema)
-    marked = df.select(*[flag.alias(name) for name, (_, flag) in cells.items()])
+    staged, parts, kinds = _coerce_all(df, schema)
+    cells = list(kinds)
+    marked = staged.select(*[C.is_drift(_cell(staged, n), kinds[n], F.col(_VALUE + n), parts.get(n)).alias(n)
+                             for n in cells])
     totals = marked.agg(F.count(F.lit(1)).alias("__rows"),
                         *[F.count_if(F.col(f"`{n}`")).alias(n) for n in cells])
     entry = lambda name, kind, n: F.struct(F.lit(name).alias("column_name"), F.lit(kind).alias("kind"),

@@ -79,17 +79,22 @@ def label_measures(df: DataFrame, body: str, pulled_at: datetime, keep: Sequence
     fallback = lambda i: F.concat(F.lit("measure_"), i.cast("string"))
     labels = F.transform(P.as_list(F.col("__v"), ["measures"]),
                          lambda m, i: F.coalesce(text(m, "display_name"), text(m, "name"), fallback(i)))
-    rows = parsed.select(*keep, labels.alias("__labels"),
-                         F.explode(P.as_list(F.col("__v"), ["values"])).alias(P.RECORD))
+    # Its own projection: labels are looked up once per payload, not once per entry.
+    labelled = parsed.select(*keep, "__v", labels.alias("__labels"))
+    rows = labelled.select(*keep, "__labels", F.explode(P.as_list(F.col("__v"), ["values"])).alias(P.RECORD))
     value = lambda step, type: P.get(F.col(P.RECORD), [step], type)
-    index = F.coalesce(value("measure", "bigint"), F.lit(0))
+    entries = rows.select(*keep, "__labels", value("cohort", "bigint").alias("__cohort"),
+                          F.coalesce(value("measure", "bigint"), F.lit(0)).alias("__index"),
+                          value("value", "double").alias("value"),
+                          value("incomplete", "boolean").alias("incomplete"))
+    index = F.col("__index")
     named = F.when(index >= 0, F.try_element_at(F.col("__labels"), (index + 1).cast("int")))
-    return rows.filter(value("cohort", "bigint").isNotNull()).select(
+    return entries.filter("__cohort IS NOT NULL").select(
         *keep,
-        V.seconds_to_date(value("cohort", "bigint")).alias("cohort_date"),
+        V.seconds_to_date(F.col("__cohort")).alias("cohort_date"),
         F.coalesce(named, fallback(index)).alias("measure_name"),
-        value("value", "double").alias("value"),
-        F.coalesce(value("incomplete", "boolean"), F.lit(False)).alias("incomplete"),
+        "value",
+        F.coalesce("incomplete", F.lit(False)).alias("incomplete"),
         F.lit(pulled_at).cast("timestamp").alias("pulled_at"))
 
 

@@ -34,16 +34,12 @@ def _any_case(ending: str) -> str:
     return "".join(f"[{c}{c.upper()}]" for c in ending)
 
 
-def _name_glob(pattern: str, fmt: str) -> str | None:
-    """Glob on file names for one format, or ``None`` when the pattern excludes it."""
+def _name_glob(pattern: str, fmt: str) -> str:
+    """Glob on file names for the files of one format that the pattern admits."""
     name = pattern.rpartition("/")[2]
-    ending = re.search(r"\.([A-Za-z0-9]+)$", name)
-    if ending:
-        return name if format_of(name) == fmt else None
     if not name.endswith("*"):
-        raise SpecError(f"cannot tell the format of {pattern!r}; name it: {', '.join(FORMATS)}")
-    stem = name.rstrip("*").rstrip(".")
-    return f"{stem}*.{{{','.join(_any_case(e) for e in FORMATS[fmt])}}}"
+        return name
+    return f"{name}.{{{','.join(_any_case(e) for e in FORMATS[fmt])}}}"
 
 
 def _folder_regex(path: str, pattern: str) -> str | None:
@@ -79,7 +75,11 @@ class _Listing:
     def only_new(self, df: DataFrame, stamp: bool = True) -> DataFrame:
         """Filters on file metadata: Spark drops the files before it reads them."""
         meta = F.col("_metadata")
-        value = meta["file_modification_time"] if self.cursor == "mtime" else meta["file_name"]
+        value = meta["file_modification_time"]
+        if self.cursor == "name":
+            value = meta["file_name"]
+            if self.path.startswith(("gs://", "s3://", "s3a://")):
+                value = F.regexp_replace(meta["file_path"], "^[a-z0-9]+://[^/]+/", "")
         if self.regex is not None:
             df = df.filter(meta["file_path"].rlike(self.regex))
         if not _is_unset(self.since):
@@ -88,10 +88,9 @@ class _Listing:
         return df.select(*columns, value.alias(FILE_CURSOR)) if stamp else df
 
 
-def _exists(listing: _Listing) -> bool:
-    """Whether any file matches, told from the listing alone (no content is read)."""
-    files = listing.reader().format("binaryFile").load(listing.path)
-    return not listing.only_new(files).select(FILE_CURSOR).limit(1).isEmpty()
+    def files(self) -> DataFrame:
+        """The new files themselves, one row each; their content is not read."""
+        return self.only_new(self.reader().format("binaryFile").load(self.path)).select("path")
 
 
 # Quotes are doubled, never escaped; text after a closing quote is an error that
@@ -101,26 +100,40 @@ _CSV = {"quote": '"', "escape": '"', "emptyValue": "", "enforceSchema": "false",
 _TORN = "__torn"
 
 
-def read_csv(listing: _Listing, delimiter: str = ",", header: bool = True,
-             multiline: bool = True) -> DataFrame:
+def read_csv(listing: _Listing, delimiter: str = ",", header: bool = True, multiline: bool = True,
+             same_header: bool = True) -> DataFrame:
     """All-text rows.  An empty cell is ``""``; a row too short is NULL at its end.
 
     Quoted line breaks force ``multiline``, which reads each file in one task; turn it
-    off for big files without them and Spark splits the files.  Files must share one
-    header: a file with another header is an error, not a silent shift of columns.
+    off for big files without them and Spark splits the files.  With ``same_header`` a
+    file whose header differs is an error, never a silent shift of columns; without it
+    the headers are looked up first, in one more pass over the text.
     """
-    def reader():
-        return listing.reader().options(**_CSV, sep=delimiter, header=str(header).lower(),
-                                        multiLine=str(multiline).lower())
-
-    names = reader().csv(listing.path).columns
-    fields = [T.StructField(n, T.StringType()) for n in [*names, _TORN]]
-    rows = reader().schema(T.StructType(fields)).option("columnNameOfCorruptRecord", _TORN).csv(listing.path)
-    rows = listing.only_new(rows)
-    whole = F.col(_TORN).isNull()
-    cells = [F.when(whole, F.coalesce(F.col(f"`{n}`"), F.lit(""))).otherwise(F.col(f"`{n}`"))
-             .alias(n if header else f"col_{i}") for i, n in enumerate(names)]
-    return rows.select(*cells, FILE_CURSOR)
+    def read(reader, *paths):
+        reader = reader.options(**_CSV, sep=delimiter, header=str(header).lower(), multiLine=str(multiline).lower())
+        names = reader.csv(list(paths)).columns
+        fields = [T.StructField(n, T.StringType()) for n in [*names, _TORN]]
+        rows = reader.schema(T.StructType(fields)).option("columnNameOfCorruptRecord", _TORN).csv(list(paths))
+        whole = F.col(_TORN).isNull()
+        cells = [F.when(whole, F.coalesce(F.col(f"`{n}`"), F.lit(""))).otherwise(F.col(f"`{n}`"))
+                 .alias(n if header else f"col_{i}") for i, n in enumerate(names)]
+        return listing.only_new(rows).select(*cells, FILE_CURSOR)
+
+    if same_header or not header:
+        return read(listing.reader(), listing.path)
+    by_header: dict[str, list[str]] = {}
+    for row in _headers(listing).collect():
+        by_header.setdefault(row["header"], []).append(row["path"])
+    return ragged_union(*[read(listing.spark.read, *paths) for paths in by_header.values()])
+
+
+def _headers(listing: _Listing) -> DataFrame:
+    """``path, header``: the first line of every new file."""
+    lines = listing.only_new(listing.reader().text(listing.path).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+        F.col("_metadata")))
+    first = F.min_by("value", F.monotonically_increasing_id())
+    return lines.filter("start = 0").groupBy("path").agg(first.alias("header"))
 
 
 def read_jsonl(listing: _Listing, schema: T.StructType | None = None) -> DataFrame:
@@ -137,7 +150,8 @@ def read_parquet(listing: _Listing) -> DataFrame:
 
 def read_files(spark: SparkSession, path: str, pattern: str = "**/*.csv", fmt: str = "auto",
                cursor: str = "mtime", since=None, delimiter: str = ",", header: bool = True,
-               multiline: bool = True, json_schema: T.StructType | None = None) -> DataFrame | None:
+               multiline: bool = True, same_header: bool = True,
+               json_schema: T.StructType | None = None) -> DataFrame | None:
     """Rows of the files newer than ``since``, stamped with their file cursor.
 
     ``cursor`` is ``mtime`` (full precision) or ``name``.  ``None`` when no file
@@ -155,43 +169,33 @@ def read_files(spark: SparkSession, path: str, pattern: str = "**/*.csv", fmt: s
         since = utc(since)
     if not list_names(spark, path):
         return None
-    name = pattern.rpartition("/")[2]
-    make = lambda glob: _Listing(spark, path, pattern, cursor, since, glob)
-    if fmt == "auto":
-        _reject_unknown_formats(make(name), name)
     parts = []
-    for f in FORMATS if fmt == "auto" else [fmt]:
-        if f not in FORMATS:
-            raise SpecError(f"unknown format {f!r}; known: {', '.join(FORMATS)}")
-        for glob, sep in _globs(pattern, f, fmt, delimiter):
-            listing = make(glob)
-            if not _exists(listing):
-                continue
-            if f == "csv":
-                parts.append(read_csv(listing, sep, header, multiline))
-            elif f == "jsonl":
-                parts.append(read_jsonl(listing, json_schema))
-            else:
-                parts.append(read_parquet(listing))
+    for f, glob in _globs(spark, path, pattern, fmt, cursor, since):
+        listing = _Listing(spark, path, pattern, cursor, since, glob)
+        if f == "csv":
+            parts.append(read_csv(listing, delimiter, header, multiline, same_header))
+        elif f == "jsonl":
+            parts.append(read_jsonl(listing, json_schema))
+        else:
+            parts.append(read_parquet(listing))
     return ragged_union(*parts) if parts else None
 
 
-def _globs(pattern: str, fmt: str, forced: str, delimiter: str):
-    if forced != "auto":
-        return [(pattern.rpartition("/")[2], delimiter)]
-    glob = _name_glob(pattern, fmt)
-    return [] if glob is None else [(glob, delimiter)]
-
+def _globs(spark, path, pattern, fmt, cursor, since) -> list[tuple[str, str]]:
+    """(format, file name glob) of the new files that are there, from one listing.
 
-def _reject_unknown_formats(listing: _Listing, name: str) -> None:
-    """With a bare ``*`` a file of an unknown kind is an error rather than skipped."""
-    if not name.endswith("*"):
-        return
-    known = "|".join(e for endings in FORMATS.values() for e in endings)
-    files = listing.only_new(listing.reader().format("binaryFile").load(listing.path))
-    strange = files.select("path").filter(~F.lower(F.col("path")).rlike(rf"\.(?:{known})$")).first()
-    if strange is not None:
-        raise SpecError(f"cannot tell the format of {strange['path']!r}; name it: {', '.join(FORMATS)}")
+    A file of an unknown kind is an error unless the format is named.
+    """
+    name = pattern.rpartition("/")[2]
+    files = _Listing(spark, path, pattern, cursor, since, name).files()
+    if fmt != "auto":
+        if fmt not in FORMATS:
+            raise SpecError(f"unknown format {fmt!r}; known: {', '.join(FORMATS)}")
+        return [] if files.isEmpty() else [(fmt, name)]
+    ending = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
+    endings = [r[0] for r in files.select(ending.alias("e")).distinct().collect()]
+    found = {format_of(f"file.{e}") for e in endings}
+    return [(f, _name_glob(pattern, f)) for f in FORMATS if f in found]
 
 
 def observed_file_cursor():

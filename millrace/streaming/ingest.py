@@ -3,10 +3,11 @@ micro-batch is one commit."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..load import load_frame
@@ -49,7 +50,6 @@ def ingest(stream: DataFrame, root: str, spec: StreamSpec, checkpoint: str, *, s
 
 
 def _last_batch(pointer: dict | None, checkpoint: str) -> int | None:
-    import json
     state = (pointer or {}).get("state") or {}
     blob = json.loads(state.get("state_blob") or "{}")
     return blob.get(LAST_BATCH) if blob.get("checkpoint") == checkpoint else None

@@ -6,17 +6,18 @@ import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from millrace.session import tune
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None):
-    """Register ``fn(spark, sf_dir)``; the session zone is UTC while it runs."""
+    """Register ``fn(spark, sf_dir)``; the session is tuned first."""
     def register(fn):
         @functools.wraps(fn)
         def call(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return fn(spark, sf_dir)
+            return fn(tune(spark), sf_dir)
 
         if name in QUERIES:
             raise ValueError(f"query {name!r} is registered twice")

@@ -108,9 +108,11 @@ def _twin(key: str, source: str, raw: str, value: str, shown: str = "v") -> str:
 
 def _coerced(spark, sf, source, keys, raw, target, show=lambda v: v):
     cells = table(spark, sf, source).selectExpr(*keys, f"{raw} AS raw")
-    value = C.coerced(F.col("raw"), T.StringType(), target)
-    return cells.select(*keys, "raw", value.alias("v"), C.is_drift(F.col("raw"), T.StringType(), value)
-                        .alias("drift")).select(*keys, "raw", show(F.col("v")).alias("value"), "drift")
+    text = T.StringType()
+    cells, parts = C.with_parts(cells, {"raw": target})
+    valued = cells.select("*", C.coerced(F.col("raw"), text, target, parts["raw"]).alias("v"))
+    return valued.select(*keys, "raw", show(F.col("v")).alias("value"),
+                         C.is_drift(F.col("raw"), text, F.col("v")).alias("drift"))
 
 
 _LINE = ["l_orderkey", "l_linenumber"]
