@@ -131,9 +131,8 @@ def _headers(listing: _Listing) -> DataFrame:
     """``path, header``: the first line of every new file."""
     lines = listing.only_new(listing.reader().text(listing.path).select(
         "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
-        F.col("_metadata")))
-    first = F.min_by("value", F.monotonically_increasing_id())
-    return lines.filter("start = 0").groupBy("path").agg(first.alias("header"))
+        F.monotonically_increasing_id().alias("line"), F.col("_metadata")))
+    return lines.filter("start = 0").groupBy("path").agg(F.min_by("value", "line").alias("header"))
 
 
 def read_jsonl(listing: _Listing, schema: T.StructType | None = None) -> DataFrame:
