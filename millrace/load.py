@@ -23,6 +23,7 @@ from .spec import (Contract, Disposition, Incremental, PartitionSpec, RunMode, S
                    cursor_to_json, typed_cursor)
 
 RUNS_TABLE = "_runs"
+SEEN = "cursor_seen"
 
 
 @dataclass
@@ -114,13 +115,15 @@ class EventLog:
 
 def load_frame(spark: SparkSession, root: str, spec: StreamSpec, df: DataFrame | None, *, source: str = "",
                run_id: str = "", run_at: datetime | None = None, state: Mapping[str, Any] | None = None,
-               observed: Column | None = None, reached: Any = None, keep_cursor: bool = False,
-               seed: Any = None, partition: Any = None) -> StreamResult:
+               observed: Column | None = None, reached: Any = None, write_state: bool = True,
+               advance: bool = True, seed: Any = None, partition: Any = None) -> StreamResult:
     """Load one DataFrame as one commit of a stream's table.
 
     Rows are read once: drift, extracted rows and the highest cursor come from an
     observation on the same write.  A stage that is re-run after a lost executor can
-    raise the observed counts, never the cursor; ``rows_loaded`` comes from the files.  ``None`` leaves the rows alone and commits only the state.
+    raise the observed counts, never the cursor; ``rows_loaded`` comes from the files.
+    ``advance=False`` leaves the cursor where it is and only remembers the highest value
+    seen (see ``settle``); ``write_state=False`` leaves the whole state row as it is.  ``None`` leaves the rows alone and commits only the state.
     """
     session.check(spark)
     run_at = run_at or datetime.now(timezone.utc)
@@ -168,17 +171,22 @@ def load_frame(spark: SparkSession, root: str, spec: StreamSpec, df: DataFrame |
             result.drift = drift_rows(before.get, raw, declared)
         seen = reached if reached is not None else (before.get.get("__cursor") if df is not None else None)
         committed = prior.get("cursor_value")
-        if inc is not None and not keep_cursor:
+        blob = dict(state if state is not None else json.loads(prior.get("state_blob") or "{}"))
+        if inc is None:
+            result.cursor_after = None
+        elif write_state and advance:
             result.cursor_after = inc.advance(seen if seen is not None else seed, committed)
         else:
-            result.cursor_after = typed_cursor(committed, inc.type) if inc is not None else None
-        if keep_cursor and inc is not None:
+            result.cursor_after = typed_cursor(committed, inc.type)
+            if write_state:
+                earlier = json.loads(prior.get("state_blob") or "{}").get(SEEN)
+                blob[SEEN] = cursor_to_json(inc.advance(seen, earlier))
+        if not write_state:
             return prior or None
         return {"connector": source, "stream": spec.name,
                 "cursor_value": _text(cursor_to_json(result.cursor_after)),
                 "cursor_type": inc.type.value if inc else None,
-                "state_blob": json.dumps(dict(state if state is not None else
-                                              json.loads(prior.get("state_blob") or "{}"))),
+                "state_blob": json.dumps(blob),
                 "last_run_id": run_id,
                 "rows_total": int(prior.get("rows_total") or 0) + result.rows_loaded,
                 "updated_at": run_at.isoformat()}
@@ -192,6 +200,18 @@ def load_frame(spark: SparkSession, root: str, spec: StreamSpec, df: DataFrame |
     return result
 
 
+def settle(spark: SparkSession, root: str, spec: StreamSpec) -> Any:
+    """Commit the cursor an unordered stream has seen, now that all of it has landed."""
+    table = TargetTable(spark, root, spec.table)
+    state = (table.pointer() or {}).get("state") or {}
+    blob = json.loads(state.get("state_blob") or "{}")
+    if SEEN not in blob:
+        return typed_cursor(state.get("cursor_value"), spec.incremental.type)
+    cursor = spec.incremental.advance(blob.pop(SEEN), state.get("cursor_value"))
+    table.update_state({"cursor_value": _text(cursor_to_json(cursor)), "state_blob": json.dumps(blob)})
+    return cursor
+
+
 def _text(value: Any) -> str | None:
     return None if value is None else str(value)
 
@@ -223,7 +243,7 @@ def run_stream(spark: SparkSession, root: str, one: Stream, *, source: str = "",
     df = one.read(spark, context)
     result = load_frame(spark, root, spec, df, source=source, run_id=run_id, run_at=run_at,
                         state=context.state, observed=context.observed, reached=context.reached,
-                        keep_cursor=refresh and inc is not None, seed=seed, partition=partition)
+                        write_state=not (refresh and inc is not None), seed=seed, partition=partition)
     if log:
         for name, kind, cells in result.drift:
             log.emit("schema_drift", stream=spec.name, column=name, kind=kind, cells=cells)

@@ -25,7 +25,7 @@ from ..operators.partitioning import (PART, check_same_partition, partition_foll
                                       spread)
 from ..operators.schema import aligned, evolved
 from ..operators.upsert import merge
-from ..spec import Mode, PartitionSpec, check_name, field_mode, with_synced_at
+from ..spec import Mode, PartitionSpec, check_name, field_mode, utc, with_synced_at
 
 COMMIT = "_commit"
 
@@ -52,6 +52,13 @@ class TargetTable:
             raise ValueError(f"table {self.name!r} has no version {version}")
         return json.loads(files.read_text(self.spark, f"{self.home}/log/{version:012d}.json"))
 
+    def version_at(self, moment: datetime) -> int:
+        """The version that was current at a moment."""
+        for version in reversed(self.versions()):
+            if datetime.fromisoformat(self.pointer(version)["committed_at"]) <= utc(moment):
+                return version
+        raise ValueError(f"table {self.name!r} did not exist at {moment}")
+
     def read(self, version: int | None = None, parts: Iterable[str] | None = None) -> DataFrame:
         """The table, as of a version if given, limited to some partition values if given."""
         pointer = self.pointer(version)
@@ -148,6 +155,12 @@ class TargetTable:
         self._publish(pointer)
         return pointer
 
+    def update_state(self, change: dict[str, Any]) -> None:
+        """Publish the same rows with a changed state row."""
+        before = self.pointer()
+        self._publish({**before, "state": {**(before.get("state") or {}), **change},
+                       "version": before["version"] + 1})
+
     def reset_state(self) -> bool:
         """Forget the state, keep the rows; whether there was any."""
         before = self.pointer()
@@ -194,6 +207,17 @@ def tables(spark: SparkSession, root: str) -> list[str]:
     return [n for n in files.list_names(spark, root) if files.list_names(spark, f"{root}/{n}/log")]
 
 
+def reset_state(spark: SparkSession, root: str, connector: str, stream: str | None = None) -> int:
+    """Forget the state of a source, or of one of its streams; how many rows that was."""
+    count = 0
+    for name in tables(spark, root):
+        table = TargetTable(spark, root, name)
+        state = table.pointer().get("state") or {}
+        if state.get("connector") == connector and stream in (None, state.get("stream")):
+            count += table.reset_state()
+    return count
+
+
 def read_state(spark: SparkSession, root: str, connector: str | None = None) -> DataFrame:
     """The state rows published with the tables under ``root``, as a DataFrame."""
     from ..operators.state import STATE_SCHEMA, list_state

@@ -32,9 +32,12 @@ def ingest(stream: DataFrame, root: str, spec: StreamSpec, checkpoint: str, *, s
     """Start a query that loads each micro-batch by the stream's disposition.
 
     A replayed micro-batch is recognised by the batch number published with the
-    rows, so each is applied once.  The cursor of an unordered stream only moves
-    with its rows, never ahead of them.
+    rows, so each is applied once.  The cursor of a stream declared ``ordered`` moves
+    with every micro-batch; any other stream may still bring older rows, so its cursor
+    waits for ``load.settle`` at the end.
     """
+    ordered = spec.incremental is None or spec.incremental.ordered
+
     def apply(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         pointer = TargetTable(spark, root, spec.table).pointer()
@@ -43,7 +46,7 @@ def ingest(stream: DataFrame, root: str, spec: StreamSpec, checkpoint: str, *, s
             return
         rows = shape(batch) if shape else batch
         load_frame(spark, root, spec, rows, source=source, run_id=f"{checkpoint}#{number}",
-                   state={LAST_BATCH: number, "checkpoint": checkpoint})
+                   state={LAST_BATCH: number, "checkpoint": checkpoint}, advance=ordered)
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

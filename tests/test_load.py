@@ -6,12 +6,13 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.load import Context, Stream, load_frame, read_runs, run, run_stream, stream
+from millrace.load import Context, Stream, load_frame, read_runs, run, run_stream, settle, stream
 from millrace.operators import reports as R
 from millrace.operators.partitioning import PartitionMismatch
 from millrace.operators.schema import SchemaError
 from millrace.sinks import files
-from millrace.sinks.tables import TargetTable, read_state
+from millrace.sinks.tables import TargetTable, read_state, reset_state
+from millrace.sources.bootstrap import read_with_bootstrap
 from millrace.sources.tables import all_text, jdbc_options, read_query, read_sql, read_table
 from millrace.spec import Incremental, SpecError, StreamSpec, table_schema
 from millrace.streaming.ingest import file_stream, ingest
@@ -230,3 +231,49 @@ def test_stream_is_applied_once_per_batch(spark, root, tmp_path):
     assert rows(root, spark) == [(1, "a", 1), (2, "b", 2)]
     pointer = TargetTable(spark, root, "items").pointer()
     assert json.loads(pointer["state"]["state_blob"])["last_batch"] == 1
+
+
+def test_unordered_stream_waits_for_the_end(spark, root, tmp_path):
+    landing, schema = str(tmp_path / "in"), items(spark, (0, "", 0)).schema
+    for ordered, name in ((False, "late"), (True, "early")):
+        spec = StreamSpec(name, schema=ITEMS, incremental=Incremental("updated_at", "int", ordered=ordered))
+        for batch in ((1, "a", 9), (2, "b", 4)):
+            items(spark, batch).write.mode("append").parquet(f"{landing}/{name}")
+            ingest(file_stream(spark, f"{landing}/{name}", schema), root, spec, str(tmp_path / name)).awaitTermination()
+        state = read_state(spark, root).filter(F.col("stream") == name).first()
+        assert state.cursor_value == ("9" if ordered else None) and state.rows_total == 2
+        assert settle(spark, root, spec) == 9
+        assert read_state(spark, root).filter(F.col("stream") == name).first().cursor_value == "9"
+
+
+def test_bootstrap_then_steady_state(spark, root):
+    """Pages of two, two pages a run: pauses at key 4, completes, hands over the global max."""
+    cells = [(1, "a", 50), (2, "b", 20), (3, "c", 30), (4, "d", 40), (5, "e", 10)]
+    source = {"rows": items(spark, *cells)}
+    one = Stream(MERGED, lambda s, ctx: read_with_bootstrap(ctx, source["rows"], ["id"], page_rows=2, max_pages=2))
+    blob = lambda: json.loads(read_state(spark, root).first().state_blob)
+    assert run_stream(spark, root, one).rows_loaded == 4
+    assert blob() == {"bootstrapped": False, "bootstrap_last_pk": [4], "bootstrap_cursor_max": 50}
+    done = run_stream(spark, root, one)
+    assert done.rows_loaded == 1 and done.cursor_after == 50 and blob()["bootstrapped"]
+    source["rows"] = items(spark, *cells, (6, "f", 60))
+    assert run_stream(spark, root, one).rows_loaded == 1
+    assert len(rows(root, spark)) == 6
+
+
+def test_reset_of_a_source_counts_its_streams(spark, root):
+    for name, source in (("a", "x"), ("b", "x"), ("c", "y")):
+        load_frame(spark, root, StreamSpec(name, schema=ITEMS), items(spark, (1, "a", 1)), source=source)
+    assert reset_state(spark, root, "x", "a") == 1 and reset_state(spark, root, "x") == 1
+    assert [r.stream for r in read_state(spark, root).collect()] == ["c"]
+
+
+def test_as_of_a_moment(spark, root):
+    spec = StreamSpec("items", schema=ITEMS)
+    load_frame(spark, root, spec, items(spark, (1, "a", 1)))
+    between = datetime.now(timezone.utc)
+    load_frame(spark, root, spec, items(spark, (2, "b", 2)))
+    table = TargetTable(spark, root, "items")
+    assert table.version_at(between) == 0 and table.version_at(datetime.now(timezone.utc)) == 1
+    with pytest.raises(ValueError):
+        table.version_at(datetime(2000, 1, 1))
