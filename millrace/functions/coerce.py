@@ -66,8 +66,8 @@ def double_text(col: Column) -> Column:
     x = col.cast("double")
     size = F.abs(x)
     java = x.cast("string")
-    fixed = F.regexp_replace(x.cast("decimal(38,21)").cast("string"), r"(\.[0-9]*?)0+$", "$1")
-    fixed = F.when(fixed.endswith("."), F.concat(fixed, F.lit("0"))).otherwise(fixed)
+    # Trailing zeros go, one digit after the point stays.
+    fixed = F.regexp_replace(x.cast("decimal(38,21)").cast("string"), r"(\.[0-9]*[1-9])0+$|(\.0)0*$", "$1$2")
     mantissa = F.regexp_replace(F.substring_index(java, "E", 1), r"\.0$", "")
     power = F.substring_index(java, "E", -1)
     digits = F.regexp_replace(power, "^-", "")
@@ -253,6 +253,9 @@ _RULES = {
 
 
 VERBATIM = (FieldType.STRING, FieldType.JSON)
+# A number's rules give the same answer for a variant cell and for the text of that cell
+# (a boolean's text is no number either), so these need no kind.
+BY_TEXT = (FieldType.INTEGER, FieldType.FLOAT)
 
 
 @dataclass(frozen=True)
@@ -269,7 +272,7 @@ class Parts:
     def inline(cls, col: Column, source: T.DataType, target: FieldType) -> "Parts":
         if isinstance(source, T.VariantType):
             raw = F.try_variant_get(col, "$", "string")
-            return cls(trimmed(raw), F.schema_of_variant(col), raw)
+            return cls(trimmed(raw), None if target in BY_TEXT else F.schema_of_variant(col), raw)
         return cls(trimmed(col)) if isinstance(source, T.StringType) else cls()
 
 
@@ -288,6 +291,8 @@ def _of_variant(col: Column, parts: Parts, target: FieldType) -> Column:
     kind = parts.kind
     get = lambda t: F.try_variant_get(col, "$", t)
     rule = _RULES[target]
+    if kind is None:
+        return rule(parts.text, T.StringType())
     out = F.when(kind == "STRING", _of_text(parts.raw, parts.text, target))
     out = out.when(kind == "BIGINT", rule(get("bigint"), T.LongType()))
     out = out.when((kind == "DOUBLE") | kind.startswith("DECIMAL"), rule(get("double"), T.DoubleType()))
@@ -316,16 +321,18 @@ def with_parts(df: DataFrame, targets: Mapping[str, FieldType]) -> tuple[DataFra
     cell = lambda n: F.col(f"`{n}`")
     name = lambda what, n: f"__{what}_{n}"
     variants = [n for n in targets if isinstance(kinds[n], T.VariantType)]
+    kinded = [n for n in variants if targets[n] not in BY_TEXT]
     texts = [n for n, t in targets.items() if isinstance(kinds[n], T.StringType) and t not in VERBATIM]
     if variants:
-        df = df.select("*", *[F.schema_of_variant(cell(n)).alias(name("kind", n)) for n in variants])
-        df = df.select("*", *[F.when(F.col(name("kind", n)) == "STRING", F.try_variant_get(cell(n), "$", "string"))
+        df = df.select("*", *[F.schema_of_variant(cell(n)).alias(name("kind", n)) for n in kinded])
+        text_of = lambda n: F.try_variant_get(cell(n), "$", "string")
+        df = df.select("*", *[(F.when(cell(name("kind", n)) == "STRING", text_of(n)) if n in kinded else text_of(n))
                               .alias(name("raw", n)) for n in variants])
     trims = {n: cell(n) for n in texts} | {n: cell(name("raw", n)) for n in variants if targets[n] not in VERBATIM}
     if trims:
         df = df.select("*", *[trimmed(c).alias(name("text", n)) for n, c in trims.items()])
     at = lambda what, n, there: cell(name(what, n)) if there else None
-    return df, {n: Parts(at("text", n, n in trims), at("kind", n, n in variants), at("raw", n, n in variants))
+    return df, {n: Parts(at("text", n, n in trims), at("kind", n, n in kinded), at("raw", n, n in variants))
                 for n in targets if n in trims or n in variants}
 
 
@@ -337,9 +344,8 @@ def is_drift(col: Column, source: T.DataType, value: Column, parts: Parts | None
     if isinstance(source, T.StringType):
         held = held & (col != "")
     if isinstance(source, T.VariantType):
-        parts = parts or Parts.inline(col, source, FieldType.STRING)
-        blank = (parts.kind == "STRING") & (parts.raw == "")
-        held = held & (parts.kind != "VOID") & ~F.coalesce(blank, F.lit(False))
+        raw = parts.raw if parts else F.try_variant_get(col, "$", "string")
+        held = held & ~F.is_variant_null(col) & F.coalesce(raw != "", F.lit(True))
     return value.isNull() & held
 
 

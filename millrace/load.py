@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from . import session
@@ -163,13 +164,15 @@ def load_frame(spark: SparkSession, root: str, spec: StreamSpec, df: DataFrame |
             df = df.drop(*[c for c in absent if c in present])
 
     def new_state(loaded: int) -> dict[str, Any] | None:
+        seen = reached
         if df is not None:
             merging = spec.disposition is Disposition.MERGE
+            measured = _measured(before)
             result.rows_loaded = loaded
-            result.rows_extracted = before.get["rows"] if merging else loaded
-            result.null_key_rows = after.get["nulls"] if merging else 0
-            result.drift = drift_rows(before.get, raw, declared)
-        seen = reached if reached is not None else (before.get.get("__cursor") if df is not None else None)
+            result.rows_extracted = measured.get("rows", 0) if merging else loaded
+            result.null_key_rows = _measured(after).get("nulls", 0) if merging else 0
+            result.drift = drift_rows(measured, raw, declared)
+            seen = reached if reached is not None else measured.get("__cursor")
         committed = prior.get("cursor_value")
         blob = dict(state if state is not None else json.loads(prior.get("state_blob") or "{}"))
         if inc is None:
@@ -200,6 +203,14 @@ def load_frame(spark: SparkSession, root: str, spec: StreamSpec, df: DataFrame |
     return result
 
 
+def _measured(observation: Observation) -> dict[str, Any]:
+    """What an observation saw; nothing where Spark dropped it from a plan without rows."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return {}
+
+
 def settle(spark: SparkSession, root: str, spec: StreamSpec) -> Any:
     """Commit the cursor an unordered stream has seen, now that all of it has landed."""
     table = TargetTable(spark, root, spec.table)

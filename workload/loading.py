@@ -1,5 +1,6 @@
 """Dispositions, dedupe, merge, partitioning, atomic commits, the streaming form."""
 
+import json
 from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from millrace.operators import partitioning as P, upsert as U
 from millrace.operators.schema import stamped
 from millrace.sinks.files import scratch
 from millrace.sinks.tables import TargetTable, read_state
+from millrace.sources.bootstrap import read_with_bootstrap
 from millrace.sources.tables import all_text, read_table
 from millrace.spec import SYNCED_AT, Incremental, PartitionSpec, StreamSpec, table_schema
 from millrace.streaming.ingest import file_stream, ingest
@@ -279,6 +281,30 @@ def snapshot_resume(spark, sf):
     return out
 
 
+@query("bootstrap_load", f"""
+    WITH n AS (SELECT COUNT(*) AS n, {sql_stamp('MAX(o_orderdate)')} AS mx FROM orders),
+         p AS (SELECT {sql_stamp('MAX(o_orderdate)')} AS mx FROM
+               (SELECT o_orderdate, ROW_NUMBER() OVER (ORDER BY o_orderkey) AS r FROM orders) t, n WHERE r <= (n + 1) // 2)
+    SELECT 'paused' AS run, (n + 1) // 2 AS rows, p.mx AS cursor_max, FALSE AS bootstrapped FROM n, p
+    UNION ALL SELECT 'completed', n, mx, TRUE FROM n UNION ALL SELECT 'steady', n, mx, TRUE FROM n""")
+def bootstrap_load(spark, sf):
+    """A table synced in key order over two runs, then by cursor: rows landed so far and
+    the cursor each run leaves behind."""
+    root, orders = scratch(spark, "bootstrap"), table(spark, sf, "orders").drop("o_orderpriority")
+    spec = StreamSpec("orders", key="o_orderkey", disposition="merge", schema=ORDERS, buckets=8, partition="none",
+                      incremental=Incremental("o_orderdate", "timestamp"))
+    page = -(-orders.count() // 2)
+    stream = Stream(spec, lambda _, ctx: read_with_bootstrap(ctx, orders, ["o_orderkey"], page, max_pages=1))
+    target, out = TargetTable(spark, root, "orders"), None
+    for label in ("paused", "completed", "steady"):
+        cursor = run_stream(spark, root, stream, run_at=_RUN_AT).cursor_after
+        blob = json.loads(target.pointer()["state"]["state_blob"])
+        one = target.read(target.versions()[-1]).agg(F.lit(label).alias("run"), F.count(F.lit(1)).alias("rows")).select(
+            "run", "rows", stamp(F.lit(cursor)).alias("cursor_max"), F.lit(blob["bootstrapped"]).alias("bootstrapped"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("committed_state", """
     SELECT 'shop' AS connector, o_orderstatus AS stream, COUNT(*) AS rows_total,
            strftime(MAX(o_orderdate), '%Y-%m-%dT%H:%M:%S+00:00') AS cursor_value

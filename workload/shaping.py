@@ -99,7 +99,7 @@ def _customers(spark, sf):
 @query("customer_records", f"""
     SELECT 'c' || c_custkey AS id, {sql_stamp('make_timestamp((c_custkey * 86400000 + 1500) * 1000)')} AS first_seen_at,
            CASE WHEN c_acctbal > 0 THEN {sql_stamp('make_timestamp((c_custkey * 86400000 + 1501) * 1000)')} END
-               AS last_seen_at, NULL AS last_seen_app_version, NULL AS last_seen_country,
+               AS last_seen_at, CAST(NULL AS VARCHAR) AS last_seen_app_version, CAST(NULL AS VARCHAR) AS last_seen_country,
            c_mktsegment AS last_seen_platform FROM customer""")
 def customer_records(spark, sf):
     rows = S.customer_record(_customers(spark, sf))
@@ -111,10 +111,12 @@ def customer_records(spark, sf):
            CASE WHEN c_acctbal > 0 THEN {sql_stamp('make_timestamp((c_custkey * 86400000 + 1501) * 1000)')} END
                AS customer_last_seen_at,
            o_orderpriority AS product_id, o_orderstatus AS status, o_orderstatus = 'O' AS gives_access,
-           NULL AS auto_renewal_status, 'web' AS store, NULL AS store_subscription_identifier,
-           {sql_stamp('o_orderdate')} AS current_period_starts_at, NULL AS current_period_ends_at,
+           CAST(NULL AS VARCHAR) AS auto_renewal_status, 'web' AS store,
+           CAST(NULL AS VARCHAR) AS store_subscription_identifier,
+           {sql_stamp('o_orderdate')} AS current_period_starts_at,
+           CAST(NULL AS VARCHAR) AS current_period_ends_at,
            CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS total_revenue_gross_usd,
-           NULL AS total_revenue_proceeds_usd
+           CAST(NULL AS DOUBLE) AS total_revenue_proceeds_usd
     FROM orders JOIN customer ON o_custkey = c_custkey""")
 def parent_child(spark, sf):
     """Children landed per parent: the parent's id fills in, its last-seen time rides along."""

@@ -83,7 +83,7 @@ def run_show(spark, sf):
     WITH r AS (SELECT o_orderkey, o_orderdate, o_orderpriority, o_orderstatus, UNNEST(['a', 'b']) AS name,
                       UNNEST([o_custkey, o_orderkey]) AS n FROM orders)
     SELECT 'run-' || o_orderkey AS run_id, {sql_stamp('o_orderdate')} AS started_at, name, n AS rows_extracted,
-           n - 1 AS rows_loaded, NULL AS cursor_before, o_orderpriority AS cursor_after,
+           n - 1 AS rows_loaded, CAST(NULL AS VARCHAR) AS cursor_before, o_orderpriority AS cursor_after,
            CASE WHEN o_orderstatus = 'F' THEN 'succeeded' ELSE 'failed' END AS status FROM r""")
 def runs_streams(spark, sf):
     return R.run_streams(_runs(spark, sf)).withColumn("started_at", stamp("started_at"))
