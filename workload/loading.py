@@ -284,8 +284,8 @@ def snapshot_resume(spark, sf):
 @query("bootstrap_load", f"""
     WITH n AS (SELECT COUNT(*) AS n, {sql_stamp('MAX(o_orderdate)')} AS mx FROM orders),
          p AS (SELECT {sql_stamp('MAX(o_orderdate)')} AS mx FROM
-               (SELECT o_orderdate, ROW_NUMBER() OVER (ORDER BY o_orderkey) AS r FROM orders) t, n WHERE r <= (n + 1) // 2)
-    SELECT 'paused' AS run, (n + 1) // 2 AS rows, p.mx AS cursor_max, FALSE AS bootstrapped FROM n, p
+               (SELECT o_orderdate, ROW_NUMBER() OVER (ORDER BY o_orderkey) AS r FROM orders) t, n WHERE r <= n // 2 + 1)
+    SELECT 'paused' AS run, n // 2 + 1 AS rows, p.mx AS cursor_max, FALSE AS bootstrapped FROM n, p
     UNION ALL SELECT 'completed', n, mx, TRUE FROM n UNION ALL SELECT 'steady', n, mx, TRUE FROM n""")
 def bootstrap_load(spark, sf):
     """A table synced in key order over two runs, then by cursor: rows landed so far and
@@ -293,7 +293,7 @@ def bootstrap_load(spark, sf):
     root, orders = scratch(spark, "bootstrap"), table(spark, sf, "orders").drop("o_orderpriority")
     spec = StreamSpec("orders", key="o_orderkey", disposition="merge", schema=ORDERS, buckets=8, partition="none",
                       incremental=Incremental("o_orderdate", "timestamp"))
-    page = -(-orders.count() // 2)
+    page = orders.count() // 2 + 1
     stream = Stream(spec, lambda _, ctx: read_with_bootstrap(ctx, orders, ["o_orderkey"], page, max_pages=1))
     target, out = TargetTable(spark, root, "orders"), None
     for label in ("paused", "completed", "steady"):
