@@ -50,7 +50,7 @@ def partition_value(spec: PartitionSpec | None, key: tuple[str, ...] = (), bucke
     return F.when(value.isNull(), F.lit(NULL_PART)).otherwise(F.coalesce(bucket, F.lit(OUTSIDE)))
 
 
-def partition_follows_key(spec: PartitionSpec | None, key: tuple[str, ...], buckets: int = 0) -> bool:
+def partition_follows_key(spec: PartitionSpec | None, key: tuple[str, ...]) -> bool:
     """Whether equal keys always share a partition value."""
     if spec is None or spec.kind is PartitionKind.NONE:
         return True

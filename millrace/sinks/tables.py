@@ -18,7 +18,7 @@ from collections.abc import Iterable
 from datetime import datetime, timezone
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from . import files
 from ..operators.partitioning import (PART, check_same_partition, partition_follows_key, partition_value,
@@ -105,49 +105,26 @@ class TargetTable:
         measured).  ``df`` is computed once.  The row count is read from the footers of
         the written files, so a re-run task cannot inflate it.
         """
-        before = self.pointer()
-        commit_id, stage, loaded = uuid.uuid4().hex, None, 0
+        if how not in ("append", "replace", "merge"):
+            raise ValueError(f"unknown disposition {how!r}")
+        before, commit_id, loaded = self.pointer(), uuid.uuid4().hex, 0
         spec = partition.to_json() if partition is not None else None
-        pointer = {"parts": {}, "sizes": {}, "schema": with_synced_at(T.StructType()).jsonValue(),
-                   "partition": spec, "buckets": buckets, "key": list(key)}
-        if before is not None:
-            if df is not None:
-                check_same_partition(before["partition"], spec, self.name)
-            pointer = {**before}
-            buckets = before["buckets"]
+        pointer = dict(before) if before is not None else {
+            "version": -1, "parts": {}, "sizes": {}, "schema": with_synced_at(T.StructType()).jsonValue(),
+            "partition": spec, "buckets": buckets, "key": list(key)}
         if df is not None:
-            schema = with_synced_at(df.schema)
-            if before is not None:
-                schema = evolved(self._schema(before), schema)
-            pointer["schema"] = schema.jsonValue()
-            placed = lambda d: d.withColumn(PART, partition_value(partition, key, buckets))
+            check_same_partition(pointer["partition"], spec, self.name)
+            schema = evolved(self._schema(pointer), df.schema) if before else with_synced_at(df.schema)
+            value = partition_value(partition, key, pointer["buckets"])
             if how == "merge" and pointer["parts"]:
-                stage = f"{self.home}/stage/{commit_id}"
-                spread(placed(self._with_part_column(df, schema, partition))).write.partitionBy(PART).parquet(stage)
-                touched = self._names(stage)
-                staged = self._staged(stage, df.schema)
-                if not partition_follows_key(partition, key, buckets):
-                    touched |= self._parts_of_keys(before, staged, key)
-                base = self._rows(before, sorted(touched)).drop(PART)
-                may_be_null = any(field_mode(schema[k]) is not Mode.REQUIRED for k in key)
-                full = aligned(merge(base, staged, key, null_keys=may_be_null), schema)
-                pointer["parts"] = {p: c for p, c in pointer["parts"].items() if p not in touched}
+                loaded = self._merge(pointer, df, schema, partition, key, value, commit_id)
             else:
-                full = aligned(df, schema)
-                if how == "replace":
-                    pointer["parts"] = {}
-                elif how not in ("append", "merge"):
-                    raise ValueError(f"unknown disposition {how!r}")
-            written = self._write(placed(full), commit_id)
-            loaded = self._count(stage or f"{self.home}/data/{COMMIT}={commit_id}")
-            for p in written:
-                pointer["parts"] = {**pointer["parts"], p: [*pointer["parts"].get(p, []), commit_id]}
-            live = {c for commits in pointer["parts"].values() for c in commits}
-            sizes = {**pointer["sizes"], commit_id: len(written)}
-            pointer["sizes"] = {c: n for c, n in sizes.items() if c in live}
-            if stage is not None:
-                files.delete(self.spark, stage)
-        pointer["version"] = before["version"] + 1 if before else 0
+                parts = {} if how == "replace" else pointer["parts"]
+                written = self._write(aligned(df, schema).withColumn(PART, value), commit_id)
+                loaded = self._count(f"{self.home}/data/{COMMIT}={commit_id}")
+                self._adopt(pointer, parts, commit_id, written)
+            pointer["schema"] = schema.jsonValue()
+        pointer["version"] += 1
         pointer["commit"], pointer["run_id"] = commit_id, run_id
         pointer["committed_at"] = datetime.now(timezone.utc).isoformat()
         if state is not None:
@@ -155,6 +132,36 @@ class TargetTable:
         self._publish(pointer)
         return pointer
 
+    def _merge(self, pointer: dict, df: DataFrame, schema: T.StructType, partition: PartitionSpec | None,
+               key: tuple[str, ...], value: Column, commit_id: str) -> int:
+        """Stage the batch, rewrite the partitions it touches, drop the stage; the batch's
+        row count.  The stage stays behind when the merge fails."""
+        stage = f"{self.home}/stage/{commit_id}"
+        placed = self._with_part_column(df, schema, partition).withColumn(PART, value)
+        spread(placed).write.partitionBy(PART).parquet(stage)
+        touched = self._names(stage)
+        loaded = self._count(stage)
+        if touched:
+            staged = self._staged(stage, df.schema)
+            if not partition_follows_key(partition, key):
+                touched |= self._parts_of_keys(pointer, staged, key)
+            base = self._rows(pointer, sorted(touched)).drop(PART)
+            may_be_null = any(field_mode(schema[k]) is not Mode.REQUIRED for k in key)
+            merged = aligned(merge(base, staged, key, null_keys=may_be_null), schema)
+            written = self._write(merged.withColumn(PART, value), commit_id)
+            kept = {p: c for p, c in pointer["parts"].items() if p not in touched}
+            self._adopt(pointer, kept, commit_id, written)
+        files.delete(self.spark, stage)
+        return loaded
+
+    def _adopt(self, pointer: dict, parts: dict[str, list[str]], commit_id: str, written: set[str]) -> None:
+        """Add a commit's partitions to the live ones; commits without any are forgotten."""
+        added = {p: [*parts.get(p, []), commit_id] for p in written}
+        pointer["parts"] = {**parts, **added}
+        live = {c for commits in pointer["parts"].values() for c in commits}
+        sizes = {**pointer["sizes"], commit_id: len(written)}
+        pointer["sizes"] = {c: n for c, n in sizes.items() if c in live}
+
     def update_state(self, change: dict[str, Any]) -> None:
         """Publish the same rows with a changed state row."""
         before = self.pointer()
