@@ -36,6 +36,7 @@ _INFINITY = r"^[+-]?inf(?:inity)?$"
 _NAN = r"^[+-]?nan$"
 _EPOCH = r"^(?:-?[0-9]+|[+-]?[0-9]+\.[0-9]+)$"
 _ZONE = r"(?:Z|[+-][0-9]{2}(?::?[0-9]{2}(?::?[0-9]{2})?)?)$"
+_EDGE_DAY = r"^(?:0001-?01-?01|9999-?12-?31)"
 _COMMON_TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]{1,9})?"
 _COMMON_LOCAL = _COMMON_TIME + "$"
 _COMMON_ZONED = _COMMON_TIME + r"(?:Z|[+-][0-9]{2}:[0-9]{2})$"
@@ -190,7 +191,12 @@ def timestamp_of_iso(text: Column) -> Column:
         F.length(offset) == 3, F.concat(offset, F.lit(":00"))).otherwise(offset)
     spelled = F.concat(part(1), F.lit("-"), month, F.lit("-"), day, F.lit("T"), zero(part(6)),
                        F.lit(":"), minute, F.lit(":"), second, F.lit("."), fraction, offset)
-    return (F.when(text.rlike(_COMMON_LOCAL), F.concat(text, F.lit("Z")).try_cast("timestamp"))
+    # An offset can push the first and the last day out of the range.
+    edge = text.rlike(_EDGE_DAY) & text.rlike(_ZONE)
+    moved = F.when(text.rlike(_ANY_TIME), spelled.try_cast("timestamp"))
+    seconds = F.unix_seconds(moved)
+    return (F.when(edge, F.when((seconds >= _FIRST_SECOND) & (seconds < _END_SECOND), moved))
+            .when(text.rlike(_COMMON_LOCAL), F.concat(text, F.lit("Z")).try_cast("timestamp"))
             .when(text.rlike(_COMMON_ZONED), text.try_cast("timestamp"))
             .when(text.rlike(_ANY_TIME), spelled.try_cast("timestamp")))
 

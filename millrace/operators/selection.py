@@ -7,6 +7,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..sinks.files import checkpoint_folder
 from ..spec import SpecError
 
 
@@ -60,6 +61,7 @@ def slice_end(df: DataFrame, key: Sequence[str], rows: int) -> tuple | None:
     checkpoint), the partition holding the wanted rank is found from one total per
     partition, and only that partition is ranked row by row.
     """
+    checkpoint_folder(df.sparkSession)
     names = [f"`{k}`" for k in key]
     counted = df.groupBy(*names).agg(F.count(F.lit(1)).alias("__n"))
     ranged = (counted.repartitionByRange(*names)

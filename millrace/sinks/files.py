@@ -67,13 +67,21 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new folder all executors can reach: under ``spark.checkpoint.dir`` where the
-    cluster sets it.  Only a local master without the setting gets a local folder."""
+    """A new folder all executors can reach, under the checkpoint folder."""
+    return f"{checkpoint_folder(spark).rstrip('/')}/millrace-{label}-{uuid.uuid4().hex}"
+
+
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder ``spark.checkpoint.dir`` names.  Only a local master without the
+    setting gets a local folder of its own."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        return f"{shared.rstrip('/')}/millrace-{label}-{uuid.uuid4().hex}"
+        return shared
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix=f"millrace-{label}-")
+    folder = tempfile.mkdtemp(prefix="millrace-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
