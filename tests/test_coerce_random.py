@@ -35,6 +35,13 @@ def timestamp(text):
     return micros(value.replace(tzinfo=UTC) if value.tzinfo is None else value.astimezone(UTC))
 
 
+def day(text):
+    text = text.strip()
+    if text.isdigit() and len(text) == 10:  # read as eight digits by some versions, the rest ignored
+        raise ValueError(text)
+    return date.fromisoformat(text)
+
+
 def micros(value):
     gap = value - datetime(1970, 1, 1, tzinfo=UTC)
     return (gap.days * 86400 + gap.seconds) * 1000000 + gap.microseconds
@@ -69,7 +76,7 @@ CASES = {
     "INTEGER": (numbers, integer, T.LongType()),
     "FLOAT": (numbers, lambda t: float(t.strip()), T.DoubleType()),
     "TIMESTAMP": (times, timestamp, T.TimestampType()),
-    "DATE": (times, lambda t: date.fromisoformat(t.strip()), T.DateType()),
+    "DATE": (times, day, T.DateType()),
 }
 
 
