@@ -14,14 +14,15 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from . import session
-from .operators.normalize import TYPE_MISMATCH, drift_rows, observe_drift
+from .functions.coerce import coerced
+from .operators.normalize import drift_rows, observe_drift
 from .operators.reports import RUN_SCHEMA
 from .operators.schema import check_strict, evolved, inferred_schema, require, stamped
 from .operators.upsert import keep_last, null_key_rows
 from .sinks import files
 from .sinks.tables import TargetTable
-from .spec import (Contract, Disposition, Incremental, PartitionSpec, RunMode, SpecError, StreamSpec,
-                   cursor_to_json, typed_cursor)
+from .spec import (Contract, Disposition, Incremental, PartitionSpec, RunMode, StreamSpec, cursor_to_json,
+                   logical_type, typed_cursor)
 
 RUNS_TABLE = "_runs"
 SEEN = "cursor_seen"
@@ -229,8 +230,6 @@ def _text(value: Any) -> str | None:
 
 def _as_logical(df: DataFrame, schema) -> DataFrame:
     """Undeclared columns in the Spark type of their logical type."""
-    from .functions.coerce import coerced
-    from .spec import logical_type
     changes = {f.name: coerced(F.col(f"`{f.name}`"), df.schema[f.name].dataType, logical_type(f))
                for f in schema.fields}
     return df.withColumns(changes)

@@ -9,7 +9,7 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions import coerce as C, payloads as P, values as V
+from ..functions import payloads as P, values as V
 
 
 def allow_list(df: DataFrame, columns: Sequence[str]) -> DataFrame:

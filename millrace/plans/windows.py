@@ -8,7 +8,7 @@ from a range join (``window_start``).
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -96,14 +96,10 @@ def per_account(accounts: DataFrame, windows: Column) -> DataFrame:
 
 
 def finished_windows(progress: DataFrame, done: str = "done") -> DataFrame:
-    """Windows that all accounts have finished, with the day the cursor may move to.
-
-    The cursor stops before the first window that is not finished everywhere.
-    """
-    per_window = progress.groupBy("since", "until").agg(
+    """Per window: whether all accounts have finished it, and how many there are."""
+    return progress.groupBy("since", "until").agg(
         F.bool_and(F.coalesce(F.col(done), F.lit(False))).alias("all_done"),
         F.count(F.lit(1)).alias("accounts"))
-    return per_window
 
 
 def safe_cursor(progress: DataFrame, done: str = "done") -> DataFrame:
@@ -112,7 +108,3 @@ def safe_cursor(progress: DataFrame, done: str = "done") -> DataFrame:
     open_from = F.min(F.when(~F.col("all_done"), F.col("since")))
     return windows.agg(open_from.alias("open_from"), F.max("until").alias("last")).select(
         F.coalesce(F.date_sub("open_from", 1), F.col("last")).alias("cursor"))
-
-
-def midnight(moment: datetime) -> datetime:
-    return moment.replace(hour=0, minute=0, second=0, microsecond=0)

@@ -1,14 +1,11 @@
 """Cell coercion, one row per (type, input, expected)."""
 
-import json
 from datetime import date, datetime
-from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F, types as T
 
 from millrace.functions import coerce as C
-from millrace.spec import FieldType
 
 BAD = object()
 ts = lambda *a: datetime(*a)

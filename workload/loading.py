@@ -207,7 +207,7 @@ def load_counters(spark, sf):
 # partitioning
 
 
-def _by_time(granularity, pattern):
+def _by_time(granularity):
     fmt = {"hour": "%Y-%m-%d-%H", "day": "%Y-%m-%d", "month": "%Y-%m", "year": "%Y"}[granularity]
 
     @query(f"partition_time_{granularity}", f"""
@@ -221,7 +221,7 @@ def _by_time(granularity, pattern):
 
 
 for _granularity in ("hour", "day", "month", "year"):
-    _by_time(_granularity, None)
+    _by_time(_granularity)
 
 
 @query("partition_range", """
