@@ -10,6 +10,8 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..sinks.files import scratch
 
@@ -66,13 +68,15 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
 
 
+def arrow_schema(schema: str) -> pa.Schema:
+    """Arrow's form of a schema; needs the driver."""
+    return to_arrow_schema(StructType.fromDDL(schema))
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[dict], dict | None]], schema: str) -> DataFrame:
     """``make()`` runs once per task and returns the function from a batch's columns
     (lists) to the output's columns."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()

@@ -6,7 +6,7 @@ import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, licenses, line_dedup, quality_model, quality_rules, secrets, simhash, url_filter
+from . import bpe, decontaminate, katz, licenses, line_dedup, quality_model, quality_rules, secrets, simhash, url_filter
 from .common import table, tune
 
 QUERIES: dict = {}
@@ -108,3 +108,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_bpe")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), with_ids=False)
+
+
+@query("op10_katz")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score_documents(table(spark, sf_dir, "documents"))
