@@ -1,0 +1,246 @@
+import hashlib
+import random
+import re
+import string
+
+import pytest
+
+from millrace.llm import decontaminate, licenses, quality_rules, secrets, url_filter
+
+RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+
+
+# ---- urls
+
+def brute_url(url, rules):
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host):])[0]
+    host = "".join(c.lower() if c in string.ascii_uppercase else c for c in host)
+    best = None
+    for verdict, rule in rules:
+        h, slash, p = rule.partition("/")
+        if (host == h or host.endswith("." + h) or not h) and path.startswith(slash + p):
+            rank = (h.count(".") + bool(h), len(slash + p), verdict == "block")
+            if best is None or rank > best[0]:
+                best = rank, rule, verdict
+    return host, path, best and best[1], best[2] if best else "allow"
+
+
+def test_urls_against_brute_force(llm):
+    rng = random.Random(2)
+    hosts = ["example.net", "a.example.net", "EXAMPLE.com", "x.org", "org", "net", "badnet", "example.net.evil", "", "É.net"]
+    paths = ["", "/", "/en", "/en/", "/en/1", "/english", "/de/a/b", "/fr/", "//en/", "/en/?q=/de/", "#/en/", "?/en/", "/a\n/b"]
+    urls = [f"{rng.choice(['http', 'ftp', ''])}://{rng.choice(hosts)}{rng.choice(paths)}" for _ in range(300)]
+    urls += [None, "", "no scheme", "a://b://c/en/", "http:/x", "://"]
+    rules = [*RULES, ("block", "a.example.net/en/1"), ("block", "example.net.evil"), ("allow", "net/eng"), ("allow", "a.example.net/")]
+    df = llm.createDataFrame([(i, u, "clash") for i, u in enumerate(urls)], "page_id bigint, url string, host string")
+    for chosen in (RULES, rules, ()):
+        got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.filter_urls(df, chosen).collect()}
+        assert got == {i: brute_url(u, chosen) for i, u in enumerate(urls)}
+    assert url_filter.filter_urls(df.limit(0), RULES).collect() == []
+    with pytest.raises(ValueError):
+        url_filter.UrlTrie([("maybe", "net/")])
+
+
+# ---- secrets
+
+def brute_spans(text):
+    assign = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+    out = [(m.start(), "assign", m.end()) for m in assign.finditer(text) if len(m[2]) >= 6]
+    out += [(m.start(), "access", m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if m.end() - m.start() >= 20]
+    out += [(m.start(), "hex", m.end()) for m in re.finditer(r"[0-9a-f]+", text) if m.end() - m.start() >= 24]
+    return sorted(out, key=lambda s: (s[0], ("assign", "access", "hex").index(s[1])))
+
+
+def spans_of(llm, texts, **options):
+    docs = llm.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = secrets.scan_secrets(docs, **options).collect()
+    name = secrets.KINDS.__getitem__
+    return ({r.doc_id: [(x.start, name(x.kind), x.end) for x in r.base] for r in rows},
+            {r.doc_id: [(x.start, x.end) for x in r.added] for r in rows})
+
+
+def test_base_spans_against_brute_force(llm):
+    rng = random.Random(3)
+    parts = ["password", "PassWD", "secret", "toKen", "api_key", "apikey", "=", ":", " ", "'", '"', "abcdef", "x1", "AKIA", "ABCD1234EFGH5678",
+             "0123456789abcdef", "deadbeef", "é", "ſecret", "日本", "\n", "Kelvin", ".", "=="]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(400)] + ["", None]
+    base, _ = spans_of(llm, texts)
+    assert base == {i: brute_spans(t or "") for i, t in enumerate(texts)}
+
+
+def test_random_tokens_are_found_and_prose_is_not(llm):
+    rng = random.Random(4)
+    prose = ["getUserNameFromTable2", "https/www/example/com/articles/2024/a-long-title-of-a-page", "internationalization", "CamelCaseClassNameFactory",
+             "snake_case_variable_name_1", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "aaaaaaaaaaaaaaaa1111111111", "1234567890123456789", "donaudampfschifffahrtsgesellschaft"]
+    alphabet = string.ascii_letters + string.digits
+    planted = ["".join(rng.choices(alphabet, k=n)) for n in (32, 40, 40, 48, 64, 64)] + ["".join(rng.choices("0123456789ABCDEF", k=n)) for n in (40, 64)]
+    texts = [f"une clé {' '.join(rng.sample(prose, 5))} é {p} end" for p in planted] + [" ".join(prose)] * 20
+    _, added = spans_of(llm, texts)
+    for i, p in enumerate(planted):
+        start = texts[i].index(p)
+        assert added[i] == [(start, start + len(p))]
+    assert all(added[i] == [] for i in range(len(planted), len(texts)))
+
+
+def test_secrets_of_odd_rows(llm, odd, empty):
+    rows = secrets.scan_secrets(odd).collect()
+    assert len(rows) == odd.count() and all(r.base is not None and r.added is not None for r in rows)
+    assert secrets.scan_secrets(empty).collect() == []
+
+
+# ---- licenses
+
+def test_licenses_are_found_where_they_are(llm):
+    rng = random.Random(5)
+    words = ["w%d" % i for i in range(500)]
+    rows, want = [], {}
+    for i in range(120):
+        before, after = (rng.choices(words, k=rng.randint(0, 200)) for _ in range(2))
+        name, texts = rng.choice(list(licenses.TEMPLATES.items()))
+        variant = rng.randrange(len(texts))
+        notice = decontaminate.words_of(texts[variant].encode())
+        rows.append((i, " ".join([*before, texts[variant].upper() if i % 2 else texts[variant], *after])))
+        want[i] = (name, variant, len(before), len(notice))
+    rows.append((999, " ".join(rng.choices(words, k=5000))))
+    got = {r.doc_id: [(x.license, x.variant, x.first, x.words) for x in r.found]
+           for r in licenses.scan_licenses(llm.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert all(want[i] in got[i] for i in want) and got[999] == []
+
+
+def test_containment_decides(llm):
+    text = licenses.TEMPLATES["MIT"][1].split()
+    rows = [(0, " ".join(text)), (1, " ".join(text[:60])), (2, " ".join(text[:30])), (3, " ".join(text[:20] + ["changed"] + text[21:])),
+            (4, " ".join(w if i % 4 else "other" for i, w in enumerate(text)))]
+    got = {r.doc_id: [round(x.containment, 3) for x in r.found]
+           for r in licenses.scan_licenses(llm.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    shingles = {tuple(x) for t in [decontaminate.words_of(" ".join(text).encode())] for x in zip(*(t[i:] for i in range(5)))}
+    for i, row in rows:
+        words = decontaminate.words_of(row.encode())
+        share = len(shingles & set(zip(*(words[j:] for j in range(5))))) / len(shingles)
+        assert got[i] == ([round(share, 3)] if share >= 0.8 else []), i
+
+
+def test_licenses_of_odd_rows(llm, odd, empty):
+    assert all(r.found == [] for r in licenses.scan_licenses(odd).collect())
+    assert licenses.scan_licenses(empty).collect() == []
+    one = licenses.scan_licenses(odd, templates={"x": ("", "one")}).where("doc_id = 4").collect()
+    assert [x.license for x in one[0].found] == ["x"]
+
+
+# ---- benchmark
+
+def brute_hits(rows, items, n=13):
+    split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c in string.ascii_uppercase else c for c in t or ""))
+    out = {}
+    cut = {}
+    for item, text in items:
+        w = split(text)
+        k = min(n, len(w))
+        for i in range(len(w) - k + 1 if w else 0):
+            cut.setdefault(tuple(w[i:i + k]), set()).add(item)
+    for doc, text in rows:
+        w, hit, found = split(text), set(), set()
+        for k in {len(g) for g in cut}:
+            for i in range(len(w) - k + 1):
+                if (g := tuple(w[i:i + k])) in cut:
+                    hit.update(range(i, i + k))
+                    found |= cut[g]
+        ids = ",".join(sorted(map(str, found)))
+        out[doc] = (len(w), len(hit), len(found), hashlib.sha256(ids.encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w))
+    return out
+
+
+@pytest.mark.parametrize("block", [1_000_000, 40])
+def test_benchmark_against_brute_force(llm, block):
+    rng = random.Random(7)
+    words = ["alpha", "Beta", "gamma", "delta", "é", "x1", "日本", "omega"]
+    items = [(i, " ".join(rng.choices(words, k=rng.choice([0, 1, 3, 12, 13, 14, 30])))) for i in range(30)] + [(90, None), (91, items_text := "just this; one")]
+    rows = []
+    for i in range(120):
+        text = rng.choices(words + ["z%d" % rng.randrange(50) for _ in range(20)], k=rng.randint(0, 120))
+        if i % 3 == 0:
+            text[len(text) // 2:0] = (items[rng.randrange(30)][1] or "").split()
+        rows.append((i, rng.choice([" ", ", ", "\n"]).join(text)))
+    rows += [(200, None), (201, ""), (202, "JUST this one"), (203, "just this"), (204, "...")]
+    docs = llm.createDataFrame(rows, "doc_id bigint, text string")
+    bench = llm.createDataFrame(items, "item_id bigint, text string")
+    found = decontaminate.judged(decontaminate.find_benchmark(docs, bench, block=block))
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, hashlib.sha256(",".join(r["items"]).encode()).hexdigest(), r.contaminated) for r in found.collect()}
+    assert got == brute_hits(rows, items)
+    kept = {r.doc_id for r in decontaminate.decontaminate(docs, bench, block=block).collect()}
+    assert kept == {d for d, r in got.items() if not r[4]}
+    assert items_text
+
+
+def test_cutting_spans(llm):
+    docs = llm.createDataFrame([(1, "Before, the TEST item! after"), (2, None), (None, "the test item")], "doc_id bigint, text string")
+    bench = llm.createDataFrame([(1, "the test item")], "item_id bigint, text string")
+    got = {r.doc_id: r.text for r in decontaminate.decontaminate(docs, bench, action="cut").collect()}
+    assert got == {1: "Before, ! after", 2: None, None: ""}
+
+
+def test_benchmark_of_odd_rows(llm, odd, empty):
+    bench = llm.createDataFrame([(None, "ha ha ha"), (2, ""), (3, "one")], "item_id bigint, text string")
+    rows = decontaminate.judged(decontaminate.find_benchmark(odd, bench)).collect()
+    assert len(rows) == odd.count()
+    ha = next(r for r in rows if r.n_words == 3000)
+    assert ha.n_hit == 3000 and ha.n_items == 0 and ha.contaminated
+    assert decontaminate.find_benchmark(empty, bench).collect() == []
+    assert {r.n_hit for r in decontaminate.judged(decontaminate.find_benchmark(odd, bench.limit(0))).collect()} == {0}
+    assert decontaminate.decontaminate(odd, bench).columns == odd.columns
+
+
+# ---- rules
+
+def brute_rules(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    windows = list(zip(words, words[1:], words[2:]))
+    often = {i + j for i, w in enumerate(windows) if windows.count(w) > 1 for j in range(3)}
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(often),
+            len(words) < 50 or 100 * len(often) > 50 * len(words))
+
+
+def brute_kept(rows, limit, share=1000):
+    normal = lambda x: " ".join(re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c in string.ascii_uppercase else c for c in x)))
+    seen, hosts = {}, {}
+    for doc, text, host in rows:
+        hosts.setdefault(host or "", set()).add(doc)
+        for line in (text or "").split("\n"):
+            if normal(line):
+                seen.setdefault((host or "", normal(line)), set()).add(doc)
+    out = []
+    for doc, text, host in rows:
+        n = brute_rules(text)[0]
+        lines = [x for x in (text or "").split("\n") if normal(x)]
+        gone = sum(len(normal(x).split(" ")) for x in lines
+                   if len(seen[host or "", normal(x)]) > limit and len(seen[host or "", normal(x)]) * share > len(hosts[host or ""]))
+        out.append((doc, n - gone >= 10 and n - gone >= 0.3 * n and not brute_rules(text)[5]))
+    return out
+
+
+def test_rules_against_brute_force(llm):
+    rng = random.Random(8)
+    words = ["word%d" % i for i in range(400)] + ["É#", "a|b", "<b>", "日本語"]
+    footer = " ".join("Footer%d" % i for i in range(60))
+    rows = []
+    for i in range(150):
+        lines = [" ".join(rng.choices(words, k=rng.randint(0, 30))) for _ in range(rng.randint(0, 6))]
+        lines += rng.sample(lines, min(len(lines), rng.randint(0, 2))) + ([footer, footer.upper() + "  "] if i % 2 else [])
+        rows.append((i, rng.choice(["\n", "\n\n", "\r\n"]).join(lines), ["a", "b", None][i % 3]))
+    rows += [(500, None, "a"), (501, "", None), (502, "x " * 60, "a"), (503, footer, "c")]
+    docs = llm.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r.doc_id: r for r in quality_rules.judge_quality(docs, max_documents=20).collect()}
+    assert {d: (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for d, r in got.items()} == \
+        {d: brute_rules(t) for d, t, _ in rows}
+    assert {d: r.kept for d, r in got.items()} == dict(brute_kept(rows, 20))
+    assert not all(r.kept or r.base_failed for r in got.values())
+
+
+def test_rules_of_odd_rows(llm, odd, empty):
+    rows = quality_rules.judge_quality(odd).collect()
+    assert len(rows) == odd.count()
+    assert {(r.n_words, r.kept) for r in rows if r.n_words == 0} == {(0, False)}
+    assert quality_rules.judge_quality(empty).collect() == []
