@@ -95,8 +95,11 @@ def extract_records(df: DataFrame, body: str, path: Sequence[str], keep: Sequenc
 
 def extract_records_lenient(df: DataFrame, body: str, path: Sequence[str],
                             keep: Sequence[str] = ()) -> DataFrame:
-    """One row per object at ``path``; any number of ``*`` steps, misfits give no rows."""
-    rows = df.select(*keep, F.try_parse_json(F.col(body)).alias(RECORD))
+    """One row per object at ``path``; any number of ``*`` steps, misfits give no rows.
+
+    Lenient is the path, not the body: one that is no JSON ends the job (see ``unreadable_bodies``).
+    """
+    rows = df.select(*keep, F.parse_json(F.col(body)).alias(RECORD))
     steps: list[str] = []
     for step in [*path, None]:
         if step not in (ANY, None):
@@ -109,6 +112,11 @@ def extract_records_lenient(df: DataFrame, body: str, path: Sequence[str],
     return rows.filter(F.col(RECORD).isNotNull() & is_object(F.col(RECORD)))
 
 
+def unreadable_bodies(df: DataFrame, body: str) -> DataFrame:
+    """The rows whose body is no JSON, to be counted or set aside before an extraction."""
+    return df.filter(F.col(body).isNotNull() & F.try_parse_json(F.col(body)).isNull())
+
+
 def dotted(body: Column, pointer: str) -> Column:
     """Scalar at a dotted path of a JSON text; absent, null or ``""`` give NULL."""
     if not pointer:

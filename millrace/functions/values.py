@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from . import coerce as C
 
@@ -16,6 +16,15 @@ REDACTED = "***"
 SHORTEST_SECRET = 4
 
 
+def instant(df: DataFrame, value: Column) -> Column:
+    """A timestamp aggregate over ``df`` as text that names its zone (the session's, UTC): a
+    timestamp that Python fetches has no zone and is in the driver's.  Other types stay."""
+    kind = df.select(value.alias("v")).schema["v"].dataType.typeName()
+    if not kind.startswith("timestamp"):
+        return value
+    return F.concat(F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+
+
 def hour_of_range(text: Column) -> Column:
     """First hour of an hour range; NULL unless it is 0..23."""
     hour = F.regexp_extract(text, HOUR_RANGE, 1).try_cast("bigint")

@@ -15,17 +15,20 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from . import session
 from .functions.coerce import coerced
+from .functions.values import REDACTED, SHORTEST_SECRET, instant
 from .operators.normalize import drift_rows, observe_drift
 from .operators.reports import RUN_SCHEMA
 from .operators.schema import check_strict, evolved, inferred_schema, require, stamped
 from .operators.upsert import keep_last, null_key_rows
 from .sinks import files
-from .sinks.tables import TargetTable
+from .sinks.tables import TargetTable, state_of
 from .spec import (Contract, Disposition, Incremental, PartitionSpec, RunMode, StreamSpec, cursor_to_json,
                    logical_type, typed_cursor)
 
 RUNS_TABLE = "_runs"
 SEEN = "cursor_seen"
+# What an observation raises whose node is not in the plan that ran.
+NOT_OBSERVED = ("NoSuchElementException", "ClassCastException")
 
 
 @dataclass
@@ -99,15 +102,20 @@ class EventLog:
     """Events of one run, written as one JSON-lines file next to the tables."""
 
     def __init__(self, run_id: str, mask: Iterable[str] = ()):
-        self.run_id, self.lines, self.secrets = run_id, [], [s for s in mask if len(s) >= 4]
+        self.run_id, self.lines = run_id, []
+        self.secrets = sorted((s for s in mask if len(s) >= SHORTEST_SECRET), key=len, reverse=True)
+
+    def masked(self, value: Any) -> Any:
+        """A text without the secrets, before anything escapes their characters."""
+        if isinstance(value, str):
+            for secret in self.secrets:
+                value = value.replace(secret, REDACTED)
+        return value
 
     def emit(self, event: str, **fields: Any) -> None:
-        row = {"ts": datetime.now(timezone.utc).isoformat(), "run_id": self.run_id, "event": event,
-               **{k: cursor_to_json(v) for k, v in fields.items()}}
-        line = json.dumps(row)
-        for secret in self.secrets:
-            line = line.replace(secret, "***")
-        self.lines.append(line)
+        self.lines.append(json.dumps({
+            "ts": datetime.now(timezone.utc).isoformat(), "run_id": self.run_id, "event": event,
+            **{k: self.masked(cursor_to_json(v)) for k, v in fields.items()}}))
 
     def write(self, spark: SparkSession, root: str) -> str:
         path = f"{root.rstrip('/')}/_logs/{self.run_id}.jsonl"
@@ -131,7 +139,7 @@ def load_frame(spark: SparkSession, root: str, spec: StreamSpec, df: DataFrame |
     run_at = run_at or datetime.now(timezone.utc)
     table = TargetTable(spark, root, spec.table)
     pointer = table.pointer()
-    prior = (pointer or {}).get("state") or {}
+    prior = state_of(pointer, source, spec.name)
     inc = spec.incremental
     result = StreamResult(spec.name, cursor_before=seed)
     before, after = Observation(), Observation()
@@ -143,10 +151,10 @@ def load_frame(spark: SparkSession, root: str, spec: StreamSpec, df: DataFrame |
         elif spec.contract is Contract.STRICT:
             check_strict(df, schema, spec.name)
         raw, declared = df, schema
-        extra = [F.max(F.col(f"`{inc.column}`")).alias("__cursor")] if inc and observed is None and \
-            inc.column in schema.names + df.columns else []
-        if observed is not None:
-            extra = [observed.alias("__cursor")]
+        highest = observed
+        if highest is None and inc and inc.column in df.columns:
+            highest = F.max(F.col(f"`{inc.column}`"))
+        extra = [] if highest is None else [instant(df, highest).alias("__cursor")]
         df = observe_drift(df, schema, before, spec.drift, *extra)
         # Undeclared columns are landed too, with the logical type they arrived in.
         new = inferred_schema(df.drop(*schema.names))
@@ -208,19 +216,21 @@ def _measured(observation: Observation) -> dict[str, Any]:
     """What an observation saw; nothing where Spark dropped it from a plan without rows."""
     try:
         return observation.get
-    except Py4JJavaError:
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() not in NOT_OBSERVED:
+            raise
         return {}
 
 
-def settle(spark: SparkSession, root: str, spec: StreamSpec) -> Any:
+def settle(spark: SparkSession, root: str, spec: StreamSpec, source: str = "") -> Any:
     """Commit the cursor an unordered stream has seen, now that all of it has landed."""
     table = TargetTable(spark, root, spec.table)
-    state = (table.pointer() or {}).get("state") or {}
+    state = table.state(source, spec.name)
     blob = json.loads(state.get("state_blob") or "{}")
     if SEEN not in blob:
         return typed_cursor(state.get("cursor_value"), spec.incremental.type)
     cursor = spec.incremental.advance(blob.pop(SEEN), state.get("cursor_value"))
-    table.update_state({"cursor_value": _text(cursor_to_json(cursor)), "state_blob": json.dumps(blob)})
+    table.update_state(source, spec.name, {"cursor_value": _text(cursor_to_json(cursor)), "state_blob": json.dumps(blob)})
     return cursor
 
 
@@ -244,7 +254,7 @@ def run_stream(spark: SparkSession, root: str, one: Stream, *, source: str = "",
     run_at = run_at or datetime.now(timezone.utc)
     refresh = spec.mode(mode, full_refresh) is RunMode.FULL_REFRESH
     pointer = TargetTable(spark, root, spec.table).pointer()
-    prior = (pointer or {}).get("state") or {}
+    prior = state_of(pointer, source, spec.name)
     inc: Incremental | None = spec.incremental
     seed = inc.seed(prior.get("cursor_value"), since, refresh) if inc else None
     context = Context(spec, seed, json.loads(prior.get("state_blob") or "{}"), run_at, refresh)
@@ -298,17 +308,18 @@ def run(spark: SparkSession, root: str, streams: Iterable[Stream], *, source: st
              error_type=type(error).__name__ if error else None,
              error_message=str(error) if error else None)
     log.write(spark, root)
-    record_run(spark, root, result, config=config, target=target, full_refresh=full_refresh)
+    record_run(spark, root, result, config=config, target=target, full_refresh=full_refresh, mask=log.masked)
     return result
 
 
 def record_run(spark: SparkSession, root: str, result: RunResult, *, config: str = "", target: str = "",
-               full_refresh: bool = False) -> None:
-    """Upsert the run's row on its run id; runs of one day share a partition."""
+               full_refresh: bool = False, mask: Callable[[str], str] = str) -> None:
+    """Upsert the run's row on its run id; runs of one day share a partition.  ``mask``
+    takes secrets out of the error's text."""
     row = (result.run_id, config, result.source, "parquet", target, result.status, result.started_at,
            result.ended_at, (result.ended_at - result.started_at).total_seconds(), result.rows_loaded,
            full_refresh, type(result.error).__name__ if result.error else None,
-           str(result.error) if result.error else None,
+           mask(str(result.error)) if result.error else None,
            json.dumps([s.to_json() for s in result.streams]))
     spec = StreamSpec(RUNS_TABLE, key="run_id", disposition="merge")
     day = PartitionSpec.parse("started_at")

@@ -39,11 +39,11 @@ def infer_json_columns(df: DataFrame, body: str, order: Sequence[str] = (),
 
     ``widest`` looks at every value: integers and floats give FLOAT, any other
     mixture STRING.  ``first`` lets the first value that is neither null nor text
-    decide, in the order of the ``order`` columns.  Only per-key aggregates cross
+    decide, in the order of the ``order`` columns.  A body that is no JSON ends the job.  Only per-key aggregates cross
     the shuffle, never the values of a key.
     """
     rank = F.struct(*[F.col(c) for c in order]) if order else F.lit(0)
-    cells = (df.select(F.try_parse_json(F.col(body)).alias("__v"), rank.alias("__rank"))
+    cells = (df.select(F.parse_json(F.col(body)).alias("__v"), rank.alias("__rank"))
              .lateralJoin(_exploded(df.sparkSession))
              .select("key", "__rank", "pos", json_kind(F.col("value")).alias("kind")))
     if rule == "first":

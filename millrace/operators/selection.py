@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sinks.files import checkpoint_folder
-from ..spec import SpecError
+from ..spec import SpecError, utc
 
 
 def newer(df: DataFrame, column: str, floor: Any, inclusive: bool = False) -> DataFrame:
@@ -21,7 +22,7 @@ def newer(df: DataFrame, column: str, floor: Any, inclusive: bool = False) -> Da
         return df
     cell, bound = F.col(f"`{column}`"), F.lit(floor)
     if df.schema[column].dataType.typeName() == "timestamp_ntz":
-        bound = F.lit(floor.replace(tzinfo=None)) if hasattr(floor, "tzinfo") else bound.cast("timestamp_ntz")
+        bound = F.lit(utc(floor).replace(tzinfo=None)) if isinstance(floor, datetime) else bound.cast("timestamp_ntz")
     return df.filter(cell >= bound if inclusive else cell > bound)
 
 
@@ -38,6 +39,13 @@ def _key(key: Sequence[str]) -> Column:
     return F.struct(*[F.col(f"`{k}`") for k in key])
 
 
+def _as_python(df: DataFrame, name: str) -> Column:
+    """A key part as Python may hold it: timestamps as text in the session's zone, because
+    Python would get them without a zone, in the one of the driver."""
+    value = F.col("k").getField(name)
+    return (value.cast("string") if df.schema[name].dataType.typeName().startswith("timestamp") else value).alias(name)
+
+
 def _literal_key(df: DataFrame, key: Sequence[str], values: Sequence[Any]) -> Column:
     if len(values) != len(key):
         raise SpecError(f"key {list(key)} needs {len(key)} values, got {list(values)}")
@@ -49,7 +57,7 @@ def after_key(df: DataFrame, key: Sequence[str], last: Sequence[Any] | None) ->
     because that comparison can skip Parquet row groups and the composite one cannot."""
     if last is None:
         return df
-    first = F.col(f"`{key[0]}`") >= F.lit(last[0])
+    first = F.col(f"`{key[0]}`") >= F.lit(last[0]).cast(df.schema[key[0]].dataType)
     return df.filter(first & (_key(key) > _literal_key(df, key, last)))
 
 
@@ -73,8 +81,8 @@ def slice_end(df: DataFrame, key: Sequence[str], rows: int) -> tuple | None:
             running = F.sum("__n").over(Window.partitionBy("__p").orderBy(*names))
             hit = (ranged.filter(F.col("__p") == p).withColumn("__run", running)
                    .filter(F.col("__run") >= rows - before)
-                   .agg(F.min(_key(key)).alias("k")).first()["k"])
-            return tuple(hit)
+                   .agg(F.min(_key(key)).alias("k")).select(*[_as_python(df, k) for k in key]).first())
+            return tuple(hit[k] for k in key)
         before += n
     return None
 
@@ -87,7 +95,7 @@ def bootstrap_slice(df: DataFrame, key: Sequence[str], last: Sequence[Any] | Non
     end = slice_end(rest, key, max_rows) if max_rows else None
     if end is None:
         return rest, None
-    first = F.col(f"`{key[0]}`") <= F.lit(end[0])
+    first = F.col(f"`{key[0]}`") <= F.lit(end[0]).cast(df.schema[key[0]].dataType)
     return rest.filter(first & (_key(key) <= _literal_key(df, key, end))), end
 
 

@@ -25,28 +25,66 @@ def fixed_list(df: DataFrame, columns: Mapping[str, T.DataType] | Sequence[str])
 
 
 # Nested report paths and the flat columns they land in.
-_CAMPAIGN = {"campaign_id": "campaign.id", "campaign_name": "campaign.name"}
-_AD_GROUP = {"ad_group_id": "adGroup.id", "ad_group_name": "adGroup.name"}
-_METRICS = {
-    "impressions": "metrics.impressions",
-    "clicks": "metrics.clicks",
-    "cost_micros": "metrics.costMicros",
-    "conversions": "metrics.conversions",
-    "conversions_value": "metrics.conversionsValue",
-}
 FIELD_MAPS: dict[str, dict[str, str]] = {
-    "campaigns": {**_CAMPAIGN, "status": "campaign.status",
-                  "advertising_channel_type": "campaign.advertisingChannelType",
-                  "budget_amount_micros": "campaignBudget.amountMicros"},
-    "campaign_daily_stats": {"date": "segments.date", **_CAMPAIGN, **_METRICS},
-    "ad_group_daily_stats": {"date": "segments.date", **_CAMPAIGN, **_AD_GROUP,
-                             "status": "adGroup.status", **_METRICS},
-    "ad_daily_stats": {"date": "segments.date", **_CAMPAIGN, **_AD_GROUP,
-                       "ad_id": "adGroupAd.ad.id", "status": "adGroupAd.status", **_METRICS},
-    "keyword_daily_stats": {"date": "segments.date", **_CAMPAIGN, **_AD_GROUP,
-                            "criterion_id": "adGroupCriterion.criterionId",
-                            "keyword_text": "adGroupCriterion.keyword.text",
-                            "keyword_match_type": "adGroupCriterion.keyword.matchType", **_METRICS},
+    "campaigns": {
+        "campaign_id": "campaign.id",
+        "campaign_name": "campaign.name",
+        "status": "campaign.status",
+        "advertising_channel_type": "campaign.advertisingChannelType",
+        "budget_amount_micros": "campaignBudget.amountMicros",
+    },
+    "campaign_daily_stats": {
+        "date": "segments.date",
+        "campaign_id": "campaign.id",
+        "campaign_name": "campaign.name",
+        "impressions": "metrics.impressions",
+        "clicks": "metrics.clicks",
+        "cost_micros": "metrics.costMicros",
+        "conversions": "metrics.conversions",
+        "conversions_value": "metrics.conversionsValue",
+    },
+    "ad_group_daily_stats": {
+        "date": "segments.date",
+        "campaign_id": "campaign.id",
+        "campaign_name": "campaign.name",
+        "ad_group_id": "adGroup.id",
+        "ad_group_name": "adGroup.name",
+        "status": "adGroup.status",
+        "impressions": "metrics.impressions",
+        "clicks": "metrics.clicks",
+        "cost_micros": "metrics.costMicros",
+        "conversions": "metrics.conversions",
+        "conversions_value": "metrics.conversionsValue",
+    },
+    "ad_daily_stats": {
+        "date": "segments.date",
+        "campaign_id": "campaign.id",
+        "campaign_name": "campaign.name",
+        "ad_group_id": "adGroup.id",
+        "ad_group_name": "adGroup.name",
+        "ad_id": "adGroupAd.ad.id",
+        "status": "adGroupAd.status",
+        "impressions": "metrics.impressions",
+        "clicks": "metrics.clicks",
+        "cost_micros": "metrics.costMicros",
+        "conversions": "metrics.conversions",
+        "conversions_value": "metrics.conversionsValue",
+    },
+    "keyword_daily_stats": {
+        "date": "segments.date",
+        "campaign_id": "campaign.id",
+        "campaign_name": "campaign.name",
+        "ad_group_id": "adGroup.id",
+        "ad_group_name": "adGroup.name",
+        "criterion_id": "adGroupCriterion.criterionId",
+        "keyword_text": "adGroupCriterion.keyword.text",
+        "keyword_match_type": "adGroupCriterion.keyword.matchType",
+        "impressions": "metrics.impressions",
+        "clicks": "metrics.clicks",
+        "cost_micros": "metrics.costMicros",
+        "conversions": "metrics.conversions",
+        "conversions_value": "metrics.conversionsValue",
+    },
 }
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -55,9 +57,9 @@ def publish_text(spark: SparkSession, path: str, text: str) -> None:
     no_overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
     try:
         context.rename(_path(spark, draft), _path(spark, path), no_overwrite)
-    except Exception as error:
+    except Py4JJavaError as error:
         delete(spark, draft)
-        if "exist" in str(error).lower():
+        if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
             raise AlreadyExists(path) from error
         raise
 
@@ -80,7 +82,7 @@ def checkpoint_folder(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="millrace-")
     spark.sparkContext.setCheckpointDir(folder)

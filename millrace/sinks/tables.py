@@ -2,9 +2,9 @@
 
 A commit writes a new folder ``data/_commit=<id>/_part=<value>/`` with Spark's
 Parquet writer and then publishes ``log/<version>.json``.  The pointer says which
-commits hold the live rows of each partition value and carries the stream's
-state, so rows and cursor become visible together; an earlier pointer is the
-table as of that version.  Nothing that is live is ever overwritten.
+commits hold the live rows of each partition value and carries the state of every
+(connector, stream) that loads the table, so rows and cursor become visible together;
+an earlier pointer is the table as of that version.  Nothing that is live is ever overwritten.
 
 Where the target is a table that supports ``MERGE INTO``, use
 ``DataFrame.mergeInto`` instead; this convention is for plain Parquet.
@@ -31,6 +31,14 @@ from ..spec import Mode, PartitionSpec, check_name, field_mode, utc, with_synced
 COMMIT = "_commit"
 
 
+def state_key(connector: str, stream: str) -> str:
+    return json.dumps([connector, stream])
+
+
+def state_of(pointer: dict | None, connector: str, stream: str) -> dict[str, Any]:
+    return (pointer or {}).get("states", {}).get(state_key(connector, stream)) or {}
+
+
 class TargetTable:
     def __init__(self, spark: SparkSession, root: str, name: str):
         self.spark, self.name = spark, check_name(name, "table")
@@ -101,9 +109,10 @@ class TargetTable:
         """Write ``df`` by ``append``, ``replace`` or ``merge`` and publish the result.
 
         ``None`` as ``df`` means the source was not read: only the state is published.
-        ``state`` is the state row, or a function that builds it from the number of rows
-        loaded once the write is done (so it may use what an ``Observation`` on ``df``
-        measured).  ``df`` is computed once.  The row count is read from the footers of
+        ``state`` is the state row of one (connector, stream), or a function that builds
+        it from the number of rows loaded once the write is done (so it may use what an
+        ``Observation`` on ``df`` measured); the rows of others stay, and so does this
+        one's if there is none.  ``df`` is computed once.  The row count is read from the footers of
         the written files, so a re-run task cannot inflate it.
         """
         if how not in ("append", "replace", "merge"):
@@ -128,8 +137,9 @@ class TargetTable:
         pointer["version"] += 1
         pointer["commit"], pointer["run_id"] = commit_id, run_id
         pointer["committed_at"] = datetime.now(timezone.utc).isoformat()
-        if state is not None:
-            pointer["state"] = state(loaded) if callable(state) else state
+        row = state(loaded) if callable(state) else state
+        if row:
+            pointer["states"] = {**pointer.get("states", {}), state_key(row["connector"], row["stream"]): row}
         self._publish(pointer)
         return pointer
 
@@ -163,19 +173,27 @@ class TargetTable:
         sizes = {**pointer["sizes"], commit_id: len(written)}
         pointer["sizes"] = {c: n for c, n in sizes.items() if c in live}
 
-    def update_state(self, change: dict[str, Any]) -> None:
+    def state(self, connector: str, stream: str) -> dict[str, Any]:
+        """The state row of one (connector, stream); empty before its first commit."""
+        return state_of(self.pointer(), connector, stream)
+
+    def update_state(self, connector: str, stream: str, change: dict[str, Any]) -> None:
         """Publish the same rows with a changed state row."""
         before = self.pointer()
-        self._publish({**before, "state": {**(before.get("state") or {}), **change},
+        row = {**state_of(before, connector, stream), **change}
+        self._publish({**before, "states": {**before.get("states", {}), state_key(connector, stream): row},
                        "version": before["version"] + 1})
 
-    def reset_state(self) -> bool:
-        """Forget the state, keep the rows; whether there was any."""
+    def reset_state(self, connector: str | None = None, stream: str | None = None) -> int:
+        """Forget the state of all, or of a connector or one of its streams; keep the rows.
+        How many state rows that was."""
         before = self.pointer()
-        if before is None or before.get("state") is None:
-            return False
-        self._publish({**before, "state": None, "version": before["version"] + 1})
-        return True
+        states = (before or {}).get("states", {})
+        kept = {k: row for k, row in states.items()
+                if connector not in (None, row["connector"]) or stream not in (None, row["stream"])}
+        if len(kept) < len(states):
+            self._publish({**before, "states": kept, "version": before["version"] + 1})
+        return len(states) - len(kept)
 
     def _publish(self, pointer: dict) -> None:
         files.publish_text(self.spark, f"{self.home}/log/{pointer['version']:012d}.json", json.dumps(pointer))
@@ -217,21 +235,14 @@ def tables(spark: SparkSession, root: str) -> list[str]:
 
 def reset_state(spark: SparkSession, root: str, connector: str, stream: str | None = None) -> int:
     """Forget the state of a source, or of one of its streams; how many rows that was."""
-    count = 0
-    for name in tables(spark, root):
-        table = TargetTable(spark, root, name)
-        state = table.pointer().get("state") or {}
-        if state.get("connector") == connector and stream in (None, state.get("stream")):
-            count += table.reset_state()
-    return count
+    return sum(TargetTable(spark, root, name).reset_state(connector, stream) for name in tables(spark, root))
 
 
 def read_state(spark: SparkSession, root: str, connector: str | None = None) -> DataFrame:
     """The state rows published with the tables under ``root``, as a DataFrame."""
     rows = []
     for name in tables(spark, root):
-        state = TargetTable(spark, root, name).pointer().get("state")
-        if state:
+        for state in TargetTable(spark, root, name).pointer().get("states", {}).values():
             at = datetime.fromisoformat(state["updated_at"])
             rows.append(tuple({**state, "updated_at": at}.get(f) for f in STATE_SCHEMA.names))
     return list_state(spark.createDataFrame(rows, STATE_SCHEMA), connector)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.values import instant
 from ..load import Context
 from ..operators.selection import bootstrap_slice
 from ..spec import SpecError, cursor_to_json, typed_cursor
@@ -22,20 +23,19 @@ def read_with_bootstrap(ctx: Context, table: DataFrame, key: Sequence[str], page
     A run takes ``max_pages`` pages of ``page_rows`` rows (0: all that is left) and
     leaves its progress in the state, which is published with its rows.  Key order says
     nothing about cursor order, so the highest cursor of all slices is carried along
-    and handed over by the run that completes the sweep.  A full refresh starts the
-    sweep again.
+    and handed over by the run that completes the sweep.  A full refresh keeps no state,
+    so it reads the whole table at once and leaves the progress of a sweep as it is.
     """
     inc = ctx.spec.incremental
     if inc is None or not key:
         raise SpecError("a bootstrap needs a key and a cursor")
     if ctx.full_refresh:
-        for name in (DONE, LAST_KEY, CURSOR_MAX):
-            ctx.state.pop(name, None)
+        return table
     if ctx.state.get(DONE):
         return read_table(table, inc.column, ctx.floor, inc.inclusive)
     last = ctx.state.get(LAST_KEY)
     rows, end = bootstrap_slice(table, key, last, page_rows * max_pages)
-    highest = rows.agg(F.max(F.col(f"`{inc.column}`"))).first()[0]
+    highest = rows.agg(instant(rows, F.max(F.col(f"`{inc.column}`")))).first()[0]
     ctx.reached = inc.advance(highest, typed_cursor(ctx.state.get(CURSOR_MAX), inc.type))
     ctx.state[CURSOR_MAX] = cursor_to_json(ctx.reached)
     ctx.state[LAST_KEY] = None if end is None else [cursor_to_json(v) for v in end]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.schema import ragged_union
 from ..sinks.files import list_names
@@ -66,14 +66,22 @@ class _Listing:
         self.regex = _folder_regex(path, pattern)
         self.cursor, self.since, self.name_glob = cursor, since, name_glob
 
+    def new_paths(self) -> str | list[str]:
+        """What to give to a reader that looks into the files for their schema: the folder, or
+        just the new files.  A reader's own listing holds as many paths on the driver."""
+        if _is_unset(self.since):
+            return self.path
+        return [r.path for r in self.files().collect()]
+
     def reader(self):
         reader = self.spark.read.option("pathGlobFilter", self.name_glob)
         if self.recursive:
             reader = reader.option("recursiveFileLookup", "true")
         return reader
 
-    def only_new(self, df: DataFrame, stamp: bool = True) -> DataFrame:
-        """Filters on file metadata: Spark drops the files before it reads them."""
+    def only_new(self, df: DataFrame, columns: list[Column] | None = None) -> DataFrame:
+        """Filters on file metadata: Spark drops the files before it reads them.  All columns,
+        or those given, and the file cursor."""
         meta = F.col("_metadata")
         value = meta["file_modification_time"]
         if self.cursor == "name":
@@ -84,9 +92,9 @@ class _Listing:
             df = df.filter(meta["file_path"].rlike(self.regex))
         if not _is_unset(self.since):
             df = df.filter(value > F.lit(self.since))
-        columns = [F.col(f"`{c}`") for c in df.columns if c != FILE_CURSOR]
-        return df.select(*columns, value.alias(FILE_CURSOR)) if stamp else df
-
+        if columns is None:
+            columns = [F.col(f"`{c}`") for c in df.columns if c != FILE_CURSOR]
+        return df.select(*columns, value.alias(FILE_CURSOR))
 
     def files(self) -> DataFrame:
         """The new files themselves, one row each; their content is not read."""
@@ -94,15 +102,19 @@ class _Listing:
 
 
 # Quotes are doubled, never escaped; text after a closing quote is an error that
-# names the line; long lines and many columns are allowed.
-_CSV = {"quote": '"', "escape": '"', "emptyValue": "", "enforceSchema": "false", "maxColumns": "100000",
+# names the line; lines may be long.  Without column pruning a row is torn or not whatever
+# is selected from it.
+_CSV = {"quote": '"', "escape": '"', "emptyValue": "", "enforceSchema": "false", "columnPruning": "false",
         "unescapedQuoteHandling": "RAISE_ERROR", "encoding": "UTF-8", "mode": "PERMISSIVE"}
 _TORN = "__torn"
+_LAST_CELL = "\u0001last cell"
 
 
 def read_csv(listing: _Listing, delimiter: str = ",", header: bool = True, multiline: bool = True,
-             same_header: bool = True) -> DataFrame:
-    """All-text rows.  An empty cell is ``""``; a row too short is NULL at its end.
+             same_header: bool = True, max_columns: int = 20480) -> DataFrame:
+    """All-text rows.  An empty cell is ``""``; a row too short is NULL at its end, and one
+    with more cells than the header (or than ``max_columns``) is an error that names its
+    file and shows the row.
 
     Quoted line breaks force ``multiline``, which reads each file in one task; turn it
     off for big files without them and Spark splits the files.  With ``same_header`` a
@@ -110,14 +122,22 @@ def read_csv(listing: _Listing, delimiter: str = ",", header: bool = True, multi
     the headers are looked up first, in one more pass over the text.
     """
     def read(reader, *paths):
-        reader = reader.options(**_CSV, sep=delimiter, header=str(header).lower(), multiLine=str(multiline).lower())
+        reader = reader.options(**_CSV, sep=delimiter, header=str(header).lower(), multiLine=str(multiline).lower(),
+                                maxColumns=str(max_columns))
         names = reader.csv(list(paths)).columns
         fields = [T.StructField(n, T.StringType()) for n in [*names, _TORN]]
         rows = reader.schema(T.StructType(fields)).option("columnNameOfCorruptRecord", _TORN).csv(list(paths))
-        whole = F.col(_TORN).isNull()
-        cells = [F.when(whole, F.coalesce(F.col(f"`{n}`"), F.lit(""))).otherwise(F.col(f"`{n}`"))
+        # a torn row and one more cell behind it: that cell is not among the header's if the row is too long
+        more = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names) + 1)])
+        parsed = F.from_csv(F.concat(_TORN, F.lit(delimiter + _LAST_CELL)), more.simpleString()[7:-1].replace(":", " "),
+                            {"sep": delimiter, "quote": '"', "escape": '"', "maxColumns": str(max_columns + 1)})
+        short = F.array_contains(F.array(*[F.coalesce(parsed[f.name], F.lit("")) for f in more]), _LAST_CELL)
+        surplus = F.raise_error(F.concat(F.lit("more cells than the header has in "), F.col("_metadata.file_path"),
+                                         F.lit(": "), F.col(_TORN))).cast("string")
+        cells = [F.when(F.col(_TORN).isNull(), F.coalesce(F.col(f"`{n}`"), F.lit("")))
+                 .when(short, F.col(f"`{n}`")).otherwise(surplus)
                  .alias(n if header else f"col_{i}") for i, n in enumerate(names)]
-        return listing.only_new(rows).select(*cells, FILE_CURSOR)
+        return listing.only_new(rows, cells)
 
     if same_header or not header:
         return read(listing.reader(), listing.path)
@@ -136,15 +156,18 @@ def _headers(listing: _Listing) -> DataFrame:
 
 
 def read_jsonl(listing: _Listing, schema: T.StructType | None = None) -> DataFrame:
-    """One object per line; blank lines are skipped, anything else ends the job."""
+    """One object per line; blank lines are skipped, anything else ends the job.  Without a
+    schema, that of the new files is taken; older ones are not looked at."""
     reader = listing.reader().option("mode", "FAILFAST").option("primitivesAsString", "false")
     if schema is not None:
         reader = reader.schema(schema)
-    return listing.only_new(reader.json(listing.path))
+    return listing.only_new(reader.json(listing.new_paths() if schema is None else listing.path))
 
 
 def read_parquet(listing: _Listing) -> DataFrame:
-    return listing.only_new(listing.reader().option("mergeSchema", "true").parquet(listing.path))
+    paths = listing.new_paths()
+    reader = listing.reader().option("mergeSchema", "true")
+    return listing.only_new(reader.parquet(*([paths] if isinstance(paths, str) else paths)))
 
 
 def read_files(spark: SparkSession, path: str, pattern: str = "**/*.csv", fmt: str = "auto",

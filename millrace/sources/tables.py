@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 from typing import Any
 
@@ -35,12 +35,15 @@ def read_query(spark: SparkSession, text: str, cursor: str, floor: Any = None, i
     return newer(spark.sql(text.rstrip().rstrip(";"), **tables), cursor, floor, inclusive)
 
 
-def read_sql(spark: SparkSession, text: str, values: Mapping[str, Any], **tables: DataFrame) -> DataFrame:
+def read_sql(spark: SparkSession, text: str, values: Mapping[str, Any], cursors: Sequence[str] = ("since",),
+             **tables: DataFrame) -> DataFrame:
     """SQL text with ``{name}`` holes.  A hole becomes a named parameter, so its value is
     never spliced into the text; a hole without a value is an error.
 
-    Dates bind as ``YYYY-MM-DD`` and timestamps as ``YYYY-MM-DD HH:MM:SS`` text.
-    Tables are addressed as ``{table_name}`` and passed by keyword.
+    Values bind with their types, texts as they are.  Dates bind as ``YYYY-MM-DD`` and
+    timestamps as ``YYYY-MM-DD HH:MM:SS`` text; so do the texts of ``cursors``, which are
+    timestamps read back from a state.  Tables are addressed as ``{table_name}`` and
+    passed by keyword.
     """
     def fill(match: re.Match) -> str:
         name = match[1]
@@ -50,7 +53,8 @@ def read_sql(spark: SparkSession, text: str, values: Mapping[str, Any], **tables
             raise SpecError(f"no value for {{{name}}}; known: {', '.join(sorted(values))}")
         return f":{name}"
 
-    bound = {k: sql_literal_text(v) for k, v in values.items()}
+    bound = {k: sql_literal_text(v) if k in cursors and isinstance(v, str) or isinstance(v, date) else v
+             for k, v in values.items()}
     return spark.sql(_HOLE.sub(fill, text), args=bound, **tables)
 
 
@@ -63,6 +67,15 @@ def sql_literal_text(value: Any) -> str:
     return text.split(".", 1)[0]
 
 
+def _quoted(value: Any) -> str:
+    """A literal of a database: numbers bare, dates and timestamps in their text form, texts
+    with their quotes doubled."""
+    if isinstance(value, (int, float)) and not isinstance(value, bool):
+        return str(value)
+    text = sql_literal_text(value) if isinstance(value, date) else str(value)
+    return "'" + text.replace("'", "''") + "'"
+
+
 def jdbc_options(url: str, *, table: str | None = None, query: str | None = None,
                  cursor: str | None = None, floor: Any = None, inclusive: bool = False,
                  as_of: str | None = None, split_on: str | None = None,
@@ -81,7 +94,7 @@ def jdbc_options(url: str, *, table: str | None = None, query: str | None = None
         clause = f" AS OF SYSTEM TIME {as_of}" if as_of else ""
         where = ""
         if cursor is not None and floor is not None:
-            literal = str(floor) if isinstance(floor, int) else f"'{sql_literal_text(floor)}'"
+            literal = _quoted(floor)
             where = f" WHERE {cursor} {'>=' if inclusive else '>'} {literal}"
         source = f"(SELECT * FROM {source}{clause}{where}) t"
     options = {"url": url, "dbtable": source, "fetchsize": str(fetch_size), **extra}

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from dataclasses import replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -12,9 +13,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..load import load_frame
 from ..sinks.tables import TargetTable
-from ..spec import SpecError, StreamSpec
+from ..spec import Disposition, SpecError, StreamSpec
 
-LAST_BATCH = "last_batch"
+LAST_BATCHES = "last_batches"
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -32,7 +33,9 @@ def ingest(stream: DataFrame, root: str, spec: StreamSpec, checkpoint: str, *, s
     """Start a query that loads each micro-batch by the stream's disposition.
 
     A replayed micro-batch is recognised by the batch number published with the
-    rows, so each is applied once.  The cursor of a stream declared ``ordered`` moves
+    rows for its checkpoint, so each is applied once, also when several queries load one
+    table.  A ``replace`` stream empties the table with the first micro-batch of a
+    checkpoint; the others add to it.  The cursor of a stream declared ``ordered`` moves
     with every micro-batch; any other stream may still bring older rows, so its cursor
     waits for ``load.settle`` at the end.
     """
@@ -40,21 +43,17 @@ def ingest(stream: DataFrame, root: str, spec: StreamSpec, checkpoint: str, *, s
 
     def apply(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        pointer = TargetTable(spark, root, spec.table).pointer()
-        done = _last_batch(pointer, checkpoint)
-        if done is not None and number <= done:
+        blob = json.loads(TargetTable(spark, root, spec.table).state(source, spec.name).get("state_blob") or "{}")
+        done = blob.get(LAST_BATCHES, {})
+        if number <= done.get(checkpoint, -1):
             return
         rows = shape(batch) if shape else batch
-        load_frame(spark, root, spec, rows, source=source, run_id=f"{checkpoint}#{number}",
-                   state={LAST_BATCH: number, "checkpoint": checkpoint}, advance=ordered)
+        adds = spec.disposition is Disposition.REPLACE and checkpoint in done
+        load_frame(spark, root, replace(spec, disposition=Disposition.APPEND) if adds else spec, rows, source=source,
+                   run_id=f"{checkpoint}#{number}", state={**blob, LAST_BATCHES: {**done, checkpoint: number}},
+                   advance=ordered)
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def _last_batch(pointer: dict | None, checkpoint: str) -> int | None:
-    state = (pointer or {}).get("state") or {}
-    blob = json.loads(state.get("state_blob") or "{}")
-    return blob.get(LAST_BATCH) if blob.get("checkpoint") == checkpoint else None
-
-

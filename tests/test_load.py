@@ -230,7 +230,7 @@ def test_stream_is_applied_once_per_batch(spark, root, tmp_path):
     go()
     assert rows(root, spark) == [(1, "a", 1), (2, "b", 2)]
     pointer = TargetTable(spark, root, "items").pointer()
-    assert json.loads(pointer["state"]["state_blob"])["last_batch"] == 1
+    assert [*json.loads(next(iter(pointer["states"].values()))["state_blob"])["last_batches"].values()] == [1]
 
 
 def test_unordered_stream_waits_for_the_end(spark, root, tmp_path):

@@ -298,7 +298,7 @@ def bootstrap_load(spark, sf):
     target, out = TargetTable(spark, root, "orders"), None
     for label in ("paused", "completed", "steady"):
         cursor = run_stream(spark, root, stream, run_at=_RUN_AT).cursor_after
-        blob = json.loads(target.pointer()["state"]["state_blob"])
+        blob = json.loads(target.state("", spec.name)["state_blob"])
         one = target.read(target.versions()[-1]).agg(F.lit(label).alias("run"), F.count(F.lit(1)).alias("rows")).select(
             "run", "rows", stamp(F.lit(cursor)).alias("cursor_max"), F.lit(blob["bootstrapped"]).alias("bootstrapped"))
         out = one if out is None else out.unionByName(one)
