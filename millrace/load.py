@@ -28,7 +28,7 @@ from .spec import (Contract, Disposition, Incremental, PartitionSpec, RunMode, S
 RUNS_TABLE = "_runs"
 SEEN = "cursor_seen"
 # What an observation raises whose node is not in the plan that ran.
-NOT_OBSERVED = ("NoSuchElementException", "ClassCastException")
+NOT_OBSERVED = ("AssertionError",)
 
 
 @dataclass

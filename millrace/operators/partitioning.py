@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..spec import SYNCED_AT, Granularity, PartitionKind, PartitionSpec, SpecError
@@ -19,6 +22,14 @@ _PATTERNS = {
 }
 
 
+_LABELS = {
+    Granularity.HOUR: "%Y-%m-%d-%H",
+    Granularity.DAY: "%Y-%m-%d",
+    Granularity.MONTH: "%Y-%m",
+    Granularity.YEAR: "%Y",
+}
+
+
 class PartitionMismatch(SpecError):
     """The table exists with another partition spec."""
 
@@ -57,6 +68,23 @@ def partition_follows_key(spec: PartitionSpec | None, key: tuple[str, ...]) -> b
     return spec.kind in (PartitionKind.TIME, PartitionKind.RANGE) and spec.column in key
 
 
+def parts_between(spec: PartitionSpec, names: Iterable[str], since: Any, until: Any) -> set[str]:
+    """Those partition values that may hold rows with ``since <= column < until``."""
+    if spec.kind is PartitionKind.RANGE:
+        def may(name: str) -> bool:
+            if name == OUTSIDE:
+                return True
+            low = int(name)
+            return (since is None or low + spec.interval > since) and (until is None or low < until)
+    else:
+        form = _LABELS[spec.granularity or Granularity.DAY]
+        low, high = (None if edge is None else edge.strftime(form) for edge in (since, until))
+
+        def may(name: str) -> bool:
+            return (low is None or name >= low) and (high is None or name <= high)
+    return {n for n in names if n != NULL_PART and may(n)}
+
+
 def check_same_partition(existing: dict | None, requested: dict | None, table: str) -> None:
     """A table cannot change its partitioning in place."""
     if existing != requested:
@@ -68,3 +96,8 @@ def spread(df: DataFrame) -> DataFrame:
     """Group rows by partition value for the write.  A rebalance, unlike a plain
     repartition, lets AQE split a partition that holds a third of the rows."""
     return df.hint("rebalance", PART)
+
+
+def writes_one_part(partition: PartitionSpec | None, buckets: int) -> bool:
+    """Whether all rows go to one partition value, so that grouping them would be for nothing."""
+    return not buckets and (partition is None or partition.kind is PartitionKind.NONE)

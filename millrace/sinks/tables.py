@@ -22,11 +22,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from . import files
 from ..operators.partitioning import (PART, check_same_partition, partition_follows_key, partition_value,
-                                      spread)
+                                      parts_between, spread, writes_one_part)
 from ..operators.schema import aligned, evolved
 from ..operators.state import STATE_SCHEMA, list_state
 from ..operators.upsert import merge
-from ..spec import Mode, PartitionSpec, check_name, field_mode, utc, with_synced_at
+from ..spec import (SYNCED_AT, Mode, PartitionKind, PartitionSpec, SpecError, check_name, field_mode, utc,
+                    with_synced_at)
 
 COMMIT = "_commit"
 
@@ -68,12 +69,28 @@ class TargetTable:
                 return version
         raise ValueError(f"table {self.name!r} did not exist at {moment}")
 
-    def read(self, version: int | None = None, parts: Iterable[str] | None = None) -> DataFrame:
-        """The table, as of a version if given, limited to some partition values if given."""
+    def read(self, version: int | None = None, parts: Iterable[str] | None = None, since: Any = None,
+             until: Any = None) -> DataFrame:
+        """The table, as of a version if given, limited to some partition values if given.
+
+        ``since`` and ``until`` keep the rows with ``since <= column < until`` of the column
+        that the table is partitioned by; only the partitions that may hold some are read.
+        """
         pointer = self.pointer(version)
         if pointer is None:
             raise ValueError(f"table {self.name!r} does not exist")
-        return self._rows(pointer, parts).drop(PART)
+        if since is None and until is None:
+            return self._rows(pointer, parts).drop(PART)
+        spec = PartitionSpec(**(pointer["partition"] or {"kind": "none"}))
+        if spec.kind is PartitionKind.NONE:
+            raise SpecError(f"table {self.name!r} has no partition column to read a part by")
+        wanted = parts_between(spec, pointer["parts"] if parts is None else parts, since, until)
+        rows = self._rows(pointer, wanted).drop(PART)
+        value = F.col(f"`{spec.column or SYNCED_AT}`")
+        for edge, keep in ((since, value.__ge__), (until, value.__lt__)):
+            if edge is not None:
+                rows = rows.filter(keep(F.lit(edge)))
+        return rows
 
     def _schema(self, pointer: dict) -> T.StructType:
         return T.StructType.fromJson(pointer["schema"])
@@ -130,7 +147,8 @@ class TargetTable:
                 loaded = self._merge(pointer, df, schema, partition, key, value, commit_id)
             else:
                 parts = {} if how == "replace" else pointer["parts"]
-                written = self._write(aligned(df, schema).withColumn(PART, value), commit_id)
+                one = writes_one_part(partition, pointer["buckets"] if key else 0)
+                written = self._write(aligned(df, schema).withColumn(PART, value), commit_id, one)
                 loaded = self._count(f"{self.home}/data/{COMMIT}={commit_id}")
                 self._adopt(pointer, parts, commit_id, written)
             pointer["schema"] = schema.jsonValue()
@@ -215,9 +233,9 @@ class TargetTable:
         hit = self._rows(pointer).select(*keys, PART).join(staged.select(*keys), list(key), "left_semi")
         return {r[0] for r in hit.select(PART).distinct().collect()}
 
-    def _write(self, df: DataFrame, commit_id: str) -> set[str]:
+    def _write(self, df: DataFrame, commit_id: str, one_part: bool = False) -> set[str]:
         folder = f"{self.home}/data/{COMMIT}={commit_id}"
-        spread(df).write.partitionBy(PART).parquet(folder)
+        (df if one_part else spread(df)).write.partitionBy(PART).parquet(folder)
         return self._names(folder)
 
     def _count(self, folder: str) -> int:

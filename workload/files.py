@@ -5,7 +5,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import functions as F
 
 from millrace.operators.normalize import normalize
-from millrace.sinks.files import scratch
+from millrace.sinks.files import list_names, scratch
 from millrace.sources.files import FILE_CURSOR, read_files
 from millrace.sources.tables import all_text
 from millrace.spec import table_schema
@@ -67,19 +67,51 @@ def jsonl_ragged(spark, sf):
 
 
 @query("files_new_by_name", """
-    SELECT o_orderkey, CAST(EXTRACT(year FROM o_orderdate) AS VARCHAR) AS year FROM orders
-    WHERE EXTRACT(year FROM o_orderdate) > 1998""")
+    SELECT o_orderkey, CAST(o_orderkey % 7 AS VARCHAR) AS slot FROM orders WHERE o_orderkey % 7 > 2""")
 def files_new_by_name(spark, sf):
-    """Folders per year; files up to the cursor name are not read.  The part files of a
-    year are recognised by the folder pattern."""
-    path = scratch(spark, "byname")
-    orders = table(spark, sf, "orders").withColumn("y", F.year("o_orderdate"))
-    orders.select("o_orderkey", F.col("y").cast("string").alias("year"), "y").write.partitionBy("y").parquet(path)
-    out = None
-    for year in (1999, 2000, 2001):
-        rows = read_files(spark, path, f"y={year}/*.parquet", cursor="name", since="part-").drop(FILE_CURSOR)
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    """One file a slot, named after it; files up to the cursor name are not read, so their
+    other columns and types don't matter."""
+    path, orders = scratch(spark, "byname"), _orders(spark, sf)
+    slot = F.col("o_orderkey") % 7
+    for i in range(7):
+        rows = orders.filter(slot == i).select("o_orderkey", slot.cast("string").alias("slot"))
+        if i <= 2:
+            rows = rows.select(F.col("o_orderkey").cast("string"), F.lit(i).alias("slot"), F.lit("old").alias("gone"))
+        rows.coalesce(1).write.json(f"{path}/tmp{i}")
+        _named(spark, f"{path}/tmp{i}", f"{path}/slot-{i}.json")
+    return read_files(spark, path, "*.json", fmt="jsonl", cursor="name", since="slot-2.json").drop(FILE_CURSOR)
+
+
+@query("file_cursor", """
+    SELECT 'slot-' || (o_orderkey % 3) || '.csv' AS file, COUNT(*) AS rows FROM orders GROUP BY 1""")
+def file_cursor(spark, sf):
+    """The name that stamps each row."""
+    path, orders = scratch(spark, "stamp"), _orders(spark, sf)
+    for i in range(3):
+        all_text(orders.filter(F.col("o_orderkey") % 3 == i)).coalesce(1).write.option("header", "true").csv(f"{path}/tmp{i}")
+        _named(spark, f"{path}/tmp{i}", f"{path}/slot-{i}.csv")
+    rows = read_files(spark, path, "*.csv", cursor="name", multiline=False)
+    return rows.groupBy(F.col(FILE_CURSOR).alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("csv_one_column", """
+    SELECT CASE WHEN o_orderstatus = 'P' THEN NULL ELSE '' END AS note, COUNT(*) AS rows FROM orders GROUP BY 1""")
+def csv_one_column(spark, sf):
+    """A cell that is missing stays NULL and an empty one empty, also when nothing else is selected."""
+    path = scratch(spark, "short")
+    line = F.when(F.col("o_orderstatus") == "P", F.col("o_orderkey").cast("string")).otherwise(F.concat("o_orderkey", F.lit(",")))
+    body = _orders(spark, sf).select(line.alias("value"))
+    body.write.text(f"{path}/rows")
+    rows = read_files(spark, f"{path}/rows", "*.txt", fmt="csv", header=False, multiline=False)
+    return rows.select(F.col("col_1").alias("note")).groupBy("note").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _named(spark, folder, target):
+    """Give the single file of a written folder a name."""
+    name = next(n for n in list_names(spark, folder) if n.startswith("part-"))
+    jvm = spark._jvm
+    source = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+    source.getFileSystem(spark._jsc.hadoopConfiguration()).rename(source, jvm.org.apache.hadoop.fs.Path(target))
 
 
 @query("files_new_by_time", f"SELECT {_ORDER} FROM orders")

@@ -64,12 +64,15 @@ def incremental_query(spark, sf):
 @query("sql_as_stream", f"""
     SELECT o_orderkey AS id, o_totalprice AS amount, {sql_stamp('o_orderdate')} AS created,
            o_orderstatus AS status, o_orderstatus = 'F' AS paid
-    FROM orders WHERE o_orderdate > TIMESTAMP '1996-05-20 10:00:00'""")
+    FROM orders WHERE o_orderdate > TIMESTAMP '1996-05-20 10:00:00' AND o_totalprice > 1500.5
+                  AND o_orderpriority <> 'T.B.D.' AND o_orderstatus <> 'P'""")
 def sql_as_stream(spark, sf):
     text = """SELECT o_orderkey AS id, o_totalprice AS amount, o_orderdate AS created,
                      o_orderstatus AS status, o_orderstatus = 'F' AS paid
-              FROM {orders} WHERE o_orderdate > CAST({since} AS TIMESTAMP_NTZ)"""
-    rows = src.read_sql(spark, text, {"since": "1996-05-20T10:00:00.500+00:00"},
+              FROM {orders} WHERE o_orderdate > CAST({since} AS TIMESTAMP_NTZ) AND o_totalprice > {least}
+                AND o_orderpriority <> {later} AND concat(o_orderstatus, 'T.') <> {status}"""
+    rows = src.read_sql(spark, text, {"since": "1996-05-20T10:00:00.500+00:00", "least": 1500.5, "later": "T.B.D.",
+                                      "status": "PT."},
                         orders=table(spark, sf, "orders"))
     return rows.withColumn("created", stamp("created"))
 

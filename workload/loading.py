@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.load import Stream, load_frame, run_stream
 from millrace.operators import partitioning as P, upsert as U
 from millrace.operators.schema import stamped
-from millrace.sinks.files import scratch
+from millrace.sinks.files import delete, list_names, scratch
 from millrace.sinks.tables import TargetTable, read_state
 from millrace.sources.bootstrap import read_with_bootstrap
 from millrace.sources.tables import all_text, read_table
@@ -320,6 +320,142 @@ def committed_state(spark, sf):
     return read_state(spark, root, "shop").select("connector", "stream", "rows_total", "cursor_value")
 
 
+_KEYS = table_schema(("o_orderkey", "INTEGER"), ("o_orderstatus", "STRING"))
+
+
+@query("state_shared_table", """
+    SELECT connector, COUNT(*) AS rows_total, CAST(MAX(o_orderkey) AS VARCHAR) AS cursor_value
+    FROM (SELECT *, CASE WHEN o_orderkey % 2 = 0 THEN 'even' ELSE 'odd' END AS connector FROM orders) t GROUP BY 1""")
+def state_shared_table(spark, sf):
+    """Two sources fill one table, the one with the higher keys first; each keeps its own cursor."""
+    root, orders = scratch(spark, "shared"), table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    spec = StreamSpec("orders", schema=_KEYS, partition="none", incremental=Incremental("o_orderkey", "int"))
+    for source, rest, cut in (("odd", 1, None), ("even", 0, 1000), ("even", 0, None), ("odd", 1, None)):
+        mine = orders.filter(F.col("o_orderkey") % 2 == rest)
+        seen = mine if cut is None else mine.filter(F.col("o_orderkey") <= cut)
+        run_stream(spark, root, Stream(spec, lambda _, ctx, seen=seen: read_table(seen, "o_orderkey", ctx.floor)),
+                   source=source, run_at=_RUN_AT)
+    return read_state(spark, root).select("connector", "rows_total", "cursor_value")
+
+
+@query("bootstrap_full_refresh", """
+    SELECT 'new' AS note, COUNT(*) AS rows FROM orders""")
+def bootstrap_full_refresh(spark, sf):
+    """A sweep that takes several runs, then a full refresh: it brings every row anew."""
+    root, orders = scratch(spark, "refresh"), table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    schema = table_schema(("o_orderkey", "INTEGER"), ("o_custkey", "INTEGER"), ("note", "STRING"))
+    spec = StreamSpec("orders", key="o_orderkey", disposition="merge", schema=schema, buckets=4, partition="none",
+                      incremental=Incremental("o_custkey", "int"))
+    page = orders.count() // 3 + 1
+    for note, refresh in (("old", False), ("old", False), ("new", True)):
+        rows = orders.withColumn("note", F.lit(note))
+        stream = Stream(spec, lambda _, ctx, rows=rows: read_with_bootstrap(ctx, rows, ["o_orderkey"], page, max_pages=1))
+        run_stream(spark, root, stream, full_refresh=refresh, run_at=_RUN_AT)
+    return TargetTable(spark, root, "orders").read().groupBy("note").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _landed(spark, sf, folder):
+    """Three files of events, by their ids."""
+    events = table(spark, sf, "events").select("event_id", "event_type")
+    for i in range(3):
+        events.filter(F.col("event_id") % 3 == i).coalesce(1).write.mode("append").parquet(folder)
+    return file_stream(spark, folder, events.schema, files_per_batch=1)
+
+
+_EVENTS = table_schema(("event_id", "INTEGER"), ("event_type", "STRING"))
+_BY_TYPE = "SELECT event_type, COUNT(*) AS rows, COUNT(DISTINCT event_id) AS ids FROM events GROUP BY 1"
+
+
+def _by_type(spark, root, name):
+    return TargetTable(spark, root, name).read().groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("event_id").alias("ids"))
+
+
+@query("stream_replace", _BY_TYPE)
+def stream_replace(spark, sf):
+    """A stream that replaces: what was there goes with its first micro-batch, and all of them stay."""
+    root = scratch(spark, "replaced")
+    spec = StreamSpec("events", schema=_EVENTS, disposition="replace", partition="none")
+    stale = table(spark, sf, "events").select(F.lit(-1).cast("bigint").alias("event_id"), "event_type")
+    load_frame(spark, f"{root}/store", spec, stale, run_at=_RUN_AT)
+    ingest(_landed(spark, sf, f"{root}/landing"), f"{root}/store", spec, f"{root}/checkpoint").awaitTermination()
+    return _by_type(spark, f"{root}/store", "events")
+
+
+@query("stream_replay", _BY_TYPE)
+def stream_replay(spark, sf):
+    """Two queries load one table; a micro-batch that comes again after the other's is not added twice."""
+    root = scratch(spark, "replayed")
+    spec = StreamSpec("events", schema=_EVENTS, partition="none")
+    events = table(spark, sf, "events").select("event_id", "event_type")
+    for name, rest in (("a", 0), ("b", 1), ("a", 0)):
+        landing = f"{root}/in_{name}"
+        if not list_names(spark, landing):
+            events.filter(F.col("event_id") % 2 == rest).coalesce(1).write.parquet(landing)
+        # the checkpoint as it was before its commit was noted down: Spark gives the same batch again
+        delete(spark, f"{root}/checkpoint_{name}/commits")
+        ingest(file_stream(spark, landing, events.schema), f"{root}/store", spec, f"{root}/checkpoint_{name}").awaitTermination()
+    return _by_type(spark, f"{root}/store", "events")
+
+
+def _loaded_by(kind, partition, source, schema, label, since, until, sql):
+    """``label``: a SQL expression of the value to count by."""
+    @query(f"load_partition_{kind}", sql)
+    def load_partition(spark, sf):
+        root = scratch(spark, f"by_{kind}")
+        spec = StreamSpec("parted", schema=schema, partition=partition)
+        load_frame(spark, root, spec, source(spark, sf), run_at=_RUN_AT)
+        target = TargetTable(spark, root, "parted")
+        rows, whole = target.read(since=since, until=until), target.read()
+        if len(rows.inputFiles()) >= len(whole.inputFiles()):
+            raise AssertionError("a part of the table took all of its files")
+        return rows.groupBy(F.expr(label).alias("part")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _event_rows(spark, sf):
+    return table(spark, sf, "events").select("event_id", "ts")
+
+
+_SINCE, _UNTIL = datetime(2024, 1, 5, 6, 30, tzinfo=timezone.utc), datetime(2024, 1, 9, 18, tzinfo=timezone.utc)
+for _granularity, _java, _c in (("hour", "yyyy-MM-dd-HH", "%Y-%m-%d-%H"), ("day", "yyyy-MM-dd", "%Y-%m-%d")):
+    _loaded_by(_granularity, {"field": "ts", "type": "time", "granularity": _granularity}, _event_rows,
+               table_schema(("event_id", "INTEGER"), ("ts", "TIMESTAMP")), f"date_format(ts, '{_java}')", _SINCE, _UNTIL, f"""
+        SELECT strftime(ts, '{_c}') AS part, COUNT(*) AS rows FROM events
+        WHERE ts >= TIMESTAMP '2024-01-05 06:30:00' AND ts < TIMESTAMP '2024-01-09 18:00:00' GROUP BY 1""")
+
+
+def _order_rows(spark, sf):
+    return table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+
+
+for _granularity, _java, _c in (("month", "yyyy-MM", "%Y-%m"), ("year", "yyyy", "%Y")):
+    _loaded_by(_granularity, {"field": "o_orderdate", "type": "time", "granularity": _granularity}, _order_rows,
+               table_schema(("o_orderkey", "INTEGER"), ("o_orderdate", "TIMESTAMP")), f"date_format(o_orderdate, '{_java}')",
+               datetime(1996, 3, 10, tzinfo=timezone.utc), datetime(1998, 2, 5, tzinfo=timezone.utc), f"""
+        SELECT strftime(o_orderdate, '{_c}') AS part, COUNT(*) AS rows FROM orders
+        WHERE o_orderdate >= TIMESTAMP '1996-03-10' AND o_orderdate < TIMESTAMP '1998-02-05' GROUP BY 1""")
+
+
+def _line_rows(spark, sf):
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
+
+
+_loaded_by("range", {"field": "l_partkey", "type": "range", "range": {"start": 0, "end": 100_000, "interval": 40}}, _line_rows,
+           table_schema(("l_orderkey", "INTEGER"), ("l_partkey", "INTEGER")), "CAST(l_partkey AS STRING)", 50, 110, """
+    SELECT CAST(l_partkey AS VARCHAR) AS part, COUNT(*) AS rows FROM lineitem WHERE l_partkey >= 50 AND l_partkey < 110 GROUP BY 1""")
+
+
+def _stamped_rows(spark, sf):
+    rows = table(spark, sf, "orders").filter("o_orderdate >= TIMESTAMP_NTZ '2001-01-01'")
+    return rows.select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias(SYNCED_AT))
+
+
+_loaded_by("ingestion", {"type": "ingestion"}, _stamped_rows, table_schema(("o_orderkey", "INTEGER")),
+           f"date_format({SYNCED_AT}, 'yyyy-MM-dd')", datetime(2001, 3, 1, tzinfo=timezone.utc), datetime(2001, 4, 1, tzinfo=timezone.utc), f"""
+    SELECT {sql_day('o_orderdate')} AS part, COUNT(*) AS rows FROM orders
+    WHERE o_orderdate >= TIMESTAMP '2001-03-01' AND o_orderdate < TIMESTAMP '2001-04-01' GROUP BY 1""")
+
+
 _TYPED = table_schema(("event_id", "INTEGER"), ("ts", "TIMESTAMP"), ("user_id", "INTEGER"),
                       ("event_type", "STRING"), ("value", "FLOAT"), ("props", "JSON"))
 _LAST_EVENT = f"""

@@ -49,16 +49,21 @@ def record_path_edges(spark, sf):
 
 
 @query("record_path_lenient", """
-    SELECT o_orderkey AS id, o_totalprice AS price, o_orderstatus AS status FROM orders WHERE o_orderstatus = 'O'""")
+    SELECT o_orderkey AS id, o_totalprice AS price, o_orderstatus AS status,
+           (SELECT COUNT(*) FROM orders WHERE o_orderstatus = 'P') AS unreadable FROM orders WHERE o_orderstatus = 'O'""")
 def record_path_lenient(spark, sf):
-    """Two wildcards; a missing key, a null edge, a scalar node and broken JSON give no rows."""
+    """Two wildcards; a missing key, a null edge and a scalar node give no rows.  Bodies that are no
+    JSON are set aside and counted."""
     body = F.expr("""CASE o_orderstatus
         WHEN 'O' THEN concat('{"groups":[{"edges":[{"node":{"id":', o_orderkey, ',"price":', o_totalprice,
                              ',"status":"O"}},null,{"node":7},{"other":1}]},{"none":[]}]}')
         WHEN 'F' THEN '{"groups":[{"edges":null},null,5]}'
         ELSE '{"groups":[' END""")
-    return _shown(P.extract_records_lenient(_orders(spark, sf).select(body.alias("body")), "body",
-                                            ["groups", "*", "edges", "*", "node"]))
+    bodies = _orders(spark, sf).select(body.alias("body"))
+    broken = P.unreadable_bodies(bodies, "body")
+    readable = bodies.filter(F.try_parse_json("body").isNotNull())
+    rows = _shown(P.extract_records_lenient(readable, "body", ["groups", "*", "edges", "*", "node"]))
+    return rows.withColumn("unreadable", broken.agg(F.count(F.lit(1))).scalar())
 
 
 @query("envelope_data", """
