@@ -120,3 +120,17 @@ def test_files_as_an_incremental_stream(spark, tmp_path, root):
     assert run_stream(spark, root, one).rows_loaded == 1
     assert sorted(r.a for r in TargetTable(spark, root, "files").read().collect()) == ["1", "2"]
     assert read_state(spark, root).first().cursor_value == "2023-11-14T22:13:21+00:00"
+
+
+def test_a_row_with_too_many_cells_is_an_error(spark, tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    (folder / "good.csv").write_text('a,b\n1,2\n3\n"x,y",\n')
+    rows = read_files(spark, str(folder), multiline=False)
+    assert sorted(map(tuple, rows.select("a", "b").collect()), key=str) == [("1", "2"), ("3", None), ("x,y", "")]
+    assert sorted([r.b for r in rows.select("b").collect()], key=str) == ["", "2", None]
+    for surplus in ("4,5,6", "4,5,", "4,,", '"4,5",6,"7,8"'):
+        (folder / "long.csv").write_text(f"a,b\n{surplus}\n")
+        for column in ("a", "b"):
+            with pytest.raises(Exception, match="long.csv"):
+                read_files(spark, str(folder), multiline=False).select(column).collect()

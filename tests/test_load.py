@@ -1,6 +1,7 @@
 """Tables, commits, cursors and runs, end to end."""
 
 import json
+import time
 from datetime import datetime, timezone
 
 import pytest
@@ -277,3 +278,44 @@ def test_as_of_a_moment(spark, root):
     assert table.version_at(between) == 0 and table.version_at(datetime.now(timezone.utc)) == 1
     with pytest.raises(ValueError):
         table.version_at(datetime(2000, 1, 1))
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Tokyo"])
+def test_cursors_do_not_depend_on_the_drivers_zone(spark, root, monkeypatch, zone):
+    monkeypatch.setenv("TZ", zone)
+    time.tzset()
+    try:
+        source = spark.sql("SELECT id, TIMESTAMP '2024-03-01 12:00:00Z' + make_interval(0, 0, 0, id) AS at FROM range(4)")
+        spec = StreamSpec("timed", incremental=Incremental("at", "timestamp"), partition="none")
+        one = Stream(spec, lambda _, ctx: read_table(source, "at", ctx.floor))
+        assert run_stream(spark, root, one).rows_loaded == 4
+        assert read_state(spark, root).first().cursor_value == "2024-03-04T12:00:00+00:00"
+        assert run_stream(spark, root, one).rows_loaded == 0
+        swept = StreamSpec("swept", key="at", disposition="merge", incremental=Incremental("at", "timestamp"), partition="none",
+                           schema=table_schema(("id", "INTEGER"), ("at", "TIMESTAMP")))
+        sweep = Stream(swept, lambda _, ctx: read_with_bootstrap(ctx, source, ["at"], page_rows=1, max_pages=1))
+        loaded = [run_stream(spark, root, sweep).rows_loaded for _ in range(5)]
+        assert sum(loaded) == 4 and TargetTable(spark, root, "swept").read().count() == 4
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
+def test_values_bind_as_they_are(spark):
+    rows = spark.createDataFrame([("TRIAL", 1.5, "U.S."), ("OTHER", 1.0, "UTC")], "a string, b double, c string")
+    got = read_sql(spark, "SELECT a FROM {t} WHERE a = {kind} AND b = {least} AND c = {land}",
+                   {"kind": "TRIAL", "least": 1.5, "land": "U.S."}, t=rows)
+    assert [r.a for r in got.collect()] == ["TRIAL"]
+    table = jdbc_options("jdbc:x", table="t", cursor="name", floor="O'Brien. T", as_of="now()")["dbtable"]
+    assert table.endswith("WHERE name > 'O''Brien. T') t")
+
+
+def test_secrets_are_masked_before_they_are_escaped(spark, root):
+    def fail(_, ctx):
+        raise RuntimeError('login with pa"ss and hunter22 failed')
+    result = run(spark, root, [Stream(MERGED, fail)], source="s", secrets=['pa"ss', "hunter22"])
+    assert result.status == "failed"
+    log = files.read_text(spark, f"{root}/_logs/{result.run_id}.jsonl")
+    row = read_runs(spark, root).first()
+    for text in (log, row.error_message if "error_message" in row.asDict() else str(row)):
+        assert "hunter22" not in text and 'pa"ss' not in text and 'pa\\"ss' not in text
