@@ -102,9 +102,19 @@ def finished_windows(progress: DataFrame, done: str = "done") -> DataFrame:
         F.count(F.lit(1)).alias("accounts"))
 
 
-def safe_cursor(progress: DataFrame, done: str = "done") -> DataFrame:
+def open_windows(accounts: DataFrame, windows: Column, unfinished: DataFrame, account: str) -> DataFrame:
+    """What ``finished_windows`` tells of a walk of all accounts over all windows, from what is not
+    finished alone: rows (``account``, ``since``).  Accounts are counted once; accounts times
+    windows are never made."""
+    known = accounts.select(account).distinct()
+    total = known.agg(F.count(F.lit(1))).scalar()
+    gaps = unfinished.join(known, account, "left_semi").groupBy("since").agg(F.lit(False).alias("__ok"))
+    return (plan(accounts.sparkSession, windows).join(gaps, "since", "left")
+            .select("since", "until", F.coalesce("__ok", F.lit(True)).alias("all_done"), total.alias("accounts")))
+
+
+def safe_cursor(windows: DataFrame) -> DataFrame:
     """One row ``cursor``: the last day such that every window up to it is finished."""
-    windows = finished_windows(progress, done)
     open_from = F.min(F.when(~F.col("all_done"), F.col("since")))
     return windows.agg(open_from.alias("open_from"), F.max("until").alias("last")).select(
         F.coalesce(F.date_sub("open_from", 1), F.col("last")).alias("cursor"))

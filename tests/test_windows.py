@@ -67,8 +67,8 @@ def test_window_of_a_day_is_the_planned_one(spark):
 def test_safe_cursor_stops_before_an_open_window(spark):
     rows = [(date(2024, 1, 1 + 2 * w), date(2024, 1, 2 + 2 * w), a, not (w == 2 and a == 1)) for w in range(5) for a in range(3)]
     progress = spark.createDataFrame(rows, "since date, until date, account int, done boolean")
-    assert W.safe_cursor(progress).first().cursor == date(2024, 1, 4)
-    assert W.safe_cursor(progress.withColumn("done", F.lit(True))).first().cursor == date(2024, 1, 10)
+    assert W.safe_cursor(W.finished_windows(progress)).first().cursor == date(2024, 1, 4)
+    assert W.safe_cursor(W.finished_windows(progress.withColumn("done", F.lit(True)))).first().cursor == date(2024, 1, 10)
     assert W.finished_windows(progress).filter("all_done").count() == 4
 
 

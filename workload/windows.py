@@ -115,8 +115,7 @@ _FAILED = "o_orderstatus = 'P' AND o_totalprice > 490000"
            COUNT(bad.o_custkey) = 0 AS all_done, COUNT(*) AS accounts
     FROM w CROSS JOIN customer LEFT JOIN bad ON bad.o_custkey = c_custkey AND bad.f = w.f GROUP BY 1, 2""")
 def window_account_progress(spark, sf):
-    progress = _progress(spark, sf)
-    return W.finished_windows(progress).select(day("since").alias("since"), day("until").alias("until"),
+    return _progress(spark, sf).select(day("since").alias("since"), day("until").alias("until"),
                                                "all_done", "accounts")
 
 
@@ -124,11 +123,10 @@ def _progress(spark, sf):
     """Every customer's windows, a window of a customer being done unless an order in it failed."""
     first, last = date(1995, 1, 1), date(2001, 8, 1)
     plan = W.inclusive(F.lit(first), F.lit(last), 90)
-    walked = W.per_account(table(spark, sf, "customer").select("c_custkey"), plan)
     failed = table(spark, sf, "orders").filter(_FAILED).select(
         F.col("o_custkey").alias("c_custkey"),
-        W.window_start(F.to_date("o_orderdate"), first, 90).alias("since"), F.lit(False).alias("ok")).distinct()
-    return walked.join(failed, ["c_custkey", "since"], "left").withColumn("done", F.coalesce("ok", F.lit(True)))
+        W.window_start(F.to_date("o_orderdate"), first, 90).alias("since"))
+    return W.open_windows(table(spark, sf, "customer"), plan, failed, "c_custkey")
 
 
 @query("window_safe_cursor", f"""
