@@ -8,7 +8,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..sinks.files import checkpoint_folder
+from ..sinks.files import delete, scratch
 from ..spec import SpecError, utc
 
 
@@ -65,16 +65,23 @@ def slice_end(df: DataFrame, key: Sequence[str], rows: int) -> tuple | None:
     """The key of the ``rows``-th row in key order; ``None`` when fewer rows are left.
 
     Only key columns move.  Rows are first counted per key, which also folds a key
-    that repeats; the counts are range-partitioned and written out once (a
-    checkpoint), the partition holding the wanted rank is found from one total per
+    that repeats; the counts are range-partitioned and written out once (and deleted
+    in the end), the partition holding the wanted rank is found from one total per
     partition, and only that partition is ranked row by row.
     """
-    checkpoint_folder(df.sparkSession)
     names = [f"`{k}`" for k in key]
     counted = df.groupBy(*names).agg(F.count(F.lit(1)).alias("__n"))
-    ranged = (counted.repartitionByRange(*names)
-              .withColumn("__p", F.spark_partition_id()).checkpoint())
-    before = 0
+    folder = scratch(df.sparkSession, "ranks")
+    ranged = counted.repartitionByRange(*names).withColumn("__p", F.spark_partition_id())
+    ranged.write.parquet(folder)
+    try:
+        return _key_at(df, df.sparkSession.read.schema(ranged.schema).parquet(folder), key, rows)
+    finally:
+        delete(df.sparkSession, folder)
+
+
+def _key_at(df: DataFrame, ranged: DataFrame, key: Sequence[str], rows: int) -> tuple | None:
+    names, before = [f"`{k}`" for k in key], 0
     for p, n in sorted((r["__p"], r["n"]) for r in
                        ranged.groupBy("__p").agg(F.sum("__n").alias("n")).collect()):
         if before + n >= rows:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from datetime import datetime, timezone
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -30,6 +31,12 @@ def list_names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(at))
 
 
+def modified(spark: SparkSession, path: str) -> datetime:
+    """When a file or folder was last changed."""
+    millis = _fs(spark, path).getFileStatus(_path(spark, path)).getModificationTime()
+    return datetime.fromtimestamp(millis / 1000, timezone.utc)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     stream = _fs(spark, path).open(_path(spark, path))
     try:

@@ -30,6 +30,11 @@ from ..spec import (SYNCED_AT, Mode, PartitionKind, PartitionSpec, SpecError, ch
                     with_synced_at)
 
 COMMIT = "_commit"
+# Every so many versions a commit tidies up: partitions of more commits than this are put together,
+# and versions older than the newest ones are forgotten, with the files that only they had.
+TIDY_EVERY, MOST_COMMITS, KEEP_VERSIONS = 50, 30, 500
+# Folders that no version names are those of a failed commit, or of one that is being written.
+ORPHAN_HOURS = 48
 
 
 def state_key(connector: str, stream: str) -> str:
@@ -159,8 +164,45 @@ class TargetTable:
         if row:
             pointer["states"] = {**pointer.get("states", {}), state_key(row["connector"], row["stream"]): row}
         self._publish(pointer)
+        if pointer["version"] and pointer["version"] % TIDY_EVERY == 0:
+            self.tidy()
         return pointer
 
+    def tidy(self, most_commits: int | None = None, keep_versions: int | None = None,
+             orphan_hours: float = ORPHAN_HOURS) -> None:
+        """Keep the pointer and the log bounded however many commits there are.
+
+        Partitions with over ``most_commits`` commits are rewritten as one, in a version of their own; only
+        the newest ``keep_versions`` versions stay readable; files that none of them names
+        go, those that no version ever named once they are ``orphan_hours`` old.
+        """
+        most_commits = MOST_COMMITS if most_commits is None else most_commits
+        keep_versions = KEEP_VERSIONS if keep_versions is None else keep_versions
+        before = self.pointer()
+        if before is None:
+            return
+        crowded = {p for p, commits in before["parts"].items() if len(commits) > most_commits}
+        if crowded:
+            pointer, commit_id = dict(before), uuid.uuid4().hex
+            written = self._write(self._rows(before, sorted(crowded)), commit_id)
+            self._adopt(pointer, {p: c for p, c in before["parts"].items() if p not in crowded}, commit_id, written)
+            self._publish({**pointer, "version": before["version"] + 1, "commit": commit_id,
+                           "committed_at": datetime.now(timezone.utc).isoformat()})
+        versions = self.versions()
+        old, kept = versions[:-keep_versions], versions[-keep_versions:]
+        named = {c for v in kept for commits in self.pointer(v)["parts"].values() for c in commits}
+        dropped = {c for v in old for commits in self.pointer(v)["parts"].values() for c in commits} - named
+        now = datetime.now(timezone.utc)
+        for folder in files.list_names(self.spark, f"{self.home}/data"):
+            path, commit_id = f"{self.home}/data/{folder}", folder.removeprefix(f"{COMMIT}=")
+            if commit_id in named:
+                continue
+            age = now - files.modified(self.spark, path)
+            if commit_id in dropped or age.total_seconds() > 3600 * orphan_hours:
+                files.delete(self.spark, path)
+        for version in old:
+            files.delete(self.spark, f"{self.home}/log/{version:012d}.json")
+
     def _merge(self, pointer: dict, df: DataFrame, schema: T.StructType, partition: PartitionSpec | None,
                key: tuple[str, ...], value: Column, commit_id: str) -> int:
         """Stage the batch, rewrite the partitions it touches, drop the stage; the batch's

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from millrace.load import Context, Stream, load_frame, read_runs, run, run_stream, settle, stream
 from millrace.operators import reports as R
 from millrace.operators.partitioning import PartitionMismatch
-from millrace.operators.schema import SchemaError
-from millrace.sinks import files
+from millrace.operators.schema import SchemaError, stamped
+from millrace.sinks import files, tables
 from millrace.sinks.tables import TargetTable, read_state, reset_state
 from millrace.sources.bootstrap import read_with_bootstrap
 from millrace.sources.tables import all_text, jdbc_options, read_query, read_sql, read_table
@@ -319,3 +319,29 @@ def test_secrets_are_masked_before_they_are_escaped(spark, root):
     row = read_runs(spark, root).first()
     for text in (log, row.error_message if "error_message" in row.asDict() else str(row)):
         assert "hunter22" not in text and 'pa"ss' not in text and 'pa\\"ss' not in text
+
+
+def test_pointer_and_log_stay_bounded(spark, root, monkeypatch):
+    monkeypatch.setattr(tables, "TIDY_EVERY", 5)
+    monkeypatch.setattr(tables, "MOST_COMMITS", 3)
+    monkeypatch.setattr(tables, "KEEP_VERSIONS", 4)
+    table = TargetTable(spark, root, "small")
+    frame = lambda i: stamped(spark.createDataFrame([(i,)], "id int"), F.lit(AT).cast("timestamp"))
+    for i in range(23):
+        table.commit(frame(i), "append", state={"connector": "c", "stream": "s", "cursor_value": str(i)})
+    versions = table.versions()
+    assert len(versions) <= 4 + 5 and max(len(c) for c in table.pointer()["parts"].values()) <= 3 + 5
+    assert sorted(r.id for r in table.read().collect()) == list(range(23))
+    ids = {v: len(table.read(v).collect()) for v in versions}
+    assert all(0 < n <= 23 for n in ids.values()) and ids[versions[-1]] == 23
+    assert table.state("c", "s")["cursor_value"] == "22"
+    folders = files.list_names(spark, f"{root}/small/data")
+    assert len(folders) <= 3 + 2 * 5 + 4
+    with pytest.raises(ValueError):
+        table.read(0)
+    spark.range(1).write.parquet(f"{root}/small/data/_commit=failed")
+    table.tidy()
+    assert "_commit=failed" in files.list_names(spark, f"{root}/small/data")
+    table.tidy(orphan_hours=0)
+    assert "_commit=failed" not in files.list_names(spark, f"{root}/small/data")
+    assert table.read().count() == 23
