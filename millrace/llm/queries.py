@@ -18,6 +18,12 @@ URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example
 LEAST_TAIL = 0.4
 
 
+# SQL: a text with A-Z in lower case; words of digits, letters and everything beyond ASCII; blanks.
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_LETTER_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_BLANK, _NOT_BLANK = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
+
+
 def query(name: str, sql: str | None = None):
     def register(fn):
         @functools.wraps(fn)
@@ -73,7 +79,21 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_join(spans, ",").alias("spans"))
 
 
-@query("op4_decontaminate")
+@query("op4_decontaminate", rf"""
+    WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_LETTER_WORD}') AS w FROM documents),
+    b AS (SELECT item_id, w, least(13, len(w)) AS k FROM (
+        SELECT item_id, regexp_extract_all({_LOWER}, '{_LETTER_WORD}') AS w FROM benchmark) t WHERE len(w) > 0),
+    grams AS (SELECT DISTINCT item_id, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS g
+              FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM b) t),
+    windows AS (SELECT doc_id, i, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS g FROM (
+        SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM b) s) t),
+    hits AS (SELECT doc_id, i, k, item_id FROM windows JOIN grams USING (k, g)),
+    words AS (SELECT doc_id, COUNT(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) t GROUP BY 1),
+    items AS (SELECT doc_id, COUNT(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids FROM (
+        SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM hits) t GROUP BY 1)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_items, 0) AS n_items,
+           sha256(COALESCE(ids, '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated
+    FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.judged(decontaminate.find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
@@ -85,7 +105,33 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-@query("op6_quality_rules")
+@query("op6_quality_rules", rf"""
+    WITH d AS (SELECT doc_id, COALESCE(source, '') AS host, COALESCE(text, '') AS text,
+                      list_filter(regexp_split_to_array(COALESCE(text, ''), '{_BLANK}+'), lambda x: x <> '') AS w FROM documents),
+    windows AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (
+        SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d) t),
+    often AS (SELECT doc_id, i FROM windows QUALIFY COUNT(*) OVER (PARTITION BY doc_id, g) > 1),
+    repeats AS (SELECT doc_id, COUNT(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM often) t GROUP BY 1),
+    lines AS (SELECT doc_id, host, list_filter(regexp_split_to_array({_LOWER}, '{_BLANK}+'), lambda x: x <> '') AS l FROM (
+        SELECT doc_id, host, unnest(string_split(text, chr(10))) AS text FROM d) t),
+    normal AS (SELECT doc_id, host, array_to_string(l, ' ') AS line, len(l) AS n FROM lines WHERE len(l) > 0),
+    hosts AS (SELECT host, COUNT(*) AS documents FROM d GROUP BY 1),
+    common AS (SELECT host, line FROM normal JOIN hosts USING (host) GROUP BY host, line, documents
+               HAVING COUNT(DISTINCT doc_id) > {quality_rules.MAX_DOCUMENTS}
+                  AND COUNT(DISTINCT doc_id) * {quality_rules.MAX_SHARE} > documents),
+    removed AS (SELECT doc_id, SUM(n) AS n FROM normal JOIN common USING (host, line) GROUP BY 1),
+    base AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, COALESCE(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars,
+                    length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+                    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{_NOT_BLANK}')) AS l,
+                    COALESCE(repeats.n, 0) AS n_repeat_words, len(w) - COALESCE(removed.n, 0) AS n_left
+             FROM d LEFT JOIN repeats USING (doc_id) LEFT JOIN removed USING (doc_id))
+    SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols,
+           CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, n_repeat_words,
+           n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+           NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+               AND n_left >= {quality_rules.LEAST_WORDS} AND n_left >= {quality_rules.LEAST_SHARE} * n_words AS kept,
+           CAST(n_left AS BIGINT) AS n_left
+    FROM base""")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge_quality(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
