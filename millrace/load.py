@@ -6,11 +6,13 @@ import json
 import traceback
 import uuid
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from typing import Any
 
 from py4j.protocol import Py4JJavaError
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from . import session
@@ -22,7 +24,7 @@ from .operators.schema import check_strict, evolved, inferred_schema, require, s
 from .operators.upsert import keep_last, null_key_rows
 from .sinks import files
 from .sinks.tables import TargetTable, state_of
-from .spec import (Contract, Disposition, Incremental, PartitionSpec, RunMode, StreamSpec, cursor_to_json,
+from .spec import (Contract, Disposition, Incremental, PartitionSpec, RunMode, SpecError, StreamSpec, cursor_to_json,
                    logical_type, typed_cursor)
 
 RUNS_TABLE = "_runs"
@@ -276,30 +278,43 @@ def run_stream(spark: SparkSession, root: str, one: Stream, *, source: str = "",
 def run(spark: SparkSession, root: str, streams: Iterable[Stream], *, source: str = "", config: str = "",
         target: str = "", full_refresh: bool = False, modes: Mapping[str, Any] | None = None,
         since: Mapping[str, Any] | None = None, secrets: Iterable[str] = (),
-        run_at: datetime | None = None) -> RunResult:
+        run_at: datetime | None = None, parallel: int = 1) -> RunResult:
     """Run streams in order, record the run, and return its result; a failing stream
-    ends the run and the rest are ``skipped``.  Never raises: see ``raise_for_status``."""
+    ends the run and those not yet begun are ``skipped``.  Never raises: see ``raise_for_status``.
+
+    ``parallel`` streams run at a time, so that small ones share the cluster; results keep
+    the declared order.  Streams that load one table must not run at a time.
+    """
     run_id, streams = uuid.uuid4().hex, list(streams)
     log = EventLog(run_id, secrets)
     started = datetime.now(timezone.utc)
-    results: list[StreamResult] = []
-    error: BaseException | None = None
+    errors: list[BaseException] = []
     log.emit("run_start", config=config, source=source, destination="parquet", target=target,
              full_refresh=full_refresh)
-    for one in streams:
+
+    def attempt(one: Stream) -> StreamResult:
         name = one.spec.name
-        if error is not None:
-            results.append(StreamResult(name, status="skipped"))
-            continue
+        if errors:
+            return StreamResult(name, status="skipped")
         try:
-            results.append(run_stream(spark, root, one, source=source, run_id=run_id, run_at=run_at,
-                                      mode=(modes or {}).get(name), full_refresh=full_refresh,
-                                      since=(since or {}).get(name), log=log))
+            return run_stream(spark, root, one, source=source, run_id=run_id, run_at=run_at,
+                              mode=(modes or {}).get(name), full_refresh=full_refresh,
+                              since=(since or {}).get(name), log=log)
         except Exception as failure:
-            error = failure
-            results.append(StreamResult(name, status="failed"))
+            errors.append(failure)
             log.emit("stream_failed", stream=name, error_type=type(failure).__name__,
                      error_message=str(failure), traceback=traceback.format_exc())
+            return StreamResult(name, status="failed")
+
+    if parallel > 1:
+        tables = [one.spec.table for one in streams]
+        if len(set(tables)) < len(tables):
+            raise SpecError("streams that load one table can't run in parallel")
+        with ThreadPoolExecutor(parallel) as pool:
+            results = list(pool.map(inheritable_thread_target(spark)(attempt), streams))
+    else:
+        results = [attempt(one) for one in streams]
+    error = errors[0] if errors else None
     ended = datetime.now(timezone.utc)
     status = "failed" if error is not None else "succeeded"
     result = RunResult(run_id, source, status, started, ended, results, error)

@@ -345,3 +345,20 @@ def test_pointer_and_log_stay_bounded(spark, root, monkeypatch):
     table.tidy(orphan_hours=0)
     assert "_commit=failed" not in files.list_names(spark, f"{root}/small/data")
     assert table.read().count() == 23
+
+
+def test_streams_in_parallel(spark, root):
+    def stream_of(name, n):
+        spec = StreamSpec(name, schema=ITEMS, partition="none", incremental=Incremental("updated_at", "int"))
+        return Stream(spec, lambda _, ctx: read_table(items(spark, *[(i, name, i) for i in range(n)]), "updated_at", ctx.floor))
+    result = run(spark, root, [stream_of(f"s{i}", i + 1) for i in range(4)], source="p", parallel=3)
+    assert result.status == "succeeded" and [s.rows_loaded for s in result.streams] == [1, 2, 3, 4]
+    assert {r.stream: r.cursor_value for r in read_state(spark, root, "p").collect()} == {f"s{i}": str(i) for i in range(4)}
+
+    def fail(_, ctx):
+        raise RuntimeError("gone")
+    broken = [stream_of("s0", 9), Stream(StreamSpec("bad"), fail)]
+    result = run(spark, root, broken, source="p", parallel=2)
+    assert result.status == "failed" and [s.status for s in result.streams] == ["succeeded", "failed"]
+    with pytest.raises(SpecError):
+        run(spark, root, [stream_of("s0", 1)] * 2, parallel=2)
