@@ -52,14 +52,19 @@ ROWS, MISS = 1, 1e-4
 _SEEDS = np.random.default_rng(77).integers(1, 1 << 63, (512, 2), dtype=np.uint64) | np.uint64(1)
 
 
+#: A window is so many blocks, each a quarter of the shingles of the longest template of its class.
+BLOCKS = 5
+
+
 def bands_needed(rows: int = ROWS, containment: float = CONTAINMENT, miss: float = MISS) -> int:
     """Bands that retrieve a contained template with a chance of 1 - ``miss`` at least.
 
-    A window has twice the shingles of the longest template of its class, which has under twice those of the shortest:
-    t shingles of which ``containment`` are among the window's 4 t at most.  So their Jaccard similarity is
-    at least containment / (5 - containment), and a band agrees with that to the power of its rows.
+    A template of t shingles is in a class whose windows have 2.5 t at most, and any run of t shingles is
+    in a window.  With ``containment`` of them there, the Jaccard similarity is at least containment /
+    (3.5 - containment), and a band agrees with that to the power of its rows.  Templates of one shingle have
+    windows of one, where the first band decides.
     """
-    similarity = containment / (5 - containment)
+    similarity = containment / (3.5 - containment)
     return int(np.ceil(np.log(miss) / np.log(1 - similarity ** rows)))
 
 
@@ -86,77 +91,114 @@ class Templates:
                     found = np.unique(rolling(words, size))
                     width = 1 << int(np.ceil(np.log2(len(found))))
                     self.classes.setdefault((size, width), []).append(_Template(name, i, found))
-        self.index = {key: [{} for _ in range(self.bands)] for key in self.classes}
+        #: By class and band: band values, and the templates that have them.
+        self.known: dict[tuple[int, int], list[dict[int, list[int]]]] = {}
         for key, members in self.classes.items():
+            self.known[key] = [{} for _ in range(self.bands)]
             for t, template in enumerate(members):
-                for band, value in enumerate(self.banded(template.shingles, np.array([0]))[:, 0].tolist()):
-                    self.index[key][band].setdefault(value, []).append(t)
-        self.known = {key: [np.array(sorted(x), np.uint64) for x in index] for key, index in self.index.items()}
+                for band, known in enumerate(self.known[key]):
+                    value = np.zeros(1, np.uint64)
+                    for seed in self._seeds(band):
+                        value = _fold(value, self._values(template.shingles, seed).min(keepdims=True), seed)
+                    known.setdefault(int(value[0]), []).append(t)
 
-    def banded(self, shingles: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Band values (band, window) of consecutive windows that begin at ``starts``."""
-        out = np.zeros((self.bands, len(starts)), np.uint64)
-        for band in range(self.bands):
-            for a, b in _SEEDS[band * self.rows:(band + 1) * self.rows]:
-                least = np.minimum.reduceat(shingles * a + (b ^ (shingles >> np.uint64(32))), starts)
-                out[band] = mix(out[band] * a + least)
-        return out
+    def _seeds(self, band: int) -> np.ndarray:
+        return _SEEDS[band * self.rows:(band + 1) * self.rows]
+
+    @staticmethod
+    def _values(shingles: np.ndarray, seed: np.ndarray) -> np.ndarray:
+        return shingles * seed[0] + (seed[1] ^ (shingles >> np.uint64(32)))
 
     def find(self, first: np.ndarray, hashes: np.ndarray):
         """For the texts of a batch: (text, first word, end word, template, containment)."""
         for size in sorted({size for size, _ in self.classes}):
-            shingles = rolling(hashes, size)
-            widths = sorted(width for x, width in self.classes if x == size)
-            if len(shingles):
-                for width, steps, text, values in self._windows(shingles, first, size, widths):
-                    yield from self._verified(shingles, first, size, width, steps, text, values)
-
-    def _windows(self, shingles, first, size, widths):
-        """Steps of as many shingles as the longest template of a class has; a window is two steps of a text and
-        overlaps the next one."""
-        ends = first[1:] - size + 1
-        long = np.flatnonzero(ends > first[:-1])
-        layouts = []
-        for width in widths:
-            steps = np.concatenate([np.arange(first[i], ends[i], width) for i in long] or [np.zeros(0, np.int64)])
-            text = np.searchsorted(first, steps, side="right") - 1
-            until = np.minimum(np.append(steps[1:], len(shingles)), ends[text])
-            layouts.append((width, steps, text, np.stack([steps, until], 1).ravel(), np.flatnonzero(text[1:] == text[:-1]),
-                            np.zeros((self.bands, len(steps)), np.uint64)))
-        if not len(long):
-            return
-        high = shingles >> np.uint64(32)
+            whole = rolling(hashes, size)
+            counts = np.maximum(np.diff(first) - size + 1, 0)
+            if counts.any():
+                # shingles inside a text, one text after the other
+                text = np.repeat(np.arange(len(counts)), counts)
+                inside = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
+                yield from self._of_size(size, whole[first[text] + inside], text, inside)
+
+    def _of_size(self, size: int, shingles: np.ndarray, text: np.ndarray, inside: np.ndarray):
+        levels = self._levels(size, text, inside)
+        hits: dict[int, set[tuple[int, int]]] = {level.block: set() for level in levels}
         for band in range(self.bands):
-            for a, b in _SEEDS[band * self.rows:(band + 1) * self.rows]:
-                values = np.append(shingles * a + (b ^ high), ~np.uint64(0))
-                for _, _, _, edges, same, out in layouts:
-                    least = np.minimum.reduceat(values, edges)[::2]
-                    two = least.copy()
-                    two[same] = np.minimum(least[same], least[same + 1])
-                    out[band] = mix(out[band] * a + two)
-        yield from ((width, steps, text, out) for width, steps, text, _, _, out in layouts)
-
-    def _verified(self, shingles, first, size, width, steps, text, values):
-        members, hit = self.classes[size, width], set()
-        for band, known in enumerate(self.known[size, width]):
-            v = values[band]
-            at = np.flatnonzero(known[np.minimum(np.searchsorted(known, v), len(known) - 1)] == v)
-            hit.update((int(i), t) for i in at for t in self.index[size, width][band][int(v[i])])
-        for i, t in sorted(hit):
-            start, end = int(steps[i]), min(int(steps[i]) + 2 * width, int(first[text[i] + 1]) - size + 1)
-            inside = np.flatnonzero(np.isin(shingles[start:end], members[t].shingles))
-            share = len(np.unique(shingles[start + inside])) / len(members[t].shingles)
-            if share >= CONTAINMENT:
-                a = int(first[text[i]])
-                yield int(text[i]), start + int(inside[0]) - a, start + int(inside[-1]) + size - a, members[t], share
+            folded: dict[int, np.ndarray] = {}
+            for seed in self._seeds(band):
+                least = self._values(shingles, seed)
+                for level in levels:
+                    if level.starts is not None:
+                        least = np.minimum.reduceat(least, level.starts)
+                    for width in level.widths:
+                        if width > 1 or not band:
+                            window = least if width == 1 else level.windows(least)
+                            folded[width] = _fold(folded.get(width, np.zeros(len(window), np.uint64)), window, seed)
+            for level in levels:
+                for width in level.widths:
+                    if width in folded:
+                        for value, templates in self.known[size, width][band].items():
+                            at = np.flatnonzero(folded[width] == np.uint64(value)).tolist()
+                            hits[level.block].update((i, width, t) for i in at for t in templates)
+        ends = np.cumsum(np.bincount(text))
+        for level in levels:
+            for i, width, t in sorted(hits[level.block]):
+                template, start = self.classes[size, width][t], int(level.first[i])
+                end = min(start + (1 if width == 1 else BLOCKS * level.block), int(ends[text[start]]))
+                found = np.flatnonzero(np.isin(shingles[start:end], template.shingles)) + start
+                share = len(np.unique(shingles[found])) / len(template.shingles)
+                if share >= CONTAINMENT:
+                    yield int(text[start]), int(inside[found[0]]), int(inside[found[-1]]) + size, template, share
+
+    def _levels(self, size: int, text: np.ndarray, inside: np.ndarray) -> list["_Level"]:
+        widths = sorted(width for x, width in self.classes if x == size)
+        out, block, first = [], 1, np.arange(len(text))
+        while block <= max(1, widths[-1] // 4):
+            starts = None
+            if block > 1:
+                starts = np.flatnonzero(inside[first] % block == 0)
+                first = first[starts]
+            of = text[first]
+            out.append(_Level(block, [w for w in widths if max(1, w // 4) == block], first, starts,
+                              {k: of[k:] == of[:-k] for k in (1, 2, 4)}))
+            block *= 2
+        return out
+
+
+@dataclass
+class _Level:
+    """Blocks of one length: their first shingles, where they begin among the blocks of half that length,
+    and whether the blocks 1, 2 and 4 places on are of the same text."""
+
+    block: int
+    widths: list[int]
+    first: np.ndarray
+    starts: np.ndarray | None
+    same: dict[int, np.ndarray]
+
+    def windows(self, least: np.ndarray) -> np.ndarray:
+        """Least value of each block and the four after it."""
+        two = self._with(least, least, 1)
+        return self._with(self._with(two, two, 2), least, 4)
+
+    def _with(self, values: np.ndarray, others: np.ndarray, step: int) -> np.ndarray:
+        out = values.copy()
+        if len(out) > step:
+            np.minimum(values[:-step], others[step:], out=out[:-step], where=self.same[step])
+        return out
+
+
+def _fold(value: np.ndarray, least: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    """A band's value with one more of its rows."""
+    return mix(value * seed[0] + least)
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None, id_col: str = "doc_id",
                   text_col: str = "text", shingle: int = SHINGLE, rows: int = ROWS) -> DataFrame:
     """doc_id, n_words and ``found``: an array of (license, variant, first, words, containment) by first word.
 
-    Windows of consecutive shingles (``shingle`` words; a shorter template is one shingle), two steps long
-    and overlapping by one, are looked up by their MinHash bands; as many bands are taken as retrieve a template of
+    Windows of consecutive shingles (``shingle`` words; a shorter template is one shingle), five blocks long
+    and a block apart, are looked up by their MinHash bands; as many bands are taken as retrieve a template of
     which 0.8 are in a window with a chance of 0.9999.  A hit counts if 0.8 of the template's
     shingles are in the window; of hits of one template that overlap, the fullest counts.  Words are
     digits, letters and everything beyond ASCII, A-Z in lower case.  A null or empty text has no words
