@@ -1,5 +1,8 @@
 import random
 
+from pyspark.sql import functions as F
+
+from millrace.llm import line_dedup
 from millrace.llm.line_dedup import dedup_lines, line_chunks
 
 
@@ -64,10 +67,16 @@ def test_against_brute_force(llm):
     assert "shared line 5 of the passage" in dict(got)[0]
 
 
-def test_equal_hashes_of_unequal_chunks_stay(llm):
-    rows = [(i, f"a{i}\nb{i}\nc{i}\nd{i}") for i in range(30)]
+def test_equal_hashes_of_unequal_chunks(llm, monkeypatch):
+    """With hashes of two bits nearly all chunks collide; their bytes decide."""
+    rows = [(i, "\n".join(f"line {(i * k) % 17} of {k}" for k in range(12))) for i in range(25)]
     docs = llm.createDataFrame(rows, "doc_id bigint, text string")
-    assert sorted((r.doc_id, r.text) for r in dedup_lines(docs).collect()) == rows
+    chunked = {t: [plain(c) for c in chunks_of(llm, t)] for _, t in rows}
+    want = sorted(brute(rows, chunked))
+    whole = F.xxhash64
+    monkeypatch.setattr(line_dedup, "chunk_hash", lambda c: F.pmod(whole(c), F.lit(4)))
+    got = sorted((r.doc_id, r.text) for r in dedup_lines(docs).collect())
+    assert got == want and got != sorted(rows)
 
 
 def test_a_long_text_takes_linear_time(llm):
