@@ -75,11 +75,18 @@ def fit_ordinal(rows: list[tuple[bytes, int]], grades: int, width: int = WIDTH,
     theta = np.maximum.accumulate(theta + 1e-3 * np.arange(grades - 1))
     if len(set(y.tolist())) < 2:
         return OrdinalModel(np.zeros(1 << width), theta, width)
-    parts = [features(data, width) for data, _ in rows]
-    first = np.concatenate([[0], np.cumsum([len(a) for a, _ in parts])])
-    row = np.repeat(np.arange(len(rows)), np.diff(first))
-    places, at = np.unique(np.concatenate([a for a, _ in parts]), return_inverse=True)
-    values = np.concatenate([v for _, v in parts])
+    sizes, at, values = [], [], []
+    for data, _ in rows:
+        found, worth = features(data, width)
+        sizes.append(len(found))
+        at.append(found.astype(np.int32))
+        values.append(worth.astype(np.float32))
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
+    at, values = np.concatenate(at), np.concatenate(values)
+    used = np.zeros(1 << width, bool)
+    used[at] = True
+    places = np.flatnonzero(used)
+    at = (np.cumsum(used, dtype=np.int32) - 1)[at]
     importance = (1 / np.sqrt(share))[y]
     importance /= importance.mean() * len(y)
     state = np.zeros(len(places) + grades - 1)
