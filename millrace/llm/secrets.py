@@ -18,7 +18,10 @@ KINDS = ("assign", "access", "hex", "random")
 
 #: Shortest and longest run that the battery judges as one token; longer runs are judged in parts.
 MIN_LENGTH, MAX_LENGTH = 16, 512
-_TOKEN = re.compile(rb"[A-Za-z0-9+/_=-]{%d,%d}" % (MIN_LENGTH, MAX_LENGTH))
+_TOKEN = re.compile(rb"([A-Za-z0-9+/_-]{%d,%d})(?:={1,2}(?![A-Za-z0-9+/_=-]))?" % (MIN_LENGTH, MAX_LENGTH))
+#: Signs of base64, of base64url, and of either.
+_SIGNS = tuple(re.compile(x) for x in (rb"[+/]+", rb"[_-]+", rb"[+/_-]+"))
+_ONE_CLASS = re.compile(rb"[a-z+/_-]*|[A-Z+/_-]*")
 _KEYWORDS = (b"passw", b"secret", b"token", b"api")
 
 #: Share in percent of the letters a-z in ordinary prose.
@@ -38,7 +41,10 @@ ENCODINGS = {
     "base62": _UPPER + _LOWER + _DIGIT,
     "base64": _UPPER + _LOWER + _DIGIT + b"+/",
     "base64url": _UPPER + _LOWER + _DIGIT + b"-_",
+    "lower": _LOWER,
+    "upper": _UPPER,
 }
+_SINGLE = {0b0010: list(ENCODINGS).index("lower"), 0b0100: list(ENCODINGS).index("upper")}
 #: Upper ends of the length classes, each with its own weight in the false-discovery control.
 LENGTHS = (20, 24, 32, 48, MAX_LENGTH)
 #: p values are rounded up to these steps of -log10.
@@ -52,6 +58,35 @@ def _tail(z: np.ndarray) -> np.ndarray:
     return np.array([0.5 * math.erfc(x / math.sqrt(2)) for x in z])
 
 
+def _parts(data: bytes, sign: re.Pattern, start: int, end: int) -> list[tuple[int, int]]:
+    out, at = [], start
+    for m in sign.finditer(data, start, end):
+        out.append((at, m.start()))
+        at = m.end()
+    return [*out, (at, end)]
+
+
+def tokens_of(data: bytes) -> list[tuple[int, int, int]]:
+    """(start, end, end with padding) of the tokens of a text, in order.
+
+    Runs are parted at "=", which counts as padding only at a run's end.  A run with signs of base64 and of
+    base64url is parted at those of one of them: at those that leave the longest part.  Letters of one class
+    with signs between them are parted at every sign.
+    """
+    out = []
+    for m in _TOKEN.finditer(data):
+        (start, end), token = m.span(1), m[1]
+        std, url = b"+" in token or b"/" in token, b"-" in token or b"_" in token
+        if (std or url) and _ONE_CLASS.fullmatch(token):
+            parts = _parts(data, _SIGNS[2], start, end)
+        elif std and url:
+            parts = max((_parts(data, sign, start, end) for sign in _SIGNS[:2]), key=lambda x: max(b - a for a, b in x))
+        else:
+            parts = [(start, end)]
+        out += [(a, b, m.end() if b == end else b) for a, b in parts if b - a >= MIN_LENGTH]
+    return out
+
+
 class Battery:
     """The tests of one token, for arrays of tokens.
 
@@ -60,6 +95,10 @@ class Battery:
     values combined (Fisher) must not speak against a random string.  Against prose: the same chi-squared
     and runs figures, under letter shares and class changes of ordinary text, give the p value that
     goes into the false-discovery control.  It falls with length by itself.
+
+    Letters of one class have no class runs.  Chi-squared and serial correlation are tested against chance;
+    against prose, the likelihood ratio of uniform letters to letter shares, which uses which letters are
+    frequent and not only how unevenly they are spread.
     """
 
     def __init__(self):
@@ -69,7 +108,8 @@ class Battery:
         for i, members in enumerate((_LOWER, _UPPER, _DIGIT)):
             self.classes[list(members)] = i + 1
         self.fits = np.zeros(256, np.int64)
-        self.size, self.prose, self.change = [], [], []
+        self.ratio = np.zeros((len(names), 256))
+        self.size, self.prose, self.change, self.ratios = [], [], [], []
         for e, name in enumerate(names):
             alphabet = ENCODINGS[name]
             self.codes[e, list(alphabet)] = np.arange(len(alphabet))
@@ -80,16 +120,33 @@ class Battery:
                 share = np.array([LETTER_SHARES[c - 65] if 65 <= c < 91 else 1.0 for c in alphabet])
             share /= share.sum()
             kinds = np.bincount(self.classes[list(alphabet)], minlength=4) / len(alphabet)
+            ratio = -np.log(share * len(alphabet))
+            self.ratio[e, list(alphabet)] = ratio
+            self.ratios.append((ratio.mean(), ratio @ share, math.sqrt(max(ratio ** 2 @ share - (ratio @ share) ** 2, 1e-12))))
             self.size.append(len(alphabet))
             self.prose.append((share ** 2, share ** 3))
             self.change.append(1 - (kinds ** 2).sum())
         self.size, self.change = np.array(self.size), np.array(self.change)
         self.two = np.array([x.sum() for x, _ in self.prose])
         self.three = np.array([x.sum() for _, x in self.prose])
+        #: of the log of the ratio at one letter: mean if uniform, mean and deviation in prose
+        self.ratios = np.array(self.ratios)
+
+    def z_random(self, e: int, m: float) -> float:
+        """Figure against prose that a random token of ``m`` characters has on average."""
+        if self.change[e] == 0:
+            uniform, mean, spread = self.ratios[e]
+            return (uniform - mean) * math.sqrt(m) / (1.4 * spread)
+        k, two, three = self.size[e], self.two[e], self.three[e]
+        spread = (k / m) * math.sqrt(4 * m ** 3 * (three - two ** 2) + 2 * m ** 2 * two ** 2)
+        z_chi = (k * ((1 - two) + m * two) - m - (k - 1)) / (1.4 * spread)
+        z_runs = (m - 1) * (self.change[e] - CLASS_CHANGE) / math.sqrt((m - 1) * CLASS_CHANGE * (1 - CLASS_CHANGE))
+        return (z_chi + z_runs) / math.sqrt(2)
 
     def __call__(self, data: bytes, starts: np.ndarray, ends: np.ndarray):
         """Encoding, step of -log10 p against prose, and whether chance may have made it.
-        Tokens of a single class of characters have encoding -1: they are words or numbers."""
+        Numbers, and letters of one class with signs, have encoding -1: digits are as even in numbers as
+        in random strings."""
         raw = np.frombuffer(data, np.uint8)
         n = ends - starts
         token = np.repeat(np.arange(len(n)), n)
@@ -101,6 +158,11 @@ class Battery:
         kinds &= 0b1110
         mixed = (kinds & (kinds - 1)) != 0
         encoding = np.where(mixed & (fits != 0), np.log2(np.maximum(fits & -fits, 1)).astype(np.int64), -1)
+        plain = np.bitwise_or.reduceat((self.classes[chars] == 0).astype(np.int64), first) == 0
+        single = np.zeros(len(n), bool)
+        for kind, name in _SINGLE.items():
+            encoding[(kinds == kind) & plain] = name
+            single |= (kinds == kind) & plain
         e = np.maximum(encoding, 0)
         codes = self.codes[e[token], chars]
         k, m = self.size[e].astype(float), n.astype(float)
@@ -115,18 +177,22 @@ class Battery:
         serial /= np.sqrt(m - 1) * (k * k - 1) / 12
         # against chance
         p_chi = _tail(((chi / (k - 1)) ** (1 / 3) - (1 - 2 / (9 * (k - 1)))) / np.sqrt(2 / (9 * (k - 1))))
-        q = self.change[e]
+        q = np.where(single, 0.5, self.change[e])
         p_runs = 2 * _tail(np.abs(changes - (m - 1) * q) / np.sqrt((m - 1) * q * (1 - q) * 1.5))
         p_serial = 2 * _tail(np.abs(serial))
-        half = -np.log(np.maximum(p_chi, 1e-300) * np.maximum(p_runs, 1e-300) * np.maximum(p_serial, 1e-300))
-        chance = np.exp(-half) * (1 + half + half ** 2 / 2)
+        p_runs[single] = 1
+        half = -sum(np.log(np.maximum(x, 1e-300)) for x in (p_chi, p_runs, p_serial))
+        chance = np.exp(-half) * (1 + half + np.where(single, 0, half ** 2 / 2))
         # against prose
         two, three = self.two[e], self.three[e]
         mean = k * ((1 - two) + m * two) - m
         spread = (k / m) * np.sqrt(np.maximum(4 * m ** 3 * (three - two ** 2) + 2 * m ** 2 * two ** 2, 1))
         z_chi = (mean - chi) / (1.4 * spread)
         z_runs = (changes - (m - 1) * CLASS_CHANGE) / np.sqrt((m - 1) * CLASS_CHANGE * (1 - CLASS_CHANGE))
-        p = _tail((z_chi + z_runs) / math.sqrt(2))
+        _, usual, deviation = self.ratios[e].T
+        ratio = np.bincount(token, weights=self.ratio[e[token], chars], minlength=len(n))
+        z_ratio = (ratio - m * usual) / (1.4 * deviation * np.sqrt(m))
+        p = _tail(np.where(single, z_ratio, (z_chi + z_runs) / math.sqrt(2)))
         steps = np.minimum(np.floor(-np.log10(np.maximum(p, 1e-300)) / STEP), STEPS).astype(np.int64)
         return encoding, steps, chance >= 0.001
 
@@ -157,11 +223,7 @@ def weights(tests: dict[tuple[int, int], int], battery: Battery) -> dict[tuple[i
     mean of 1 over the tests of an encoding."""
     power = {}
     for e, c in tests:
-        m, k = float(([MIN_LENGTH, *LENGTHS])[c]), battery.size[e]
-        spread = (k / m) * math.sqrt(4 * m ** 3 * (battery.three[e] - battery.two[e] ** 2) + 2 * m ** 2 * battery.two[e] ** 2)
-        z_chi = (k * ((1 - battery.two[e]) + m * battery.two[e]) - m - (k - 1)) / (1.4 * spread)
-        z_runs = (m - 1) * (battery.change[e] - CLASS_CHANGE) / math.sqrt((m - 1) * CLASS_CHANGE * (1 - CLASS_CHANGE))
-        power[e, c] = max(0.05, 0.5 * math.erfc((3 - (z_chi + z_runs) / math.sqrt(2)) / math.sqrt(2)))
+        power[e, c] = max(0.05, 0.5 * math.erfc((3 - battery.z_random(e, float([MIN_LENGTH, *LENGTHS][c]))) / math.sqrt(2)))
     out = {}
     for e in {e for e, _ in tests}:
         total = sum(n for (x, _), n in tests.items() if x == e)
@@ -208,17 +270,17 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             out = {"doc_id": batch["doc_id"], "base": [], "tests": [], "kept": []}
             for data in batch["text"]:
                 base = base_spans(data)
-                tokens = [m.span() for m in _TOKEN.finditer(data)]
+                tokens = tokens_of(data)
                 tests, kept = {}, []
                 if tokens:
-                    starts, ends = np.array(tokens).T
+                    starts, ends, _ = np.array(tokens).T
                     encoding, steps, chance = battery(data, starts, ends)
                     lengths = np.searchsorted(LENGTHS, ends - starts)
                     for i in np.flatnonzero(encoding >= 0):
                         key = (int(encoding[i]), int(lengths[i]))
                         tests[key] = tests.get(key, 0) + 1
                         if chance[i] and steps[i] * STEP >= -math.log10(KEEP):
-                            s, t = tokens[i]
+                            s, _, t = tokens[i]
                             if not any(a < t and s < b for a, _, b in base):
                                 kept.append((s, 3, t, *key, int(steps[i])))
                 out["base"].append([dict(start=a, kind=k, end=b) for a, k, b in _points(data, base)])

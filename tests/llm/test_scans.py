@@ -84,6 +84,25 @@ def test_random_tokens_are_found_and_prose_is_not(llm):
     assert all(added[i] == [] for i in range(len(planted), len(texts)))
 
 
+def test_tokens_are_parted_and_one_class_is_judged(llm):
+    rng = random.Random(14)
+    any_of = lambda signs, n: "".join(rng.choices(signs, k=n))
+    base62 = string.ascii_letters + string.digits
+    cases = [("", any_of(base62 + "+/", 43) + "="), ("", any_of(base62 + "+/", 54) + "=="), ("blob=", any_of(base62 + "+/", 43) + "="),
+             ("AWS_SECRET_KEY=", any_of(base62, 40)), ("client_key=", any_of(base62, 40)), ("", any_of(string.ascii_lowercase, 40)),
+             ("", any_of(string.ascii_uppercase, 40)), ("client_key=", any_of(string.ascii_lowercase, 48)),
+             ("path/to/", any_of(base62, 20) + "-" + any_of(base62, 20) + "_" + any_of(base62, 8)),
+             ("my-key_", any_of(base62, 20) + "/" + any_of(base62, 20) + "+" + any_of(base62, 8))]
+    prose = ["internationalization", "donaudampfschifffahrtsgesellschaft", "abcdefghijklmnopqrstuvwxyz", "x" * 40, "uncharacteristically=1",
+             "anticonstitutionnellement", "INTERNATIONALIZATION", "electroencephalographically", "some/long-path/to_a/file-name"]
+    texts = [f"é {' '.join(rng.sample(prose, 5))} {before}{p} end" for before, p in cases] + [" ".join(prose)] * 20
+    _, added = spans_of(llm, texts)
+    for i, (_, p) in enumerate(cases):
+        start = texts[i].index(p)
+        assert added[i] == [(start, start + len(p))], (p, added[i])
+    assert all(added[i] == [] for i in range(len(cases), len(texts)))
+
+
 def test_secrets_of_odd_rows(llm, odd, empty):
     rows = secrets.scan_secrets(odd).collect()
     assert len(rows) == odd.count() and all(r.base is not None and r.added is not None for r in rows)
