@@ -73,8 +73,8 @@ def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     document is depleted, and rejected, if that leaves under ``least_words`` words or under ``least_share`` of
     what it had.  ``base_failed`` rows are rejected in any case.
 
-    A null text has no words, null hosts are one host; rows with one id (or none) count as one document and
-    share a verdict on depletion.  An empty table gives no rows.
+    A null text has no words, null hosts are one host; rows with one id (or none) count as one document, but
+    each row loses its own lines only and has its own verdict.  An empty table gives no rows.
 
     A line's documents are counted by partial sums, so a line that all documents have costs one row a task.
     Only (host, line) pairs above the limits meet the documents' lines again, in a join that Spark broadcasts
@@ -89,18 +89,18 @@ def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     base = settle(map_batches(rows, make, f"""
         doc_id {dict(docs.dtypes)[id_col]}, host string, n_words bigint, word_chars bigint, n_symbols bigint,
-        n_dup_lines bigint, n_repeat_words bigint, lines array<struct<line: bigint, words: bigint>>"""), "lines")
+        n_dup_lines bigint, n_repeat_words bigint, lines array<struct<line: bigint, words: bigint>>""").withColumn("__row", F.monotonically_increasing_id()), "lines")
     document = F.struct("doc_id")  # not null where the id is
-    lines = base.select("doc_id", "host", F.inline("lines"))
+    lines = base.select("doc_id", "__row", "host", F.inline("lines"))
     hosts = base.groupBy("host").agg(F.count_distinct(document).alias("documents"))
     often = (lines.groupBy("host", "line").agg(F.count_distinct(document).alias("n")).where(F.col("n") > max_documents)
              .join(hosts, "host").where(F.col("n") * max_share > F.col("documents")).select("host", "line"))
-    removed = (lines.join(often, ["host", "line"], "left_semi").groupBy(F.col("doc_id").alias("__id"))
+    removed = (lines.join(often, ["host", "line"], "left_semi").groupBy("__row")
                .agg(F.sum("words").alias("removed")))
     base = base.drop("host", "lines")
     left = F.col("n_words") - F.coalesce("removed", F.lit(0))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     depleted = (left < least_words) | (left < least_share * F.col("n_words"))
-    return (base.join(removed, F.col("doc_id").eqNullSafe(F.col("__id")), "left")
+    return (base.join(removed, "__row", "left")
             .withColumn("base_failed", failed).withColumn("n_left", left)
-            .withColumn("kept", ~failed & ~depleted).drop("__id", "removed").withColumnRenamed("doc_id", id_col))
+            .withColumn("kept", ~failed & ~depleted).drop("__row", "removed").withColumnRenamed("doc_id", id_col))

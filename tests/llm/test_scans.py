@@ -258,6 +258,19 @@ def test_rules_against_brute_force(llm):
     assert not all(r.kept or r.base_failed for r in got.values())
 
 
+def test_repeated_and_null_ids_lose_their_own_lines_only(llm):
+    rng = random.Random(9)
+    footer = " ".join(f"footer{i}" for i in range(40))
+    text = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n)) + "\n" + footer
+    twice = (1, text(60), "a")
+    rows = [twice, twice, (1, text(5), "a")] + [(None, text(60), "a") for _ in range(30)] + [(i, text(12 + i), "a") for i in range(2, 40)]
+    docs = llm.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = sorted((str(r.doc_id), r.n_words, r.n_left, r.kept) for r in quality_rules.judge_quality(docs).collect())
+    kept = brute_kept(rows, 20)
+    assert got == sorted((str(d), len(t.split()), len(t.split()) - 40, k) for (d, t, _), (_, k) in zip(rows, kept))
+    assert {n for d, _, n, _ in got if d == "None"} == {60} and {k for d, _, _, k in got if d == "1"} == {True, False}
+
+
 def test_rules_of_odd_rows(llm, odd, empty):
     rows = quality_rules.judge_quality(odd).collect()
     assert len(rows) == odd.count()
