@@ -5,19 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm import bpe, decontaminate, line_dedup, quality_model, queries, simhash
-from millrace.llm.common import settle, table, tune
-
-
-def _chosen(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows whose id is among ``ids`` (column ``keep``), a null one included."""
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("keep")), "left_semi")
+from millrace.llm.common import settle, table, text_key, tune
 
 
 def grade(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps.  It is fitted on the labelled rows of the stage's own input."""
     model = quality_model.train_quality(docs, table(spark, sf_dir, "labels"), queries.grade(), 3)
-    kept = quality_model.grade_documents(docs, model, least_tail=queries.LEAST_TAIL).where("kept")
-    return _chosen(docs, kept.select(F.col("doc_id").alias("keep")))
+    rows = docs.withColumn("__key", text_key())
+    kept = quality_model.grade_documents(rows, model, least_tail=queries.LEAST_TAIL, id_col="__key").where("kept")
+    return rows.join(kept.select("__key"), "__key", "left_semi").select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,10 +25,13 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates, the document with the smallest id."""
-    groups = simhash.near_duplicates(docs)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("keep"))
-    return _chosen(docs, first)
+    """Of each group of near-duplicates, the document with the smallest id; one of several rows with that
+    id, or of a group without ids."""
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.monotonically_increasing_id().alias("at"))
+    rows = settle(docs.withColumn("__row", rank), "rows")
+    groups = simhash.near_duplicates(rows, id_col="__row")
+    first = groups.where("__row.at = component_id.at").select(F.col("__row.at").alias("__keep"))
+    return rows.join(first, F.col("__row.at") == F.col("__keep"), "left_semi").select(*docs.columns)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -68,6 +68,13 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
 
 
+def text_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """Key of a row by its text and id, never null: rows that share it have one text (null is empty), so
+    what is found in the text alone holds for all of them."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
+    return F.concat_ws(":", F.sha2(text, 256), F.col(id_col).cast("string"))
+
+
 def arrow_schema(schema: str) -> pa.Schema:
     """Arrow's form of a schema; needs the driver."""
     return to_arrow_schema(StructType.fromDDL(schema))

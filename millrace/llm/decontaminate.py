@@ -8,7 +8,7 @@ import re
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .common import LETTER_WORDS, batch_words, joined, map_batches, rolling, settle, texts
+from .common import LETTER_WORDS, batch_words, joined, map_batches, rolling, settle, text_key, texts
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Words in a window.
@@ -158,19 +158,20 @@ def judged(found: DataFrame) -> DataFrame:
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   action: str = "drop", **options) -> DataFrame:
     """The documents without contaminated ones (``drop``), or with every hit run of words cut out of
-    their texts (``cut``).  Rows with a null id are judged like any other."""
+    their texts (``cut``).  Every row is judged by its own text, also where ids are null or shared."""
     if action == "cut":
         return _cut(docs, items, id_col, text_col, **options)
-    found = judged(find_benchmark(docs, items, id_col, text_col, **options))
-    bad = found.where("contaminated").select(F.col(id_col).alias("__bad")).distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("__bad")), "left_anti")
+    rows = docs.withColumn("__key", text_key(id_col, text_col))
+    bad = judged(find_benchmark(rows, items, "__key", text_col, **options)).where("contaminated").select("__key").distinct()
+    return rows.join(bad, "__key", "left_anti").select(*docs.columns)
 
 
 def _cut(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, n: int = WINDOW, block: int = BLOCK,
          **names) -> DataFrame:
-    found = find_benchmark(docs, items, id_col, text_col, n=n, block=block, **names)
-    runs = found.where(F.size("hits") > 0).select(F.col(id_col).alias("__id"), "hits").dropDuplicates(["__id"])
-    rows = docs.join(runs, F.col(id_col).eqNullSafe(F.col("__id")), "left").drop("__id").withColumnRenamed("hits", "__hits")
+    keyed = docs.withColumn("__key", text_key(id_col, text_col))
+    found = find_benchmark(keyed, items, "__key", text_col, n=n, block=block, **names)
+    runs = found.where(F.size("hits") > 0).select("__key", F.col("hits").alias("__hits")).dropDuplicates(["__key"])
+    rows = keyed.join(runs, "__key", "left").select(*docs.columns, "__hits")
 
     @F.pandas_udf("string")
     def without(text, hits):

@@ -166,3 +166,27 @@ def test_stages_keep_the_columns_of_documents(llm, odd):
         assert stage(llm, docs.limit(0), SF).collect() == []
     for r in corpus_pipeline.STAGES[1][1](llm, docs, SF).where("text IS NOT NULL").collect():
         assert r.n_chars is None or r.text is not None
+
+
+def test_stages_decide_by_row(llm, documents, items, monkeypatch):
+    """Rows that share an id, or have none, with opposite verdicts."""
+    kind = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    bench = next(t for _, t in items if len((t or "").split()) > 20)
+    shared = "\n".join(f"shared line {i} of a passage" for i in range(12))
+    clean, other = "\n".join(f"own line {i}" for i in range(30)), " ".join(f"other{i}" for i in range(90))
+    model = quality_model.fit_ordinal([(clean.encode(), 0), (bench.encode(), 0), ((clean + bench).encode(), 1), (other.encode(), 2)] * 5, 3)
+    for doc in (None, 7):
+        def stage(k, *texts):
+            docs = llm.createDataFrame([(doc, t, "en", "s", None if t is None else len(t)) for t in texts], kind)
+            return sorted(r.text for r in corpus_pipeline.STAGES[k][1](llm, docs, SF).collect())
+
+        with monkeypatch.context() as m:
+            m.setattr(quality_model, "train_quality", lambda *a, **b: model)
+            assert stage(0, clean, other, bench) == [other]
+        cut = stage(1, shared + "\n" + clean, shared, clean + "\nend")
+        assert len(cut) < 3 or min(map(len, cut)) < len(shared)
+        assert stage(2, clean, clean, clean, other) == sorted([clean, other])
+        assert stage(3, bench, clean, other) == sorted([clean, other])
+        rows = llm.createDataFrame([(doc, bench), (doc, clean)], "doc_id bigint, text string")
+        left = [r.text for r in corpus_pipeline.decontaminate.decontaminate(rows, table(llm, SF, "benchmark"), action="cut").collect()]
+        assert clean in left and bench not in left
