@@ -6,7 +6,8 @@ import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, katz, licenses, line_dedup, quality_model, quality_rules, secrets, simhash, url_filter
+from . import (bpe, conversation, decontaminate, jaccard, katz, licenses, line_dedup, periodic, quality_model, quality_rules,
+               secrets, simhash, url_filter)
 from .common import table, tune
 
 QUERIES: dict = {}
@@ -159,3 +160,50 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_katz")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score_documents(table(spark, sf_dir, "documents"))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where one in ten documents repeats what follows some word, by a checksum of its id."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.when(F.col("h") % 10 == 0, F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    split = docs.select("doc_id", "text", h.alias("h")).withColumn("w", words)
+    placed = split.withColumn("a", F.expr("(h div 10) % size(w)")).withColumn("p", F.expr("1 + (size(w) - a) div (3 + (h div 10) % 8)"))
+    # both are null where nothing changes, also for texts without words
+    again = F.expr("array_join(transform(w, (x, i) -> IF(i < a, x, get(w, int(a + (i - a) % p)))), ' ')")
+    return placed.select("doc_id", F.when(F.col("p").isNotNull(), again).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find_runs(with_periods(table(spark, sf_dir, "documents")))
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda b, x: F.when(
+        x["length"] * b["period"] > b["length"] * x["period"], x).otherwise(b))
+    told = F.array_join(F.transform("runs", lambda x: F.concat_ws(",", x["start"], x["length"], x["period"])), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(told, F.lit("\n"))).otherwise("")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with planted faults, by a checksum of (conv_id, turn): one in twenty turns each is dropped, emptied, cut off,
+    repeated or given to the user."""
+    cell = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    rows = turns.select("conv_id", "turn", cell("role").alias("role"), cell("text").alias("text"),
+                        (F.crc32(F.concat(cell("conv_id"), F.lit(":"), cell("turn")).cast("binary")) % 20).alias("x"))
+    text = F.when(F.col("x") == 1, "").when(F.col("x") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    role = F.when(F.col("x") == 4, "user").otherwise(F.col("role"))
+    copies = F.when(F.col("x") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return rows.where("x <> 0").select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(copies)).drop("col")
+
+
+@query("op12_conversation_repair")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return conversation.repair_conversations(damaged(turns), turns)
+
+
+@query("op13_jaccard_join")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_groups(table(spark, sf_dir, "documents"))
