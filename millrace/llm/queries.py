@@ -25,6 +25,17 @@ _LETTER_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _BLANK, _NOT_BLANK = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
 
 
+def _words_sql(text: str) -> str:
+    return f"list_filter(regexp_split_to_array({text}, '{_BLANK}+'), lambda x: x <> '')"
+
+
+def _crc32_sql(text: str) -> str:
+    """crc32 of an ASCII text, a bit at a time; DuckDB has no function for it."""
+    byte = "list_reduce(list_prepend(xor(c, b), CAST(range(8) AS BIGINT[])), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))"
+    return (f"xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length({text}) + 1), "
+            f"lambda i: CAST(ascii(substr({text}, i, 1)) AS BIGINT))), lambda c, b: {byte}), 4294967295)")
+
+
 def query(name: str, sql: str | None = None):
     def register(fn):
         @functools.wraps(fn)
@@ -173,7 +184,25 @@ def with_periods(docs: DataFrame) -> DataFrame:
     return placed.select("doc_id", F.when(F.col("p").isNotNull(), again).otherwise(F.col("text")).alias("text"))
 
 
-@query("op11_periodic_runs")
+@query("op11_periodic_runs", rf"""
+    WITH split AS (SELECT doc_id, COALESCE(CAST(doc_id AS VARCHAR), '') AS id, {_words_sql("COALESCE(text, '')")} AS w FROM documents),
+    hashed AS (SELECT doc_id, w, len(w) AS n, {_crc32_sql("id")} AS h FROM split),
+    placed AS (SELECT *, (h // 10) % n AS a, 1 + (n - (h // 10) % n) // (3 + (h // 10) % 8) AS p FROM hashed),
+    d AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+                 THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE w END AS w FROM placed),
+    words AS (SELECT doc_id, n, unnest(w) AS word, unnest(range(n)) AS i FROM d),
+    same AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM words x JOIN words y USING (doc_id, word) WHERE y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+    stretches AS (SELECT doc_id, q, MIN(i) AS start, COUNT(*) AS m FROM (
+        SELECT *, i - ROW_NUMBER() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM same) t GROUP BY doc_id, q, island),
+    runs AS (SELECT doc_id, start, m + q AS length, MIN(q) AS period FROM stretches WHERE m >= 3 * q AND m + q >= 6 GROUP BY 1, 2, 3),
+    told AS (SELECT doc_id, COUNT(*) AS n_runs, string_agg(concat_ws(',', start, length, period) || chr(10), '' ORDER BY start, period) AS listed
+             FROM runs GROUP BY 1),
+    best AS (SELECT * FROM runs QUALIFY ROW_NUMBER() OVER (PARTITION BY doc_id ORDER BY length / period DESC, start, period) = 1),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+    kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY 1)
+    SELECT d.doc_id, COALESCE(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+           sha256(COALESCE(listed, '')) AS runs_sha256, sha256(COALESCE(t, '')) AS collapsed_sha256
+    FROM d LEFT JOIN told USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)""")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periodic.find_runs(with_periods(table(spark, sf_dir, "documents")))
     best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda b, x: F.when(
@@ -198,12 +227,66 @@ def damaged(turns: DataFrame) -> DataFrame:
     return rows.where("x <> 0").select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(copies)).drop("col")
 
 
-@query("op12_conversation_repair")
+#: SQL: best edits of the turns from the i-th on, by place in the grammar (0 begin, 1 after s, 2 user next, 3 assistant next).
+@query("op12_conversation_repair", rf"""
+    WITH RECURSIVE cells AS (SELECT conv_id, turn, COALESCE(role, ' ') AS role, COALESCE(text, ' ') AS text,
+                   concat(COALESCE(CAST(conv_id AS VARCHAR), ' '), ':', COALESCE(CAST(turn AS VARCHAR), ' ')) AS id FROM conversations),
+    hashed AS (SELECT *, {_crc32_sql("id")} % 20 AS x FROM cells),
+    hurt AS (SELECT conv_id, turn, CASE WHEN x = 4 THEN 'user' ELSE role END AS role,
+                    CASE x WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                    unnest(range(CASE WHEN x = 3 THEN 2 ELSE 1 END)) AS copy FROM hashed WHERE x <> 0),
+    placed AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+                      left(role, 1) AS c FROM hurt),
+    judged AS (SELECT *, CASE WHEN NOT regexp_matches(text, '{_NOT_BLANK}') THEN 'blank'
+                          WHEN ROW_NUMBER() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                          WHEN NOT regexp_matches(text, '[.!?]{_BLANK}*\z') THEN 'truncated' ELSE '' END AS fault,
+                      lag(c) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM placed),
+    counts AS (SELECT conv_id, COALESCE(MAX(turn) - MIN(turn) + 1 - COUNT(DISTINCT turn), 0) AS gaps, COUNT_IF(fault = 'blank') AS blank,
+                      COUNT_IF(fault = 'duplicate') AS duplicate, COUNT_IF(fault = 'truncated') AS truncated,
+                      COUNT_IF(before IS NOT NULL AND before || c NOT IN ('su', 'ua', 'au')) AS illegal, COUNT(*) AS n
+               FROM judged GROUP BY 1),
+    inserts(place, ins, lines, mid) AS (VALUES
+        (0, '', []::VARCHAR[], 0), (0, 'I', ['user:'], 3), (0, 'II', ['user:', 'assistant:'], 2),
+        (1, '', [], 1), (1, 'I', ['user:'], 3), (1, 'II', ['user:', 'assistant:'], 2),
+        (2, '', [], 2), (2, 'I', ['user:'], 3), (3, '', [], 3), (3, 'I', ['assistant:'], 2)),
+    letters(mid, letter, leave) AS (VALUES (0, '', 0), (1, '', 1), (2, '', 2), (3, '', 3),
+        (0, 's', 1), (0, 'u', 3), (1, 'u', 3), (2, 'u', 3), (3, 'a', 2)),
+    edits AS (SELECT * FROM inserts JOIN letters USING (mid)),
+    rest AS (
+        SELECT conv_id, n AS i, place, {{'cost': 3 * len(ins), 'audit': ins, 'lines': lines}} AS best
+        FROM counts, (SELECT place, ins, lines FROM inserts WHERE mid IN (0, 2) QUALIFY ROW_NUMBER() OVER (PARTITION BY place ORDER BY len(ins)) = 1) t
+        UNION ALL
+        SELECT conv_id, i, place, MIN({{'cost': cost, 'audit': audit, 'lines': lines}}) FROM (
+            SELECT j.conv_id, j.i - 1 AS i, e.place,
+                   3 * len(ins) + best.cost + CASE WHEN letter = '' THEN 4 ELSE
+                       CASE WHEN letter = c THEN 0 ELSE 3 END + CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END END AS cost,
+                   ins || CASE letter WHEN '' THEN 'D' WHEN c THEN 'K' ELSE 'R' END || best.audit AS audit,
+                   list_concat(e.lines, CASE WHEN letter = '' THEN [] ELSE
+                       [CASE letter WHEN c THEN role WHEN 'u' THEN 'user' ELSE 'assistant' END || ':' || text] END, best.lines) AS lines
+            FROM rest JOIN judged j ON j.conv_id IS NOT DISTINCT FROM rest.conv_id AND j.i = rest.i JOIN edits e ON e.leave = rest.place
+            WHERE letter = '' OR fault NOT IN ('blank', 'duplicate') AND (letter = c OR letter <> 's')) t GROUP BY 1, 2, 3)
+    SELECT ids.conv_id, COALESCE(gaps, 0) AS gaps, COALESCE(blank, 0) AS blank, COALESCE(duplicate, 0) AS duplicate,
+           COALESCE(truncated, 0) AS truncated, COALESCE(illegal, 0) AS illegal, CAST(COALESCE(best.cost, 0) AS BIGINT) AS cost,
+           COALESCE(best.audit, '') AS audit, sha256(COALESCE(array_to_string(best.lines, chr(10)), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) ids
+    LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM ids.conv_id
+    LEFT JOIN rest ON rest.conv_id IS NOT DISTINCT FROM ids.conv_id AND rest.i = 0 AND place = 0""")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     return conversation.repair_conversations(damaged(turns), turns)
 
 
-@query("op13_jaccard_join")
+@query("op13_jaccard_join", rf"""
+    WITH RECURSIVE d AS (SELECT doc_id, {_words_sql(f"COALESCE({_LOWER}, '')")} AS w FROM documents),
+    sets AS (SELECT DISTINCT doc_id, s FROM (
+        SELECT doc_id, unnest(CASE WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+               ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+        FROM d WHERE len(w) > 0) t),
+    sizes AS (SELECT doc_id, COUNT(*) AS n FROM sets GROUP BY 1),
+    common AS (SELECT a.doc_id AS u, b.doc_id AS v, COUNT(*) AS n FROM sets a JOIN sets b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+    links AS (SELECT u, v FROM common c JOIN sizes a ON a.doc_id = u JOIN sizes b ON b.doc_id = v WHERE 100 * c.n >= 90 * (a.n + b.n - c.n)),
+    reach(u, v) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.u, links.v FROM reach JOIN links ON links.u = reach.v),
+    least AS (SELECT u, MIN(v) AS component_id FROM reach GROUP BY 1)
+    SELECT doc_id, COALESCE(n, 0) AS n_shingles, component_id FROM d LEFT JOIN sizes USING (doc_id) JOIN least ON u = doc_id""")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, sf_dir, "documents"))

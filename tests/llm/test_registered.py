@@ -26,7 +26,7 @@ def sha(text):
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for name in ("documents", "benchmark", "labels", "pages"):
+    for name in ("documents", "benchmark", "labels", "pages", "conversations"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
     return con
 
