@@ -3,19 +3,26 @@
 from __future__ import annotations
 
 from fractions import Fraction
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import BLANK_WORDS, batch_words, map_batches, mix, rolling, settle, texts
+from .common import BLANK_WORDS, arrow_schema, batch_words, map_batches, mix, rolling, settle, texts
 from .components import components
 from .periodic import slices
 
 #: Second-level parts, and of these how many may differ.
 PARTS, DIFFER = 3, 1
-#: Rounds in which each candidate is compared with one other of its bucket; what is open then is compared in full.
-ROUNDS = 3
+#: Bands are as wide as this power of the least ratio of sizes; only sets that near the next band are probed in it too.
+WIDTH = 2
+#: In each bucket all sets are compared with so many of them first.
+STARS = 2
+#: Sets, and elements of sets, of a block that is compared whole with another one in a task.
+BLOCK_SETS, BLOCK_ELEMENTS = 1024, 1 << 20
 
 _SALT = np.uint64(0xD6E8FEB86659FD93)
 
@@ -24,7 +31,7 @@ def bands(most: int, share: Fraction) -> list[int]:
     """Least set size of each band up to size ``most``: sets that link are in one band or in neighbouring ones."""
     out = [1]
     while out[-1] <= most:
-        out.append(out[-1] * share.denominator // share.numerator + 1)
+        out.append(int(out[-1] / share ** WIDTH) + 1)
     return out
 
 
@@ -59,7 +66,7 @@ def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def signatures(grams: np.ndarray, at: np.ndarray, share: Fraction) -> list[np.ndarray]:
-    """PartEnum signatures of each set, for its own size band and the next one.
+    """PartEnum signatures of each set, for its own size band and, if it can link with a set of it, the next one.
 
     Two sets of a band that link differ in k elements at most.  Hashes deal the domain to n parts with
     n * (DIFFER + 1) > k, so in some part they differ in DIFFER elements at most, and that part to PARTS smaller
@@ -67,17 +74,19 @@ def signatures(grams: np.ndarray, at: np.ndarray, share: Fraction) -> list[np.nd
     elements.  Sets of which no others differ (k = 0) have none.
     """
     sizes = np.diff(at)
-    edges = bands(int(sizes.max(initial=0)), share)
-    own = np.searchsorted(edges, sizes, side="right") - 1
+    edges = bands(int(int(sizes.max(initial=1)) / share), share)
+    edges.append(int(edges[-1] / share ** WIDTH) + 1)
+    own = np.maximum(np.searchsorted(edges, sizes, side="right") - 1, 0)
+    changes = np.array([differing(upper - 1, share) for upper in edges[1:]])
+    reaches = sizes * share.denominator // share.numerator >= np.array(edges)[own + 1]
     choices = list(combinations(range(PARTS), PARTS - DIFFER))
     text = np.repeat(np.arange(len(sizes)), sizes)
     spread = mix(grams + _SALT)
     out: list[list[np.ndarray]] = [[] for _ in sizes]
     for step in (0, 1):
         band = own + step
-        largest = np.array([_next_edge(edges, b, share) - 1 for b in range(len(edges) + 1)])
-        k = np.array([differing(int(s), share) for s in largest])[band]
-        parts = np.where((sizes > 0) & (k > 0), -(-(k + 1) // (DIFFER + 1)), 0)
+        k = changes[band]
+        parts = np.where((sizes > 0) & (k > 0) & (reaches | (step == 0)), -(-(k + 1) // (DIFFER + 1)), 0)
         base = np.append(0, np.cumsum(parts * PARTS))
         live = parts[text] > 0
         owner, value = text[live], spread[live]
@@ -95,11 +104,6 @@ def signatures(grams: np.ndarray, at: np.ndarray, share: Fraction) -> list[np.nd
     return [np.concatenate(s) if s else np.zeros(0, np.uint64) for s in out]
 
 
-def _next_edge(edges: list[int], band: int, share: Fraction) -> int:
-    edge = edges[band] if band < len(edges) else edges[-1] * share.denominator // share.numerator + 1
-    return edge * share.denominator // share.numerator + 1
-
-
 def _prints(words: int, share: Fraction):
     def work(batch):
         out = {"id": batch["id"], "text_hash": batch["text_hash"], "n": [], "node": [], "signatures": []}
@@ -133,9 +137,9 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     with nothing.  Repeated rows and ids come back as they came (rows of one set are one class; its smallest id
     counts, null if none of the component has one); an empty table gives no rows; other columns are left out.
 
-    Equal sets fold into one node first.  Sets that share a signature meet in its bucket.  In each of a few rounds a
-    bucket's sets are compared with one of them, and links found so far join components; buckets that still hold
-    several are then compared across components.  So copies never make pairs, and no task holds a bucket.
+    Equal sets fold into one node first.  Sets that share a signature meet in its bucket, where all are compared
+    with a few of them; links found join components.  Buckets that still hold several components are
+    then compared across these (``_rest``).  So copies never make pairs, and no task holds a bucket.
     Shingles and sets are told apart by 64-bit hashes.
     """
     share = Fraction(percent, 100)
@@ -168,23 +172,12 @@ def _links(rows: DataFrame, prints: DataFrame, firsts: DataFrame, words: int, pe
     chosen = candidates.select("node", F.struct("first.id").alias("k"), F.col("first.text_hash").alias("h"))
     found = rows.join(chosen, (F.struct("id") == F.col("k")) & (F.col("text_hash") == F.col("h"))).select("node", "text")
     sets = settle(map_batches(found, _sets(words), "node bigint, grams array<bigint>").dropDuplicates(["node"]), "sets")
-    tested = links = None
-    label = None
-    for i in range(ROUNDS + 1):
-        pairs = _star(bucket, label, i) if i < ROUNDS else _rest(bucket, label)
-        pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        judged = settle(_verified(pairs, firsts.select("node", "n"), sets, percent), "judged")
-        tested = judged.select("u", "v") if tested is None else tested.unionByName(judged.select("u", "v"))
-        new = judged.where("linked").select("u", "v")
-        links = new if links is None else links.unionByName(new)
-        if i < ROUNDS:
-            label = components(links).withColumnRenamed("root", "label")
-            bucket = _open(bucket.select("signature", "node"), label)
-            if bucket.isEmpty():
-                break
-    return links
+    sizes = firsts.select("node", "n")
+    stars = [_star(bucket, i) for i in range(STARS)]
+    pairs = reduce(DataFrame.unionByName, stars).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    links = settle(_verified(pairs, sizes, sets, percent), "stars")
+    open_ = _open(bucket, components(links).withColumnRenamed("root", "label"))
+    return links if open_.isEmpty() else links.unionByName(settle(_rest(open_, sizes, sets, percent), "rest"))
 
 
 def _labelled(bucket: DataFrame, label: DataFrame) -> DataFrame:
@@ -198,27 +191,79 @@ def _open(bucket: DataFrame, label: DataFrame) -> DataFrame:
     return settle(rows.join(several, "signature", "left_semi"), "open")
 
 
-def _star(bucket: DataFrame, label: DataFrame | None, turn: int) -> DataFrame:
-    """Each set of a bucket with one other of it, a different one in each round."""
-    rank = F.struct(F.xxhash64("node", F.lit(turn)), "node")
-    centre = bucket.groupBy("signature").agg(F.min(rank)["node"].alias("v"))
-    rows = bucket.select("signature", F.col("node").alias("u")).join(centre, "signature").where("u <> v")
-    return rows.select("u", "v")
-
-
-def _rest(bucket: DataFrame, label: DataFrame) -> DataFrame:
-    """Sets that share a bucket and no component."""
-    a = bucket.select("signature", F.col("node").alias("u"), F.col("label").alias("x"))
-    b = bucket.select("signature", F.col("node").alias("v"), F.col("label").alias("y"))
-    return a.join(b, "signature").where("x < y").select("u", "v")
+def _star(bucket: DataFrame, turn: int) -> DataFrame:
+    """Each set of a bucket with one of it, the least by a hash."""
+    centre = bucket.groupBy("signature").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node"))["node"].alias("v"))
+    return bucket.select("signature", F.col("node").alias("u")).join(centre, "signature").where("u <> v").select("u", "v")
 
 
 def _verified(pairs: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs with ``linked``; sizes are compared first, then the sets."""
+    """The pairs that link; sizes are compared first, then the sets."""
     low, high = F.least("n_u", "n_v"), F.greatest("n_u", "n_v")
     sized = (pairs.join(sizes.select(F.col("node").alias("u"), F.col("n").alias("n_u")), "u")
              .join(sizes.select(F.col("node").alias("v"), F.col("n").alias("n_v")), "v").where(100 * low >= percent * high))
     both = (sized.join(sets.select(F.col("node").alias("u"), F.col("grams").alias("g_u")), "u")
             .join(sets.select(F.col("node").alias("v"), F.col("grams").alias("g_v")), "v"))
     common = F.size(F.array_intersect("g_u", "g_v"))
-    return both.select("u", "v", (100 * common >= percent * (F.col("n_u") + F.col("n_v") - common)).alias("linked"))
+    return both.where(100 * common >= percent * (F.col("n_u") + F.col("n_v") - common)).select("u", "v")
+
+
+def _rest(open_: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different components that meet in a bucket.
+
+    Components that meet, directly or over others, are a cluster.  A cluster's sets are cut into blocks and every
+    block meets every other in a task, which compares sets of different components and gives at most one link
+    for each, so no pairs are emitted and a task holds two blocks.
+    """
+    centre = open_.groupBy("signature").agg(F.min("label").alias("v"))
+    meet = open_.select("signature", F.col("label").alias("u")).join(centre, "signature").select("u", "v")
+    cluster = components(meet).withColumnRenamed("node", "label").withColumnRenamed("root", "cluster")
+    rows = open_.select("node", "label").distinct().join(cluster, "label", "left").withColumn("cluster", F.coalesce("cluster", "label"))
+    rows = settle(rows.join(sizes, "node"), "clusters")
+    blocks = rows.groupBy("cluster").agg(F.ceil(F.greatest(F.count("*") / BLOCK_SETS, F.sum("n") / BLOCK_ELEMENTS)).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = (rows.join(blocks, "cluster").withColumn("own", own)
+             .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+             .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+             .select("cluster", "i", "j", "own", "node", "label").join(sets, "node"))
+    schema = arrow_schema("u bigint, v bigint")
+
+    def compare(group: pa.Table) -> pa.Table:
+        return pa.table(_cross_links(group, percent), schema=schema)
+
+    return dealt.groupBy("cluster", "i", "j").applyInArrow(compare, "u bigint, v bigint")
+
+
+def _cross_links(group: pa.Table, percent: int) -> list[np.ndarray]:
+    """Links that join the components of a group of sets: sets are counted out against all others by their elements."""
+    group = group.combine_chunks()
+    node, label, own = (group.column(c).to_numpy() for c in ("node", "label", "own"))
+    grams = group.column("grams").combine_chunks()
+    offsets = grams.offsets.to_numpy()
+    values = grams.values.to_numpy()[offsets[0]:offsets[-1]]
+    at = offsets - offsets[0]
+    sizes = np.diff(at)
+    element, _ = pd.factorize(values)
+    holders = np.repeat(np.arange(len(node)), sizes)[np.argsort(element, kind="stable")]
+    ends = np.cumsum(np.bincount(element))
+    codes, labels = pd.factorize(label)
+    root = np.arange(len(labels))
+    largest = np.bincount(codes).argmax()
+    across = len(np.unique(own)) > 1
+    u, v = [], []
+    for x in np.flatnonzero(codes != largest).tolist():  # of two components one is not the largest
+        mine = element[at[x]:at[x + 1]]
+        first = np.append(0, ends)[mine]
+        reach = ends[mine] - first
+        spans = np.repeat(first - np.cumsum(reach) + reach, reach) + np.arange(reach.sum())
+        common = np.bincount(holders[spans], minlength=len(node))
+        near = (100 * common >= percent * (sizes[x] + sizes - common)) & (root[codes] != root[codes[x]])
+        if across:
+            near &= own != own[x]
+        for y in np.flatnonzero(near).tolist():
+            a, b = root[codes[x]], root[codes[y]]
+            if a != b:
+                root[root == max(a, b)] = min(a, b)
+                u.append(node[x])
+                v.append(node[y])
+    return [np.array(u, np.int64), np.array(v, np.int64)]
