@@ -150,9 +150,10 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     prints = settle(map_batches(rows, _prints(words, share), f"id {id_type}, text_hash bigint, n bigint, node bigint, "
                                 "signatures array<bigint>"), "prints")
     # one row stands for a set: its smallest (id, text)
-    firsts = settle(prints.where("n > 0").groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("first"), F.max("n").alias("n")),
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("first")
+    firsts = settle(prints.where("n > 0").groupBy("node").agg(first, F.max("n").alias("n"), F.first("signatures").alias("signatures")),
                     "firsts")
-    links = _links(rows, prints, firsts, words, percent)
+    links = _links(rows, firsts, words, percent)
     roots = components(links)
     member = firsts.join(roots, "node", "left").select("node", "first.id", F.coalesce("root", "node").alias("root"))
     smallest = member.groupBy("root").agg(F.min("id").alias("component_id"))
@@ -162,12 +163,13 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         slim.where("n = 0").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("id").alias("component_id")))
 
 
-def _links(rows: DataFrame, prints: DataFrame, firsts: DataFrame, words: int, percent: int) -> DataFrame:
+def _links(rows: DataFrame, firsts: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (u, v) between nodes that join the same ones as all pairs that link do."""
-    signed = prints.select("node", F.explode("signatures").alias("signature"))
+    # one shuffle, read twice: for the buckets of several sets, and for their sets
+    signed = firsts.select("node", F.explode("signatures").alias("signature")).repartition("signature")
     shared = (signed.groupBy("signature").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b")
               .select("signature"))
-    bucket = settle(signed.join(shared, "signature").select("signature", "node").distinct(), "buckets")
+    bucket = settle(signed.join(shared, "signature").select("signature", "node"), "buckets")
     candidates = firsts.join(bucket.select("node").distinct(), "node")
     chosen = candidates.select("node", F.struct("first.id").alias("k"), F.col("first.text_hash").alias("h"))
     found = rows.join(chosen, (F.struct("id") == F.col("k")) & (F.col("text_hash") == F.col("h"))).select("node", "text")
