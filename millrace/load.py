@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import json
+import logging
+import random
+import time
 import traceback
 import uuid
 from collections.abc import Callable, Iterable, Mapping
@@ -27,7 +30,11 @@ from .sinks.tables import TargetTable, state_of
 from .spec import (Contract, Disposition, Incremental, PartitionSpec, RunMode, SpecError, StreamSpec, cursor_to_json,
                    logical_type, typed_cursor)
 
+logger = logging.getLogger(__name__)
+
 RUNS_TABLE = "_runs"
+# Tries to record a run while others record theirs.
+RECORD_ATTEMPTS = 50
 SEEN = "cursor_seen"
 # What an observation raises whose node is not in the plan that ran.
 NOT_OBSERVED = ("AssertionError",)
@@ -46,6 +53,10 @@ class Context:
     observed: Column | None = None
     # A cursor known without looking at rows, e.g. the end of the last window.
     reached: Any = None
+    # The highest cursor that this run may commit, whatever its rows have.
+    ceiling: Any = None
+    # Adds to the state what is known after the load: called with the state and the cursor.
+    finish: Callable[[dict[str, Any], Any], None] | None = None
 
 
 StreamFunction = Callable[[SparkSession, Context], DataFrame | None]
@@ -89,6 +100,8 @@ class RunResult:
     ended_at: datetime
     streams: list[StreamResult]
     error: BaseException | None = None
+    # Why the run's record could not be written; its streams are as they say.
+    record_error: BaseException | None = None
 
     @property
     def rows_loaded(self) -> int:
@@ -128,7 +141,8 @@ class EventLog:
 def load_frame(spark: SparkSession, root: str, spec: StreamSpec, df: DataFrame | None, *, source: str = "",
                run_id: str = "", run_at: datetime | None = None, state: Mapping[str, Any] | None = None,
                observed: Column | None = None, reached: Any = None, write_state: bool = True,
-               advance: bool = True, seed: Any = None, partition: Any = None) -> StreamResult:
+               advance: bool = True, seed: Any = None, partition: Any = None, ceiling: Any = None,
+               finish: Callable[[dict[str, Any], Any], None] | None = None) -> StreamResult:
     """Load one DataFrame as one commit of a stream's table.
 
     Rows are read once: drift, extracted rows and the highest cursor come from an
@@ -184,6 +198,8 @@ def load_frame(spark: SparkSession, root: str, spec: StreamSpec, df: DataFrame |
             result.null_key_rows = _measured(after).get("nulls", 0) if merging else 0
             result.drift = drift_rows(measured, raw, declared)
             seen = reached if reached is not None else measured.get("__cursor")
+        if inc is not None and seen is not None and ceiling is not None:
+            seen = min(typed_cursor(seen, inc.type), typed_cursor(ceiling, inc.type))
         committed = prior.get("cursor_value")
         blob = dict(state if state is not None else json.loads(prior.get("state_blob") or "{}"))
         if inc is None:
@@ -197,6 +213,8 @@ def load_frame(spark: SparkSession, root: str, spec: StreamSpec, df: DataFrame |
                 blob[SEEN] = cursor_to_json(inc.advance(seen, earlier))
         if not write_state:
             return prior or None
+        if finish is not None:
+            finish(blob, result.cursor_after)
         return {"connector": source, "stream": spec.name,
                 "cursor_value": _text(cursor_to_json(result.cursor_after)),
                 "cursor_type": inc.type.value if inc else None,
@@ -265,7 +283,8 @@ def run_stream(spark: SparkSession, root: str, one: Stream, *, source: str = "",
     df = one.read(spark, context)
     result = load_frame(spark, root, spec, df, source=source, run_id=run_id, run_at=run_at,
                         state=context.state, observed=context.observed, reached=context.reached,
-                        write_state=not (refresh and inc is not None), seed=seed, partition=partition)
+                        write_state=not (refresh and inc is not None), seed=seed, partition=partition,
+                        ceiling=context.ceiling, finish=context.finish)
     if log:
         for name, kind, cells in result.drift:
             log.emit("schema_drift", stream=spec.name, column=name, kind=kind, cells=cells)
@@ -322,15 +341,19 @@ def run(spark: SparkSession, root: str, streams: Iterable[Stream], *, source: st
              duration_s=(ended - started).total_seconds(),
              error_type=type(error).__name__ if error else None,
              error_message=str(error) if error else None)
-    log.write(spark, root)
-    record_run(spark, root, result, config=config, target=target, full_refresh=full_refresh, mask=log.masked)
+    try:
+        log.write(spark, root)
+        record_run(spark, root, result, config=config, target=target, full_refresh=full_refresh, mask=log.masked)
+    except Exception as failure:  # what was loaded stays loaded
+        logger.warning("run %s was not recorded", run_id, exc_info=True)
+        result.record_error = failure
     return result
 
 
 def record_run(spark: SparkSession, root: str, result: RunResult, *, config: str = "", target: str = "",
                full_refresh: bool = False, mask: Callable[[str], str] = str) -> None:
     """Upsert the run's row on its run id; runs of one day share a partition.  ``mask``
-    takes secrets out of the error's text."""
+    takes secrets out of the error's text.  Runs that end together record themselves one after the other."""
     row = (result.run_id, config, result.source, "parquet", target, result.status, result.started_at,
            result.ended_at, (result.ended_at - result.started_at).total_seconds(), result.rows_loaded,
            full_refresh, type(result.error).__name__ if result.error else None,
@@ -339,7 +362,14 @@ def record_run(spark: SparkSession, root: str, result: RunResult, *, config: str
     spec = StreamSpec(RUNS_TABLE, key="run_id", disposition="merge")
     day = PartitionSpec.parse("started_at")
     frame = stamped(spark.createDataFrame([row], RUN_SCHEMA), F.lit(result.ended_at).cast("timestamp"))
-    TargetTable(spark, root, RUNS_TABLE).commit(frame, "merge", key=spec.key, partition=day, run_id=result.run_id)
+    for attempt in range(RECORD_ATTEMPTS):
+        try:
+            TargetTable(spark, root, RUNS_TABLE).commit(frame, "merge", key=spec.key, partition=day, run_id=result.run_id)
+            return
+        except files.AlreadyExists:
+            if attempt + 1 == RECORD_ATTEMPTS:
+                raise
+            time.sleep(random.uniform(0, 0.2 * (attempt + 1)))
 
 
 def read_runs(spark: SparkSession, root: str) -> DataFrame:

@@ -8,6 +8,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.values import instant
 from ..sinks.files import delete, scratch
 from ..spec import SpecError, utc
 
@@ -94,16 +95,56 @@ def _key_at(df: DataFrame, ranged: DataFrame, key: Sequence[str], rows: int) ->
     return None
 
 
+def sweep_ends(df: DataFrame, key: Sequence[str], rows: int, most: int, cursor: str | None = None) -> tuple[list[tuple], Any]:
+    """The keys at which the slices of a sweep end, ``rows`` rows apart, in order, the first ``most`` of them; and the
+    highest ``cursor`` of all rows.
+
+    All ends come from one range shuffle of the keys and their row counts, written out once: totals of the ranges
+    give each its offset, and running sums within the ranges that hold an end give the key of every
+    multiple of ``rows``.  Rows of one key stay together, so a slice may be longer by those of its last key.
+    """
+    names = [f"`{k}`" for k in key]
+    highest = [] if cursor is None else [F.max(F.col(f"`{cursor}`")).alias("__c")]
+    counted = df.groupBy(*names).agg(F.count(F.lit(1)).alias("__n"), *highest)
+    folder = scratch(df.sparkSession, "ranks")
+    written = counted.repartitionByRange(*names).withColumn("__p", F.spark_partition_id())
+    written.write.parquet(folder)
+    try:
+        ranged = df.sparkSession.read.schema(written.schema).parquet(folder)
+        totals = ranged.groupBy("__p").agg(F.sum("__n").alias("n"), *[instant(ranged, F.max("__c")).alias("c") for _ in highest]).orderBy("__p").collect()
+        before, offsets = 0, {}
+        for r in totals:
+            if before // rows < min((before + r["n"]) // rows, most):
+                offsets[r["__p"]] = before
+            before += r["n"]
+        top = max((r["c"] for r in totals if r["c"] is not None), default=None) if highest else None
+        if not offsets:
+            return [], top
+        offset = F.create_map(*[F.lit(x) for pair in offsets.items() for x in pair])[F.col("__p")]
+        running = offset + F.sum("__n").over(Window.partitionBy("__p").orderBy(*names))
+        ends = (ranged.filter(F.col("__p").isin(*offsets)).withColumn("__run", running)
+                .filter(F.expr(f"__run div {rows} > (__run - __n) div {rows} AND (__run - __n) div {rows} < {most}"))
+                .select("__run", _key(key).alias("k")).select("__run", *[_as_python(df, k) for k in key]).orderBy("__run").collect())
+        return [tuple(r[k] for k in key) for r in ends], top
+    finally:
+        delete(df.sparkSession, folder)
+
+
+def up_to_key(df: DataFrame, key: Sequence[str], end: Sequence[Any] | None) -> DataFrame:
+    """Rows whose key does not follow ``end``."""
+    if end is None:
+        return df
+    first = F.col(f"`{key[0]}`") <= F.lit(end[0]).cast(df.schema[key[0]].dataType)
+    return df.filter(first & (_key(key) <= _literal_key(df, key, end)))
+
+
 def bootstrap_slice(df: DataFrame, key: Sequence[str], last: Sequence[Any] | None = None,
                     max_rows: int = 0) -> tuple[DataFrame, tuple | None]:
     """The next slice of a key sweep and the key it ends at; rows that tie with the end
     belong to the slice.  The end is ``None`` when the slice runs to the table's end."""
     rest = after_key(df, key, last)
     end = slice_end(rest, key, max_rows) if max_rows else None
-    if end is None:
-        return rest, None
-    first = F.col(f"`{key[0]}`") <= F.lit(end[0]).cast(df.schema[key[0]].dataType)
-    return rest.filter(first & (_key(key) <= _literal_key(df, key, end))), end
+    return up_to_key(rest, key, end), end
 
 
 # --------------------------------------------------------------------------

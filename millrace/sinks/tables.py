@@ -6,13 +6,13 @@ commits hold the live rows of each partition value and carries the state of ever
 (connector, stream) that loads the table, so rows and cursor become visible together;
 an earlier pointer is the table as of that version.  Nothing that is live is ever overwritten.
 
-Where the target is a table that supports ``MERGE INTO``, use
-``DataFrame.mergeInto`` instead; this convention is for plain Parquet.
+This convention is for plain Parquet; ``millrace.sinks.catalog`` writes to tables of the session catalog.
 """
 
 from __future__ import annotations
 
 import json
+import logging
 import uuid
 from collections.abc import Iterable
 from datetime import datetime, timezone
@@ -29,6 +29,8 @@ from ..operators.upsert import merge
 from ..spec import (SYNCED_AT, Mode, PartitionKind, PartitionSpec, SpecError, check_name, field_mode, utc,
                     with_synced_at)
 
+logger = logging.getLogger(__name__)
+
 COMMIT = "_commit"
 # Every so many versions a commit tidies up: partitions of more commits than this are put together,
 # and versions older than the newest ones are forgotten, with the files that only they had.
@@ -165,7 +167,10 @@ class TargetTable:
             pointer["states"] = {**pointer.get("states", {}), state_key(row["connector"], row["stream"]): row}
         self._publish(pointer)
         if pointer["version"] and pointer["version"] % TIDY_EVERY == 0:
-            self.tidy()
+            try:
+                self.tidy()
+            except Exception:  # the rows are in, whatever becomes of the tidying; a later commit tries again
+                logger.warning("table %s was not tidied", self.name, exc_info=True)
         return pointer
 
     def tidy(self, most_commits: int | None = None, keep_versions: int | None = None,

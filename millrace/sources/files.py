@@ -114,17 +114,27 @@ def read_csv(listing: _Listing, delimiter: str = ",", header: bool = True, multi
              same_header: bool = True, max_columns: int = 20480) -> DataFrame:
     """All-text rows.  An empty cell is ``""``; a row too short is NULL at its end, and one
     with more cells than the header (or than ``max_columns``) is an error that names its
-    file and shows the row.
+    file and shows the row.  Without a header the longest row sets the columns, found in one
+    more pass.
 
     Quoted line breaks force ``multiline``, which reads each file in one task; turn it
     off for big files without them and Spark splits the files.  With ``same_header`` a
     file whose header differs is an error, never a silent shift of columns; without it
     the headers are looked up first, in one more pass over the text.
     """
+    def width(reader, paths) -> int:
+        """Cells of the longest row of the new files: what doesn't fit one column comes back as it was, and delimiters
+        outside of quotes are counted."""
+        whole = listing.only_new(reader.schema(f"one string, {_TORN} string").option("columnNameOfCorruptRecord", _TORN)
+                                 .csv(list(paths)), [F.col("one"), F.col(_TORN)])
+        bare = F.regexp_replace(_TORN, r'"(?:[^"]|"")*"', "")
+        cells = F.length(bare) - F.length(F.replace(bare, F.lit(delimiter), F.lit(""))) + 1
+        return whole.agg(F.max(F.coalesce(cells, F.length("one") * 0 + 1, F.lit(1)))).first()[0] or 0
+
     def read(reader, *paths):
         reader = reader.options(**_CSV, sep=delimiter, header=str(header).lower(), multiLine=str(multiline).lower(),
                                 maxColumns=str(max_columns))
-        names = reader.csv(list(paths)).columns
+        names = reader.csv(list(paths)).columns if header else [f"_c{i}" for i in range(width(reader, paths))]
         fields = [T.StructField(n, T.StringType()) for n in [*names, _TORN]]
         rows = reader.schema(T.StructType(fields)).option("columnNameOfCorruptRecord", _TORN).csv(list(paths))
         # a torn row and one more cell behind it: that cell is not among the header's if the row is too long

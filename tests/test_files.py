@@ -134,3 +134,14 @@ def test_a_row_with_too_many_cells_is_an_error(spark, tmp_path):
         for column in ("a", "b"):
             with pytest.raises(Exception, match="long.csv"):
                 read_files(spark, str(folder), multiline=False).select(column).collect()
+
+
+@pytest.mark.parametrize("lines, want", [
+    (["1", "2,x", "3,"], {("1", None), ("2", "x"), ("3", "")}),
+    (["1", '2,"a,b\nc"', "3"], {("1", None), ("2", "a,b\nc"), ("3", None)}),
+    (["a,b", '"x,""y"",",z'], {("a", "b"), ('x,"y",', "z")}),
+    (["one"], {("one",)})])
+def test_the_longest_row_sets_the_columns_without_a_header(spark, tmp_path, lines, want):
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")
+    got = read_files(spark, str(tmp_path), header=False).drop(FILE_CURSOR)
+    assert {tuple(r) for r in got.collect()} == want

@@ -13,6 +13,8 @@ from millrace.operators.partitioning import PartitionMismatch
 from millrace.operators.schema import SchemaError, stamped
 from millrace.sinks import files, tables
 from millrace.sinks.tables import TargetTable, read_state, reset_state
+from millrace.operators import selection
+from millrace.sources import bootstrap
 from millrace.sources.bootstrap import read_with_bootstrap
 from millrace.sources.tables import all_text, jdbc_options, read_query, read_sql, read_table
 from millrace.spec import Incremental, SpecError, StreamSpec, table_schema
@@ -254,7 +256,8 @@ def test_bootstrap_then_steady_state(spark, root):
     one = Stream(MERGED, lambda s, ctx: read_with_bootstrap(ctx, source["rows"], ["id"], page_rows=2, max_pages=2))
     blob = lambda: json.loads(read_state(spark, root).first().state_blob)
     assert run_stream(spark, root, one).rows_loaded == 4
-    assert blob() == {"bootstrapped": False, "bootstrap_last_pk": [4], "bootstrap_cursor_max": 50}
+    assert blob() == {"bootstrapped": False, "bootstrap_last_pk": [4], "bootstrap_cursor_max": 50,
+                      "bootstrap_cursor_start": 50, "bootstrap_ends": [None]}
     done = run_stream(spark, root, one)
     assert done.rows_loaded == 1 and done.cursor_after == 50 and blob()["bootstrapped"]
     source["rows"] = items(spark, *cells, (6, "f", 60))
@@ -362,3 +365,73 @@ def test_streams_in_parallel(spark, root):
     assert result.status == "failed" and [s.status for s in result.streams] == ["succeeded", "failed"]
     with pytest.raises(SpecError):
         run(spark, root, [stream_of("s0", 1)] * 2, parallel=2)
+
+
+def test_a_sweep_is_planned_once_and_ends_where_it_began(spark, root, monkeypatch):
+    """Ten slices from one plan; rows that change behind the sweep are read again, whatever cursor it saw later."""
+    plans = []
+    real = selection.sweep_ends
+    monkeypatch.setattr(selection, "sweep_ends", lambda *a, **k: plans.append(1) or real(*a, **k))
+    cells = [(i, "old", i % 37) for i in range(1, 101)]
+    source = {"rows": items(spark, *cells)}
+    one = Stream(MERGED, lambda s, ctx: read_with_bootstrap(ctx, source["rows"], ["id"], page_rows=10, max_pages=1))
+    loaded = [run_stream(spark, root, one).rows_loaded for _ in range(4)]
+    # 5 is behind the sweep, 95 ahead of it; the sweep sees the cursor of 95 and must not skip that of 5
+    source["rows"] = items(spark, *[(i, "new", 50) if i == 5 else (i, "new", 90) if i == 95 else (i, l, u) for i, l, u in cells])
+    loaded += [run_stream(spark, root, one).rows_loaded for _ in range(7)]
+    assert loaded == [10] * 10 + [0] and len(plans) == 1
+    done = run_stream(spark, root, one)
+    assert done.cursor_before == 36 and done.rows_loaded == 2 and done.cursor_after == 90
+    assert [r for r in rows(root, spark) if r[1] == "new"] == [(5, "new", 50), (95, "new", 90)]
+
+
+def test_a_long_sweep_is_planned_again(spark, root, monkeypatch):
+    monkeypatch.setattr(bootstrap, "PLANNED", 3)
+    source = items(spark, *[(i // 2, "x", i) for i in range(40)])
+    spec = StreamSpec("items", schema=ITEMS, incremental=Incremental("updated_at", "int"), partition="none")
+    one = Stream(spec, lambda s, ctx: read_with_bootstrap(ctx, source, ["id"], page_rows=3, max_pages=1))
+    loaded = [run_stream(spark, root, one).rows_loaded for _ in range(14)]
+    assert sum(loaded) == 40 and max(loaded) <= 4
+    assert TargetTable(spark, root, "items").read().select("updated_at").distinct().count() == 40
+
+
+def test_an_error_while_tidying_leaves_the_load_done(spark, root, monkeypatch):
+    from millrace.sinks import tables
+    monkeypatch.setattr(tables, "TIDY_EVERY", 1)
+    monkeypatch.setattr(TargetTable, "tidy", lambda self: 1 / 0)
+    spec = StreamSpec("items", schema=ITEMS)
+    for i in range(3):
+        assert load_frame(spark, root, spec, items(spark, (i, "a", i))).rows_loaded == 1
+    assert len(rows(root, spark)) == 3
+
+
+def test_runs_that_end_together_are_all_recorded(spark, root):
+    from concurrent.futures import ThreadPoolExecutor
+    from pyspark import inheritable_thread_target
+
+    def go(i):
+        spec = StreamSpec(f"items_{i}", schema=ITEMS)
+        return run(spark, root, [Stream(spec, lambda s, ctx: items(spark, (i, "a", i)))], source="echo")
+
+    with ThreadPoolExecutor(8) as pool:
+        results = list(pool.map(inheritable_thread_target(spark)(go), range(8)))
+    assert all(r.status == "succeeded" and r.record_error is None for r in results)
+    assert {r.run_id for r in read_runs(spark, root).collect()} == {r.run_id for r in results}
+
+
+def test_a_run_that_cannot_be_recorded_does_not_raise(spark, root, monkeypatch):
+    import millrace.load
+    monkeypatch.setattr(millrace.load, "record_run", lambda *a, **k: 1 / 0)
+    one = Stream(StreamSpec("items", schema=ITEMS), lambda s, ctx: items(spark, (1, "a", 1)))
+    result = run(spark, root, [one], source="echo")
+    assert result.status == "succeeded" and isinstance(result.record_error, ZeroDivisionError) and len(rows(root, spark)) == 1
+
+
+def test_events_keep_their_own_fields_and_lines_with_misfits(spark, root, tmp_path):
+    path = str(tmp_path / "log.jsonl")
+    with open(path, "w") as f:
+        f.write('{"event": "user", "rows": "many", "note": "x", "order": {"id": 7}, "full_refresh": true}\n{"event": "run_end", "rows": 5, '
+                '"duration_s": 1.5}\n{"event": "torn", "ro\n[1]\n\n')
+    user, end = R.read_events(spark, path).orderBy(F.desc("event")).collect()
+    assert (user.event, user.rows, user.full_refresh, user.fields) == ("user", None, True, {"rows": "many", "note": "x", "order": '{"id":7}'})
+    assert (end.event, end.rows, end.duration_s, end.fields) == ("run_end", 5, 1.5, {})

@@ -1,12 +1,15 @@
 """Dispositions, dedupe, merge, partitioning, atomic commits, the streaming form."""
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
-from millrace.load import Stream, load_frame, run_stream
+from millrace.load import Stream, load_frame, read_runs, run, run_stream
 from millrace.operators import partitioning as P, upsert as U
+from millrace.operators.reports import run_streams
 from millrace.operators.schema import stamped
 from millrace.sinks.files import delete, list_names, scratch
 from millrace.sinks.tables import TargetTable, read_state
@@ -305,6 +308,44 @@ def bootstrap_load(spark, sf):
     return out
 
 
+@query("bootstrap_behind_sweep", f"""
+    SELECT o_orderkey, o_orderstatus, {sql_stamp("CASE WHEN o_orderstatus = 'U' THEN TIMESTAMP '2030-01-01' ELSE o_orderdate END")} AS updated
+    FROM (SELECT o_orderkey, o_orderdate, CASE WHEN o_orderkey % 10 = 3 THEN 'U' ELSE o_orderstatus END AS o_orderstatus FROM orders) t""")
+def bootstrap_behind_sweep(spark, sf):
+    """Ten slices from one plan.  A tenth of the orders changes while the sweep is under way, most of them
+    behind it, with a cursor over that of every slice; some read ahead of it already carry that cursor."""
+    root, orders = scratch(spark, "behind"), table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    hit = F.col("o_orderkey") % 10 == 3
+    changed = orders.withColumns({"o_orderstatus": F.when(hit, "U").otherwise(F.col("o_orderstatus")),
+                                  "o_orderdate": F.when(hit, F.lit("2030-01-01").cast("timestamp_ntz")).otherwise(F.col("o_orderdate"))})
+    spec = StreamSpec("orders", key="o_orderkey", disposition="merge", schema=ORDERS, buckets=8, partition="none",
+                      incremental=Incremental("o_orderdate", "timestamp"))
+    page = -(-orders.count() // 10)
+    for i in range(12):
+        seen = orders if i < 7 else changed
+        stream = Stream(spec, lambda _, ctx, seen=seen: read_with_bootstrap(ctx, seen, ["o_orderkey"], page, max_pages=1))
+        run_stream(spark, root, stream, run_at=_RUN_AT)
+    return TargetTable(spark, root, "orders").read().select("o_orderkey", "o_orderstatus", stamp("o_orderdate").alias("updated"))
+
+
+@query("runs_concurrent", """
+    SELECT 'succeeded' AS status, COUNT(*) AS runs, CAST(SUM(n) AS BIGINT) AS rows, COUNT(DISTINCT 'orders_' || c) AS tables
+    FROM (SELECT o_custkey % 8 AS c, COUNT(*) AS n FROM orders GROUP BY 1) t""")
+def runs_concurrent(spark, sf):
+    """Eight runs at a time under one root, each with a table of its own; every one is on record."""
+    root, orders = scratch(spark, "together"), table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+
+    def go(i):
+        spec = StreamSpec(f"orders_{i}", schema=ORDERS, partition="none")
+        return run(spark, root, [Stream(spec, lambda _, ctx: orders.filter(F.col("o_custkey") % 8 == i))], source="shop")
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(inheritable_thread_target(spark)(go), range(8)))
+    streams = run_streams(read_runs(spark, root)).join(read_runs(spark, root).select("run_id", F.col("status").alias("run_status")), "run_id")
+    return streams.groupBy(F.col("run_status").alias("status")).agg(
+        F.count_distinct("run_id").alias("runs"), F.sum("rows_loaded").alias("rows"), F.count_distinct("name").alias("tables"))
+
+
 @query("committed_state", """
     SELECT 'shop' AS connector, o_orderstatus AS stream, COUNT(*) AS rows_total,
            strftime(MAX(o_orderdate), '%Y-%m-%dT%H:%M:%S+00:00') AS cursor_value
@@ -446,14 +487,14 @@ _loaded_by("range", {"field": "l_partkey", "type": "range", "range": {"start": 0
 
 
 def _stamped_rows(spark, sf):
-    rows = table(spark, sf, "orders").filter("o_orderdate >= TIMESTAMP_NTZ '2001-01-01'")
-    return rows.select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias(SYNCED_AT))
+    """All orders; each carries the first of its month as the day it was loaded."""
+    return table(spark, sf, "orders").select("o_orderkey", F.date_trunc("month", F.col("o_orderdate").cast("timestamp")).alias(SYNCED_AT))
 
 
 _loaded_by("ingestion", {"type": "ingestion"}, _stamped_rows, table_schema(("o_orderkey", "INTEGER")),
-           f"date_format({SYNCED_AT}, 'yyyy-MM-dd')", datetime(2001, 3, 1, tzinfo=timezone.utc), datetime(2001, 4, 1, tzinfo=timezone.utc), f"""
-    SELECT {sql_day('o_orderdate')} AS part, COUNT(*) AS rows FROM orders
-    WHERE o_orderdate >= TIMESTAMP '2001-03-01' AND o_orderdate < TIMESTAMP '2001-04-01' GROUP BY 1""")
+           f"date_format({SYNCED_AT}, 'yyyy-MM-dd')", datetime(1997, 3, 1, tzinfo=timezone.utc), datetime(1999, 4, 1, tzinfo=timezone.utc), f"""
+    SELECT {sql_day("date_trunc('month', o_orderdate)")} AS part, COUNT(*) AS rows FROM orders
+    WHERE o_orderdate >= TIMESTAMP '1997-03-01' AND o_orderdate < TIMESTAMP '1999-04-01' GROUP BY 1""")
 
 
 _TYPED = table_schema(("event_id", "INTEGER"), ("ts", "TIMESTAMP"), ("user_id", "INTEGER"),

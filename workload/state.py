@@ -4,6 +4,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
+from millrace.load import EventLog
 from millrace.operators import reports as R, state as S
 from millrace.sinks.files import scratch
 
@@ -105,6 +106,32 @@ def event_log(spark, sf):
         F.count(F.lit(1)).alias("lines"), F.sum("rows").alias("rows"))
 
 
+@query("event_log_user", """
+    SELECT event_type, COUNT(*) AS lines, CAST(SUM(event_id) AS BIGINT) AS ids,
+           CAST(SUM(CASE WHEN event_id % 10 = 0 THEN 0 ELSE event_id END) AS BIGINT) AS rows,
+           COUNT_IF(event_id % 10 = 0) AS misfits, COUNT(props) AS props
+    FROM events GROUP BY 1""")
+def event_log_user(spark, sf):
+    """The file that an event log writes, of as many user events as there are types, and every event as a line of its own: fields of
+    their own are kept, and a line is kept where one field is no number."""
+    events, root = table(spark, sf, "events"), scratch(spark, "own")
+    log = EventLog("r1", ())
+    for row in events.select("event_type").distinct().collect():
+        log.emit("user", message="seen", event_type=row.event_type, order={"id": 7})
+    path = log.write(spark, root)
+    rows = F.when(F.col("event_id") % 10 == 0, F.lit("many")).otherwise(F.col("event_id").cast("string"))
+    own = events.select(F.to_json(F.struct(F.lit("user").alias("event"), rows.alias("rows"), F.col("event_id").alias("my_id"),
+                                           "event_type", "props")).alias("value"))
+    own.write.text(f"{root}/more")
+    written = R.read_events(spark, path).where("event = 'user' AND message = 'seen'").select(
+        F.col("fields")["event_type"].alias("event_type"), F.get_json_object(F.col("fields")["order"], "$.id").alias("id"))
+    lines = R.read_events(spark, f"{root}/more").groupBy(F.col("fields")["event_type"].alias("event_type")).agg(
+        F.count(F.lit(1)).alias("lines"), F.sum(F.col("fields")["my_id"].cast("bigint")).alias("ids"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.count(F.col("fields")["rows"]).alias("misfits"),
+        F.count(F.col("fields")["props"]).alias("props"))
+    return lines.join(written.where("id = '7'").select("event_type"), "event_type")
+
+
 _SECRETS = ("that", "please", "with", "the", "that")
 
 
