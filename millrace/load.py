@@ -26,7 +26,8 @@ from .operators.reports import RUN_SCHEMA
 from .operators.schema import check_strict, evolved, inferred_schema, require, stamped
 from .operators.upsert import keep_last, null_key_rows
 from .sinks import files
-from .sinks.tables import TargetTable, state_of
+from .sinks.catalog import PREFIX, destination, namespace_location
+from .sinks.tables import state_of
 from .spec import (Contract, Disposition, Incremental, PartitionSpec, RunMode, SpecError, StreamSpec, cursor_to_json,
                    logical_type, typed_cursor)
 
@@ -133,7 +134,8 @@ class EventLog:
             **{k: self.masked(cursor_to_json(v)) for k, v in fields.items()}}))
 
     def write(self, spark: SparkSession, root: str) -> str:
-        path = f"{root.rstrip('/')}/_logs/{self.run_id}.jsonl"
+        home = namespace_location(spark, root.removeprefix(PREFIX)) if root.startswith(PREFIX) else root
+        path = f"{home.rstrip('/')}/_logs/{self.run_id}.jsonl"
         files.write_text(spark, path, "\n".join(self.lines) + "\n")
         return path
 
@@ -153,7 +155,7 @@ def load_frame(spark: SparkSession, root: str, spec: StreamSpec, df: DataFrame |
     """
     session.check(spark)
     run_at = run_at or datetime.now(timezone.utc)
-    table = TargetTable(spark, root, spec.table)
+    table = destination(spark, root, spec.table)
     pointer = table.pointer()
     prior = state_of(pointer, source, spec.name)
     inc = spec.incremental
@@ -244,7 +246,7 @@ def _measured(observation: Observation) -> dict[str, Any]:
 
 def settle(spark: SparkSession, root: str, spec: StreamSpec, source: str = "") -> Any:
     """Commit the cursor an unordered stream has seen, now that all of it has landed."""
-    table = TargetTable(spark, root, spec.table)
+    table = destination(spark, root, spec.table)
     state = table.state(source, spec.name)
     blob = json.loads(state.get("state_blob") or "{}")
     if SEEN not in blob:
@@ -273,7 +275,7 @@ def run_stream(spark: SparkSession, root: str, one: Stream, *, source: str = "",
     spec = one.spec
     run_at = run_at or datetime.now(timezone.utc)
     refresh = spec.mode(mode, full_refresh) is RunMode.FULL_REFRESH
-    pointer = TargetTable(spark, root, spec.table).pointer()
+    pointer = destination(spark, root, spec.table).pointer()
     prior = state_of(pointer, source, spec.name)
     inc: Incremental | None = spec.incremental
     seed = inc.seed(prior.get("cursor_value"), since, refresh) if inc else None
@@ -298,7 +300,8 @@ def run(spark: SparkSession, root: str, streams: Iterable[Stream], *, source: st
         target: str = "", full_refresh: bool = False, modes: Mapping[str, Any] | None = None,
         since: Mapping[str, Any] | None = None, secrets: Iterable[str] = (),
         run_at: datetime | None = None, parallel: int = 1) -> RunResult:
-    """Run streams in order, record the run, and return its result; a failing stream
+    """Run streams in order, record the run, and return its result; ``root`` is a folder or
+    ``catalog:<namespace>``.  A failing stream
     ends the run and those not yet begun are ``skipped``.  Never raises: see ``raise_for_status``.
 
     ``parallel`` streams run at a time, so that small ones share the cluster; results keep
@@ -364,7 +367,7 @@ def record_run(spark: SparkSession, root: str, result: RunResult, *, config: str
     frame = stamped(spark.createDataFrame([row], RUN_SCHEMA), F.lit(result.ended_at).cast("timestamp"))
     for attempt in range(RECORD_ATTEMPTS):
         try:
-            TargetTable(spark, root, RUNS_TABLE).commit(frame, "merge", key=spec.key, partition=day, run_id=result.run_id)
+            destination(spark, root, RUNS_TABLE).commit(frame, "merge", key=spec.key, partition=day, run_id=result.run_id)
             return
         except files.AlreadyExists:
             if attempt + 1 == RECORD_ATTEMPTS:
@@ -374,7 +377,7 @@ def record_run(spark: SparkSession, root: str, result: RunResult, *, config: str
 
 def read_runs(spark: SparkSession, root: str) -> DataFrame:
     """The run history; empty before the first run."""
-    table = TargetTable(spark, root, RUNS_TABLE)
+    table = destination(spark, root, RUNS_TABLE)
     if table.pointer() is None:
         return spark.createDataFrame([], RUN_SCHEMA)
     return table.read().select(*RUN_SCHEMA.names)

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import payloads as P
+from ..sinks.files import settled
 
 STOP = "stop"
 
@@ -89,3 +90,52 @@ def walk_report(ruled: DataFrame, page_cap: int | None = None) -> DataFrame:
     return walk.select("endpoint", "pages", "last_page", end_page.alias("end_page"),
                        F.col(f"__end.{STOP}").alias("end_rule"),
                        verdict.otherwise(F.lit("truncated")).alias("verdict"))
+
+
+def chain_report(pages: DataFrame) -> DataFrame:
+    """Pages without numbers, ordered by their cursors: per endpoint, how the chain of pages hangs together.
+
+    Rows are ``endpoint``, ``cursor`` (what the page was asked with; NULL for the first) and ``next`` (what it
+    offers).  ``in_order`` pages follow from the first one, ``length`` of the longest such walk; ``breaks`` are offers that no page took up;
+    ``forks`` are cursors that several pages offer or were asked with; ``orphans`` follow from a page that no page offers; ``cyclic`` pages
+    follow from a page that comes round again.
+
+    Every page points at the one that offered its cursor, and each round all pointers jump as far as they
+    have come, so the longest walk takes the logarithm of its length; a pointer that is still on its way after as
+    many rounds as the endpoint's pages need is in a cycle, or hangs on one.
+    """
+    page = pages.select("endpoint", "cursor", "next")
+    asked = page.groupBy("endpoint", "cursor").agg(F.count(F.lit(1)).alias("n"))
+    offered = page.filter("next IS NOT NULL").groupBy("endpoint", F.col("next").alias("cursor")).agg(
+        F.count(F.lit(1)).alias("offers"), F.min(F.struct(F.col("cursor").isNotNull().alias("later"), "cursor")).alias("by"))
+    # one node a cursor; the first page's is the empty text, told apart by a flag
+    nodes = asked.join(offered, ["endpoint", "cursor"], "left").select(
+        "endpoint", F.coalesce("cursor", F.lit("")).alias("node"), F.col("cursor").isNull().alias("first"), "n",
+        F.coalesce("offers", F.lit(0)).alias("offers"), F.col("by.later").alias("later"), F.coalesce("by.cursor", F.lit("")).alias("before"))
+    nodes = settled(nodes, "chain")
+    at = F.struct(~F.col("first"), "node")
+    state = nodes.select("endpoint", "first", "n", at.alias("node"), F.when(
+        F.col("first") | (F.col("offers") == 0), F.lit(None)).otherwise(F.struct("later", "before")).alias("to"), at.alias("root"),
+        F.lit(0).cast("bigint").alias("hops"))
+    shape = state.schema["node"].dataType
+    state = state.withColumn("to", F.col("to").cast(shape)).withColumn("root", F.coalesce(F.col("to"), F.col("node")))
+    state = state.withColumn("hops", F.col("to").isNotNull().cast("bigint"))
+    most = state.groupBy("endpoint").count().agg(F.max("count")).first()[0] or 0
+    for _ in range(max(most, 1).bit_length()):
+        state = settled(state, "chain")
+        ahead = state.select("endpoint", F.col("node").alias("to"), F.col("to").alias("__to"), F.col("root").alias("__root"),
+                             F.col("hops").alias("__hops"))
+        state = state.join(ahead, ["endpoint", "to"], "left").select(
+            "endpoint", "first", "n", "node", F.col("__to").alias("to"), F.coalesce("__root", "root").alias("root"),
+            (F.col("hops") + F.coalesce("__hops", F.lit(0))).alias("hops"))
+    reached = state.select("endpoint", "n", F.col("to").isNotNull().alias("cyclic"), (~F.col("root")["col1"]).alias("from_first"), "hops")
+    walked = reached.groupBy("endpoint").agg(
+        F.sum("n").alias("pages"), F.sum(F.when(~F.col("cyclic") & F.col("from_first"), F.col("n")).otherwise(0)).alias("in_order"),
+        F.coalesce(F.max(F.when(~F.col("cyclic") & F.col("from_first"), F.col("hops") + 1)), F.lit(0)).alias("length"),
+        F.sum(F.when(~F.col("cyclic") & ~F.col("from_first"), F.col("n")).otherwise(0)).alias("orphans"),
+        F.sum(F.when(F.col("cyclic"), F.col("n")).otherwise(0)).alias("cyclic"))
+    forks = nodes.groupBy("endpoint").agg(F.count_if((F.col("n") > 1) | (F.col("offers") > 1)).alias("forks"))
+    taken = asked.select("endpoint", "cursor").filter("cursor IS NOT NULL")
+    breaks = offered.join(taken, ["endpoint", "cursor"], "left_anti").groupBy("endpoint").agg(F.sum("offers").alias("breaks"))
+    return walked.join(forks, "endpoint").join(breaks, "endpoint", "left").select(
+        "endpoint", "pages", "in_order", "length", F.coalesce("breaks", F.lit(0)).alias("breaks"), "forks", "orphans", "cyclic")

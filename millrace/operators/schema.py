@@ -130,6 +130,33 @@ def ragged_union(*parts: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [as_text(p) for p in parts])
 
 
+def common_type(types: Sequence[T.DataType]) -> T.DataType | None:
+    """The least type of the lattice that holds all: whole numbers below bigint, numbers below double, days
+    below times; ``None`` where only text does."""
+    if len({t.json() for t in types}) == 1:
+        return types[0]
+    if all(isinstance(t, T.IntegralType) for t in types):
+        return T.LongType()
+    if all(isinstance(t, T.NumericType) for t in types):
+        return T.DoubleType()
+    if all(isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)) for t in types):
+        return T.TimestampType()
+    return None
+
+
+def widened_union(*parts: DataFrame) -> DataFrame:
+    """``ragged_union`` that widens a column's types where one type holds them all."""
+    kinds: dict[str, list[T.DataType]] = {}
+    for part in parts:
+        for field in part.schema.fields:
+            kinds.setdefault(field.name, []).append(field.dataType)
+    common = {name: common_type(types) for name, types in kinds.items()}
+    widen = lambda part: part.select(*[
+        part[f"`{f.name}`"] if common[f.name] in (None, f.dataType) else part[f"`{f.name}`"].cast(common[f.name]).alias(f.name)
+        for f in part.schema.fields])
+    return ragged_union(*[widen(p) for p in parts])
+
+
 def required_nulls(df: DataFrame, schema: T.StructType) -> DataFrame:
     """NULL count of every REQUIRED column: ``column_name, nulls``, in one aggregate."""
     names = [f.name for f in schema.fields if field_mode(f) is Mode.REQUIRED]

@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.values import instant
-from ..sinks.files import delete, scratch
+from ..sinks.files import delete, scratch, settled
 from ..spec import SpecError, utc
 
 
@@ -157,6 +157,27 @@ def account_tree(df: DataFrame, depth: int) -> DataFrame:
     return chosen.select(F.col("id").cast("string").alias("id")).filter("id <> ''")
 
 
+def account_tree_of_links(accounts: DataFrame, links: DataFrame, roots: DataFrame, depth: int) -> DataFrame:
+    """Enabled leaf accounts under the ``roots`` (column ``id``), down to ``depth`` links: ``id`` as text, and its ``level``.
+
+    ``links`` are rows (``parent``, ``child``); ``accounts`` have ``id``, ``manager`` and ``status``.  One join a level; an
+    account that was reached before is not followed again, so a cycle ends the walk and an account under two
+    managers counts at its shortest distance.  Only managers are followed.
+    """
+    managers = accounts.filter("manager").select(F.col("id").alias("parent"))
+    below = links.join(managers, "parent", "left_semi").select("parent", "child").distinct()
+    seen = settled(roots.select("id").distinct().withColumn("level", F.lit(0)), "tree")
+    front = seen
+    for level in range(1, depth + 1):
+        reached = front.join(below, F.col("id") == F.col("parent")).select(F.col("child").alias("id")).distinct()
+        front = settled(reached.join(seen.select("id"), "id", "left_anti").withColumn("level", F.lit(level)), "tree")
+        if front.isEmpty():
+            break
+        seen = seen.unionByName(front)
+    leaves = accounts.filter(~F.col("manager") & (F.col("status") == "ENABLED")).select("id")
+    return seen.filter("level > 0").join(leaves, "id").select(F.col("id").cast("string").alias("id"), "level").filter("id <> ''")
+
+
 def tagged(df: DataFrame, column: str, values: Sequence[str], tag: str) -> DataFrame:
     """Rows of the wanted values, each tagged with the value it was asked for."""
     return df.filter(F.col(column).isin(*values)).withColumn(tag, F.col(column))

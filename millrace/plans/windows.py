@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..spec import SpecError
 
@@ -118,3 +118,51 @@ def safe_cursor(windows: DataFrame) -> DataFrame:
     open_from = F.min(F.when(~F.col("all_done"), F.col("since")))
     return windows.agg(open_from.alias("open_from"), F.max("until").alias("last")).select(
         F.coalesce(F.date_sub("open_from", 1), F.col("last")).alias("cursor"))
+
+
+# --------------------------------------------------------------------------
+# coverage: finished intervals of any shape
+
+# Days of a stretch whose intervals are united before an account's are.
+_STRETCH = 64
+
+
+def _united(rows: DataFrame, *keys: str) -> DataFrame:
+    """Intervals (``since``, ``until``, both inclusive) of each key that neither overlap nor touch."""
+    ahead = Window.partitionBy(*keys).orderBy("since", "until")
+    reached = F.max("until").over(ahead.rowsBetween(Window.unboundedPreceding, -1))
+    starts = rows.withColumn("__new", F.coalesce(F.col("since") > F.date_add(reached, 1), F.lit(True)).cast("int"))
+    island = F.sum("__new").over(ahead.rowsBetween(Window.unboundedPreceding, 0))
+    return (starts.withColumn("__island", island).groupBy(*keys, "__island")
+            .agg(F.min("since").alias("since"), F.max("until").alias("until")).drop("__island"))
+
+
+def coverage(finished: DataFrame, account: str) -> DataFrame:
+    """The days each account has finished, as intervals that neither overlap nor touch, from intervals of any
+    length and overlap; rows without a day, or that end before they begin, count for nothing.
+
+    Intervals are united by stretches of the calendar first, so what is left of an account that has a third of
+    all rows is bounded by its days.
+    """
+    rows = finished.filter("since <= until").select(account, "since", "until")
+    stretch = F.floor(F.datediff("since", F.lit(date(1970, 1, 1))) / _STRETCH)
+    # equal intervals fold before they are shuffled by account
+    partly = _united(rows.distinct().withColumn("__stretch", stretch), account, "__stretch").drop("__stretch")
+    return _united(partly, account)
+
+
+def coverage_gaps(covered: DataFrame, account: str) -> DataFrame:
+    """The days between an account's intervals: ``since``, ``until``."""
+    order = Window.partitionBy(account).orderBy("since")
+    before = F.lag("until").over(order)
+    return (covered.withColumn("__before", before).filter("__before IS NOT NULL")
+            .select(account, F.date_add("__before", 1).alias("since"), F.date_sub("since", 1).alias("until")))
+
+
+def covered_cursor(covered: DataFrame, accounts: DataFrame, account: str, first: date) -> DataFrame:
+    """One row ``cursor``: the last day such that every account has finished all days from ``first`` on; the day
+    before ``first`` if one has not begun, NULL without accounts."""
+    start = F.lit(first)
+    done = covered.filter((F.col("since") <= start) & (F.col("until") >= start)).select(account, F.col("until").alias("__done"))
+    each = accounts.select(account).distinct().join(done, account, "left")
+    return each.agg(F.min(F.coalesce("__done", F.date_sub(start, 1))).alias("cursor"))

@@ -80,6 +80,13 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_folder(spark).rstrip('/')}/millrace-{label}-{uuid.uuid4().hex}"
 
 
+def settled(df, label: str):
+    """The same rows from files under the checkpoint folder: computed once, their plan cut off."""
+    folder = scratch(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
     """The folder ``spark.checkpoint.dir`` names.  Only a local master without the
     setting gets a local folder of its own."""

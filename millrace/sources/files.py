@@ -5,9 +5,10 @@ from __future__ import annotations
 import re
 from datetime import datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..operators.schema import ragged_union
+from ..operators.schema import ragged_union, widened_union
 from ..sinks.files import list_names
 from ..spec import SpecError, utc
 
@@ -106,6 +107,8 @@ class _Listing:
 # is selected from it.
 _CSV = {"quote": '"', "escape": '"', "emptyValue": "", "enforceSchema": "false", "columnPruning": "false",
         "unescapedQuoteHandling": "RAISE_ERROR", "encoding": "UTF-8", "mode": "PERMISSIVE"}
+# What Spark says of files whose types don't go together.
+NOT_MERGED = ("CANNOT_MERGE_SCHEMAS", "CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE", "FAILED_MERGE_FIELDS")
 _TORN = "__torn"
 _LAST_CELL = "\u0001last cell"
 
@@ -174,10 +177,37 @@ def read_jsonl(listing: _Listing, schema: T.StructType | None = None) -> DataFra
     return listing.only_new(reader.json(listing.new_paths() if schema is None else listing.path))
 
 
+def _condition(error: Py4JJavaError) -> str | None:
+    """The name of a Spark error."""
+    java = error.java_exception
+    return java.getCondition() if hasattr(java, "getCondition") else None
+
+
 def read_parquet(listing: _Listing) -> DataFrame:
+    """All new files.  Where files type a column differently they are read by groups that agree, found by
+    halving, and united: whole numbers become bigint, numbers double, days and times timestamp, anything else text."""
     paths = listing.new_paths()
-    reader = listing.reader().option("mergeSchema", "true")
-    return listing.only_new(reader.parquet(*([paths] if isinstance(paths, str) else paths)))
+
+    def read(paths: list[str]) -> list[DataFrame]:
+        try:
+            return [listing.only_new(listing.reader().option("mergeSchema", "true").parquet(*paths))]
+        except Py4JJavaError as error:
+            if _condition(error) not in NOT_MERGED or len(paths) == 1:
+                raise
+        half = len(paths) // 2
+        return [part for side in (paths[:half], paths[half:]) for part in read(side)]
+
+    try:
+        parts = read([paths] if isinstance(paths, str) else paths)
+    except Py4JJavaError as error:
+        if _condition(error) not in NOT_MERGED:
+            raise
+        parts = read(sorted(r.path for r in listing.files().collect()))
+    by_schema: dict[str, DataFrame] = {}
+    for part in parts:
+        shape = part.schema.json()
+        by_schema[shape] = by_schema[shape].unionByName(part) if shape in by_schema else part
+    return widened_union(*by_schema.values())
 
 
 def read_files(spark: SparkSession, path: str, pattern: str = "**/*.csv", fmt: str = "auto",

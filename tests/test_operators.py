@@ -6,6 +6,8 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import Observation, functions as F
 
+from millrace.operators import page_audit as A
+from millrace.operators.schema import widened_union
 from millrace.operators import normalize as N, schema as H, selection as S, upsert as U
 from millrace.spec import SpecError, table_schema
 
@@ -170,3 +172,48 @@ def test_newer_reaches_the_scan(spark, tmp_path):
     assert "GreaterThan(id,50)" in plan
     assert S.newer(df, "id", 50).count() == 49 and S.newer(df, "id", 50, inclusive=True).count() == 50
     assert S.newer(df, "id", None).count() == 100
+
+
+def brute_chain(rows):
+    """(pages, in order, cyclic, orphans) of one endpoint, by walking each page back."""
+    by = {}
+    for cursor, following in rows:
+        if following is not None:
+            known = by.get(following, ())
+            by[following] = min(known, (cursor is not None, cursor or "")) if known else (cursor is not None, cursor or "")
+    known = {c for c, _ in rows}
+    out = {"in_order": 0, "cyclic": 0, "orphans": 0}
+    for cursor, _ in rows:
+        at, steps = cursor, 0
+        while at is not None and at in by and steps <= len(rows):
+            later, before = by[at]
+            at, steps = (before if later else None), steps + 1
+        kind = "cyclic" if steps > len(rows) else "in_order" if at is None else "orphans"
+        out[kind] += 1
+    forks = sum(1 for c in known if sum(x == c for x, _ in rows) > 1 or sum(f == c for _, f in rows if f is not None) > 1)
+    breaks = sum(1 for _, f in rows if f is not None and f not in known)
+    return len(rows), out["in_order"], breaks, forks, out["orphans"], out["cyclic"]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_chains_of_pages_against_a_walk(spark, seed):
+    rng = random.Random(seed)
+    rows = {}
+    for endpoint in range(12):
+        n = rng.randint(1, 40)
+        chain = [(None if p == 0 else f"c{p}", f"c{p + 1}" if p + 1 < n else None) for p in range(n)]
+        for _ in range(rng.randint(0, 3)):
+            p = rng.randrange(n)
+            chain[p] = (chain[p][0] if rng.random() < 0.6 else f"c{rng.randrange(1, 45)}", rng.choice([None, f"c{rng.randrange(1, 45)}"]))
+        rows[endpoint] = chain
+    df = spark.createDataFrame([(e, c, f) for e, chain in rows.items() for c, f in chain], "endpoint int, cursor string, next string")
+    got = {r.endpoint: (r.pages, r.in_order, r.breaks, r.forks, r.orphans, r.cyclic) for r in A.chain_report(df).collect()}
+    assert got == {e: brute_chain(chain) for e, chain in rows.items()}
+
+
+def test_common_types(spark):
+    a = spark.createDataFrame([(1, 1, "2024-01-01", 5)], "i int, n int, d string, t int").withColumn("d", F.to_date("d"))
+    b = spark.createDataFrame([(2 ** 40, 1.5, "2024-01-02 03:00:00", "x")], "i bigint, n double, d string, t string").withColumn("d", F.to_timestamp("d"))
+    out = widened_union(a, b)
+    assert [f.dataType.simpleString() for f in out.schema.fields] == ["bigint", "double", "timestamp", "string"]
+    assert sorted((r.i, r.n, r.t) for r in out.collect()) == [(1, 1.0, "5"), (2 ** 40, 1.5, "x")]

@@ -4,11 +4,13 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
+from millrace.load import load_frame
 from millrace.operators.normalize import normalize
 from millrace.sinks.files import list_names, scratch
+from millrace.sinks.tables import TargetTable
 from millrace.sources.files import FILE_CURSOR, read_files
 from millrace.sources.tables import all_text
-from millrace.spec import table_schema
+from millrace.spec import StreamSpec, table_schema
 
 from .base import day, query, sql_day, table
 
@@ -123,3 +125,22 @@ def files_new_by_time(spark, sf):
     if later is not None:
         raise AssertionError("files from before the cursor were read")
     return read_files(spark, path, "**/*.parquet", since=now - timedelta(days=1)).drop(FILE_CURSOR)
+
+
+@query("files_types_differ", """
+    SELECT o_orderkey, o_custkey, o_totalprice, CASE o_orderstatus WHEN 'F' THEN CAST(o_orderkey AS VARCHAR)
+               WHEN 'O' THEN 'no ' || o_orderkey ELSE NULL END AS note FROM orders""")
+def files_types_differ(spark, sf):
+    """Parquet files that type one column as int, bigint and text, another as bigint and double, a third as number and text,
+    read as one source and loaded."""
+    path, orders = scratch(spark, "types"), _orders(spark, sf)
+    part = lambda s: orders.filter(F.col("o_orderstatus") == s)
+    key = lambda kind: F.col("o_orderkey").cast(kind).alias("o_orderkey")
+    part("F").select(key("int"), "o_custkey", "o_totalprice", F.col("o_orderkey").alias("note")).write.parquet(f"{path}/f")
+    part("O").select(key("string"), F.col("o_custkey").cast("double"), "o_totalprice",
+                     F.concat(F.lit("no "), "o_orderkey").alias("note")).write.parquet(f"{path}/o")
+    part("P").select(key("bigint"), F.col("o_custkey").cast("int"), "o_totalprice").write.parquet(f"{path}/p")
+    spec = StreamSpec("typed", partition="none", schema=table_schema(
+        ("o_orderkey", "INTEGER"), ("o_custkey", "INTEGER"), ("o_totalprice", "FLOAT"), ("note", "STRING")))
+    load_frame(spark, f"{path}/store", spec, read_files(spark, path, "**/*.parquet").drop(FILE_CURSOR))
+    return TargetTable(spark, f"{path}/store", "typed").read().select("o_orderkey", "o_custkey", "o_totalprice", "note")

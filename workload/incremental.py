@@ -211,6 +211,28 @@ def account_tree(spark, sf):
     return S.account_tree(tree, 2)
 
 
+_MANAGES = "c_custkey % 3 <> 0"
+
+
+@query("account_tree_edges", f"""
+    WITH RECURSIVE links AS (
+        SELECT c_custkey // 4 AS parent, c_custkey AS child FROM customer
+        UNION SELECT c_custkey, c_custkey // 4 FROM customer WHERE c_custkey % 7 = 0),
+    tree(id, level) AS (SELECT c_custkey, 0 FROM customer WHERE c_custkey IN (1, 2)
+        UNION SELECT child, level + 1 FROM tree JOIN links ON parent = id JOIN customer ON c_custkey = id WHERE level < 4 AND {_MANAGES})
+    SELECT CAST(id AS VARCHAR) AS id, MIN(level) AS level FROM tree JOIN customer ON c_custkey = id
+    WHERE NOT ({_MANAGES}) AND c_mktsegment <> 'BUILDING' GROUP BY id HAVING MIN(level) > 0""")
+def account_tree_edges(spark, sf):
+    """Accounts under two managers, four links down, over links that lead back up as well."""
+    customer = table(spark, sf, "customer")
+    accounts = customer.select(F.col("c_custkey").alias("id"), F.expr(_MANAGES).alias("manager"),
+                               F.when(F.col("c_mktsegment") == "BUILDING", "CLOSED").otherwise("ENABLED").alias("status"))
+    up = F.expr("c_custkey div 4")
+    links = customer.select(up.alias("parent"), F.col("c_custkey").alias("child")).unionByName(
+        customer.filter("c_custkey % 7 = 0").select(F.col("c_custkey").alias("parent"), up.alias("child")))
+    return S.account_tree_of_links(accounts, links, accounts.filter("id IN (1, 2)"), 4)
+
+
 @query("tagged_filter", """
     SELECT o_orderkey, o_orderpriority AS agency, o_totalprice FROM orders
     WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')""")

@@ -1,6 +1,7 @@
 """Dispositions, dedupe, merge, partitioning, atomic commits, the streaming form."""
 
 import json
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
@@ -11,6 +12,7 @@ from millrace.load import Stream, load_frame, read_runs, run, run_stream
 from millrace.operators import partitioning as P, upsert as U
 from millrace.operators.reports import run_streams
 from millrace.operators.schema import stamped
+from millrace.sinks.catalog import destination
 from millrace.sinks.files import delete, list_names, scratch
 from millrace.sinks.tables import TargetTable, read_state
 from millrace.sources.bootstrap import read_with_bootstrap
@@ -538,3 +540,64 @@ def stream_merge(spark, sf):
     ingest(source, f"{root}/store", spec, f"{root}/checkpoint").awaitTermination()
     rows = TargetTable(spark, f"{root}/store", "latest").read()
     return rows.select("user_id", "event_id", stamp("ts").alias("ts"), "event_type")
+
+
+# --------------------------------------------------------------------------
+# tables of the session catalog
+
+
+def _catalog_load(spark, sf, spec, *frames):
+    namespace = f"millrace_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE SCHEMA {namespace} LOCATION '{scratch(spark, 'catalog')}'")
+    for df in frames:
+        load_frame(spark, f"catalog:{namespace}", spec, df, run_at=_RUN_AT)
+    return destination(spark, f"catalog:{namespace}", spec.table)
+
+
+@query("load_catalog_append", f"""
+    SELECT {_SHOWN} FROM (SELECT {_COLUMNS}, o_orderdate FROM orders WHERE {_FIRST}
+                          UNION ALL SELECT {_CHANGED} FROM orders WHERE {_SECOND}) t""")
+def load_catalog_append(spark, sf):
+    return _shown(_catalog_load(spark, sf, StreamSpec("append", schema=ORDERS, partition="none"), *_batches(spark, sf)).read())
+
+
+@query("load_catalog_replace", f"SELECT {_SHOWN} FROM (SELECT {_CHANGED} FROM orders WHERE {_SECOND}) t")
+def load_catalog_replace(spark, sf):
+    spec = StreamSpec("replace", schema=ORDERS, disposition="replace", partition="none")
+    return _shown(_catalog_load(spark, sf, spec, *_batches(spark, sf)).read())
+
+
+@query("load_catalog_merge", f"""
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, {sql_day("o_orderdate")} AS day, note FROM (
+        SELECT {_COLUMNS}, o_orderdate, NULL AS note FROM orders WHERE {_FIRST} AND NOT ({_SECOND})
+        UNION ALL SELECT o_orderkey, o_custkey, 'U', o_totalprice, o_orderdate + INTERVAL 400 DAY, 'moved'
+                  FROM orders WHERE {_SECOND}) t""")
+def load_catalog_merge(spark, sf):
+    """Merge into a table partitioned by year; what moves to another year leaves its old one, and a new column comes along."""
+    spec = StreamSpec("merged", schema=ORDERS, disposition="merge", key="o_orderkey",
+                      partition={"field": "o_orderdate", "type": "time", "granularity": "year"})
+    first, second = _batches(spark, sf)
+    moved = second.withColumn("o_orderdate", F.expr("o_orderdate + INTERVAL 400 DAY")).withColumn("note", F.lit("moved"))
+    rows = _catalog_load(spark, sf, spec, first, moved).read()
+    return rows.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", day("o_orderdate").alias("day"), "note")
+
+
+@query("load_catalog_run", f"""
+    SELECT 'first' AS run, COUNT(*) AS rows, {sql_day('MAX(o_orderdate)')} AS cursor FROM orders WHERE o_orderdate <= TIMESTAMP '1998-12-31'
+    UNION ALL SELECT 'second', COUNT(*), {sql_day('MAX(o_orderdate)')} FROM orders""")
+def load_catalog_run(spark, sf):
+    """Two runs of one incremental stream into a schema of the catalog; the second goes on at the cursor of the first."""
+    namespace = f"millrace_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE SCHEMA {namespace} LOCATION '{scratch(spark, 'catalog')}'")
+    root, orders = f"catalog:{namespace}", table(spark, sf, "orders").drop("o_orderpriority")
+    spec = StreamSpec("orders", schema=ORDERS, partition="none", incremental=Incremental("o_orderdate", "timestamp", initial="1990-01-01"))
+    out, total = None, 0
+    for label, seen in (("first", orders.filter("o_orderdate <= TIMESTAMP_NTZ '1998-12-31'")), ("second", orders)):
+        result = run(spark, root, [Stream(spec, lambda _, ctx, seen=seen: read_table(seen, "o_orderdate", ctx.floor))], source="shop")
+        total += result.raise_for_status().rows_loaded
+        one = spark.createDataFrame([(label, total, str(result.streams[0].cursor_after)[:10])], "run string, rows bigint, cursor string")
+        out = one if out is None else out.unionByName(one)
+    recorded = read_runs(spark, root).groupBy().agg(F.sum("rows_loaded").alias("rows"))
+    if recorded.first().rows != total:
+        raise AssertionError("the runs on record don't add up")
+    return out

@@ -3,7 +3,7 @@
 Each payload is built from the columns of one row, so building it groups nothing.
 """
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from millrace.functions import payloads as P
 from millrace.operators import page_audit as A
@@ -179,3 +179,23 @@ def page_audit_info(spark, sf):
         WHEN page = 10 THEN '{"data":{"pageInfo":{"hasNextPage":false}}}'
         ELSE '{"data":{"pageInfo":{"hasNextPage":true,"endCursor":"abc"}}}' END"""
     return A.walk_report(A.page_info_rule(_pages(spark, sf, body), ["data", "pageInfo"]))
+
+
+@query("page_audit_chain", """
+    WITH n AS (SELECT o_custkey % 50 AS endpoint, COUNT(*) AS n FROM orders GROUP BY 1),
+    c AS (SELECT *, CASE endpoint % 5 WHEN 1 THEN 6 WHEN 2 THEN 4 WHEN 3 THEN 7 ELSE n END AS walked FROM n)
+    SELECT endpoint, n AS pages, CAST(walked AS BIGINT) AS in_order, CAST(walked AS BIGINT) AS length,
+           CAST(endpoint % 5 = 2 AS BIGINT) AS breaks, CAST(endpoint % 5 = 1 AS BIGINT) AS forks,
+           CASE WHEN endpoint % 5 IN (1, 2) THEN n - walked ELSE 0 END AS orphans,
+           CASE WHEN endpoint % 5 = 3 THEN n - walked ELSE 0 END AS cyclic FROM c""")
+def page_audit_chain(spark, sf):
+    """Pages that only name the next one, with offers that lead back, to nowhere, and in a circle."""
+    numbered = _orders(spark, sf).select((F.col("o_custkey") % 50).alias("endpoint"), F.row_number().over(
+        Window.partitionBy(F.col("o_custkey") % 50).orderBy("o_orderkey")).alias("p"))
+    last = F.max("p").over(Window.partitionBy("endpoint"))
+    kind = F.col("endpoint") % 5
+    cursor = F.when(F.col("p") > 1, F.concat(F.lit("c"), F.col("p") - 1))
+    offered = (F.when((kind == 1) & (F.col("p") == 6), "c2").when((kind == 2) & (F.col("p") == 4), "lost")
+               .when((kind == 3) & (F.col("p") == 7), F.lit(None)).when((kind == 3) & (F.col("p") == F.col("last")), "c7")
+               .when(F.col("p") < F.col("last"), F.concat(F.lit("c"), "p")))
+    return A.chain_report(numbered.withColumn("last", last).select("endpoint", cursor.alias("cursor"), offered.alias("next")))

@@ -157,3 +157,47 @@ def cursor_floor(spark, sf):
     seen = lambda kind: F.max(F.when(F.col("event_type") == kind, F.col("ts")))
     cursors = table(spark, sf, "events").groupBy("user_id").agg(seen("click").alias("o"), seen("view").alias("c"))
     return cursors.select("user_id", stamp(K.floored(F.col("o"), F.col("c"))).alias("cursor"))
+
+
+_DONE = """SELECT {account} AS account, CAST(o_orderdate AS DATE) AS since,
+                  CAST(o_orderdate AS DATE) + CAST(o_orderkey % 40 AS INT) AS until FROM orders"""
+_ISLANDS = """
+    done AS ({done}),
+    marked AS (SELECT *, COALESCE(since > MAX(until) OVER (PARTITION BY account ORDER BY since, until
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1, TRUE) AS new FROM done),
+    numbered AS (SELECT *, SUM(CAST(new AS INT)) OVER (PARTITION BY account ORDER BY since, until ROWS UNBOUNDED PRECEDING) AS island FROM marked),
+    islands AS (SELECT account, MIN(since) AS since, MAX(until) AS until FROM numbered GROUP BY account, island)"""
+
+
+def _done(spark, sf, account):
+    since = F.to_date("o_orderdate")
+    return table(spark, sf, "orders").select(F.expr(account).alias("account"), since.alias("since"),
+                                             F.date_add(since, (F.col("o_orderkey") % 40).cast("int")).alias("until"))
+
+
+@query("window_coverage", f"""
+    WITH {_ISLANDS.format(done=_DONE.format(account="o_custkey"))}
+    SELECT account, {sql_day('since')} AS since, {sql_day('until')} AS until, TRUE AS done FROM islands
+    UNION ALL SELECT account, {sql_day('before + 1')}, {sql_day('since - 1')}, FALSE FROM (
+        SELECT *, lag(until) OVER (PARTITION BY account ORDER BY since) AS before FROM islands) t WHERE before IS NOT NULL""")
+def window_coverage(spark, sf):
+    """Finished intervals of any length, overlapping or not: what each account has finished, and the gaps between."""
+    covered = W.coverage(_done(spark, sf, "o_custkey"), "account")
+    rows = covered.withColumn("done", F.lit(True)).unionByName(W.coverage_gaps(covered, "account").withColumn("done", F.lit(False)))
+    return rows.select("account", day("since").alias("since"), day("until").alias("until"), "done")
+
+
+@query("window_covered_cursor", f"""
+    WITH {_ISLANDS.format(done=_DONE.format(account="o_custkey % 5"))},
+    firsts(f) AS (VALUES (DATE '1990-01-01'), (DATE '1996-01-01'), (DATE '1998-06-01'), (DATE '2001-07-01')),
+    each AS (SELECT f, a.account, COALESCE(MAX(until), MIN(f) - 1) AS cursor
+             FROM firsts CROSS JOIN (SELECT DISTINCT account FROM islands) a
+             LEFT JOIN islands i ON i.account = a.account AND since <= f AND until >= f GROUP BY f, a.account)
+    SELECT {sql_day('f')} AS first, {sql_day('MIN(cursor)')} AS cursor FROM each GROUP BY f""")
+def window_covered_cursor(spark, sf):
+    """The safe cursor over all accounts, from several first days."""
+    covered, out = W.coverage(_done(spark, sf, "o_custkey % 5"), "account"), None
+    for first in (date(1990, 1, 1), date(1996, 1, 1), date(1998, 6, 1), date(2001, 7, 1)):
+        one = W.covered_cursor(covered, covered, "account", first).select(day(F.lit(first)).alias("first"), day("cursor").alias("cursor"))
+        out = one if out is None else out.unionByName(one)
+    return out
