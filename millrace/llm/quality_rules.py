@@ -12,10 +12,8 @@ from .common import BLANK_WORDS, CONTINUATION, batch_words, map_batches, rolling
 SYMBOLS = b"#*$%&|<>"
 _NOT_SYMBOLS = bytes(b for b in range(256) if b not in SYMBOLS)
 MIN_WORDS = 50
-#: A line is boilerplate if more documents of its host than this have it ...
+#: A line is boilerplate if more documents of its host than this have it, whatever else the host has.
 MAX_DOCUMENTS = 20
-#: ... and at least one of so many of the host's documents.
-MAX_SHARE = 1000
 #: A document is depleted if fewer words than these are left, or under this share of them.
 LEAST_WORDS, LEAST_SHARE = 10, 0.3
 
@@ -64,17 +62,17 @@ def _lines(batch: list[bytes]) -> list[list[dict]]:
 
 
 def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-                  max_documents: int = MAX_DOCUMENTS, max_share: int = MAX_SHARE, least_words: int = LEAST_WORDS,
+                  max_documents: int = MAX_DOCUMENTS, least_words: int = LEAST_WORDS,
                   least_share: float = LEAST_SHARE) -> DataFrame:
     """Figures and verdict of every row.
 
     Lines are normalised and hashed; each host's distinct documents are counted for each line.  A line that
-    over ``max_documents`` of a host's documents have, and over one in ``max_share`` of them, is removed.  A
-    document is depleted, and rejected, if that leaves under ``least_words`` words or under ``least_share`` of
+    over ``max_documents`` of a host's documents have is removed.  A document is depleted, and rejected, if that leaves under ``least_words`` words or under ``least_share`` of
     what it had.  ``base_failed`` rows are rejected in any case.
 
     A null text has no words, null hosts are one host; rows with one id (or none) count as one document, but
-    each row loses its own lines only and has its own verdict.  An empty table gives no rows.
+    each row loses its own lines only and has its own verdict.  Texts are read whole, however long.  An empty table gives
+    no rows.
 
     A line's documents are counted by partial sums, so a line that all documents have costs one row a task.
     Only (host, line) pairs above the limits meet the documents' lines again, in a join that Spark broadcasts
@@ -92,9 +90,8 @@ def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         n_dup_lines bigint, n_repeat_words bigint, lines array<struct<line: bigint, words: bigint>>""").withColumn("__row", F.monotonically_increasing_id()), "lines")
     document = F.struct("doc_id")  # not null where the id is
     lines = base.select("doc_id", "__row", "host", F.inline("lines"))
-    hosts = base.groupBy("host").agg(F.count_distinct(document).alias("documents"))
     often = (lines.groupBy("host", "line").agg(F.count_distinct(document).alias("n")).where(F.col("n") > max_documents)
-             .join(hosts, "host").where(F.col("n") * max_share > F.col("documents")).select("host", "line"))
+             .select("host", "line"))
     removed = (lines.join(often, ["host", "line"], "left_semi").groupBy("__row")
                .agg(F.sum("words").alias("removed")))
     base = base.drop("host", "lines")

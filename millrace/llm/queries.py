@@ -118,25 +118,23 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("op6_quality_rules", rf"""
-    WITH d AS (SELECT doc_id, COALESCE(source, '') AS host, COALESCE(text, '') AS text,
+    WITH d AS (SELECT ROW_NUMBER() OVER () AS r, doc_id, COALESCE(source, '') AS host, COALESCE(text, '') AS text,
                       list_filter(regexp_split_to_array(COALESCE(text, ''), '{_BLANK}+'), lambda x: x <> '') AS w FROM documents),
-    windows AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (
-        SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d) t),
-    often AS (SELECT doc_id, i FROM windows QUALIFY COUNT(*) OVER (PARTITION BY doc_id, g) > 1),
-    repeats AS (SELECT doc_id, COUNT(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM often) t GROUP BY 1),
-    lines AS (SELECT doc_id, host, list_filter(regexp_split_to_array({_LOWER}, '{_BLANK}+'), lambda x: x <> '') AS l FROM (
-        SELECT doc_id, host, unnest(string_split(text, chr(10))) AS text FROM d) t),
-    normal AS (SELECT doc_id, host, array_to_string(l, ' ') AS line, len(l) AS n FROM lines WHERE len(l) > 0),
-    hosts AS (SELECT host, COUNT(*) AS documents FROM d GROUP BY 1),
-    common AS (SELECT host, line FROM normal JOIN hosts USING (host) GROUP BY host, line, documents
-               HAVING COUNT(DISTINCT doc_id) > {quality_rules.MAX_DOCUMENTS}
-                  AND COUNT(DISTINCT doc_id) * {quality_rules.MAX_SHARE} > documents),
-    removed AS (SELECT doc_id, SUM(n) AS n FROM normal JOIN common USING (host, line) GROUP BY 1),
+    windows AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (
+        SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d) t),
+    often AS (SELECT r, i FROM windows QUALIFY COUNT(*) OVER (PARTITION BY r, g) > 1),
+    repeats AS (SELECT r, COUNT(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM often) t GROUP BY 1),
+    lines AS (SELECT r, doc_id, host, list_filter(regexp_split_to_array({_LOWER}, '{_BLANK}+'), lambda x: x <> '') AS l FROM (
+        SELECT r, doc_id, host, unnest(string_split(text, chr(10))) AS text FROM d) t),
+    normal AS (SELECT r, doc_id, host, array_to_string(l, ' ') AS line, len(l) AS n FROM lines WHERE len(l) > 0),
+    common AS (SELECT host, line FROM normal GROUP BY host, line
+               HAVING COUNT(DISTINCT COALESCE(CAST(doc_id AS VARCHAR), '')) > {quality_rules.MAX_DOCUMENTS}),
+    removed AS (SELECT r, SUM(n) AS n FROM normal JOIN common USING (host, line) GROUP BY 1),
     base AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, COALESCE(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars,
                     length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
                     list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{_NOT_BLANK}')) AS l,
                     COALESCE(repeats.n, 0) AS n_repeat_words, len(w) - COALESCE(removed.n, 0) AS n_left
-             FROM d LEFT JOIN repeats USING (doc_id) LEFT JOIN removed USING (doc_id))
+             FROM d LEFT JOIN repeats USING (r) LEFT JOIN removed USING (r))
     SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols,
            CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, n_repeat_words,
            n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,

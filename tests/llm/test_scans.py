@@ -222,11 +222,10 @@ def brute_rules(text):
             len(words) < 50 or 100 * len(often) > 50 * len(words))
 
 
-def brute_kept(rows, limit, share=1000):
+def brute_kept(rows, limit):
     normal = lambda x: " ".join(re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c in string.ascii_uppercase else c for c in x)))
-    seen, hosts = {}, {}
+    seen = {}
     for doc, text, host in rows:
-        hosts.setdefault(host or "", set()).add(doc)
         for line in (text or "").split("\n"):
             if normal(line):
                 seen.setdefault((host or "", normal(line)), set()).add(doc)
@@ -234,8 +233,7 @@ def brute_kept(rows, limit, share=1000):
     for doc, text, host in rows:
         n = brute_rules(text)[0]
         lines = [x for x in (text or "").split("\n") if normal(x)]
-        gone = sum(len(normal(x).split(" ")) for x in lines
-                   if len(seen[host or "", normal(x)]) > limit and len(seen[host or "", normal(x)]) * share > len(hosts[host or ""]))
+        gone = sum(len(normal(x).split(" ")) for x in lines if len(seen[host or "", normal(x)]) > limit)
         out.append((doc, n - gone >= 10 and n - gone >= 0.3 * n and not brute_rules(text)[5]))
     return out
 
@@ -276,3 +274,16 @@ def test_rules_of_odd_rows(llm, odd, empty):
     assert len(rows) == odd.count()
     assert {(r.n_words, r.kept) for r in rows if r.n_words == 0} == {(0, False)}
     assert quality_rules.judge_quality(empty).collect() == []
+
+
+def test_verdicts_do_not_depend_on_other_documents_of_the_host(llm):
+    """Thirty documents made of one line, alone with a hundred others and with thirty thousand."""
+    shared = " ".join(f"line{i}" for i in range(60))
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(55))
+    few = [(i, shared, "h") for i in range(30)] + [(100 + i, own(i), "h") for i in range(100)]
+    many = llm.range(1000, 31000).selectExpr("id AS doc_id", "concat('some text of its own ', id) AS text", "'h' AS source")
+    small = llm.createDataFrame(few, "doc_id bigint, text string, source string")
+    verdict = lambda df: {r.doc_id: r.kept for r in quality_rules.judge_quality(df).where("doc_id < 1000").collect()}
+    alone = verdict(small)
+    assert alone == verdict(small.unionByName(many)) == dict(brute_kept(few, 20))
+    assert not any(alone[i] for i in range(30)) and all(alone[100 + i] for i in range(100))
