@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import line_dedup
@@ -11,30 +12,55 @@ def chunks_of(llm, text):
 
 
 def plain(chunk):
-    return [line[1:] for line in chunk.split("\n")]
+    """Lines of a chunk with what ends them."""
+    return [line[1:] + ("\n" if line[0] == "N" else "") for line in chunk.split("\n")]
+
+
+def bare(line):
+    return line.rstrip("\n").rstrip(" ")
+
+
+def shared(a, b):
+    n = 0
+    for x, y in zip(a, b):
+        if x != y:
+            break
+        n += 1
+    return n
 
 
 def brute(rows, chunked):
-    """First places of chunks with two lines or more that aren't blank; the others go."""
-    places = {}
+    """Chunks that occur at an earlier place go, with the equal lines next to them, if that makes two lines that aren't blank."""
+    first, gone = {}, {}
     for doc, text in sorted({r for r in rows if r[1] is not None}, key=lambda r: (r[0] is not None, r[0])):
-        for at, chunk in enumerate(chunked[text]):
-            if sum(1 for line in chunk if line.strip(" ")) >= 2:
-                places.setdefault(tuple(chunk), []).append((doc, text, at))
-    gone = {p for found in places.values() for p in found[1:]}
+        chunks = [[bare(x) for x in c] for c in chunked[text]]
+        near = lambda p: chunks[p] if 0 <= p < len(chunks) else []  # noqa: B023
+        for at, chunk in enumerate(chunks):
+            if sum(x != "" for x in chunk) < 2 and len("\n".join(chunk)) < 24:
+                continue
+            before, after = near(at - 1)[::-1], near(at + 1)
+            if tuple(chunk) not in first:
+                first[tuple(chunk)] = before, after
+                continue
+            left, right = shared(before, first[tuple(chunk)][0]), shared(after, first[tuple(chunk)][1])
+            if sum(x != "" for x in chunk + before[:left] + after[:right]) < 2:
+                continue
+            at_line = sum(len(c) for c in chunks[:at])
+            gone.setdefault((doc, text), set()).update(range(at_line - left, at_line + len(chunk) + right))
     out = []
     for doc, text in rows:
-        if text is None:
-            out.append((doc, None))
+        if text is None or (doc, text) not in gone:
+            out.append((doc, text))
             continue
-        kept = [line for at, chunk in enumerate(chunked[text]) if (doc, text, at) not in gone for line in chunk]
-        out.append((doc, "\n".join(kept)))
+        lines = [line for c in chunked[text] for line in c]
+        left = "".join(line for i, line in enumerate(lines) if i not in gone[doc, text])
+        out.append((doc, left.removesuffix("\n")))
     return out
 
 
 def test_chunks_put_the_text_together_again(llm):
-    for text in ["", "a", "\n", "a\n", "\n\na\nB\nL\nLL\n\n", "B\nB", "x\ny\n" * 50, "L\nB\n"]:
-        assert "\n".join(line for c in chunks_of(llm, text) for line in plain(c)) == text
+    for text in ["", "a", "\n", "a\n", "\n\na\nB\nL\nLL\n\n", "B\nB", "x\ny\n" * 50, "L\nB\n", "One. Two! Three? \n. . .", "N. L. B. ", "a.  b"]:
+        assert "".join(line for c in chunks_of(llm, text) for line in plain(c)) == text + "\n"
 
 
 def test_boundaries_resist_shifts(llm):
@@ -42,7 +68,7 @@ def test_boundaries_resist_shifts(llm):
     lines = [f"line {rng.random()}" for _ in range(200)]
     one = {c for c in chunks_of(llm, "\n".join(lines))}
     two = {c for c in chunks_of(llm, "\n".join(["new"] + lines[:100] + ["another new one"] + lines[100:]))}
-    assert len(one & two) >= len(one) - 4
+    assert len(one & two) >= len(one) - 6
 
 
 def test_against_brute_force(llm):
@@ -69,7 +95,7 @@ def test_against_brute_force(llm):
 
 def test_equal_hashes_of_unequal_chunks(llm, monkeypatch):
     """With hashes of two bits nearly all chunks collide; their bytes decide."""
-    rows = [(i, "\n".join(f"line {(i * k) % 17} of {k}" for k in range(12))) for i in range(25)]
+    rows = [(i, "\n".join(f"a line of some length {(i * k) % 17} of {k}" for k in range(12))) for i in range(25)]
     docs = llm.createDataFrame(rows, "doc_id bigint, text string")
     chunked = {t: [plain(c) for c in chunks_of(llm, t)] for _, t in rows}
     want = sorted(brute(rows, chunked))
@@ -97,3 +123,32 @@ def test_odd_rows(llm, odd, empty):
 def test_no_python_on_the_path(llm, odd):
     plan = dedup_lines(odd)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("lines, sentences", [(3, 1), (5, 1), (12, 1), (40, 1), (1, 6), (2, 4)])
+def test_planted_passages_go_but_for_their_first_place(llm, lines, sentences):
+    """Passages at random places of otherwise different documents: nine tenths of the later copies' lines go, nothing else."""
+    rng = random.Random(lines * 10 + sentences)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9)))
+    sentence = lambda: " ".join(word() for _ in range(rng.randint(8, 12))) + "."
+    passages = [[" ".join(sentence() for _ in range(sentences)) for _ in range(lines)] for _ in range(60)]
+    rows, own = [], {}
+    for doc in range(120):
+        mine = [sentence() for _ in range(rng.randint(4, 12))]
+        at = rng.randint(0, len(mine))
+        rows.append((doc, "\n".join(mine[:at] + passages[doc % 60] + mine[at:])))
+        own[doc] = mine
+    got = dict((r.doc_id, r.text) for r in dedup_lines(llm.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    assert all(got[doc] == text for doc, text in rows[:60])
+    assert all(line in got[doc].split("\n") or any(line in x for x in got[doc].split("\n")) for doc, mine in own.items() for line in mine)
+    left = sum(s in got[60 + i] for i, p in enumerate(passages) for line in p for s in line.split(". "))
+    total = sum(len(line.split(". ")) for p in passages for line in p)
+    print(f"{lines} lines of {sentences} sentences: {1 - left / total:.2f} removed")
+    assert left <= 0.1 * total
+
+
+def test_columns_with_clashing_names(llm):
+    docs = llm.createDataFrame([(1, "a b c d e f g h i j.\nk l m n o p q r s.", 7, 8, 9)], "doc_id bigint, text string, n_dropped int, n_chunks int, other int")
+    out = dedup_lines(docs)
+    assert out.columns == ["doc_id", "text", "other", "n_chunks", "n_dropped", "n_dropped_lines"] and out.first().other == 9
+    assert dedup_lines(docs, prefix="__").columns == [*docs.columns, "__n_chunks", "__n_dropped", "__n_dropped_lines"]
