@@ -17,11 +17,15 @@ def grade(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without repeated chunks; those of which no words are left, though they had some, go."""
+    """Documents without repeated passages; those of which no words are left, though they had some, go.  ``n_chars`` is
+    counted anew, where there is such a column."""
     names = docs.columns
-    out = line_dedup.dedup_lines(docs).where(~((F.col("n_dropped") > 0) & (F.length(F.trim(F.translate("text", "\n\t\r", ""))) == 0)))
-    return out.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
-                          .otherwise(F.col("n_chars"))).select(*names)
+    out = line_dedup.dedup_lines(docs, prefix="__")
+    changed = F.col("__n_dropped") > 0
+    out = out.where(~(changed & (F.length(F.trim(F.translate("text", "\n\t\r", ""))) == 0)))
+    if "n_chars" in names:
+        out = out.withColumn("n_chars", F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.select(*names)
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
