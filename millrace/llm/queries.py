@@ -151,7 +151,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_line_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", "n_chunks", "n_dropped", "n_dropped_lines", F.sha2("text", 256).alias("text_sha256"))
+    return out.select("doc_id", "n_dropped", "n_dropped_lines", F.sha2("text", 256).alias("text_sha256"))
 
 
 @query("op8_quality_model")

@@ -13,7 +13,7 @@ def chunks_of(llm, text):
 
 def plain(chunk):
     """Lines of a chunk with what ends them."""
-    return [line[1:] + ("\n" if line[0] == "N" else "") for line in chunk.split("\n")]
+    return [line[:-1] + ("\n" if line[-1] == "N" else "") for line in chunk.split("\n")]
 
 
 def bare(line):
@@ -36,13 +36,15 @@ def brute(rows, chunked):
         chunks = [[bare(x) for x in c] for c in chunked[text]]
         near = lambda p: chunks[p] if 0 <= p < len(chunks) else []  # noqa: B023
         for at, chunk in enumerate(chunks):
-            if sum(x != "" for x in chunk) < 2 and len("\n".join(chunk)) < 24:
+            coded = "\n".join(x.removesuffix("\n") + "NL"[not x.endswith("\n")] for x in chunked[text][at])
+            if sum(x != "" for x in chunk) < 2 and len(coded) <= 24:
                 continue
             before, after = near(at - 1)[::-1], near(at + 1)
-            if tuple(chunk) not in first:
-                first[tuple(chunk)] = before, after
+            same = coded[:-1].rstrip(" ")
+            if same not in first:
+                first[same] = before, after
                 continue
-            left, right = shared(before, first[tuple(chunk)][0]), shared(after, first[tuple(chunk)][1])
+            left, right = shared(before, first[same][0]), shared(after, first[same][1])
             if sum(x != "" for x in chunk + before[:left] + after[:right]) < 2:
                 continue
             at_line = sum(len(c) for c in chunks[:at])
@@ -113,7 +115,7 @@ def test_a_long_text_takes_linear_time(llm):
 
 def test_odd_rows(llm, odd, empty):
     got = dedup_lines(odd)
-    assert got.columns == [*odd.columns, "n_chunks", "n_dropped", "n_dropped_lines"]
+    assert got.columns == [*odd.columns, "n_dropped", "n_dropped_lines"]
     rows = got.collect()
     assert len(rows) == odd.count()
     assert sum(r.text is None for r in rows) == 2 and {r.n_dropped for r in rows if r.text is None} == {0}
@@ -150,5 +152,5 @@ def test_planted_passages_go_but_for_their_first_place(llm, lines, sentences):
 def test_columns_with_clashing_names(llm):
     docs = llm.createDataFrame([(1, "a b c d e f g h i j.\nk l m n o p q r s.", 7, 8, 9)], "doc_id bigint, text string, n_dropped int, n_chunks int, other int")
     out = dedup_lines(docs)
-    assert out.columns == ["doc_id", "text", "other", "n_chunks", "n_dropped", "n_dropped_lines"] and out.first().other == 9
-    assert dedup_lines(docs, prefix="__").columns == [*docs.columns, "__n_chunks", "__n_dropped", "__n_dropped_lines"]
+    assert out.columns == ["doc_id", "text", "n_chunks", "other", "n_dropped", "n_dropped_lines"] and out.first().other == 9
+    assert dedup_lines(docs, prefix="__").columns == [*docs.columns, "__n_dropped", "__n_dropped_lines"]
