@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F, types as T
 
 from ..functions import coerce as C
 from ..spec import Drift, Mode, field_mode, logical_type
@@ -11,6 +11,9 @@ TYPE_MISMATCH = "type_mismatch"
 MISSING_COLUMN = "missing_column"
 NEW_COLUMN = "new_column"
 
+# How much of a misfit a sample shows.
+SAMPLE_CHARS = 200
+
 _FLAG = "__drift_"
 _VALUE = "__value_"
 
@@ -113,6 +116,25 @@ def drift_report(df: DataFrame, schema: T.StructType) -> DataFrame:
     return totals.select(F.inline(F.array(*entries))).filter("cells > 0")
 
 
+def drift_samples(df: DataFrame, schema: T.StructType, most: int = 3) -> DataFrame:
+    """Some misfits of each column: ``column_name, value, cells``, at most ``most`` distinct values a column.
+
+    Values are texts (nested ones JSON), cut at ``SAMPLE_CHARS``; ``cells`` counts the cells with that value.  Those with the smallest MD5 are
+    taken, so the choice depends on the values alone and is spread over them.  Equal misfits are counted within each task before
+    they move, and each task hands on the first few of a column, however many misfits it has.
+    """
+    staged, parts, kinds = _coerce_all(df, schema)
+    misfits = [F.when(C.is_drift(_cell(staged, n), kind, F.col(_VALUE + n), parts.get(n)),
+                      F.struct(F.lit(n).alias("column_name"), F.left(C.to_json_text(_cell(staged, n), kind), F.lit(SAMPLE_CHARS)).alias("value")))
+               for n, kind in kinds.items()]
+    if not misfits:
+        return df.sparkSession.createDataFrame([], "column_name string, value string, cells bigint")
+    each = staged.select(F.inline(F.array_compact(F.array(*misfits))))
+    counted = each.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cells"))
+    spread = Window.partitionBy("column_name").orderBy(F.md5(F.col("value").cast("binary")), "value")
+    return counted.withColumn("__rn", F.row_number().over(spread)).filter(F.col("__rn") <= most).drop("__rn")
+
+
 def observe_drift(df: DataFrame, schema: T.StructType, observation: Observation,
                   policy: str | Drift = Drift.WARN, *extra: Column) -> DataFrame:
     """Normalize and count drift (and ``extra`` aggregates) as rows pass to the write."""

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..spec import SYNCED_AT, SpecError
 
 _HIT = "__hit"
+# At most so many ranges cover the keys of a batch, whatever its size.
+KEY_RANGES = 64
+_NUMBERS = (T.IntegralType, T.DecimalType)
+_RANGED = (*_NUMBERS, T.StringType, T.DateType, T.TimestampNTZType)
 
 
 def _cols(names: Sequence[str]) -> list[Column]:
@@ -89,6 +93,37 @@ def merge(target: DataFrame, source: DataFrame, key: Sequence[str], null_keys: b
     return out if unkeyed is None else out.unionByName(unkeyed)
 
 
+def key_cover(source: DataFrame, key: Sequence[str]) -> Column:
+    """A condition on the key columns that every row with a key of ``source`` meets: few ranges per column.
+
+    As plain comparisons with literals it reaches the scan of a target, which then skips the files and row groups
+    whose smallest and largest keys lie outside.  Numbers and dates get up to ``KEY_RANGES`` ranges, cut at equal steps and
+    drawn in to the keys there are, so a batch of new keys and some old ones does not cover all between; texts get one.
+    Columns without a useful order for this (floats, instants, booleans, nested values) are left out.  False if a
+    key column is NULL throughout: such rows match nothing.
+    """
+    keyed = source.filter(_complete(key)).select(*_cols(key))
+    ranged = [k for k in key if isinstance(keyed.schema[k].dataType, _RANGED)]
+    if not ranged:
+        return F.lit(True)
+    ends = keyed.agg(*[f(f"`{k}`").alias(f"{name}_{i}") for i, k in enumerate(ranged)
+                       for name, f in (("low", F.min), ("high", F.max))]).first()
+    if ends["low_0"] is None:
+        return F.lit(False)
+    covers = []
+    for i, k in enumerate(ranged):
+        kind, cell, ranges = keyed.schema[k].dataType, F.col(f"`{k}`"), [(ends[f"low_{i}"], ends[f"high_{i}"])]
+        if isinstance(kind, (*_NUMBERS, T.DateType)) and ranges[0][0] != ranges[0][1]:
+            at = lambda c: (F.unix_date(c) if isinstance(kind, T.DateType) else c).cast("double")
+            low, high = (at(F.lit(end).cast(kind)) for end in ranges[0])
+            # any slot does for a key, as the ends of a slot's range are those of its keys
+            slot = F.floor((at(cell) - low) / (high - low) * KEY_RANGES)
+            slots = keyed.groupBy(F.least(F.greatest(slot, F.lit(0)), F.lit(KEY_RANGES)).alias("slot"))
+            ranges = [(r.low, r.high) for r in slots.agg(F.min(cell).alias("low"), F.max(cell).alias("high")).collect()]
+        covers.append(reduce(or_, [cell.between(F.lit(a).cast(kind), F.lit(b).cast(kind)) for a, b in sorted(ranges)]))
+    return reduce(and_, covers)
+
+
 def null_key_rows(key: Sequence[str]) -> Column:
     """Aggregate: rows that can never match because a key part is NULL."""
     return F.count_if(~_complete(key))

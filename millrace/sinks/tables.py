@@ -25,7 +25,7 @@ from ..operators.partitioning import (PART, check_same_partition, partition_foll
                                       parts_between, spread, writes_one_part)
 from ..operators.schema import aligned, evolved
 from ..operators.state import STATE_SCHEMA, list_state
-from ..operators.upsert import merge
+from ..operators.upsert import key_cover, merge
 from ..spec import (SYNCED_AT, Mode, PartitionKind, PartitionSpec, SpecError, check_name, field_mode, utc,
                     with_synced_at)
 
@@ -275,10 +275,15 @@ class TargetTable:
         return self.spark.read.schema(with_part).parquet(stage).drop(PART)
 
     def _parts_of_keys(self, pointer: dict, staged: DataFrame, key: tuple[str, ...]) -> set[str]:
-        """Partition values whose rows the batch updates: a key-only scan of the target."""
+        """Partition values whose rows the batch updates."""
+        return {r[0] for r in self._hits(pointer, staged, key).select(PART).distinct().collect()}
+
+    def _hits(self, pointer: dict, staged: DataFrame, key: tuple[str, ...]) -> DataFrame:
+        """Keys of the target that the batch updates, with their partition values: a key-only scan that skips the row
+        groups outside the ranges of the batch's keys."""
         keys = [f"`{k}`" for k in key]
-        hit = self._rows(pointer).select(*keys, PART).join(staged.select(*keys), list(key), "left_semi")
-        return {r[0] for r in hit.select(PART).distinct().collect()}
+        near = self._rows(pointer).filter(key_cover(staged, key))
+        return near.select(*keys, PART).join(staged.select(*keys), list(key), "left_semi")
 
     def _write(self, df: DataFrame, commit_id: str, one_part: bool = False) -> set[str]:
         folder = f"{self.home}/data/{COMMIT}={commit_id}"

@@ -11,6 +11,7 @@ from millrace.load import Context, Stream, load_frame, read_runs, run, run_strea
 from millrace.operators import reports as R
 from millrace.operators.partitioning import PartitionMismatch
 from millrace.operators.schema import SchemaError, stamped
+from millrace.operators.upsert import key_cover
 from millrace.sinks import files, tables
 from millrace.sinks.tables import TargetTable, read_state, reset_state
 from millrace.operators import selection
@@ -435,3 +436,55 @@ def test_events_keep_their_own_fields_and_lines_with_misfits(spark, root, tmp_pa
     user, end = R.read_events(spark, path).orderBy(F.desc("event")).collect()
     assert (user.event, user.rows, user.full_refresh, user.fields) == ("user", None, True, {"rows": "many", "note": "x", "order": '{"id":7}'})
     assert (end.event, end.rows, end.duration_s, end.fields) == ("run_end", 5, 1.5, {})
+
+
+def scanned(df):
+    """Rows that the file scans of a run of ``df`` handed on."""
+    df.collect()
+    todo, total = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+            continue
+        if "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+            continue
+        if node.nodeName().startswith("Scan"):
+            total += node.metrics().apply("numOutputRows").value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+def test_a_merge_looks_for_moved_rows_in_a_few_files_only(spark, root):
+    """Rows of 1 % of the keys, old and newest ones, leave their partition."""
+    schema = table_schema(("id", "INTEGER", "REQUIRED"), ("shelf", "INTEGER"), ("label", "STRING"))
+    spec = StreamSpec("stock", key="id", disposition="merge", schema=schema,
+                      partition={"type": "range", "field": "shelf", "range": {"start": 0, "end": 200, "interval": 1}})
+    first = spark.range(100_000).selectExpr("id", "id div 1000 AS shelf", "'old' AS label")
+    load_frame(spark, root, spec, first, run_at=AT)
+    table = TargetTable(spark, root, "stock")
+    batch = spark.range(100_000).filter("id BETWEEN 3100 AND 3599 OR id >= 99500").selectExpr("id", "150L AS shelf", "'new' AS label")
+    before = table.pointer()
+    assert table._parts_of_keys(before, batch, ("id",)) == {"3", "99"}
+    assert scanned(table._hits(before, batch, ("id",)).select("id")) < 10_000
+    load_frame(spark, root, spec, batch, run_at=AT)
+    after = table.read()
+    assert after.count() == 100_000 and after.filter("label = 'new' AND shelf = 150").count() == 1000
+    assert after.filter("label = 'old' AND shelf = id div 1000").count() == 99_000
+    kept = {p: c for p, c in before["parts"].items() if p not in ("3", "99")}
+    assert {p: c for p, c in table.pointer()["parts"].items() if p in kept} == kept
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string", "date", "decimal(12,2)", "double", "timestamp_ntz", "boolean"])
+def test_a_cover_holds_every_key(spark, kind):
+    made = {"date": "date_add(DATE'2020-01-01', CAST(id AS INT))", "timestamp_ntz": "TIMESTAMP_NTZ'2020-01-01' + make_dt_interval(0, CAST(id AS INT))",
+            "boolean": "id % 2 = 0"}.get(kind, f"CAST(id AS {kind})")
+    rows = spark.range(1000).selectExpr("id AS n", f"{made} AS k")
+    batch = rows.filter("n IN (3, 4, 5, 990, 991)").select("k").union(spark.createDataFrame([(None,)], rows.select("k").schema))
+    near = rows.filter(key_cover(batch, ["k"]))
+    assert {3, 4, 5, 990, 991} <= {r.n for r in near.collect()}
+    if kind in ("bigint", "date", "decimal(12,2)"):
+        assert near.count() == 5
+    none = batch.filter("k IS NULL")
+    assert rows.filter(key_cover(none, ["k"])).count() == (1000 if kind in ("double", "boolean") else 0)

@@ -59,6 +59,21 @@ def test_injected_drift_is_counted(spark):
     assert report[0].cells == sum(c in ("bad", "1.5") for c in cells)
 
 
+def test_drift_samples_show_a_few_misfits_of_each_column(raw, spark):
+    shown = {(r.column_name, r.value): r.cells for r in N.drift_samples(raw, SCHEMA).collect()}
+    counts = {r.column_name: r.cells for r in N.drift_report(raw, SCHEMA).collect() if r.kind == "type_mismatch"}
+    assert {c for c, _ in shown} == set(counts) and ("id", "x") in shown
+    many = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 'same' WHEN id % 3 = 1 THEN 'v' || id ELSE '7' END AS n", "repeat('z', 1000) AS m")
+    schema = table_schema(("n", "INTEGER"), ("m", "FLOAT"))
+    three = N.drift_samples(many, schema).collect()
+    assert [len([r for r in three if r.column_name == c]) for c in "nm"] == [3, 1]
+    assert [(r.value, r.cells) for r in three if r.column_name == "m"] == [("z" * N.SAMPLE_CHARS, 3000)]
+    assert {(r.column_name, r.value) for r in N.drift_samples(many.repartition(7), schema).collect()} == {(r.column_name, r.value) for r in three}
+    every = {r.value: r.cells for r in N.drift_samples(many, schema, most=5000).collect() if r.column_name == "n"}
+    assert every["same"] == 1000 and len(every) == 1001 and sum(every.values()) == 2000
+    assert N.drift_samples(many.limit(0), schema).count() == 0 and N.drift_samples(many, table_schema(("gone", "INTEGER"))).count() == 0
+
+
 def test_inference_rules(spark):
     bodies = ['{"a": "abc", "b": null, "c": 1, "d": true}', '{"a": 5, "b": 1.5, "c": 2.5, "d": true, "e": [1]}',
               '{"a": true, "e": {"x": 1}}']

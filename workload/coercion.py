@@ -257,6 +257,19 @@ def drift_report(spark, sf):
     return N.drift_report(raw, _LINE_SCHEMA)
 
 
+@query("drift_samples", f"""
+    WITH r AS (SELECT {_RAW_LINE} FROM lineitem),
+    m AS (SELECT 'part' AS column_name, part AS value FROM r WHERE part <> '' AND ({_on(_AS_INTEGER, 'part')}) IS NULL
+        UNION ALL SELECT 'price', price FROM r WHERE price <> '' AND ({_on(_AS_FLOAT, 'price')}) IS NULL
+        UNION ALL SELECT 'returned', returned FROM r WHERE returned <> '' AND ({_on(_AS_BOOLEAN, 'returned')}) IS NULL
+        UNION ALL SELECT 'shipped', shipped FROM r WHERE shipped <> '' AND ({_on(_AS_DATE, 'shipped')}) IS NULL),
+    c AS (SELECT column_name, value, COUNT(*) AS cells FROM m GROUP BY ALL)
+    SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY column_name ORDER BY md5(value), value) <= 3""")
+def drift_samples(spark, sf):
+    raw = table(spark, sf, "lineitem").selectExpr(*_split(_RAW_LINE))
+    return N.drift_samples(raw, _LINE_SCHEMA)
+
+
 _RAGGED = """CASE event_id % 5
     WHEN 0 THEN '{"id":' || event_id || ',"v":"' || user_id || '"}'
     WHEN 1 THEN '{"id":' || event_id || ',"v":' || user_id || '.0}'

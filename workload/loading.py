@@ -99,6 +99,23 @@ def load_merge_buckets(spark, sf):
     return _shown(_load(spark, sf, spec, *_batches(spark, sf)).read())
 
 
+_LATE = "o_orderkey BETWEEN 101 AND 150 OR o_orderkey > (SELECT MAX(o_orderkey) * 0.995 FROM orders)"
+
+
+@query("load_merge_moved", f"""
+    SELECT {_COLUMNS.replace('o_orderstatus', f"CASE WHEN {_LATE} THEN 'L' ELSE o_orderstatus END AS o_orderstatus")},
+           {sql_day(f"o_orderdate + CASE WHEN {_LATE} THEN INTERVAL 400 DAY ELSE INTERVAL 0 DAY END")} AS day FROM orders""")
+def load_merge_moved(spark, sf):
+    """A batch of old and newest keys whose rows move to other months: the months they leave are found by ranges of keys."""
+    orders = table(spark, sf, "orders").drop("o_orderpriority")
+    last = orders.agg(F.max("o_orderkey")).first()[0]
+    late = orders.filter(F.col("o_orderkey").between(101, 150) | (F.col("o_orderkey") > F.lit(last) * 0.995)).withColumns({
+        "o_orderstatus": F.lit("L"), "o_orderdate": F.col("o_orderdate") + F.expr("INTERVAL 400 DAYS")})
+    spec = StreamSpec("moved", schema=ORDERS, disposition="merge", key="o_orderkey",
+                      partition={"field": "o_orderdate", "type": "time", "granularity": "month"})
+    return _shown(_load(spark, sf, spec, orders, late).read())
+
+
 @query("merge_upsert", _UPSERTED)
 def merge_upsert(spark, sf):
     return _shown(U.merge(*_batches(spark, sf), ["o_orderkey"], null_keys=False))
