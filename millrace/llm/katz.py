@@ -1,9 +1,9 @@
-"""LM scoring: a Katz backoff model of word pairs, learned and evaluated in batches of documents.
+"""LM scoring: a Katz backoff model of words, pairs and triples, learned and evaluated in batches of documents.
 
-A batch is a row with the words of some documents.  Words and pairs of a batch are dealt by hash to
-parts as one packed list each (every distinct word or pair once, however often it occurs, so a frequent
-one costs one entry a batch); a part (as many as the session has shuffle partitions) adds up the counts and sends each batch its answers in the order
-in which it asked.  All shuffles carry packed lists, no task holds more than a part or a batch, and nothing but
+A batch is a row with the words of some documents.  Words, pairs and triples of a batch are dealt by hash to
+parts as one packed list each (every distinct one once, however often it occurs, so a frequent
+one costs one entry a batch); a part (their number follows from that of the tokens) adds up the counts and sends each batch its
+answers in the order in which it asked.  All shuffles carry packed lists, no task holds more than a part or a batch, and nothing but
 the counts of counts (a bounded table) reaches the driver.
 """
 
@@ -24,6 +24,8 @@ from .common import BLANK_WORDS, arrow_schema, mix, settle, texts, word_arrays
 
 #: Tokens of a batch, about; a longer document is a batch of its own.
 BATCH_TOKENS = 1 << 20
+#: Batches of a part, at most: what one task counts doesn't grow with the corpus.
+PART_BATCHES = 4
 #: Counts up to this are discounted by their own count of counts (Turing), greater ones by a line through the logs.
 TURING = 5
 #: Hashes that stand for the start and the end of a text.
@@ -65,7 +67,7 @@ def small(values: np.ndarray) -> np.ndarray:
 
 
 class Batch:
-    """Words and pairs of one batch, from its packed row."""
+    """Words, pairs and triples of one batch, from its packed row."""
 
     def __init__(self, words: bytes, tokens: bytes, sizes: bytes, held: bytes):
         self.words = unpack_sorted(words)  # START and END are the first two
@@ -78,6 +80,8 @@ class Batch:
         self.before = np.empty_like(self.tokens)
         self.before[1:] = self.tokens[:-1]
         self.before[first] = 0
+        self.inner = np.ones(len(self.tokens), bool)  # tokens with two words before them
+        self.inner[first] = False
 
     def word_counts(self) -> np.ndarray:
         return np.bincount(self.tokens[self.learned], minlength=len(self.words))
@@ -94,6 +98,22 @@ class Batch:
         counts = np.bincount(codes[self.learned], minlength=len(order))
         return keys[order], first[order], second[order], counts, codes
 
+    def triples(self, keys: np.ndarray, pairs: np.ndarray):
+        """Distinct triples by key, from the keys of pairs and each token's pair: keys, pair of the first two and of the last
+        two words, training count, and the triple of each inner token."""
+        inner = np.flatnonzero(self.inner)
+        codes, distinct = pd.factorize(pairs[inner - 1] * len(self.words) + self.tokens[inner])
+        first, word = np.divmod(distinct, len(self.words))
+        last = np.zeros(len(distinct), np.int64)
+        last[codes] = pairs[inner]
+        made = mix(keys[first] * np.uint64(0xC2B2AE3D27D4EB4F) + mix(self.words[word] + np.uint64(0x165667B19E3779F9)))
+        order = np.argsort(made, kind="stable")
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        codes = place[codes]
+        counts = np.bincount(codes[self.learned[inner]], minlength=len(order))
+        return made[order], first[order], last[order], counts, codes
+
 
 def edges(parts: int) -> np.ndarray:
     """Least hash of each part."""
@@ -137,12 +157,13 @@ class Discounts:
 
 @dataclass
 class Model:
-    """What is known of the whole corpus: training tokens, distinct ones, and both discounts."""
+    """What is known of the whole corpus: training tokens, distinct ones, and all discounts."""
 
     tokens: int
     distinct: int
     words: Discounts
     pairs: Discounts
+    triples: Discounts
     unknown: float
 
     def word_chance(self, counts: np.ndarray) -> np.ndarray:
@@ -202,28 +223,32 @@ def _over_batches(df: DataFrame, fn, schema: str) -> DataFrame:
 
 
 ASK = "part int, kind string, batch bigint, keys binary, counts binary, wanted binary"
-ANSWER = "batch bigint, kind string, part int, counts binary, flags binary, spread array<struct<r: bigint, n: bigint>>"
+ANSWER = "batch bigint, kind string, part int, counts binary, flags binary, wanted binary, spread array<struct<r: bigint, n: bigint>>"
 
 
-def _ask(parts: int):
-    """Words and pairs of a batch, by part."""
+def _ask(parts: int, order: int):
+    """Words, pairs and triples of a batch, by part."""
     def ask(row):
         batch = Batch(row["words"], row["tokens"], row["sizes"], row["held"])
         wanted = np.zeros(len(batch.words), np.uint8)
         wanted[batch.before[~batch.learned]] = 1
-        counts = batch.word_counts()
-        yield from out("word", row["batch"], mix(batch.words), counts, wanted)
-        keys, _, _, counts, _ = batch.pairs()
-        yield from out("pair", row["batch"], keys, counts, None)
+        hashed = mix(batch.words)
+        by = np.argsort(hashed, kind="stable")
+        yield out("word", row["batch"], hashed[by], batch.word_counts()[by], wanted[by])
+        keys, _, _, counts, codes = batch.pairs()
+        wanted = np.zeros(len(keys), np.uint8)
+        wanted[codes[np.flatnonzero(batch.inner & ~batch.learned) - 1]] = 1
+        yield out("pair", row["batch"], keys, counts, wanted)
+        if order > 2:
+            keys, _, _, counts, _ = batch.triples(keys, codes)
+            yield out("triple", row["batch"], keys, counts, None)
 
     def out(kind, number, keys, counts, wanted):
-        order = np.argsort(keys, kind="stable") if kind == "word" else slice(None)
-        keys, counts = keys[order], small(counts[order])
-        wanted = None if wanted is None else wanted[order]
+        counts = small(counts)
         spans = list(_spans(keys, parts))
-        yield {"part": [p for p, _, _ in spans], "kind": [kind] * len(spans), "batch": [number] * len(spans),
-               "keys": [pack_sorted(keys[a:b]) for _, a, b in spans], "counts": [pack(counts[a:b]) for _, a, b in spans],
-               "wanted": [None if wanted is None else pack(wanted[a:b]) for _, a, b in spans]}
+        return {"part": [p for p, _, _ in spans], "kind": [kind] * len(spans), "batch": [number] * len(spans),
+                "keys": [pack_sorted(keys[a:b]) for _, a, b in spans], "counts": [pack(counts[a:b]) for _, a, b in spans],
+                "wanted": [None if wanted is None else pack(np.packbits(wanted[a:b])) for _, a, b in spans]}
     return ask
 
 
@@ -237,92 +262,115 @@ def _over_parts(df: DataFrame, fn, schema: str, *keys: str) -> DataFrame:
 def _count(columns: dict) -> dict:
     """All that was asked of one part: total counts, in the order of each asker.
 
-    Flags of words: 1 if a held-out text has the word as a context; of pairs: 1 for the one asker that speaks
-    for the pair.  ``spread``: how many keys have each count there is.
+    Flags are 1 for the one asker that speaks for the key; a word or pair is wanted if a held-out text has it as a
+    context.  ``spread``: how many keys have each count there is.
     """
     keys = [unpack_sorted(k) for k in columns["keys"]]
     sizes = np.array([len(k) for k in keys])
     codes, _ = pd.factorize(np.concatenate(keys))
-    counts = np.concatenate([unpack(c).astype(np.int64) for c in columns["counts"]])
+    del keys
+    counts = np.concatenate([unpack(c) for c in columns["counts"]])
     total = np.bincount(codes, weights=counts).astype(np.int64)
-    if columns["kind"][0] == "word":
-        flags = np.bincount(codes, weights=np.concatenate([unpack(w) for w in columns["wanted"]]))[codes] > 0
-    else:
-        flags = np.zeros(len(codes), bool)
-        owner = np.zeros(len(total), np.int64)
-        owner[codes[::-1]] = np.arange(len(codes))[::-1]
-        flags[owner] = True
+    flags = np.zeros(len(codes), bool)
+    owner = np.zeros(len(total), np.int64)
+    owner[codes[::-1]] = np.arange(len(codes))[::-1]
+    flags[owner] = True
+    wanted = None
+    if columns["wanted"][0] is not None:
+        asked = [np.unpackbits(unpack(w), count=n) for w, n in zip(columns["wanted"], sizes.tolist())]
+        wanted = np.bincount(codes, weights=np.concatenate(asked))[codes] > 0
     spread = [[dict(r=r, n=n) for r, n in zip(*(x.tolist() for x in np.unique(total, return_counts=True))) if r]]
-    spread += [None] * (len(keys) - 1)
+    spread += [None] * (len(sizes) - 1)
     ends = np.cumsum(sizes)
     answers = total[codes]
     return {
         "batch": columns["batch"], "kind": columns["kind"], "part": columns["part"], "spread": spread,
         "counts": [pack(small(answers[e - n:e])) for e, n in zip(ends, sizes)],
-        "flags": [pack(np.packbits(flags[e - n:e])) for e, n in zip(ends, sizes)]}
+        "flags": [pack(np.packbits(flags[e - n:e])) for e, n in zip(ends, sizes)],
+        "wanted": [None if wanted is None else pack(np.packbits(wanted[e - n:e])) for e, n in zip(ends, sizes)]}
 
 
-def _answers(rows: list[dict], kind: str, keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Counts and flags of the (sorted) keys of a batch."""
+def _answers(rows: list[dict], kind: str, keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts and flags of the (sorted) keys of a batch, and which are wanted."""
     found = {r["part"]: r for r in rows if r["kind"] == kind}
-    counts, flags = np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    counts, flags, wanted = np.zeros(len(keys), np.int64), np.zeros(len(keys), bool), np.zeros(len(keys), bool)
     for p, a, b in _spans(keys, parts):
         counts[a:b] = unpack(found[p]["counts"])
         flags[a:b] = np.unpackbits(unpack(found[p]["flags"]), count=b - a)
-    return counts, flags
+        if found[p]["wanted"] is not None:
+            wanted[a:b] = np.unpackbits(unpack(found[p]["wanted"]), count=b - a)
+    return counts, flags, wanted
 
 
 KNOWN = "batch bigint, kind string, part int, keys binary, numbers binary, ids array<{}>"
 SCORED = "doc_id {}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
 
 
-def _score(model: Model, parts: int, id_type: str):
-    """Scores of a batch, but for the pairs that its held-out texts have and the training doesn't, whose
-    contexts and texts are kept, and the sums over known pairs of each context that anyone wants."""
+def _score(model: Model, parts: int, order: int, id_type: str):
+    """Scores of a batch but for the backoff weights of what its held-out texts have and the training doesn't: the
+    contexts and texts are kept, and the sums over known pairs and triples of each context that anyone wants.
+
+    A token whose triple is known takes its chance from it; else from its pair, times the weight of the two words before
+    it, if they are known; and if the pair is new too, from the word, times the weight of the word before it.
+    """
     schema = KNOWN.format(id_type)
 
     def score(row):
         batch = Batch(row["words"], row["tokens"], row["sizes"], row["held"])
         hashed = mix(batch.words)
-        order = np.argsort(hashed, kind="stable")
-        counts, wanted = np.zeros(len(order), np.int64), np.zeros(len(order), bool)
-        counts[order], wanted[order] = _answers(row["answers"], "word", hashed[order], parts)
+        by = np.argsort(hashed, kind="stable")
+        counts, wanted = np.zeros(len(by), np.int64), np.zeros(len(by), bool)
+        counts[by], _, wanted[by] = _answers(row["answers"], "word", hashed[by], parts)
         keys, first, second, _, codes = batch.pairs()
-        both, owner = _answers(row["answers"], "pair", keys, parts)
+        both, owner, pair_wanted = _answers(row["answers"], "pair", keys, parts)
         chance = model.word_chance(counts)
         # a text's start is no token: its count is that of the texts' ends
         context = counts.copy()
         context[0] = counts[1]
         worth = model.pairs.of(np.maximum(both, 1)) * both
         known = both > 0
-        log = np.zeros(len(keys))
-        log[known] = np.log10(worth[known] / context[first[known]])
-        log[~known] = np.log10(chance[second[~known]])
+        share = np.where(known, worth / np.maximum(context[first], 1), chance[second])
+        log = np.log10(share)[codes]
+        # contexts of one word, then those of two
+        contexts, totals = np.concatenate([hashed, keys]), np.concatenate([context, both])
+        new = ~known[codes] & (context[batch.before] > 0)
+        speak = known & owner & wanted[first]
+        spoken = [(first[speak], worth[speak], chance[second[speak]])]
+        further = np.zeros(0, np.int64)
+        if order > 2:
+            inner = np.flatnonzero(batch.inner)
+            triples, lead, last, _, at = batch.triples(keys, codes)
+            three, owner, _ = _answers(row["answers"], "triple", triples, parts)
+            value = model.triples.of(np.maximum(three, 1)) * three
+            seen = three > 0
+            whole = inner[seen[at]]
+            log[whole] = np.log10(value / np.maximum(both[lead], 1), where=seen, out=np.zeros(len(three)))[at][seen[at]]
+            new[whole] = False
+            further = inner[~seen[at] & (both[codes[inner - 1]] > 0)]
+            speak = seen & owner & pair_wanted[lead]
+            spoken.append((len(hashed) + lead[speak], value[speak], share[last[speak]]))
         n = len(batch.sizes)
         base = np.log10((counts + 0.1) / (model.tokens + 0.1 * (model.distinct + 1)))
         sums = [np.bincount(batch.text, weights=x, minlength=n) for x in (
-            counts[batch.tokens] > 0, base[batch.tokens], log[codes])]
+            counts[batch.tokens] > 0, base[batch.tokens], log)]
         ids = row["ids"]
         yield {"batch": [row["batch"]], "kind": ["text"], "part": [-1], "keys": [pack(small(batch.sizes))],
                "numbers": [pack(np.concatenate([*sums, batch.held.astype(float)]))], "ids": [ids]}
-        # tokens whose pair is new in a context that is known: their context's weight is still missing
-        missing = np.flatnonzero(~known[codes] & (context[batch.before] > 0))
-        places, at = np.unique(batch.before[missing], return_inverse=True)
-        asked = hashed[places]
-        by = np.argsort(asked, kind="stable")
+        # tokens that back off from a context that is known: its weight is still missing
+        missing = np.flatnonzero(new)
+        places, at = np.unique(np.concatenate([batch.before[missing], len(hashed) + codes[further - 1]]), return_inverse=True)
+        by = np.argsort(contexts[places], kind="stable")
         rank = np.empty_like(by)
         rank[by] = np.arange(len(by))
-        yield {"batch": [row["batch"]], "kind": ["new"], "part": [-1], "keys": [pack(small(batch.text[missing]))],
+        yield {"batch": [row["batch"]], "kind": ["new"], "part": [-1],
+               "keys": [pack(small(batch.text[np.concatenate([missing, further])]))],
                "numbers": [pack(small(rank[at]))], "ids": [None]}
-        asked, totals = asked[by], context[places][by]
-        yield from parted("ask", row["batch"], asked, small(totals))
-        # sums over known pairs, each spoken for by one batch
-        speak = known & owner & wanted[first]
-        places, at = np.unique(first[speak], return_inverse=True)
-        mass = np.bincount(at, weights=worth[speak], minlength=len(places))
-        lower = np.bincount(at, weights=chance[second[speak]], minlength=len(places))
-        by = np.argsort(hashed[places], kind="stable")
-        yield from parted("sum", row["batch"], hashed[places][by], np.stack([mass[by], lower[by]], 1))
+        yield from parted("ask", row["batch"], contexts[places][by], small(totals[places][by]))
+        # sums over known pairs and triples, each spoken for by one batch
+        places, at = np.unique(np.concatenate([x for x, _, _ in spoken]), return_inverse=True)
+        mass, lower = (np.bincount(at, weights=np.concatenate([x[i] for x in spoken]), minlength=len(places)) for i in (1, 2))
+        by = np.argsort(contexts[places], kind="stable")
+        yield from parted("sum", row["batch"], contexts[places][by], np.stack([mass[by], lower[by]], 1))
 
     def parted(kind, number, keys, numbers):
         spans = list(_spans(keys, parts))
@@ -337,7 +385,7 @@ WEIGHTS = "batch bigint, part int, weights binary"
 
 def _weigh(columns: dict) -> dict:
     """log10 of the backoff weight of each context asked for in one part: what the discounts leave of the context's
-    chance, shared out over the words that never followed it."""
+    chance, over what the shorter context leaves to words that never followed it."""
     rows = list(zip(columns["kind"], columns["batch"], columns["part"], columns["keys"], columns["numbers"]))
     sums = [(unpack_sorted(k), unpack(x).reshape(-1, 2)) for kind, _, _, k, x in rows if kind == "sum"]
     asked = [(batch, p, unpack_sorted(k), unpack(x).astype(float)) for kind, batch, p, k, x in rows if kind == "ask"]
@@ -372,27 +420,31 @@ def _finish(id_type: str):
     return finish, schema
 
 
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batch_tokens: int = BATCH_TOKENS) -> DataFrame:
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batch_tokens: int = BATCH_TOKENS,
+                    order: int = 3) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
     Tokens are what blanks part, A-Z in lower case, and one end; a null or empty text is its end.  Rows whose crc32(id)
     mod 10 is 0 are held out (a null id counts as empty text, and so is held out); the others are learned from, repeated
-    rows repeatedly.  ``score`` is log10 of the text's chance: for a pair seen in training, its discounted
-    share of its context; for another, the context's backoff weight times the word's own chance; without the
-    context, that chance.  Weights make the chances of all words (unknown ones are one) add up to 1 after every
-    context.  ``base_score`` is additive smoothing.  Words are told apart by 64-bit hashes.  An empty table
-    gives no rows; without training rows every chance is 1.
+    rows repeatedly.  ``score`` is log10 of the text's chance: for a triple seen in training, its discounted
+    share of the two words before; for another, their backoff weight times the chance after one word (without the
+    two words, that chance), which is found alike from pairs and the word's own chance.  The start of a text counts as
+    one word.  With ``order`` 2 pairs are the longest.  Weights make the chances of all words (unknown ones are one)
+    add up to 1 after every context.  ``base_score`` is additive smoothing.  Words, pairs and triples are told apart by 64-bit
+    hashes.  An empty table gives no rows; without training rows every chance is 1.
 
     Batches, answers and scores so far are kept in the shared folder.
     """
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if order not in (2, 3):
+        raise ValueError("order must be 2 or 3")
     id_type = dict(docs.dtypes)[id_col]
     batches = settle(_batches(texts(docs, id_col, text_col), batch_tokens), "batches")
-    asked = _over_batches(batches, _ask(parts), ASK)
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-batches.count() // PART_BATCHES))
+    asked = _over_batches(batches, _ask(parts, order), ASK)
     answers = settle(_over_parts(asked, _count, ANSWER, "kind", "part"), "answers")
     model = _model(answers)
-    told = answers.groupBy("batch").agg(F.collect_list(F.struct("kind", "part", "counts", "flags")).alias("answers"))
-    score, schema = _score(model, parts, id_type)
+    told = answers.groupBy("batch").agg(F.collect_list(F.struct("kind", "part", "counts", "flags", "wanted")).alias("answers"))
+    score, schema = _score(model, parts, order, id_type)
     known = settle(_over_batches(batches.join(told, "batch"), score, schema), "known")
     weighed = _over_parts(known.where("kind IN ('ask', 'sum')"), _weigh, WEIGHTS, "part")
     weights = weighed.groupBy("batch").agg(F.collect_list(F.struct("part", "weights")).alias("weights"))
@@ -407,11 +459,11 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _model(answers: DataFrame) -> Model:
     spread = answers.where("spread IS NOT NULL").select("kind", F.inline("spread"))
     low = {(r.kind, r.r): r.n for r in spread.where(F.col("r") <= TURING + 1).groupBy("kind", "r").agg(F.sum("n").alias("n")).collect()}
-    words, pairs = (Discounts.fit({r: n for (k, r), n in low.items() if k == kind}) for kind in ("word", "pair"))
+    words, pairs, triples = (Discounts.fit({r: n for (k, r), n in low.items() if k == kind}) for kind in ("word", "pair", "triple"))
     r = F.col("r")
     worth = F.when(r > TURING, F.pow(1 + 1 / r, F.lit(words.slope + 1))).otherwise(
         F.element_at(F.array(*map(F.lit, words.turing)), (F.least(r, F.lit(TURING)) + 1).cast("int")))
     whole = spread.where("kind = 'word'").agg(F.sum(r * F.col("n")).alias("tokens"), F.sum("n").alias("distinct"),
                                               F.sum(r * F.col("n") * worth).alias("mass")).first()
     tokens = whole.tokens or 0
-    return Model(tokens, whole.distinct or 0, words, pairs, 1 - whole.mass / tokens if tokens else 1.0)
+    return Model(tokens, whole.distinct or 0, words, pairs, triples, 1 - whole.mass / tokens if tokens else 1.0)

@@ -9,23 +9,27 @@ import pytest
 from millrace.llm import katz
 
 
-def brute(rows):
+def brute(rows, order=3):
     """The model word by word, from dictionaries."""
     texts = [("" if t is None else t).encode().lower().split() + [None] for _, t in rows]
     held = [crc32(str("" if i is None else i).encode()) % 10 == 0 for i, _ in rows]
     words, pairs, context = Counter(), Counter(), Counter()
+    triples, after_two = Counter(), {}
     for text, out in zip(texts, held):
         if not out:
             words.update(text)
             for pair in zip([b"<s>", *text], text):
                 pairs[pair] += 1
                 context[pair[0]] += 1
+            for g, h, w in zip([b"<s>", *text], text, text[1:]):
+                triples[g, h, w] += 1
+                after_two.setdefault((g, h), set()).add(w)
     total, distinct = sum(words.values()), len(words)
 
     def discounts(counts):
         return katz.Discounts.fit(dict(Counter(counts.values())))
 
-    of_words, of_pairs = discounts(words), discounts(pairs)
+    of_words, of_pairs, of_triples = discounts(words), discounts(pairs), discounts(triples)
 
     def d(discount, r):
         return float(discount.of(np.array([r]))[0])
@@ -45,33 +49,47 @@ def brute(rows):
             return d(of_pairs, pairs[h, w]) * pairs[h, w] / context[h]
         return low(w) * (weight(h) if context[h] else 1)
 
+    def weight_two(g, h):
+        after = after_two[g, h]
+        left = 1 - sum(d(of_triples, triples[g, h, w]) * triples[g, h, w] for w in after) / pairs[g, h]
+        return left / (1 - sum(chance(h, w) for w in after))
+
+    def chance_two(g, h, w):
+        if triples[g, h, w]:
+            return d(of_triples, triples[g, h, w]) * triples[g, h, w] / pairs[g, h]
+        return chance(h, w) * (weight_two(g, h) if pairs[g, h] else 1)
+
     out = []
     for (doc, _), text, is_out in zip(rows, texts, held):
         base = sum(math.log10((words[w] + 0.1) / (total + 0.1 * (distinct + 1))) for w in text)
-        score = sum(math.log10(chance(h, w)) for h, w in zip([b"<s>", *text], text))
+        score = math.log10(chance(b"<s>", text[0]))
+        for g, h, w in zip([b"<s>", *text], text, text[1:]):
+            score += math.log10(chance_two(g, h, w) if order > 2 else chance(h, w))
         out.append((doc, is_out, len(text), sum(words[w] > 0 for w in text), total, base, score))
     vocabulary = [*words, "unknown"]
     sums = [sum(chance(h, w) for w in vocabulary) for h in [*context][:40]]
+    sums += [sum(chance_two(g, h, w) for w in vocabulary) for g, h in [*after_two][:40]]
     return out, sums
 
 
 def close(got, want):
-    key = lambda r: (str(r[0]), r[2], r[6])
+    key = lambda r: (str(r[0]), r[2], round(r[5], 6), r[6])
     assert len(got) == len(want)
     for a, b in zip(sorted(got, key=key), sorted(want, key=key)):
         assert a[:5] == b[:5]
         assert a[5:] == pytest.approx(b[5:], rel=1e-9, abs=1e-9)
 
 
+@pytest.mark.parametrize("order", [2, 3])
 @pytest.mark.parametrize("batch", [50, 1 << 20])
-def test_against_brute_force(llm, batch):
+def test_against_brute_force(llm, batch, order):
     rng = random.Random(batch)
     words = ["w%d" % int(rng.expovariate(0.05)) for _ in range(3000)]
     rows = [(i, " ".join(rng.choices(words, k=rng.randint(0, 40)))) for i in range(150)]
     rows += [(i, "always the same words here") for i in range(200, 240)]
     docs = llm.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
-    got = [tuple(r) for r in katz.score_documents(docs, batch_tokens=batch).collect()]
-    want, sums = brute(rows)
+    got = [tuple(r) for r in katz.score_documents(docs, batch_tokens=batch, order=order).collect()]
+    want, sums = brute(rows, order)
     assert any(r[1] for r in want)
     close(got, want)
     assert sums == pytest.approx([1.0] * len(sums))
