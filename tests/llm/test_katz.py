@@ -1,6 +1,7 @@
 import math
 import random
 from collections import Counter
+from functools import cache
 from zlib import crc32
 
 import numpy as np
@@ -14,13 +15,14 @@ def brute(rows, order=3):
     texts = [("" if t is None else t).encode().lower().split() + [None] for _, t in rows]
     held = [crc32(str("" if i is None else i).encode()) % 10 == 0 for i, _ in rows]
     words, pairs, context = Counter(), Counter(), Counter()
-    triples, after_two = Counter(), {}
+    triples, after_one, after_two = Counter(), {}, {}
     for text, out in zip(texts, held):
         if not out:
             words.update(text)
             for pair in zip([b"<s>", *text], text):
                 pairs[pair] += 1
                 context[pair[0]] += 1
+                after_one.setdefault(pair[0], set()).add(pair[1])
             for g, h, w in zip([b"<s>", *text], text, text[1:]):
                 triples[g, h, w] += 1
                 after_two.setdefault((g, h), set()).add(w)
@@ -31,16 +33,22 @@ def brute(rows, order=3):
 
     of_words, of_pairs, of_triples = discounts(words), discounts(pairs), discounts(triples)
 
+    worth = {}
+
     def d(discount, r):
-        return float(discount.of(np.array([r]))[0])
+        if (id(discount), r) not in worth:
+            worth[id(discount), r] = float(discount.of(np.array([r]))[0])
+        return worth[id(discount), r]
 
     unknown = 1 - sum(d(of_words, r) * r for r in words.values()) / total if total else 1.0
 
+    @cache
     def low(w):
         return (d(of_words, words[w]) * words[w] / total if words[w] else unknown) if total else 1.0
 
+    @cache
     def weight(h):
-        after = [w for g, w in pairs if g == h]
+        after = after_one[h]
         left = 1 - sum(d(of_pairs, pairs[h, w]) * pairs[h, w] for w in after) / context[h]
         return left / (1 - sum(low(w) for w in after))
 
@@ -49,6 +57,7 @@ def brute(rows, order=3):
             return d(of_pairs, pairs[h, w]) * pairs[h, w] / context[h]
         return low(w) * (weight(h) if context[h] else 1)
 
+    @cache
     def weight_two(g, h):
         after = after_two[g, h]
         left = 1 - sum(d(of_triples, triples[g, h, w]) * triples[g, h, w] for w in after) / pairs[g, h]
