@@ -54,12 +54,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
+#: Spark deletes the shuffle files of an execution when it ends.
+FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def settle(df: DataFrame, label: str, free: bool = False) -> DataFrame:
     """The same rows from files in the folder that all executors share: computed once, and
-    still there when the executor that made them is lost."""
-    folder = scratch(df.sparkSession, label)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    still there when the executor that made them is lost.  With ``free`` the shuffle files of the write go
+    once it has ended, because nothing reads them any more, and not when the driver next collects garbage."""
+    spark = df.sparkSession
+    folder = scratch(spark, label)
+    before = spark.conf.get(FREE)
+    spark.conf.set(FREE, "true" if free else before)
+    try:
+        df.write.parquet(folder)
+    finally:
+        spark.conf.set(FREE, before)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from zlib import crc32
 
 import numpy as np
@@ -23,9 +24,9 @@ from pyspark.sql import DataFrame, functions as F
 from .common import BLANK_WORDS, arrow_schema, mix, settle, texts, word_arrays
 
 #: Tokens of a batch, about; a longer document is a batch of its own.
-BATCH_TOKENS = 1 << 20
+BATCH_TOKENS = 3 << 18
 #: Batches of a part, at most: what one task counts doesn't grow with the corpus.
-PART_BATCHES = 4
+PART_BATCHES = 5
 #: Counts up to this are discounted by their own count of counts (Turing), greater ones by a line through the logs.
 TURING = 5
 #: Hashes that stand for the start and the end of a text.
@@ -66,15 +67,23 @@ def small(values: np.ndarray) -> np.ndarray:
     return values.astype(np.uint8 if most < 256 else np.uint16 if most < 1 << 16 else np.uint32 if most < 1 << 32 else np.uint64)
 
 
+def _by_key(keys: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the keys, and codes that count in it."""
+    order = np.argsort(keys, kind="stable").astype(np.int32)
+    place = np.empty_like(order)
+    place[order] = np.arange(len(order), dtype=np.int32)
+    return order, place[codes]
+
+
 class Batch:
     """Words, pairs and triples of one batch, from its packed row."""
 
     def __init__(self, words: bytes, tokens: bytes, sizes: bytes, held: bytes):
         self.words = unpack_sorted(words)  # START and END are the first two
-        self.tokens = unpack(tokens).astype(np.int64)  # places in words; every text ends with END
+        self.tokens = unpack(tokens).astype(np.int32)  # places in words; every text ends with END
         self.sizes = unpack(sizes).astype(np.int64)
         self.held = unpack(held).astype(bool)
-        self.text = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.text = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
         self.learned = ~self.held[self.text]
         first = np.cumsum(self.sizes) - self.sizes
         self.before = np.empty_like(self.tokens)
@@ -88,13 +97,10 @@ class Batch:
 
     def pairs(self):
         """Distinct pairs by key: keys, first and second word, training count, and each token's pair."""
-        codes, distinct = pd.factorize(self.before * len(self.words) + self.tokens)
-        first, second = np.divmod(distinct, len(self.words))
+        codes, distinct = pd.factorize(self.before.astype(np.int64) * len(self.words) + self.tokens)
+        first, second = (x.astype(np.int32) for x in np.divmod(distinct, len(self.words)))
         keys = mix(self.words[first] * np.uint64(0x9E3779B97F4A7C15) + mix(self.words[second] + np.uint64(0x632BE59BD9B4E019)))
-        order = np.argsort(keys, kind="stable")
-        place = np.empty_like(order)
-        place[order] = np.arange(len(order))
-        codes = place[codes]
+        order, codes = _by_key(keys, codes)
         counts = np.bincount(codes[self.learned], minlength=len(order))
         return keys[order], first[order], second[order], counts, codes
 
@@ -102,15 +108,12 @@ class Batch:
         """Distinct triples by key, from the keys of pairs and each token's pair: keys, pair of the first two and of the last
         two words, training count, and the triple of each inner token."""
         inner = np.flatnonzero(self.inner)
-        codes, distinct = pd.factorize(pairs[inner - 1] * len(self.words) + self.tokens[inner])
-        first, word = np.divmod(distinct, len(self.words))
-        last = np.zeros(len(distinct), np.int64)
+        codes, distinct = pd.factorize(pairs[inner - 1].astype(np.int64) * len(self.words) + self.tokens[inner])
+        first, word = (x.astype(np.int32) for x in np.divmod(distinct, len(self.words)))
+        last = np.zeros(len(distinct), np.int32)
         last[codes] = pairs[inner]
         made = mix(keys[first] * np.uint64(0xC2B2AE3D27D4EB4F) + mix(self.words[word] + np.uint64(0x165667B19E3779F9)))
-        order = np.argsort(made, kind="stable")
-        place = np.empty_like(order)
-        place[order] = np.arange(len(order))
-        codes = place[codes]
+        order, codes = _by_key(made, codes)
         counts = np.bincount(codes[self.learned[inner]], minlength=len(order))
         return made[order], first[order], last[order], counts, codes
 
@@ -226,22 +229,23 @@ ASK = "part int, kind string, batch bigint, keys binary, counts binary, wanted b
 ANSWER = "batch bigint, kind string, part int, counts binary, flags binary, wanted binary, spread array<struct<r: bigint, n: bigint>>"
 
 
-def _ask(parts: int, order: int):
-    """Words, pairs and triples of a batch, by part."""
+def _ask(parts: int, triples: bool):
+    """Words and pairs of a batch, or its triples, by part."""
     def ask(row):
         batch = Batch(row["words"], row["tokens"], row["sizes"], row["held"])
+        keys, _, _, counts, codes = batch.pairs()
+        if triples:
+            keys, _, _, counts, _ = batch.triples(keys, codes)
+            yield out("triple", row["batch"], keys, counts, None)
+            return
+        wanted = np.zeros(len(keys), np.uint8)
+        wanted[codes[np.flatnonzero(batch.inner & ~batch.learned) - 1]] = 1
+        yield out("pair", row["batch"], keys, counts, wanted)
         wanted = np.zeros(len(batch.words), np.uint8)
         wanted[batch.before[~batch.learned]] = 1
         hashed = mix(batch.words)
         by = np.argsort(hashed, kind="stable")
         yield out("word", row["batch"], hashed[by], batch.word_counts()[by], wanted[by])
-        keys, _, _, counts, codes = batch.pairs()
-        wanted = np.zeros(len(keys), np.uint8)
-        wanted[codes[np.flatnonzero(batch.inner & ~batch.learned) - 1]] = 1
-        yield out("pair", row["batch"], keys, counts, wanted)
-        if order > 2:
-            keys, _, _, counts, _ = batch.triples(keys, codes)
-            yield out("triple", row["batch"], keys, counts, None)
 
     def out(kind, number, keys, counts, wanted):
         counts = small(counts)
@@ -347,6 +351,7 @@ def _score(model: Model, parts: int, order: int, id_type: str):
             log[whole] = np.log10(value / np.maximum(both[lead], 1), where=seen, out=np.zeros(len(three)))[at][seen[at]]
             new[whole] = False
             further = inner[~seen[at] & (both[codes[inner - 1]] > 0)]
+            del triples, inner, at, whole
             speak = seen & owner & pair_wanted[lead]
             spoken.append((len(hashed) + lead[speak], value[speak], share[last[speak]]))
         n = len(batch.sizes)
@@ -438,14 +443,16 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if order not in (2, 3):
         raise ValueError("order must be 2 or 3")
     id_type = dict(docs.dtypes)[id_col]
-    batches = settle(_batches(texts(docs, id_col, text_col), batch_tokens), "batches")
+    batches = settle(_batches(texts(docs, id_col, text_col), batch_tokens), "batches", free=True)
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-batches.count() // PART_BATCHES))
-    asked = _over_batches(batches, _ask(parts, order), ASK)
-    answers = settle(_over_parts(asked, _count, ANSWER, "kind", "part"), "answers")
+    # triples after words and pairs, so that only one of both shuffles lies on disk
+    answers = reduce(DataFrame.unionByName, [
+        settle(_over_parts(_over_batches(batches, _ask(parts, triples), ASK), _count, ANSWER, "kind", "part"), "answers", free=True)
+        for triples in (False, True)[:order - 1]])
     model = _model(answers)
     told = answers.groupBy("batch").agg(F.collect_list(F.struct("kind", "part", "counts", "flags", "wanted")).alias("answers"))
     score, schema = _score(model, parts, order, id_type)
-    known = settle(_over_batches(batches.join(told, "batch"), score, schema), "known")
+    known = settle(_over_batches(batches.join(told, "batch"), score, schema), "known", free=True)
     weighed = _over_parts(known.where("kind IN ('ask', 'sum')"), _weigh, WEIGHTS, "part")
     weights = weighed.groupBy("batch").agg(F.collect_list(F.struct("part", "weights")).alias("weights"))
     rows = known.where("kind IN ('text', 'new')").groupBy("batch").agg(
