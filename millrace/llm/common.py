@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from ..sinks.files import scratch
+from ..sinks.files import delete, scratch
 
 #: Rows of documents that a Python worker gets at once.
 BATCH_ROWS = 256
@@ -58,10 +58,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def settle(df: DataFrame, label: str, free: bool = False) -> DataFrame:
+def settle(df: DataFrame, label: str, free: bool = False, made: list[str] | None = None) -> DataFrame:
     """The same rows from files in the folder that all executors share: computed once, and
     still there when the executor that made them is lost.  With ``free`` the shuffle files of the write go
-    once it has ended, because nothing reads them any more, and not when the driver next collects garbage."""
+    once it has ended, because nothing reads them any more, and not when the driver next collects garbage.  ``made``
+    takes the folder's name, for ``drop`` when the rows have become part of another such table."""
     spark = df.sparkSession
     folder = scratch(spark, label)
     before = spark.conf.get(FREE)
@@ -70,9 +71,17 @@ def settle(df: DataFrame, label: str, free: bool = False) -> DataFrame:
         df.write.parquet(folder)
     finally:
         spark.conf.set(FREE, before)
+    if made is not None:
+        made.append(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def drop(spark: SparkSession, made: list[str]) -> None:
+    """Delete tables that nothing reads any more."""
+    for folder in made:
+        delete(spark, folder)
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Ids and texts as UTF-8 bytes; a null text is empty."""
     return docs.select(F.col(id_col).alias("doc_id"),

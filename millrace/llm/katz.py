@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import BLANK_WORDS, arrow_schema, mix, settle, texts, word_arrays
+from .common import BLANK_WORDS, arrow_schema, drop, mix, settle, texts, word_arrays
 
 #: Tokens of a batch, about; a longer document is a batch of its own.
 BATCH_TOKENS = 3 << 18
@@ -438,21 +438,23 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     add up to 1 after every context.  ``base_score`` is additive smoothing.  Words, pairs and triples are told apart by 64-bit
     hashes.  An empty table gives no rows; without training rows every chance is 1.
 
-    Batches, answers and scores so far are kept in the shared folder.
+    Batches, answers and scores so far are tables in the shared folder; batches and answers go when the scores are there.
     """
     if order not in (2, 3):
         raise ValueError("order must be 2 or 3")
     id_type = dict(docs.dtypes)[id_col]
-    batches = settle(_batches(texts(docs, id_col, text_col), batch_tokens), "batches", free=True)
+    made: list[str] = []
+    batches = settle(_batches(texts(docs, id_col, text_col), batch_tokens), "batches", free=True, made=made)
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-batches.count() // PART_BATCHES))
     # triples after words and pairs, so that only one of both shuffles lies on disk
     answers = reduce(DataFrame.unionByName, [
-        settle(_over_parts(_over_batches(batches, _ask(parts, triples), ASK), _count, ANSWER, "kind", "part"), "answers", free=True)
+        settle(_over_parts(_over_batches(batches, _ask(parts, triples), ASK), _count, ANSWER, "kind", "part"), "answers", free=True, made=made)
         for triples in (False, True)[:order - 1]])
     model = _model(answers)
     told = answers.groupBy("batch").agg(F.collect_list(F.struct("kind", "part", "counts", "flags", "wanted")).alias("answers"))
     score, schema = _score(model, parts, order, id_type)
     known = settle(_over_batches(batches.join(told, "batch"), score, schema), "known", free=True)
+    drop(docs.sparkSession, made)
     weighed = _over_parts(known.where("kind IN ('ask', 'sum')"), _weigh, WEIGHTS, "part")
     weights = weighed.groupBy("batch").agg(F.collect_list(F.struct("part", "weights")).alias("weights"))
     rows = known.where("kind IN ('text', 'new')").groupBy("batch").agg(
