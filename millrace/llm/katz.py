@@ -75,12 +75,18 @@ def _by_key(keys: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return order, place[codes]
 
 
+def _by_use(uses: np.ndarray) -> np.ndarray:
+    """Places of words, the most used first."""
+    return np.argsort(-uses.astype(np.int64), kind="stable").astype(np.int32)
+
+
 class Batch:
     """Words, pairs and triples of one batch, from its packed row."""
 
-    def __init__(self, words: bytes, tokens: bytes, sizes: bytes, held: bytes):
+    def __init__(self, words: bytes, uses: bytes, tokens: bytes, sizes: bytes, held: bytes):
         self.words = unpack_sorted(words)  # START and END are the first two
-        self.tokens = unpack(tokens).astype(np.int32)  # places in words; every text ends with END
+        # places in words; every text ends with END.  They are packed as ranks by use, which are mostly small.
+        self.tokens = _by_use(unpack(uses))[unpack(tokens)]
         self.sizes = unpack(sizes).astype(np.int64)
         self.held = unpack(held).astype(bool)
         self.text = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
@@ -177,8 +183,8 @@ class Model:
 
 
 def _batches(docs: DataFrame, batch_tokens: int) -> DataFrame:
-    """Rows (batch, ids, words, tokens, sizes, held) with about ``batch_tokens`` tokens each."""
-    schema = "batch bigint, ids array<{}>, words binary, tokens binary, sizes binary, held binary".format(dict(docs.dtypes)["doc_id"])
+    """Rows (batch, ids, words, uses, tokens, sizes, held) with about ``batch_tokens`` tokens each."""
+    schema = "batch bigint, ids array<{}>, words binary, uses binary, tokens binary, sizes binary, held binary".format(dict(docs.dtypes)["doc_id"])
     arrow = arrow_schema(schema)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,9 +192,11 @@ def _batches(docs: DataFrame, batch_tokens: int) -> DataFrame:
         ids, hashes, size = [], [], 0
 
         def row():
-            words, tokens = np.unique(np.concatenate([[START, END], *hashes]).astype(np.uint64), return_inverse=True)
+            words, tokens, uses = np.unique(np.concatenate([[START, END], *hashes]).astype(np.uint64), return_inverse=True,
+                                            return_counts=True)
+            rank = np.argsort(_by_use(uses))
             held = np.array([crc32(str("" if i is None else i).encode()) % FOLDS == 0 for i in ids], np.uint8)
-            values = [number, ids, pack_sorted(words), pack(small(tokens[2:])), pack(small(np.array(list(map(len, hashes))))), pack(held)]
+            values = [number, ids, pack_sorted(words), pack(small(uses)), pack(small(rank[tokens[2:]])), pack(small(np.array(list(map(len, hashes))))), pack(held)]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, arrow)], schema=arrow)
 
         for part in parts:
@@ -232,7 +240,7 @@ ANSWER = "batch bigint, kind string, part int, counts binary, flags binary, want
 def _ask(parts: int, triples: bool):
     """Words and pairs of a batch, or its triples, by part."""
     def ask(row):
-        batch = Batch(row["words"], row["tokens"], row["sizes"], row["held"])
+        batch = Batch(row["words"], row["uses"], row["tokens"], row["sizes"], row["held"])
         keys, _, _, counts, codes = batch.pairs()
         if triples:
             keys, _, _, counts, _ = batch.triples(keys, codes)
@@ -320,7 +328,7 @@ def _score(model: Model, parts: int, order: int, id_type: str):
     schema = KNOWN.format(id_type)
 
     def score(row):
-        batch = Batch(row["words"], row["tokens"], row["sizes"], row["held"])
+        batch = Batch(row["words"], row["uses"], row["tokens"], row["sizes"], row["held"])
         hashed = mix(batch.words)
         by = np.argsort(hashed, kind="stable")
         counts, wanted = np.zeros(len(by), np.int64), np.zeros(len(by), bool)
