@@ -20,7 +20,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated passages; those of which no words are left, though they had some, go.  ``n_chars`` is
     counted anew, where there is such a column."""
     names = docs.columns
-    out = line_dedup.dedup_lines(docs, prefix="__")
+    # the filter reads the new text from files: Spark would push it below and repeat, for every use of the text, all that makes it
+    out = settle(line_dedup.dedup_lines(docs, prefix="__"), "lines", free=True)
     changed = F.col("__n_dropped") > 0
     out = out.where(~(changed & (F.length(F.trim(F.translate("text", "\n\t\r", ""))) == 0)))
     if "n_chars" in names:

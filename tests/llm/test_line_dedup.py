@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from millrace.llm import line_dedup
 from millrace.llm.line_dedup import dedup_lines, line_chunks
 
@@ -154,3 +155,13 @@ def test_columns_with_clashing_names(llm):
     out = dedup_lines(docs)
     assert out.columns == ["doc_id", "text", "n_chunks", "other", "n_dropped", "n_dropped_lines"] and out.first().other == 9
     assert dedup_lines(docs, prefix="__").columns == [*docs.columns, "__n_dropped", "__n_dropped_lines"]
+
+
+def test_the_stage_filters_texts_that_are_made_once(llm):
+    """What makes the new text isn't repeated in the filter on it."""
+    twice = "one line that is long enough\nand another one that is long enough\n"
+    rows = [(1, twice), (2, twice), (3, "something else\n"), (4, ""), (5, None)]
+    out = corpus_pipeline.dedup_lines(llm, llm.createDataFrame(rows, "doc_id bigint, text string"), "")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan and "transform(" not in plan
+    assert sorted((r.doc_id, r.text) for r in out.collect()) == [(1, twice), (3, "something else\n"), (4, ""), (5, None)]
