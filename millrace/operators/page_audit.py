@@ -16,6 +16,8 @@ from ..functions import payloads as P
 from ..sinks.files import settled
 
 STOP = "stop"
+#: One in so many cursors of a chain is a place to stop at.
+STRIDE = 16
 
 
 def _body() -> Column:
@@ -100,42 +102,60 @@ def chain_report(pages: DataFrame) -> DataFrame:
     ``forks`` are cursors that several pages offer or were asked with; ``orphans`` follow from a page that no page offers; ``cyclic`` pages
     follow from a page that comes round again.
 
-    Every page points at the one that offered its cursor, and each round all pointers jump as far as they
-    have come, so the longest walk takes the logarithm of its length; a pointer that is still on its way after as
-    many rounds as the endpoint's pages need is in a cycle, or hangs on one.
+    Every cursor points at the one that offered it.  Cursors chosen by hash, one in ``STRIDE``, are stops: first all pointers jump
+    as far as they have come until they stand at a stop or at the start of a walk, which takes a few rounds, however long the
+    walks are; then only the stops jump on.  A pointer that is still on its way after as many rounds as the endpoint's
+    pages need is in a cycle, or hangs on one.  Rounds move three numbers a cursor; its text is compared once.
     """
-    page = pages.select("endpoint", "cursor", "next")
-    asked = page.groupBy("endpoint", "cursor").agg(F.count(F.lit(1)).alias("n"))
-    offered = page.filter("next IS NOT NULL").groupBy("endpoint", F.col("next").alias("cursor")).agg(
-        F.count(F.lit(1)).alias("offers"), F.min(F.struct(F.col("cursor").isNotNull().alias("later"), "cursor")).alias("by"))
-    # one node a cursor; the first page's is the empty text, told apart by a flag
-    nodes = asked.join(offered, ["endpoint", "cursor"], "left").select(
-        "endpoint", F.coalesce("cursor", F.lit("")).alias("node"), F.col("cursor").isNull().alias("first"), "n",
-        F.coalesce("offers", F.lit(0)).alias("offers"), F.col("by.later").alias("later"), F.coalesce("by.cursor", F.lit("")).alias("before"))
-    nodes = settled(nodes, "chain")
-    at = F.struct(~F.col("first"), "node")
-    state = nodes.select("endpoint", "first", "n", at.alias("node"), F.when(
-        F.col("first") | (F.col("offers") == 0), F.lit(None)).otherwise(F.struct("later", "before")).alias("to"), at.alias("root"),
-        F.lit(0).cast("bigint").alias("hops"))
-    shape = state.schema["node"].dataType
-    state = state.withColumn("to", F.col("to").cast(shape)).withColumn("root", F.coalesce(F.col("to"), F.col("node")))
-    state = state.withColumn("hops", F.col("to").isNotNull().cast("bigint"))
-    most = state.groupBy("endpoint").count().agg(F.max("count")).first()[0] or 0
-    for _ in range(max(most, 1).bit_length()):
+    page = settled(pages.select("endpoint", "cursor", "next").where("endpoint IS NOT NULL"), "pages")
+    asked = page.select("endpoint", "cursor", F.lit(1).alias("n"), F.lit(0).alias("offers"), F.lit(None).cast(
+        f"struct<later: boolean, cursor: {dict(page.dtypes)['cursor']}>").alias("by"))
+    offered = page.where("next IS NOT NULL").select("endpoint", F.col("next").alias("cursor"), F.lit(0).alias("n"), F.lit(1).alias("offers"), F.struct(
+        F.col("cursor").isNotNull().alias("later"), "cursor").alias("by"))
+    cursors = settled(asked.unionByName(offered).groupBy("endpoint", "cursor").agg(F.sum("n").alias("n"), F.sum("offers").alias("offers"), F.min("by").alias("by"))
+                      .withColumn("id", F.monotonically_increasing_id()), "cursors")
+    # where a walk starts there is nothing to point at; the first page's cursor is NULL
+    nodes = cursors.where("n > 0")
+    start = F.col("by").isNull()
+    first = F.when(start, F.col("cursor").isNull())
+    starts = nodes.where(start).select("id", F.col("id").alias("at"), F.lit(0).cast("bigint").alias("hops"), first.alias("first"))
+    later = nodes.where(~start).select("id", "endpoint", F.col("by.cursor").alias("cursor"))
+    to = nodes.select("endpoint", "cursor", F.col("id").alias("at"), first.alias("first"))
+    same = (later["endpoint"] == to["endpoint"]) & later["cursor"].eqNullSafe(to["cursor"])
+    state = starts.unionByName(later.join(to, same).select("id", "at", F.lit(1).cast("bigint").alias("hops"), "first"))
+    most = nodes.groupBy("endpoint").count().agg(F.max("count")).first()[0] or 0
+    rounds = max(most, 1).bit_length()
+    state = _jumped(state, ~_stop(F.col("at")), rounds)
+    stops = _jumped(state.where(_stop(F.col("id"))), F.lit(True), rounds)
+    ahead = stops.select(F.col("id").alias("at"), F.col("hops").alias("__hops"), F.col("first").alias("__first"))
+    reached = state.where("first IS NULL").join(ahead, "at", "left").select(
+        "id", (F.col("hops") + F.coalesce("__hops", F.lit(0))).alias("hops"), F.col("__first").alias("first")).unionByName(
+        state.where("first IS NOT NULL").select("id", "hops", "first"))
+    reached = cursors.join(reached, "id", "left")
+    in_order, asked = F.col("first"), F.col("n") > 0
+    return reached.groupBy("endpoint").agg(
+        F.sum("n").alias("pages"), F.sum(F.when(in_order, F.col("n")).otherwise(0)).alias("in_order"),
+        F.coalesce(F.max(F.when(in_order, F.col("hops") + 1)), F.lit(0)).alias("length"),
+        F.sum(F.when(asked, 0).otherwise(F.col("offers"))).alias("breaks"),
+        F.count_if(asked & ((F.col("n") > 1) | (F.col("offers") > 1))).alias("forks"),
+        F.sum(F.when(~in_order, F.col("n")).otherwise(0)).alias("orphans"),
+        F.sum(F.when(in_order.isNull(), F.col("n")).otherwise(0)).alias("cyclic"))
+
+
+def _stop(node: Column) -> Column:
+    return F.pmod(F.xxhash64(node), F.lit(STRIDE)) == 0
+
+
+def _jumped(state: DataFrame, on: Column, rounds: int) -> DataFrame:
+    """Rows (id, at, hops, first) after as many jumps as it takes; ``first`` is NULL until a pointer stands at the start of a walk, and only
+    pointers with ``on`` go on."""
+    for _ in range(rounds):
         state = settled(state, "chain")
-        ahead = state.select("endpoint", F.col("node").alias("to"), F.col("to").alias("__to"), F.col("root").alias("__root"),
-                             F.col("hops").alias("__hops"))
-        state = state.join(ahead, ["endpoint", "to"], "left").select(
-            "endpoint", "first", "n", "node", F.col("__to").alias("to"), F.coalesce("__root", "root").alias("root"),
-            (F.col("hops") + F.coalesce("__hops", F.lit(0))).alias("hops"))
-    reached = state.select("endpoint", "n", F.col("to").isNotNull().alias("cyclic"), (~F.col("root")["col1"]).alias("from_first"), "hops")
-    walked = reached.groupBy("endpoint").agg(
-        F.sum("n").alias("pages"), F.sum(F.when(~F.col("cyclic") & F.col("from_first"), F.col("n")).otherwise(0)).alias("in_order"),
-        F.coalesce(F.max(F.when(~F.col("cyclic") & F.col("from_first"), F.col("hops") + 1)), F.lit(0)).alias("length"),
-        F.sum(F.when(~F.col("cyclic") & ~F.col("from_first"), F.col("n")).otherwise(0)).alias("orphans"),
-        F.sum(F.when(F.col("cyclic"), F.col("n")).otherwise(0)).alias("cyclic"))
-    forks = nodes.groupBy("endpoint").agg(F.count_if((F.col("n") > 1) | (F.col("offers") > 1)).alias("forks"))
-    taken = asked.select("endpoint", "cursor").filter("cursor IS NOT NULL")
-    breaks = offered.join(taken, ["endpoint", "cursor"], "left_anti").groupBy("endpoint").agg(F.sum("offers").alias("breaks"))
-    return walked.join(forks, "endpoint").join(breaks, "endpoint", "left").select(
-        "endpoint", "pages", "in_order", "length", F.coalesce("breaks", F.lit(0)).alias("breaks"), "forks", "orphans", "cyclic")
+        moving = F.col("first").isNull() & on
+        left = state.where(moving)
+        if left.isEmpty():
+            return state
+        ahead = state.select(F.col("id").alias("at"), F.col("at").alias("__at"), F.col("hops").alias("__hops"), F.col("first").alias("__first"))
+        state = state.where(~moving).unionByName(left.join(ahead, "at", "left").select(
+            "id", F.coalesce("__at", "at").alias("at"), (F.col("hops") + F.coalesce("__hops", F.lit(0))).alias("hops"), F.col("__first").alias("first")))
+    return settled(state, "chain")

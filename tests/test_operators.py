@@ -226,6 +226,19 @@ def test_chains_of_pages_against_a_walk(spark, seed):
     assert got == {e: brute_chain(chain) for e, chain in rows.items()}
 
 
+def test_rounds_of_long_chains_move_numbers_only(spark, monkeypatch):
+    n = 3000
+    walk = [(1, f"page {p}" if p else None, f"page {p + 1}") for p in range(n)]
+    circle = [(2, f"page {p}", f"page {(p + 1) % n}") for p in range(n)] + [(2, None, "lost"), (2, "page 5", "side"), (2, "side", None)]
+    df = spark.createDataFrame([*walk, *circle, (3, "stray", "")], "endpoint int, cursor string, next string")
+    tables = []
+    monkeypatch.setattr(A, "settled", lambda rows, label, kept=A.settled: tables.append((label, rows.dtypes)) or kept(rows, label))
+    got = {tuple(r) for r in A.chain_report(df).collect()}
+    assert got == {(1, n, n, n, 1, 0, 0, 0), (2, n + 3, 1, 1, 1, 1, 0, n + 2), (3, 1, 0, 0, 1, 0, 1, 0)}
+    rounds = [kind for label, columns in tables if label == "chain" for _, kind in columns]
+    assert rounds and set(rounds) <= {"bigint", "boolean"}
+
+
 def test_common_types(spark):
     a = spark.createDataFrame([(1, 1, "2024-01-01", 5)], "i int, n int, d string, t int").withColumn("d", F.to_date("d"))
     b = spark.createDataFrame([(2 ** 40, 1.5, "2024-01-02 03:00:00", "x")], "i bigint, n double, d string, t string").withColumn("d", F.to_timestamp("d"))
