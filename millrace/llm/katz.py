@@ -12,7 +12,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 from zlib import crc32
 
 import numpy as np
@@ -61,6 +60,18 @@ def unpack_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(unpack(data), dtype=np.uint64)
 
 
+def pack_repeated(values: np.ndarray) -> bytes:
+    """Numbers of which many are equal: the distinct ones, and for each its place among them."""
+    distinct, places = np.unique(values, return_inverse=True)
+    head = pack(distinct)
+    return len(head).to_bytes(8, "little") + head + pack(small(places))
+
+
+def unpack_repeated(data: bytes) -> np.ndarray:
+    end = 8 + int.from_bytes(data[:8], "little")
+    return unpack(data[8:end])[unpack(data[end:])]
+
+
 def small(values: np.ndarray) -> np.ndarray:
     """Counts in the smallest type that holds them."""
     most = int(values.max(initial=0))
@@ -233,34 +244,52 @@ def _over_batches(df: DataFrame, fn, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-ASK = "part int, kind string, batch bigint, keys binary, counts binary, wanted binary"
-ANSWER = "batch bigint, kind string, part int, counts binary, flags binary, wanted binary, spread array<struct<r: bigint, n: bigint>>"
+SPREAD = "array<struct<r: bigint, n: bigint>>"
+ASK = f"part int, kind string, batch bigint, keys binary, counts binary, wanted binary, alone {SPREAD}"
+ANSWER = f"batch bigint, kind string, part int, counts binary, flags binary, wanted binary, spread {SPREAD}"
+
+
+def _spread(counts: np.ndarray) -> list[dict]:
+    """How many events have each count there is, above 0."""
+    return [dict(r=r, n=n) for r, n in zip(*(x.tolist() for x in np.unique(counts, return_counts=True))) if r]
+
+
+def _alone(first: np.ndarray, last: np.ndarray, local: np.ndarray, total: np.ndarray, wanted: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """Triples whose count their own batch knows from what it was told of their first and last two words: either pair has no training
+    count, or has it all in this batch while no held-out text may ask for it.  ``local`` and ``total`` are training counts
+    of pairs, ``wanted`` are contexts in held-out texts, ``held`` all pairs there."""
+    mine = local == total
+    return (mine & ~wanted)[first] | (mine & ~held)[last] | (total == 0)[first] | (total == 0)[last]
 
 
 def _ask(parts: int, triples: bool):
-    """Words and pairs of a batch, or its triples, by part."""
+    """Words and pairs of a batch, or (once pairs are answered) those triples that it doesn't know alone, by part."""
     def ask(row):
         batch = Batch(row["words"], row["uses"], row["tokens"], row["sizes"], row["held"])
         keys, _, _, counts, codes = batch.pairs()
         if triples:
-            keys, _, _, counts, _ = batch.triples(keys, codes)
-            yield out("triple", row["batch"], keys, counts, None)
+            told = counts, *_answers(row["answers"], "pair", keys, parts)
+            made, first, last, counts, _ = batch.triples(keys, codes)
+            alone = _alone(first, last, told[0], told[1], *told[3])
+            yield out("triple", row["batch"], made[~alone], counts[~alone], None, _spread(counts[alone]))
             return
-        wanted = np.zeros(len(keys), np.uint8)
-        wanted[codes[np.flatnonzero(batch.inner & ~batch.learned) - 1]] = 1
+        wanted = np.zeros((2, len(keys)), np.uint8)
+        wanted[0, codes[np.flatnonzero(batch.inner & ~batch.learned) - 1]] = 1
+        wanted[1, codes[~batch.learned]] = 1
         yield out("pair", row["batch"], keys, counts, wanted)
-        wanted = np.zeros(len(batch.words), np.uint8)
-        wanted[batch.before[~batch.learned]] = 1
+        wanted = np.zeros((2, len(batch.words)), np.uint8)
+        wanted[0, batch.before[~batch.learned]] = 1
         hashed = mix(batch.words)
         by = np.argsort(hashed, kind="stable")
-        yield out("word", row["batch"], hashed[by], batch.word_counts()[by], wanted[by])
+        yield out("word", row["batch"], hashed[by], batch.word_counts()[by], wanted[:, by])
 
-    def out(kind, number, keys, counts, wanted):
+    def out(kind, number, keys, counts, wanted, alone=None):
         counts = small(counts)
-        spans = list(_spans(keys, parts))
+        spans = list(_spans(keys, parts)) or [(0, 0, 0)]
         return {"part": [p for p, _, _ in spans], "kind": [kind] * len(spans), "batch": [number] * len(spans),
                 "keys": [pack_sorted(keys[a:b]) for _, a, b in spans], "counts": [pack(counts[a:b]) for _, a, b in spans],
-                "wanted": [None if wanted is None else pack(np.packbits(wanted[a:b])) for _, a, b in spans]}
+                "wanted": [None if wanted is None else pack(np.packbits(wanted[:, a:b])) for _, a, b in spans],
+                "alone": [alone] + [None] * (len(spans) - 1)}
     return ask
 
 
@@ -275,7 +304,8 @@ def _count(columns: dict) -> dict:
     """All that was asked of one part: total counts, in the order of each asker.
 
     Flags are 1 for the one asker that speaks for the key; a word or pair is wanted if a held-out text has it as a
-    context.  ``spread``: how many keys have each count there is.
+    context (and, for pairs, if one has it at all).  ``spread``: how many keys have each count there is, with those that
+    batches know alone.
     """
     keys = [unpack_sorted(k) for k in columns["keys"]]
     sizes = np.array([len(k) for k in keys])
@@ -289,28 +319,31 @@ def _count(columns: dict) -> dict:
     flags[owner] = True
     wanted = None
     if columns["wanted"][0] is not None:
-        asked = [np.unpackbits(unpack(w), count=n) for w, n in zip(columns["wanted"], sizes.tolist())]
-        wanted = np.bincount(codes, weights=np.concatenate(asked))[codes] > 0
-    spread = [[dict(r=r, n=n) for r, n in zip(*(x.tolist() for x in np.unique(total, return_counts=True))) if r]]
-    spread += [None] * (len(sizes) - 1)
+        asked = np.concatenate([_bits(w, n) for w, n in zip(columns["wanted"], sizes.tolist())], axis=1)
+        wanted = np.stack([(np.bincount(codes, weights=x) > 0)[codes] for x in asked])
+    spread = [_spread(total) + [x for some in columns["alone"] for x in some or ()]] + [None] * (len(sizes) - 1)
     ends = np.cumsum(sizes)
     answers = total[codes]
     return {
         "batch": columns["batch"], "kind": columns["kind"], "part": columns["part"], "spread": spread,
         "counts": [pack(small(answers[e - n:e])) for e, n in zip(ends, sizes)],
         "flags": [pack(np.packbits(flags[e - n:e])) for e, n in zip(ends, sizes)],
-        "wanted": [None if wanted is None else pack(np.packbits(wanted[e - n:e])) for e, n in zip(ends, sizes)]}
+        "wanted": [None if wanted is None else pack(np.packbits(wanted[:, e - n:e])) for e, n in zip(ends, sizes)]}
+
+
+def _bits(data: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(unpack(data), count=2 * n).reshape(2, n)
 
 
 def _answers(rows: list[dict], kind: str, keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Counts and flags of the (sorted) keys of a batch, and which are wanted."""
+    """Counts and flags of the (sorted) keys of a batch, and which are wanted as contexts, and at all."""
     found = {r["part"]: r for r in rows if r["kind"] == kind}
-    counts, flags, wanted = np.zeros(len(keys), np.int64), np.zeros(len(keys), bool), np.zeros(len(keys), bool)
+    counts, flags, wanted = np.zeros(len(keys), np.int64), np.zeros(len(keys), bool), np.zeros((2, len(keys)), bool)
     for p, a, b in _spans(keys, parts):
         counts[a:b] = unpack(found[p]["counts"])
         flags[a:b] = np.unpackbits(unpack(found[p]["flags"]), count=b - a)
         if found[p]["wanted"] is not None:
-            wanted[a:b] = np.unpackbits(unpack(found[p]["wanted"]), count=b - a)
+            wanted[:, a:b] = _bits(found[p]["wanted"], b - a)
     return counts, flags, wanted
 
 
@@ -332,9 +365,9 @@ def _score(model: Model, parts: int, order: int, id_type: str):
         hashed = mix(batch.words)
         by = np.argsort(hashed, kind="stable")
         counts, wanted = np.zeros(len(by), np.int64), np.zeros(len(by), bool)
-        counts[by], _, wanted[by] = _answers(row["answers"], "word", hashed[by], parts)
-        keys, first, second, _, codes = batch.pairs()
-        both, owner, pair_wanted = _answers(row["answers"], "pair", keys, parts)
+        counts[by], _, (wanted[by], _) = _answers(row["answers"], "word", hashed[by], parts)
+        keys, first, second, local, codes = batch.pairs()
+        both, owner, (pair_wanted, pair_held) = _answers(row["answers"], "pair", keys, parts)
         chance = model.word_chance(counts)
         # a text's start is no token: its count is that of the texts' ends
         context = counts.copy()
@@ -351,8 +384,10 @@ def _score(model: Model, parts: int, order: int, id_type: str):
         further = np.zeros(0, np.int64)
         if order > 2:
             inner = np.flatnonzero(batch.inner)
-            triples, lead, last, _, at = batch.triples(keys, codes)
-            three, owner, _ = _answers(row["answers"], "triple", triples, parts)
+            triples, lead, last, three, at = batch.triples(keys, codes)
+            asked = ~_alone(lead, last, local, both, pair_wanted, pair_held)
+            owner = np.ones(len(three), bool)
+            three[asked], owner[asked], _ = _answers(row["answers"], "triple", triples[asked], parts)
             value = model.triples.of(np.maximum(three, 1)) * three
             seen = three > 0
             whole = inner[seen[at]]
@@ -383,13 +418,14 @@ def _score(model: Model, parts: int, order: int, id_type: str):
         places, at = np.unique(np.concatenate([x for x, _, _ in spoken]), return_inverse=True)
         mass, lower = (np.bincount(at, weights=np.concatenate([x[i] for x in spoken]), minlength=len(places)) for i in (1, 2))
         by = np.argsort(contexts[places], kind="stable")
-        yield from parted("sum", row["batch"], contexts[places][by], np.stack([mass[by], lower[by]], 1))
+        yield from parted("sum", row["batch"], contexts[places][by], mass[by], lower[by])
 
-    def parted(kind, number, keys, numbers):
+    def parted(kind, number, keys, numbers, lower=None):
         spans = list(_spans(keys, parts))
         yield {"batch": [number] * len(spans), "kind": [kind] * len(spans), "part": [p for p, _, _ in spans],
                "keys": [pack_sorted(keys[a:b]) for _, a, b in spans],
-               "numbers": [pack(numbers[a:b].ravel()) for _, a, b in spans], "ids": [None] * len(spans)}
+               "numbers": [pack(numbers[a:b]) if lower is None else pack_repeated(np.concatenate([numbers[a:b], lower[a:b]]))
+                           for _, a, b in spans], "ids": [None] * len(spans)}
     return score, schema
 
 
@@ -400,12 +436,12 @@ def _weigh(columns: dict) -> dict:
     """log10 of the backoff weight of each context asked for in one part: what the discounts leave of the context's
     chance, over what the shorter context leaves to words that never followed it."""
     rows = list(zip(columns["kind"], columns["batch"], columns["part"], columns["keys"], columns["numbers"]))
-    sums = [(unpack_sorted(k), unpack(x).reshape(-1, 2)) for kind, _, _, k, x in rows if kind == "sum"]
+    sums = [(unpack_sorted(k), unpack_repeated(x).reshape(2, -1)) for kind, _, _, k, x in rows if kind == "sum"]
     asked = [(batch, p, unpack_sorted(k), unpack(x).astype(float)) for kind, batch, p, k, x in rows if kind == "ask"]
     out: dict[str, list] = {"batch": [], "part": [], "weights": []}
     if asked:
         keys, at = np.unique(np.concatenate([k for k, _ in sums] or [np.zeros(0, np.uint64)]), return_inverse=True)
-        mass, lower = (np.bincount(at, weights=np.concatenate([x[:, i] for _, x in sums]), minlength=len(keys)) if sums
+        mass, lower = (np.bincount(at, weights=np.concatenate([x[i] for _, x in sums]), minlength=len(keys)) if sums
                        else np.zeros(0) for i in (0, 1))
         for batch, p, k, total in asked:
             place = np.searchsorted(keys, k)
@@ -454,14 +490,20 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     made: list[str] = []
     batches = settle(_batches(texts(docs, id_col, text_col), batch_tokens), "batches", free=True, made=made)
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-batches.count() // PART_BATCHES))
-    # triples after words and pairs, so that only one of both shuffles lies on disk
-    answers = reduce(DataFrame.unionByName, [
-        settle(_over_parts(_over_batches(batches, _ask(parts, triples), ASK), _count, ANSWER, "kind", "part"), "answers", free=True, made=made)
-        for triples in (False, True)[:order - 1]])
+
+    def answered(rows: DataFrame, triples: bool) -> DataFrame:
+        return _settle_rows(_over_parts(_over_batches(rows, _ask(parts, triples), ASK), _count, ANSWER, "kind", "part"), "answers", made)
+
+    def told_by(rows: DataFrame) -> DataFrame:
+        told = rows.groupBy("batch").agg(F.collect_list(F.struct("kind", "part", "counts", "flags", "wanted")).alias("answers"))
+        return batches.join(told, "batch")
+
+    answers = answered(batches, False)
+    if order > 2:  # triples after words and pairs: most that hold a rare pair needn't be asked for, and one shuffle lies on disk at a time
+        answers = answers.unionByName(answered(told_by(answers.where("kind = 'pair'")), True))
     model = _model(answers)
-    told = answers.groupBy("batch").agg(F.collect_list(F.struct("kind", "part", "counts", "flags", "wanted")).alias("answers"))
     score, schema = _score(model, parts, order, id_type)
-    known = settle(_over_batches(batches.join(told, "batch"), score, schema), "known", free=True)
+    known = _settle_rows(_over_batches(told_by(answers), score, schema), "known")
     drop(docs.sparkSession, made)
     weighed = _over_parts(known.where("kind IN ('ask', 'sum')"), _weigh, WEIGHTS, "part")
     weights = weighed.groupBy("batch").agg(F.collect_list(F.struct("part", "weights")).alias("weights"))
@@ -473,6 +515,17 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                          F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score")
 
 
+def _settle_rows(df: DataFrame, label: str, made: list[str] | None = None) -> DataFrame:
+    """``settle`` for rows of some megabytes: they go to Python one by one, so a task's memory outside the heap holds one."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(name)
+    conf.set(name, "1")
+    try:
+        return settle(df, label, free=True, made=made)
+    finally:
+        conf.set(name, before)
+
+
 def _model(answers: DataFrame) -> Model:
     spread = answers.where("spread IS NOT NULL").select("kind", F.inline("spread"))
     low = {(r.kind, r.r): r.n for r in spread.where(F.col("r") <= TURING + 1).groupBy("kind", "r").agg(F.sum("n").alias("n")).collect()}

@@ -126,3 +126,26 @@ def test_without_training_rows(llm):
     docs = llm.createDataFrame([(None, "a b"), (None, None)], "doc_id bigint, text string")
     got = {r.n_tokens: r for r in katz.score_documents(docs).collect()}
     assert got[3].score == 0 and got[3].train_tokens == 0 and got[3].base_score == pytest.approx(0)
+
+
+def test_batches_ask_only_for_triples_of_shared_pairs(llm, monkeypatch):
+    """A triple that holds a pair of one batch, which no held-out text has, is known without being asked for."""
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(6)) + " the end of it") for i in range(60)]
+    asked = []
+
+    def settle(df, label, **options):
+        out = kept(df, label, **options)
+        if label == "answers":
+            asked.append(sum(len(katz.unpack(r.counts)) for r in out.where("kind = 'triple'").collect()))
+        return out
+
+    kept = katz.settle
+    monkeypatch.setattr(katz, "settle", settle)
+    got = [tuple(r) for r in katz.score_documents(llm.createDataFrame(rows, "doc_id bigint, text string").repartition(3), batch_tokens=100).collect()]
+    close(got, brute(rows)[0])
+    assert sum(asked) < 200  # the texts have 600
+
+
+def test_packing_of_repeated_numbers():
+    for values in ([], [0.5], [0.1, 0.2] * 300, list(np.random.default_rng(1).random(500))):
+        assert katz.unpack_repeated(katz.pack_repeated(np.array(values, float))).tolist() == values
