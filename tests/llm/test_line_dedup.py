@@ -165,3 +165,11 @@ def test_the_stage_filters_texts_that_are_made_once(llm):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "split(" not in plan and "transform(" not in plan
     assert sorted((r.doc_id, r.text) for r in out.collect()) == [(1, twice), (3, "something else\n"), (4, ""), (5, None)]
+
+
+def test_ends_are_cut_by_bytes(llm):
+    texts = ["", "L", "N", "é  N", "日本 L", "a\nbN", " N", "x\U0001F600L", None]
+    rows = llm.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", line_dedup._without_end(F.col("t"), 1), line_dedup._bare(F.col("t"))).collect()
+    assert {r[0]: r[1:] for r in rows} == {i: (t and t[:-1], t and t[:-1].rstrip(" ")) if t is not None else (None, None) for i, t in enumerate(texts)}
+    plan = llm.createDataFrame([("a",)], "t string").select(line_dedup._bare(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "octet_length" in plan and " length(" not in plan
