@@ -481,7 +481,7 @@ def test_a_cover_holds_every_key(spark, kind):
     made = {"date": "date_add(DATE'2020-01-01', CAST(id AS INT))", "timestamp_ntz": "TIMESTAMP_NTZ'2020-01-01' + make_dt_interval(0, CAST(id AS INT))",
             "boolean": "id % 2 = 0"}.get(kind, f"CAST(id AS {kind})")
     rows = spark.range(1000).selectExpr("id AS n", f"{made} AS k")
-    batch = rows.filter("n IN (3, 4, 5, 990, 991)").select("k").union(spark.createDataFrame([(None,)], rows.select("k").schema))
+    batch = rows.filter("n IN (3, 4, 5, 990, 991)").select("k").union(spark.createDataFrame([(None,)], f"k {dict(rows.dtypes)['k']}"))
     near = rows.filter(key_cover(batch, ["k"]))
     assert {3, 4, 5, 990, 991} <= {r.n for r in near.collect()}
     if kind in ("bigint", "date", "decimal(12,2)"):
