@@ -33,6 +33,11 @@ START, END = np.uint64(1), np.uint64(2)
 #: Every tenth document is held out of the training, by the checksum of its id.
 FOLDS = 10
 
+#: Tables of packed lists: they are compressed already, and rows of some megabytes would else be gathered by the hundred before
+#: the size of a page or row group is looked at, which writers and readers then hold whole.
+PACKED = {"compression": "uncompressed", "parquet.enable.dictionary": "false", "parquet.block.size": str(8 << 20),
+          "parquet.page.size.row.check.min": "1"}
+
 _codec = pa.Codec("zstd", compression_level=1)
 
 
@@ -244,6 +249,26 @@ def _over_batches(df: DataFrame, fn, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def _by_batch(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``fn(rows)`` yields dicts of columns, for the rows of one batch at a time.  They meet in Python only: joined to one row in
+    Spark, they would be copied whole on the heap at every step."""
+    arrow = arrow_schema(schema)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in fn([row for part in parts for row in part.to_pylist()]):
+            yield _rows(arrow, out)
+
+    return df.groupBy("batch").applyInArrow(run, schema)
+
+
+def _told(fn):
+    """``fn`` for a batch's row with its answers, from the rows of ``told_by``."""
+    def run(rows):
+        row, = (r for r in rows if r["kind"] is None)
+        yield from fn(row | {"answers": [r for r in rows if r["kind"] is not None]})
+    return run
+
+
 SPREAD = "array<struct<r: bigint, n: bigint>>"
 ASK = f"part int, kind string, batch bigint, keys binary, counts binary, wanted binary, alone {SPREAD}"
 ANSWER = f"batch bigint, kind string, part int, counts binary, flags binary, wanted binary, spread {SPREAD}"
@@ -455,12 +480,12 @@ def _weigh(columns: dict) -> dict:
 def _finish(id_type: str):
     schema = SCORED.format(id_type)
 
-    def finish(row):
-        rows = {r["kind"]: r for r in row["rows"]}
-        text, new = rows["text"], rows["new"]
+    def finish(rows):
+        kinds = {r["kind"]: r for r in rows}
+        text, new = kinds["text"], kinds["new"]
         sizes = unpack(text["keys"]).astype(np.int64)
         known, base, score, held = unpack(text["numbers"]).reshape(4, -1)
-        found = sorted((r["part"], r["weights"]) for r in row["weights"] or ())
+        found = sorted((r["part"], r["weights"]) for r in rows if r["kind"] is None)
         weights = np.concatenate([unpack(w) for _, w in found] or [np.zeros(0)])
         score = score + np.bincount(unpack(new["keys"]).astype(np.int64), minlength=len(sizes),
                                     weights=weights[unpack(new["numbers"]).astype(np.int64)])
@@ -488,29 +513,27 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         raise ValueError("order must be 2 or 3")
     id_type = dict(docs.dtypes)[id_col]
     made: list[str] = []
-    batches = settle(_batches(texts(docs, id_col, text_col), batch_tokens), "batches", free=True, made=made)
+    batches = settle(_batches(texts(docs, id_col, text_col), batch_tokens), "batches", free=True, made=made, **PACKED)
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-batches.count() // PART_BATCHES))
 
-    def answered(rows: DataFrame, triples: bool) -> DataFrame:
-        return _settle_rows(_over_parts(_over_batches(rows, _ask(parts, triples), ASK), _count, ANSWER, "kind", "part"), "answers", made)
+    def answered(asked: DataFrame) -> DataFrame:
+        return _settle_rows(_over_parts(asked, _count, ANSWER, "kind", "part"), "answers", made)
 
     def told_by(rows: DataFrame) -> DataFrame:
-        told = rows.groupBy("batch").agg(F.collect_list(F.struct("kind", "part", "counts", "flags", "wanted")).alias("answers"))
-        return batches.join(told, "batch")
+        return batches.unionByName(rows.select("batch", "kind", "part", "counts", "flags", "wanted"), allowMissingColumns=True)
 
-    answers = answered(batches, False)
+    answers = answered(_over_batches(batches, _ask(parts, False), ASK))
     if order > 2:  # triples after words and pairs: most that hold a rare pair needn't be asked for, and one shuffle lies on disk at a time
-        answers = answers.unionByName(answered(told_by(answers.where("kind = 'pair'")), True))
+        told = told_by(answers.where("kind = 'pair'"))
+        answers = answers.unionByName(answered(_by_batch(told, _told(_ask(parts, True)), ASK)))
     model = _model(answers)
     score, schema = _score(model, parts, order, id_type)
-    known = _settle_rows(_over_batches(told_by(answers), score, schema), "known")
+    known = _settle_rows(_by_batch(told_by(answers), _told(score), schema), "known")
     drop(docs.sparkSession, made)
     weighed = _over_parts(known.where("kind IN ('ask', 'sum')"), _weigh, WEIGHTS, "part")
-    weights = weighed.groupBy("batch").agg(F.collect_list(F.struct("part", "weights")).alias("weights"))
-    rows = known.where("kind IN ('text', 'new')").groupBy("batch").agg(
-        F.collect_list(F.struct("kind", "keys", "numbers", "ids")).alias("rows"))
+    rows = known.where("kind IN ('text', 'new')").select("batch", "kind", "keys", "numbers", "ids")
     finish, schema = _finish(id_type)
-    scored = _over_batches(rows.join(weights, "batch", "left"), finish, schema)
+    scored = _by_batch(rows.unionByName(weighed, allowMissingColumns=True), finish, schema)
     return scored.select(F.col("doc_id").alias(id_col), "held_out", "n_tokens", "n_known",
                          F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score")
 
@@ -521,7 +544,7 @@ def _settle_rows(df: DataFrame, label: str, made: list[str] | None = None) -> Da
     before = conf.get(name)
     conf.set(name, "1")
     try:
-        return settle(df, label, free=True, made=made)
+        return settle(df, label, free=True, made=made, **PACKED)
     finally:
         conf.set(name, before)
 

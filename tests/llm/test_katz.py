@@ -2,10 +2,13 @@ import math
 import random
 from collections import Counter
 from functools import cache
+from pathlib import Path
 from zlib import crc32
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import katz
 
@@ -149,3 +152,31 @@ def test_batches_ask_only_for_triples_of_shared_pairs(llm, monkeypatch):
 def test_packing_of_repeated_numbers():
     for values in ([], [0.5], [0.1, 0.2] * 300, list(np.random.default_rng(1).random(500))):
         assert katz.unpack_repeated(katz.pack_repeated(np.array(values, float))).tolist() == values
+
+
+def test_rows_of_megabytes_are_not_gathered_by_the_hundred(llm):
+    """Writers and readers hold a row group: a few large rows make one, not all rows of a task."""
+    rows = llm.range(0, 30, 1, 1).select("id", F.expr("CAST(repeat('x', 1 << 20) AS BINARY)").alias("packed"))
+    made = []
+    assert katz._settle_rows(rows, "large", made).agg(F.sum(F.length("packed"))).first()[0] == 30 << 20
+    file, = Path(made[0].removeprefix("file:")).glob("*.parquet")
+    groups = [pq.ParquetFile(file).metadata.row_group(i) for i in range(pq.ParquetFile(file).num_row_groups)]
+    assert max(g.total_byte_size for g in groups) < 12 << 20
+    assert all(g.column(1).compression == "UNCOMPRESSED" for g in groups)
+
+
+def test_batches_and_answers_meet_in_python(llm, monkeypatch):
+    """No Spark row holds all answers of a batch."""
+    rows = [(i, f"some words of text {i % 7} here") for i in range(60)]
+    plans = []
+
+    def settle(df, label, **options):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return kept(df, label, **options)
+
+    kept = katz.settle
+    monkeypatch.setattr(katz, "settle", settle)
+    scored = katz.score_documents(llm.createDataFrame(rows, "doc_id bigint, text string").repartition(3), batch_tokens=50)
+    plans.append(scored._jdf.queryExecution().optimizedPlan().toString())
+    assert len(plans) == 5 and not any("Join" in p or "collect_list" in p for p in plans)
+    close([tuple(r) for r in scored.collect()], brute(rows)[0])
