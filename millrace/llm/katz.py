@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import BLANK_WORDS, arrow_schema, drop, mix, settle, texts, word_arrays
+from .common import BATCH_ROWS, BLANK_WORDS, arrow_schema, drop, mix, settle, texts, word_arrays
 
 #: Tokens of a batch, about; a longer document is a batch of its own.
 BATCH_TOKENS = 3 << 18
@@ -38,6 +38,9 @@ FOLDS = 10
 PACKED = {"compression": "uncompressed", "parquet.enable.dictionary": "false", "parquet.block.size": str(8 << 20),
           "parquet.page.size.row.check.min": "1"}
 
+#: Rows that a reader of files turns into arrays at once: texts, and lists of a part.
+READ_ROWS = 16
+
 _codec = pa.Codec("zstd", compression_level=1)
 
 
@@ -513,7 +516,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         raise ValueError("order must be 2 or 3")
     id_type = dict(docs.dtypes)[id_col]
     made: list[str] = []
-    batches = settle(_batches(texts(docs, id_col, text_col), batch_tokens), "batches", free=True, made=made, **PACKED)
+    batches = _settle_rows(_batches(texts(docs, id_col, text_col), batch_tokens), "batches", made, BATCH_ROWS)
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-batches.count() // PART_BATCHES))
 
     def answered(asked: DataFrame) -> DataFrame:
@@ -538,15 +541,19 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                          F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score")
 
 
-def _settle_rows(df: DataFrame, label: str, made: list[str] | None = None) -> DataFrame:
-    """``settle`` for rows of some megabytes: they go to Python one by one, so a task's memory outside the heap holds one."""
-    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = conf.get(name)
-    conf.set(name, "1")
+def _settle_rows(df: DataFrame, label: str, made: list[str] | None = None, at_once: int = 1) -> DataFrame:
+    """``settle`` for rows of some megabytes: they go to Python one by one (or ``at_once``), so a task's memory outside the heap holds
+    one, and files are read by a few rows, whose arrays a reader keeps on the heap."""
+    conf = df.sparkSession.conf
+    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(at_once), "spark.sql.parquet.columnarReaderBatchSize": str(READ_ROWS)}
+    before = {name: conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        conf.set(name, value)
     try:
         return settle(df, label, free=True, made=made, **PACKED)
     finally:
-        conf.set(name, before)
+        for name, value in before.items():
+            conf.set(name, value)
 
 
 def _model(answers: DataFrame) -> Model:

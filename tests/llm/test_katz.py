@@ -180,3 +180,17 @@ def test_batches_and_answers_meet_in_python(llm, monkeypatch):
     plans.append(scored._jdf.queryExecution().optimizedPlan().toString())
     assert len(plans) == 5 and not any("Join" in p or "collect_list" in p for p in plans)
     close([tuple(r) for r in scored.collect()], brute(rows)[0])
+
+
+def test_files_are_read_by_a_few_rows(llm, monkeypatch):
+    """A reader's arrays of texts and lists don't grow with the rows of a file; the session's setting comes back."""
+    name, seen = "spark.sql.parquet.columnarReaderBatchSize", []
+
+    def settle(df, label, **options):
+        seen.append(int(llm.conf.get(name)))
+        return kept(df, label, **options)
+
+    before, kept = llm.conf.get(name), katz.settle
+    monkeypatch.setattr(katz, "settle", settle)
+    assert katz.score_documents(llm.createDataFrame([(1, "a b"), (2, None)], "doc_id bigint, text string")).count() == 2
+    assert len(seen) == 4 and max(seen) <= 64 and llm.conf.get(name) == before
