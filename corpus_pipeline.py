@@ -22,7 +22,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     names = docs.columns
     # the filter reads the new text from files: Spark would push it below and repeat, for every use of the text, all that makes it
     out = settle(line_dedup.dedup_lines(docs, prefix="__"), "lines", free=True)
-    changed = F.col("__n_dropped") > 0
+    changed = F.col("__n_dropped_lines") > 0
     out = out.where(~(changed & (F.length(F.trim(F.translate("text", "\n\t\r", ""))) == 0)))
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))

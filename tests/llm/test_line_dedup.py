@@ -1,4 +1,6 @@
+import functools
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -173,3 +175,86 @@ def test_ends_are_cut_by_bytes(llm):
     assert {r[0]: r[1:] for r in rows} == {i: (t and t[:-1], t and t[:-1].rstrip(" ")) if t is not None else (None, None) for i, t in enumerate(texts)}
     plan = llm.createDataFrame([("a",)], "t string").select(line_dedup._bare(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
     assert "octet_length" in plan and " length(" not in plan
+
+
+def lines_of(text):
+    return re.split(r"(?<=\n)|(?<=[.!?] )", text + "\n")[:-1]
+
+
+def whole_passages(rows, min_lines=2):
+    """Every row of ``min_lines`` lines that aren't blank and stand at an earlier place too goes, with the blank lines between them and
+    those next to them that are there in both places."""
+    first, gone = {}, {}
+    for doc, text in sorted({r for r in rows if r[1] is not None}, key=lambda r: (r[0] is not None, r[0])):
+        lines = [bare(x) for x in lines_of(text)]
+        solid = [-1, *[i for i, x in enumerate(lines) if x], len(lines)]
+        for t in range(1, len(solid) - min_lines):
+            a, b = solid[t], solid[t + min_lines - 1]
+            left, right = a - solid[t - 1] - 1, solid[t + min_lines] - b - 1
+            there = first.setdefault(tuple(lines[a:b + 1]), (doc, text, a, left, right))
+            if there[:3] != (doc, text, a):
+                gone.setdefault((doc, text), set()).update(range(a - min(left, there[3]), b + 1 + min(right, there[4])))
+    out = []
+    for doc, text in rows:
+        lost = gone.get((doc, text), ())
+        kept = text if not lost else "".join(x for i, x in enumerate(lines_of(text)) if i not in lost).removesuffix("\n")
+        out.append((doc, kept, len(lost)))
+    return sorted(out, key=str)
+
+
+def all_of(df):
+    return sorted(((r.doc_id, r.text, r.n_dropped_lines) for r in df.collect()), key=str)
+
+
+def test_passages_of_short_lines_go(llm):
+    """However short its lines are, a passage goes, whole."""
+    listed = "eggs\nmilk\nbread\nsalt\nrice\ntea"
+    rows = [(1, listed), (2, "to buy:\n" + listed + "\nthat is all"), (3, "Yes. No. Why? So. Go!"), (4, "He said: Yes. No. Why? So. Go! ")]
+    got = {r.doc_id: r for r in dedup_lines(llm.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert {d: r.text for d, r in got.items()} == {1: listed, 2: "to buy:\nthat is all", 3: rows[2][1], 4: "He said: Yes. "}
+    assert {d: r.n_dropped_lines for d, r in got.items()} == {1: 0, 2: 6, 3: 0, 4: 4} and got[2].n_dropped > 0
+
+
+def test_a_passage_goes_though_its_lines_stood_elsewhere_before(llm):
+    """The first place of each line says nothing of the passage."""
+    one, two = "one line that is long enough to be a chunk", "another line that is long enough to be one"
+    rows = [(1, f"{one}\nx1"), (2, f"y1\n{two}"), (3, f"x3\n{one}\n{two}\ny3"), (4, f"x4\n{one}\n{two}\ny4")]
+    got = {r.doc_id: r.text for r in dedup_lines(llm.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {**dict(rows), 4: "x4\ny4"}
+
+
+def test_a_passage_goes_with_its_blank_lines(llm):
+    parts = [f"paragraph {i} is a single line of some length" for i in range(8)]
+    rows = [(1, "\n\n".join(parts)), (2, "own\n\n" + "\n\n".join(parts) + "\n\nown too"), (3, "\n\n\n".join(parts))]
+    got = {r.doc_id: r.text for r in dedup_lines(llm.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "own\n\n\nown too", 3: rows[2][1]}
+
+
+@pytest.mark.parametrize("min_lines, ends", [(1, 15), (2, 15), (3, 15), (4, 15), (2, 0), (2, 16)])
+def test_against_brute_force_of_whole_passages(llm, min_lines, ends):
+    """Whatever the chunks are: with no ends a text is one, with 16 of 16 each line."""
+    rng = random.Random(min_lines)
+    some = ["", "", "a", "b ", "is. ", "Go! Why? ", "a line that has more than a few characters", "another such line. And one more. ", "\u00e9t\u00e9", "N", "L", "B"]
+    rows = [(doc if doc % 9 else None, "\n".join(rng.choice(some) if rng.random() < 0.7 else f"own {doc} {i}" for i in range(rng.randint(0, 25))))
+            for doc in range(1, 60)]
+    rows += [rows[5], (200, rows[7][1]), (201, None), (202, ""), (203, "\n\n\n"), (204, "\n\n\n"), (None, None)]
+    rows = [r for i, r in enumerate(rows) if r[0] is not None or i < 10 or r[1] is None]  # one text without an id: their order is that of hashes
+    docs = llm.createDataFrame(rows, "doc_id bigint, text string")
+    got, want = all_of(dedup_lines(docs, min_lines=min_lines, ends=ends)), whole_passages(rows, min_lines)
+    assert got == want and sum(r[2] for r in want) > 50
+
+
+def test_a_long_text_of_short_lines_takes_linear_time(llm):
+    """Whichever columns are asked for, no array is made once for each line."""
+    text = "\n".join(f"{i % 5000}" for i in range(60_000))
+    out = dedup_lines(llm.createDataFrame([(1, text)], "doc_id bigint, text string"))
+    kept = "\n".join(f"{i}" for i in range(5000))
+    assert out.first().text == kept and out.select("text").first().text == kept
+    assert out.select("n_dropped_lines").first().n_dropped_lines == 55_000 and out.select("n_dropped").first().n_dropped > 50_000
+
+
+def test_the_stage_counts_characters_where_no_whole_chunk_went(llm, monkeypatch):
+    monkeypatch.setattr(line_dedup, "dedup_lines", functools.partial(dedup_lines, ends=0))
+    rows = [(1, "own one\nshared a\nshared b\nown two", 33), (2, "own three\nshared a\nshared b\nown four", 36)]
+    out = corpus_pipeline.dedup_lines(llm, llm.createDataFrame(rows, "doc_id bigint, text string, n_chars int"), "")
+    assert sorted(map(tuple, out.collect())) == [rows[0], (2, "own three\nown four", 18)]
